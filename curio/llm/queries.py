@@ -13,5 +13,12 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {"op7_decontaminate": op7_decontaminate}
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from curio.llm import packing
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {"op7_decontaminate": op7_decontaminate, "op8_packing": op8_packing}
 ORACLES: dict[str, str] = {}
