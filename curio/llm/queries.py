@@ -20,5 +20,23 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op7_decontaminate": op7_decontaminate, "op8_packing": op8_packing}
-ORACLES: dict[str, str] = {}
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curio.llm import warc
+
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {
+    "op4_warc": op4_warc,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_packing": op8_packing,
+}
+
+
+def _oracles() -> dict[str, str]:
+    from curio.llm import warc
+
+    return {"op4_warc": warc.ORACLE}
+
+
+ORACLES: dict[str, str] = _oracles()
