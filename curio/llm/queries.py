@@ -20,6 +20,19 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curio.llm import media
+
+    return media.report(table(spark, sf_dir, "documents"))
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from curio.llm import token_counts
+
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from curio.llm import warc
 
@@ -27,6 +40,8 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_media": op1_media,
+    "op2_token_counts": op2_token_counts,
     "op4_warc": op4_warc,
     "op7_decontaminate": op7_decontaminate,
     "op8_packing": op8_packing,
