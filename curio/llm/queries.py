@@ -33,6 +33,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curio.llm import toxicity
+
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from curio.llm import warc
 
@@ -42,6 +48,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_media": op1_media,
     "op2_token_counts": op2_token_counts,
+    "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
     "op7_decontaminate": op7_decontaminate,
     "op8_packing": op8_packing,
