@@ -45,6 +45,13 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from curio.llm import token_ids
+
+    return token_ids.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op1_media": op1_media,
     "op2_token_counts": op2_token_counts,
@@ -52,6 +59,7 @@ QUERIES = {
     "op4_warc": op4_warc,
     "op7_decontaminate": op7_decontaminate,
     "op8_packing": op8_packing,
+    "op9_token_ids": op9_token_ids,
 }
 
 
