@@ -7,6 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from curio.llm.common import table
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curio.llm import line_dedup
+
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from curio.llm import decontaminate
 
@@ -52,14 +58,22 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curio.llm import surrogates
+
+    return surrogates.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_media": op1_media,
     "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
+    "op6_line_dedup": op6_line_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op8_packing": op8_packing,
     "op9_token_ids": op9_token_ids,
+    "op10_surrogates": op10_surrogates,
 }
 
 
