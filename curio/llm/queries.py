@@ -7,6 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from curio.llm.common import table
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curio.llm import jaccard_join
+
+    return jaccard_join.components(table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from curio.llm import line_dedup
 
@@ -69,6 +75,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_line_dedup": op6_line_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op8_packing": op8_packing,
