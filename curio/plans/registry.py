@@ -60,7 +60,7 @@ SELECT c_custkey AS id,
 FROM {customer}
 """,
     "invoices": """
-SELECT o_orderkey AS invoice_no, o_custkey AS customer, CAST(o_totalprice AS BIGINT) AS amount_usd, o_orderstatus AS status, CAST(o_orderdate AS DATE) AS issued,
+SELECT o_orderkey AS invoice_no, o_custkey AS customer, CAST(floor(o_totalprice) AS BIGINT) AS amount_usd, o_orderstatus AS status, CAST(o_orderdate AS DATE) AS issued,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'transfer' WHEN '2-HIGH' THEN 'card' ELSE 'cash' END AS method
 FROM {orders}
 """,
