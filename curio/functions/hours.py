@@ -89,9 +89,9 @@ def open_at(today: Column, yesterday: Column, minute: Column, all_day_spills: bo
 
 def status(today: Column, yesterday: Column, minute: Column) -> Column:
     """What to show at a minute of today."""
-    spill = F.element_at(F.filter(yesterday["periods"], lambda p: p["closes_next_day"] & (minute < minutes(p["closes"]))), 1)
-    now = F.element_at(F.filter(today["periods"], lambda p: (minute >= minutes(p["opens"])) & (p["closes_next_day"] | (minute < minutes(p["closes"])))), 1)
-    later = F.element_at(F.filter(today["periods"], lambda p: minute < minutes(p["opens"])), 1)
+    spill = F.get(F.filter(yesterday["periods"], lambda p: p["closes_next_day"] & (minute < minutes(p["closes"]))), 0)
+    now = F.get(F.filter(today["periods"], lambda p: (minute >= minutes(p["opens"])) & (p["closes_next_day"] | (minute < minutes(p["closes"])))), 0)
+    later = F.get(F.filter(today["periods"], lambda p: minute < minutes(p["opens"])), 0)
     return (
         F.when(today.isNull(), "Hours unavailable today").when(today["closed"], "Closed today").when(today["open24"], "Open 24 hours")
         .when((F.size(yesterday["periods"]) > 0) & F.coalesce(spill.isNotNull(), F.lit(False)), F.concat(F.lit("Open · Closes today at "), clock(spill["closes"])))

@@ -1 +1,178 @@
-"""Queries."""
+"""Page, map text and snapshot extraction."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from curio.operators import extract as E
+from curio.plans.registry import Data, query
+
+c = F.col
+SCOPE = r"regexp_replace(regexp_replace(regexp_replace(html, '(?is)<nav\b.*?</nav>', '', 'g'), '(?is)<script\b.*?</script>', '', 'g'), '(?is)<(?:footer|header|aside|style)\b.*?</(?:footer|header|aside|style)>', '', 'g')"
+NOTE = "CASE id % 5 WHEN 0 THEN 'Call +506 2750 1234 or +506 2750 9999' WHEN 1 THEN 'Average rating: 4.5 of 5. previously called Old Inn.' WHEN 2 THEN 'Verified 2026-03-04' ELSE 'plain words' END"
+
+
+def _note():
+    k = c("id") % 5
+    return F.when(k == 0, "Call +506 2750 1234 or +506 2750 9999").when(k == 1, "Average rating: 4.5 of 5. previously called Old Inn.").when(k == 2, "Verified 2026-03-04").otherwise("plain words")
+
+
+def _page(q: Data):
+    """Listing pages made from the master view."""
+    k = c("id") % 5
+    img = F.when(c("id") % 7 == 0, '<img src="/i/closed.png">').when(c("id") % 7 == 1, '<img src="/i/caution.gif" alt="Temporarily closed">').when(c("id") % 7 == 2, '<img src="warning.png">').otherwise("")
+    link = F.when(k == 0, F.concat(F.lit('<a href="https://maps.google.com/?cid='), c("id").cast("string"), F.lit('">map</a><a href="https://www.facebook.com/sharer?u=1">s</a><a href="https://www.facebook.com/f'), c("id").cast("string"), F.lit('">f</a>'))).when(k == 1, '<a href="https://instagram.com/p/1">x</a><a href="https://instagram.com/luna.sol/">@luna</a>').otherwise('<a href="https://own.example.com/">own.example.com</a><a href="//www.tiktok.com/@t">t</a>')
+    html = F.concat(F.lit("<html><head><title>T "), "area", F.lit('</title></head><nav><a href="https://nav.example.com">n</a></nav><h1>'), "category", F.lit("</h1><p>"), _note(), F.lit("</p>"), img, link, F.lit("<script>var aLats=[9.5, '9.75',x];</script><footer>+506 1111 2222</footer></html>"))
+    return q.master.select("id", F.concat(F.lit("https://x.example.com/"), F.when(c("id") % 2 == 0, "en").otherwise("es"), F.lit("/a/b")).alias("url"), html.alias("html"))
+
+
+def _listing(name: str, field: str, sql: str) -> None:
+    query(name, f"SELECT id, {sql} AS v FROM master ")(lambda q: _page(q).withColumn("l", E.listing(c("url"), c("html"))).select("id", c(f"l.{field}").alias("v")))
+
+
+_listing("ex_phone", "phone", "CASE WHEN id % 5 = 0 THEN '+506 2750 1234' END")
+_listing("ex_rating", "rating", "CASE WHEN id % 5 = 1 THEN CAST(4.5 AS DOUBLE) END")
+_listing("ex_date", "verified_date", "CASE WHEN id % 5 = 2 THEN '2026-03-04' END")
+_listing("ex_alt", "alternate_names", "CASE WHEN id % 5 = 1 THEN 'Old Inn' END")
+_listing("ex_status", "status", "CASE id % 7 WHEN 0 THEN 'closed' WHEN 1 THEN 'temporarily_closed' WHEN 2 THEN 'needs_verification' ELSE 'active' END")
+_listing("cl_status_map", "status", "CASE id % 7 WHEN 0 THEN 'closed' WHEN 1 THEN 'temporarily_closed' WHEN 2 THEN 'needs_verification' ELSE 'active' END")
+_listing("ex_cid", "cid", "CASE WHEN id % 5 = 0 THEN CAST(id AS STRING) END")
+_listing("ex_ig", "instagram", "CASE WHEN id % 5 = 1 THEN 'https://instagram.com/p/1' END")
+_listing("ex_fb", "facebook", "CASE WHEN id % 5 = 0 THEN 'https://www.facebook.com/f' || id END")
+_listing("ex_website", "website", "CASE WHEN id % 5 > 1 THEN 'https://own.example.com/' END")
+_listing("ex_desc", "description", NOTE)
+_listing("ex_area", "area", "CASE WHEN id % 2 = 0 THEN 'en' ELSE 'es' END")
+
+
+@query("ex_listing", f"SELECT id, category AS name, 'T ' || area AS title, {NOTE} AS description, CASE WHEN id % 5 = 0 THEN 'no_website' WHEN id % 5 = 1 THEN 'no_phone,no_cid,no_website' ELSE 'no_phone,no_cid' END AS warnings FROM master ")
+def _full(q: Data):
+    p = _page(q).withColumn("l", E.listing(c("url"), c("html")))
+    return p.select("id", c("l.name").alias("name"), c("l.title").alias("title"), c("l.description").alias("description"), F.array_join("l.warnings", ",").alias("warnings"))
+
+
+@query("ex_scope", f"SELECT page_id, length({SCOPE}) AS n FROM pages")
+def _scope(q: Data):
+    return q.pages.select("page_id", F.length(E.scope(c("html"))).cast("bigint").alias("n"))
+
+
+@query("ex_breadcrumb", "SELECT page_id, regexp_extract_all(html, '(?i)<a\\b[^>]*?href=\"([^\"]*)\"', 1)[1] AS first, CAST(len(regexp_extract_all(html, '(?i)<a\\b[^>]*?href=\"([^\"]*)\"', 1)) AS BIGINT) AS n FROM pages")
+def _crumb(q: Data):
+    return q.pages.select("page_id", F.get(E.links(c("html")), 0).alias("first"), F.size(E.links(c("html"))).cast("bigint").alias("n"))
+
+
+@query("ex_category", "SELECT page_id, CASE WHEN contains(html, '<article>') THEN 'article' WHEN contains(html, '<table') THEN 'table' ELSE 'other' END AS v FROM pages")
+def _category(q: Data):
+    return q.pages.select("page_id", F.when(F.contains("html", F.lit("<article>")), "article").when(F.contains("html", F.lit("<table")), "table").otherwise("other").alias("v"))
+
+
+@query("ex_price", "SELECT page_id, nullif(regexp_extract(html, '\\$[0-9]+', 0), '') AS v FROM pages")
+def _price(q: Data):
+    return q.pages.select("page_id", E.first_match(c("html"), [r"\$[0-9]+"]).alias("v"))
+
+
+@query("ex_js_arrays", "SELECT id, '9.5|9.75|?' AS v FROM master ")
+def _js(q: Data):
+    return _page(q).select("id", F.array_join(F.transform(E.js_array(c("html"), "aLats"), lambda x: x.cast("string")), "|", "?").alias("v"))
+
+
+@query("ex_urls", "SELECT page_id, CAST(len(list_distinct(list_filter(regexp_extract_all(html, '(?i)<a\\b[^>]*?href=\"([^\"]*)\"', 1), lambda u: starts_with(u, '/t')))) AS BIGINT) AS n FROM pages")
+def _urls(q: Data):
+    return q.pages.select("page_id", F.size(E.page_urls(c("html"), "^/t")).cast("bigint").alias("n"))
+
+
+@query("ex_social", "SELECT id, CASE WHEN id % 5 = 0 THEN 'https://www.facebook.com/f' || id || '|https://www.facebook.com/sharer' WHEN id % 5 = 1 THEN 'https://instagram.com/luna.sol/|https://instagram.com/p/1' ELSE 'https://www.tiktok.com/@t' END AS v FROM master ")
+def _social(q: Data):
+    return _page(q).select("id", F.array_join(E.social(c("html")), "|").alias("v"))
+
+
+query("ex_ig_handle", "SELECT id, CASE WHEN id % 5 = 1 THEN 'luna.sol' END AS v FROM master ")(lambda q: _page(q).select("id", E.handle(c("html")).alias("v")))
+
+
+@query("ex_profile", "SELECT id, CASE id % 4 WHEN 0 THEN 'ok' WHEN 1 THEN 'not_found' WHEN 2 THEN 'login' ELSE 'challenged' END AS state, CASE WHEN id % 4 = 0 THEN CAST(id AS INT) END AS posts, CASE WHEN id % 4 = 0 THEN category END AS bio FROM master ")
+def _profile(q: Data):
+    k = c("id") % 4
+    html = F.when(k == 0, F.concat(F.lit('<script type="application/json">{"posts": '), c("id").cast("string"), F.lit(', "bio": "'), "category", F.lit('"}</script>'))).when(k == 1, "Sorry, this page isn't available").when(k == 2, "Log in to continue").otherwise("Solve the challenge")
+    return q.master.select("id", E.profile(html).alias("p")).select("id", "p.*")
+
+
+query("ex_account_state", "SELECT id, CASE id % 3 WHEN 0 THEN 'broken' WHEN 1 THEN 'not_found' ELSE 'ok' END AS v FROM master ")(
+    lambda q: q.master.select("id", E.account_state(F.when(c("id") % 3 == 0, " ").when(c("id") % 3 == 1, "Not found").otherwise("hello")).alias("v"))
+)
+query("ex_blocked", "SELECT doc_id, regexp_matches(text, '(?i)unusual traffic|captcha') AS v FROM documents")(lambda q: q.documents.select("doc_id", E.blocked(c("text")).alias("v")))
+
+
+@query("ex_page_meta", "SELECT id, id % 2 = 0 AS limited_view, id % 3 = 0 AS booking, id % 5 = 0 AS overview, id % 7 = 0 AS information FROM master ")
+def _meta(q: Data):
+    t = F.concat_ws("\n", F.when(c("id") % 2 == 0, "Limited view of Google Maps"), F.when(c("id") % 3 == 0, "Compare prices"), F.when(c("id") % 5 == 0, 'tab "Overview of Casa"'), F.when(c("id") % 7 == 0, 'region "Information for Casa"'))
+    return q.master.select("id", E.page_meta(t).alias("m")).select("id", "m.limited_view", "m.booking", "m.overview", "m.information")
+
+
+def _snapshot(q: Data):
+    k = c("id") % 3
+    t = F.when(k == 0, '- img "Free Wi-Fi available"\n- img "Pool unavailable"\n- img "Pool available"').when(k == 1, '- img "Air & heat available"\n- img "Air & heat available"').otherwise("- text: none")
+    return q.master.select("id", t.alias("t"))
+
+
+@query("ex_aria_amen", "SELECT id, 'free_wifi' AS amenity, true AS available, 1 AS n FROM master WHERE id % 3 = 0 UNION ALL SELECT id, 'pool', NULL, 2 FROM master WHERE id % 3 = 0 UNION ALL SELECT id, 'air_and_heat', true, 2 FROM master WHERE id % 3 = 1")
+def _amen(q: Data):
+    return E.aria_amenities(_snapshot(q), "id", "t")
+
+
+@query("ex_rebuild", "SELECT id, CASE WHEN id % 3 = 0 THEN 2 WHEN id % 3 = 1 THEN 1 ELSE 0 END AS n FROM master ")
+def _rebuild(q: Data):
+    found = E.aria_amenities(_snapshot(q), "id", "t").groupBy("id").agg(F.count("*").alias("n"))
+    return q.master.select("id").join(found, "id", "left").select("id", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query("ex_aria_about", "SELECT id, 'Service' AS \"group\", 'Delivery|Takeout' AS attributes FROM master WHERE id % 2 = 0 UNION ALL SELECT id, 'Crowd', 'Quiet' FROM master ")
+def _about(q: Data):
+    service = F.when(c("id") % 2 == 0, '- heading "Service" [level=2]\n- list:\n  - listitem: Delivery\n  - listitem: Takeout\n- button "More"\n- listitem: Lost\n').otherwise('- heading "About this data" [level=2]\n- list:\n  - listitem: Hidden\n')
+    t = F.concat(service, F.lit('- heading "Crowd" [level=2]\n- list:\n  - listitem: Quiet'))
+    return E.aria_groups(q.master.select("id", t.alias("t")), "id", "t", ["About this data", "Pricing and availability"]).select("id", "group", F.array_join("attributes", "|").alias("attributes"))
+
+
+def _capture(q: Data):
+    k = c("id") % 4
+    t = F.concat_ws("\n", "business_name", F.when(k != 3, F.concat(F.lit("4."), (c("id") % 10).cast("string"))), F.when(k == 0, "+506 2750 1234").when(k == 1, "27501234"), F.when(k == 1, "casa.example.com"), F.when(k == 2, "M742+8M Town").otherwise("12 calle Uno"), F.when(k == 0, "Abierto ahora"), F.when(k == 1, "lunes 9:00 a.m. - 5:00 p.m."), F.when(k == 2, "Hora de entrada: 3:00 p.m."), F.lit("Free Wifi"), F.lit("Reviews"), F.lit("Swimming pool"), F.lit("Beach hotel"))
+    return q.master.select("id", c("business_name").alias("name"), t.alias("t"))
+
+
+MAP = {
+    "rating": ("ex_m_rating", "CASE WHEN id % 4 <> 3 THEN CAST('4.' || id % 10 AS DOUBLE) END"), "phone": ("ex_m_phone", "CASE id % 4 WHEN 0 THEN '+506 2750 1234' WHEN 1 THEN '27501234' END"),
+    "website": ("ex_m_website", "CASE WHEN id % 4 = 1 THEN 'casa.example.com' END"), "address": ("ex_m_address", "CASE WHEN id % 4 = 2 THEN 'M742+8M Town' ELSE '12 calle Uno' END"),
+    "open_state": ("ex_m_open", "CASE WHEN id % 4 = 0 THEN 'abierto ahora' END"), "hours": ("ex_m_hours", "CASE WHEN id % 4 = 1 THEN 'lunes 9:00 a.m. - 5:00 p.m.' END"),
+    "check_in": ("ex_m_checkin", "CASE WHEN id % 4 = 2 THEN '3:00 p.m.' ELSE '' END"),
+}
+for _field, (_name, _sql) in MAP.items():
+    query(_name, f"SELECT id, {_sql} AS v FROM master ")(lambda q, f=_field: _capture(q).withColumn("m", E.map_fields(c("t"))).select("id", c(f"m.{f}").alias("v")))
+
+query("ex_m_amenities", "SELECT id, 'Free Wifi|Swimming pool' AS v FROM master ")(lambda q: _capture(q).select("id", F.array_join(E.keyword_lines(c("t"), ["wifi", "pool"], "reviews"), "|").alias("v")))
+query("ex_m_subcat", "SELECT id, 'Beach hotel' AS v FROM master ")(lambda q: _capture(q).select("id", E.best_keyword_line(F.substring_index("t", "\n", -4), ["beach", "hotel"]).alias("v")))
+query("ex_m_cuisine", "SELECT id, 'Free Wifi' AS v FROM master ")(lambda q: _capture(q).select("id", E.best_keyword_line(F.substring_index("t", "\n", -4), ["wifi"]).alias("v")))
+
+
+@query("ex_m_infer_cat", "SELECT id, CASE WHEN id % 6 = 3 THEN 'shopping' WHEN id % 6 IN (0, 1, 2) THEN 'hotel' WHEN id % 6 = 4 THEN 'food' ELSE 'unknown' END AS v FROM master ")
+def _infer(q: Data):
+    from curio.operators.classify import keyword_argmax
+
+    return q.master.select("id", keyword_argmax(F.lower("business_name"), [("hotel", ["casa", "hotel", "café"]), ("food", ["bar", "grill"]), ("shopping", ["tienda"])]).alias("v"))
+
+
+@query("ex_maps_v1", "SELECT id, CASE WHEN id % 4 <> 3 THEN CAST('4.' || id % 10 AS DOUBLE) END AS rating, 'Free Wifi|Swimming pool' AS amenities FROM master ")
+def _v1(q: Data):
+    m = E.map_fields(c("t"))
+    return _capture(q).select("id", m["rating"].alias("rating"), F.array_join(E.keyword_lines(c("t"), ["wifi", "pool"], "reviews"), "|").alias("amenities"))
+
+
+query("ex_maps_v2", "SELECT id, CASE id % 4 WHEN 0 THEN '+506 2750 1234' WHEN 1 THEN '27501234' END AS phone, CASE WHEN id % 4 = 2 THEN 'M742+8M Town' ELSE '12 calle Uno' END AS address FROM master ")(
+    lambda q: _capture(q).select("id", E.map_fields(c("t")).alias("m")).select("id", "m.phone", "m.address")
+)
+
+
+@query("ex_maps_v3", "SELECT id, CAST(CASE WHEN id % 4 <> 3 THEN 0.9 END AS DOUBLE) AS rating_confidence, CAST(CASE WHEN id % 4 = 2 THEN 0.5 ELSE 0.8 END AS DOUBLE) AS address_confidence, CAST(CASE WHEN id % 4 IN (0, 1) THEN 0.85 END AS DOUBLE) AS phone_confidence FROM master ")
+def _v3(q: Data):
+    m = E.map_fields(c("t"))
+    return _capture(q).select(
+        "id", F.when(m["rating"].isNotNull(), F.lit(0.9)).alias("rating_confidence"), F.when(m["address"].rlike("(?i)calle|avenida|street|road"), F.lit(0.8)).when(m["address"].isNotNull(), F.lit(0.5)).alias("address_confidence"),
+        F.when(m["phone"].isNotNull(), F.lit(0.85)).alias("phone_confidence"),
+    )

@@ -1 +1,132 @@
-"""Queries."""
+"""Rule-based classification and data-quality audits."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from curio.functions import geo as G
+from curio.functions import text as T
+from curio.operators import classify as C
+from curio.operators import quality as Q
+from curio.plans.basics import PHONE, WA
+from curio.plans.registry import Data, query
+
+c = F.col
+SOURCES = [("business_name", 0.96), ("category", 0.92), ("description_full", 0.9)]
+RULES = [("hotel", ["hotel", "casa"]), ("cafe", ["café"]), ("furniture", ["furniture"]), ("beach", ["beach"]), ("sun", ["del sol", "azul"])]
+BANNED = {"sun": ["building"]}
+IDENTITY = ["business_name", "category"]
+GROUPS = {"hotel": "stay", "cafe": "food", "beach": "outdoor"}
+PRIMARY = {"furniture": "shopping", "building": "services"}
+
+
+def _case(tag: str, patterns: list[str]) -> str:
+    arms = " ".join(f"WHEN regexp_matches(lower({s}), '{p}') THEN {{'tag': '{tag}', 'source': '{s}', 'confidence': {sure}, 'pattern': '{p}'}}" for s, sure in SOURCES for p in patterns)
+    arms = f"CASE {arms} END"
+    return f"CASE WHEN category NOT IN ({', '.join(repr(x) for x in BANNED[tag])}) THEN {arms} END" if tag in BANNED else arms
+
+
+EVIDENCE = "SELECT id, category, unnest(list_filter([" + ", ".join(_case(t, p) for t, p in RULES) + "], lambda x: x IS NOT NULL)) AS x FROM master "
+ASSEMBLED = f"""WITH e AS ({EVIDENCE}), g AS (SELECT id, list_sort(list_distinct(list(x.tag) FILTER (WHERE x.source IN ('business_name', 'category')))) AS tags, list_sort(list_distinct(list(x.tag) FILTER (WHERE x.source = 'description_full'))) AS attributes FROM e GROUP BY id),
+r AS (SELECT m.id, m.category, coalesce(tags, []) AS tags, coalesce(attributes, []) AS attributes FROM master m LEFT JOIN g ON g.id = m.id),
+z AS (SELECT *, list_sort(list_distinct(list_concat(CASE category WHEN 'furniture' THEN ['shopping'] WHEN 'building' THEN ['services'] ELSE [] END, list_filter(list_transform(list_concat(tags, attributes), lambda t: CASE t WHEN 'hotel' THEN 'stay' WHEN 'cafe' THEN 'food' WHEN 'beach' THEN 'outdoor' END), lambda g: g IS NOT NULL)))) AS groups FROM r)
+"""
+
+
+def _evidence(q: Data):
+    return C.first_evidence(q.master, SOURCES, RULES, BANNED)
+
+
+def _records(q: Data):
+    return C.assemble(q.master, _evidence(q), IDENTITY, GROUPS, PRIMARY)
+
+
+query("cl_first_evidence", f"SELECT id, x.tag AS tag, x.source AS source, CAST(x.confidence AS DOUBLE) AS confidence, x.pattern AS pattern FROM ({EVIDENCE})")(_evidence)
+query("cl_rules", f"SELECT x.tag AS tag, count(*) AS n FROM ({EVIDENCE}) GROUP BY 1")(lambda q: _evidence(q).groupBy("tag").agg(F.count("*").alias("n")))
+query("cl_identity_split", ASSEMBLED + "SELECT id, array_to_string(tags, '|') AS tags, array_to_string(attributes, '|') AS attributes FROM z")(lambda q: _records(q).select("id", F.array_join("tags", "|").alias("tags"), F.array_join("attributes", "|").alias("attributes")))
+query("cl_group_expand", ASSEMBLED + "SELECT id, array_to_string(groups, '|') AS groups FROM z")(lambda q: _records(q).select("id", F.array_join("groups", "|").alias("groups")))
+
+
+def _conflicts(r):
+    return C.conflicts(r, [("no_group", F.size("groups") == 0), ("stay_and_food", F.array_contains("groups", "stay") & F.array_contains("groups", "food")), ("furniture_beach", F.array_contains("tags", "furniture") & F.array_contains("attributes", "beach"))])
+
+
+CONFLICTS = "list_filter([CASE WHEN len(groups) = 0 THEN 'no_group' END, CASE WHEN list_contains(groups, 'stay') AND list_contains(groups, 'food') THEN 'stay_and_food' END, CASE WHEN list_contains(tags, 'furniture') AND list_contains(attributes, 'beach') THEN 'furniture_beach' END], lambda x: x IS NOT NULL)"
+query("cl_conflicts", ASSEMBLED + f"SELECT id, array_to_string({CONFLICTS}, '|') AS conflicts FROM z")(lambda q: (r := _records(q)).select("id", F.array_join(_conflicts(r), "|").alias("conflicts")))
+query("cl_record", ASSEMBLED + f"SELECT id, array_to_string(tags, '|') AS tags, array_to_string(attributes, '|') AS attributes, array_to_string(groups, '|') AS groups, CASE WHEN len({CONFLICTS}) > 0 THEN 'review' ELSE 'auto' END AS review_state FROM z")(
+    lambda q: (r := _records(q)).select("id", *[F.array_join(x, "|").alias(x) for x in ("tags", "attributes", "groups")], F.when(F.size(_conflicts(r)) > 0, "review").otherwise("auto").alias("review_state"))
+)
+
+
+@query("cl_resolution", ASSEMBLED + f"SELECT id, CASE WHEN id % 5 = 0 THEN 'resolved' WHEN len({CONFLICTS}) > 0 THEN 'review' ELSE 'auto' END AS review_state FROM z")
+def _resolution(q: Data):
+    r = _records(q)
+    state = r.select("id", F.when(F.size(_conflicts(r)) > 0, "review").otherwise("auto").alias("state"))
+    done = q.master.where("id % 5 = 0").select("id", F.lit("resolved").alias("decision"))
+    return state.join(done, "id", "left").select("id", F.coalesce("decision", "state").alias("review_state"))
+
+
+@query("cl_recommend", ASSEMBLED + "SELECT id, CASE WHEN list_contains(tags, 'hotel') THEN 'hotel' WHEN list_contains(tags, 'cafe') THEN 'restaurant' ELSE category END AS category FROM z")
+def _recommend(q: Data):
+    return _records(q).select("id", F.when(F.array_contains("tags", "hotel"), "hotel").when(F.array_contains("tags", "cafe"), "restaurant").otherwise(c("category")).alias("category"))
+
+
+query("cl_exposure", ASSEMBLED + "SELECT coalesce(a.tag, b.tag) AS tag, coalesce(a.n, 0) AS now, coalesce(b.n, 0) AS could, coalesce(b.n, 0) - coalesce(a.n, 0) AS delta FROM (SELECT tag, count(DISTINCT id) AS n FROM (SELECT id, unnest(tags) AS tag FROM z) GROUP BY tag) a FULL JOIN (SELECT tag, count(DISTINCT id) AS n FROM (SELECT id, unnest(list_concat(tags, attributes)) AS tag FROM z) GROUP BY tag) b ON a.tag = b.tag")(
+    lambda q: C.exposure((r := _records(q)).select("id", F.explode("tags").alias("tag")), r.select("id", F.explode(F.concat("tags", "attributes")).alias("tag")))
+)
+query("cl_keyword_cat", "SELECT id, CASE WHEN id % 6 IN (0, 2) THEN 'stay' WHEN id % 6 IN (1, 4) THEN 'food' WHEN id % 6 = 3 THEN 'shop' ELSE 'unknown' END AS v FROM master ")(
+    lambda q: q.master.select("id", C.keyword_argmax(F.lower("business_name"), [("stay", ["hotel", "casa"]), ("food", ["bar", "café"]), ("shop", ["tienda"])]).alias("v"))
+)
+query("cl_evidence_route", f"SELECT id, CASE WHEN {WA} <> '' AND contains(whatsapp, 'wa.me') THEN 'explicit_link' WHEN {WA} <> '' THEN 'explicit_number' WHEN whatsapp <> '' THEN 'invalid' WHEN phone <> '' THEN 'candidate' ELSE 'none' END AS v FROM master ")(
+    lambda q: q.master.select("id", F.when((T.whatsapp(c("whatsapp")) != "") & F.contains("whatsapp", F.lit("wa.me")), "explicit_link").when(T.whatsapp(c("whatsapp")) != "", "explicit_number").when(T.present(c("whatsapp")), "invalid").when(T.present(c("phone")), "candidate").otherwise("none").alias("v"))
+)
+query("cl_queue_split", f"SELECT id, CASE WHEN {WA} <> '' THEN 'explicit' ELSE 'candidate' END AS queue FROM master WHERE {WA} <> '' OR {PHONE} <> ''")(
+    lambda q: q.master.select("id", T.whatsapp(c("whatsapp")).alias("w"), T.phone_e164(c("phone")).alias("p")).where("w <> '' OR p <> ''").select("id", F.when(c("w") != "", "explicit").otherwise("candidate").alias("queue"))
+)
+query("cl_visual", "SELECT id, CASE WHEN description_full = '' THEN 'blank' WHEN contains(lower(description_full), 'story') THEN 'rendered' ELSE 'unknown' END AS v FROM master ")(
+    lambda q: q.master.select("id", F.when(c("description_full") == "", "blank").when(F.contains(F.lower("description_full"), F.lit("story")), "rendered").otherwise("unknown").alias("v"))
+)
+
+DEFECTS = {"bad_coordinates": ("latitude <> '' AND NOT coalesce(TRY_CAST(latitude AS DOUBLE) BETWEEN -90 AND 90, false)", lambda: (c("latitude") != "") & ~G.valid(c("latitude"), c("longitude")), "high"), "http_website": ("starts_with(website, 'http://')", lambda: F.startswith("website", F.lit("http://")), "medium"), "no_contact": ("phone = '' AND email = ''", lambda: (c("phone") == "") & (c("email") == ""), "high"), "bad_handle": ("contains(instagram_handle, ' ')", lambda: F.contains("instagram_handle", F.lit(" ")), "low"), "short_phone": (f"phone <> '' AND {PHONE} = ''", lambda: (c("phone") != "") & (T.phone_e164(c("phone")) == ""), "medium")}
+LISTED = "unnest(list_filter([" + ", ".join(f"CASE WHEN {s} THEN '{n}' END" for n, (s, _, _) in DEFECTS.items()) + "], lambda x: x IS NOT NULL)) AS rule"
+query("dq_source", f"SELECT id, {LISTED} FROM master ")(lambda q: Q.violations(q.master, "id", {n: f() for n, (_, f, _) in DEFECTS.items()}))
+query("dq_defects", "SELECT id, rule, CASE rule " + " ".join(f"WHEN '{n}' THEN '{v}'" for n, (_, _, v) in DEFECTS.items()) + f" END AS severity FROM (SELECT id, {LISTED} FROM master )")(lambda q: Q.graded(q.master, "id", {n: (f(), v) for n, (_, f, v) in DEFECTS.items()}))
+
+
+@query("dq_entry", f"SELECT m.id, coalesce(n, 0) AS issues, greatest(0, 100 - 15 * coalesce(n, 0) - CASE WHEN phone <> '' OR email <> '' THEN 0 ELSE 10 END) AS score FROM master m LEFT JOIN (SELECT id, count(*) AS n FROM (SELECT id, {LISTED} FROM master ) GROUP BY id) v ON v.id = m.id")
+def _entry(q: Data):
+    from curio.functions.scores import entry_score
+
+    n = Q.violations(q.master, "id", {k: f() for k, (_, f, _) in DEFECTS.items()}).groupBy("id").agg(F.count("*").alias("n"))
+    j = q.master.join(n, "id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return j.select("id", c("n").alias("issues"), entry_score(c("n"), T.present(c("phone")) | T.present(c("email"))).alias("score"))
+
+
+query("dq_desc_hours", "SELECT m.id FROM master m JOIN hours h ON m.id = h.id WHERE contains(description_full, 'all year round') AND contains(row_text, 'Closed')")(
+    lambda q: q.master.select("id", "description_full").join(q.hours, "id").where(F.contains("description_full", F.lit("all year round")) & F.contains("row_text", F.lit("Closed"))).select("id")
+)
+query("dq_taxonomy", ASSEMBLED + "SELECT z.id FROM z JOIN master m ON m.id = z.id WHERE list_contains(tags, 'hotel') AND contains(lower(business_name), 'luna')")(
+    lambda q: _records(q).join(q.master.select("id", "business_name"), "id").where(F.array_contains("tags", "hotel") & F.contains(F.lower("business_name"), F.lit("luna"))).select("id")
+)
+
+
+def _routes(q: Data):
+    r = q.master.select("id", "whatsapp", T.whatsapp(c("whatsapp")).alias("route"))
+    n = r.groupBy("route").agg(F.count("*").alias("n"))
+    return r.where("whatsapp <> ''").join(n, "route").select("id", "route", F.when(c("route") == "", "invalid").when(c("n") > 1, "shared").otherwise("ok").alias("state"))
+
+
+query("dq_routes", f"SELECT id, {WA} AS route, CASE WHEN {WA} = '' THEN 'invalid' WHEN n > 1 THEN 'shared' ELSE 'ok' END AS state FROM (SELECT *, count(*) OVER (PARTITION BY {WA}) AS n FROM master ) WHERE whatsapp <> ''")(_routes)
+query("dq_amenities", "SELECT p_partkey AS id, regexp_matches(lower(p_name), 'blue|red') AND NOT regexp_matches(lower(p_name), 'nut') AS kept FROM part")(
+    lambda q: q.part.select(c("p_partkey").alias("id"), (F.lower("p_name").rlike("blue|red") & ~F.lower("p_name").rlike("nut")).alias("kept"))
+)
+query("dq_attempt", "SELECT seq, CASE WHEN value > 100 THEN 'confidence' WHEN state = 'error' AND version = 'v0' THEN 'state' ELSE 'ok' END AS verdict FROM ledger ")(
+    lambda q: q.ledger.select("seq", F.when(c("value") > 100, "confidence").when((c("state") == "error") & (c("version") == "v0"), "state").otherwise("ok").alias("verdict"))
+)
+query("dq_unique_keys", "SELECT count(phone) AS n_rows, count(DISTINCT phone) AS n_keys, count(phone) = count(DISTINCT phone) AS ok FROM master ")(lambda q: Q.unique_keys(q.master, "phone"))
+query("dq_release", "SELECT CAST(sum(length(business_name)) AS BIGINT) <= 700000 AS fits, count(DISTINCT md5(business_name)) AS digests FROM master ")(
+    lambda q: q.master.agg((F.sum(F.length("business_name")) <= 700000).alias("fits"), F.countDistinct(F.md5(c("business_name").cast("binary"))).alias("digests"))
+)
+query("dq_ts_listing", "SELECT id, regexp_full_match(google_maps_cid, '[0-9]+') AND business_name <> '' AS ok FROM master ")(
+    lambda q: (lambda good, bad: good.select("id", F.lit(True).alias("ok")).unionByName(bad.select("id", F.lit(False).alias("ok"))))(*Q.split_valid(q.master, c("google_maps_cid").rlike("^[0-9]+$") & T.present(c("business_name"))))
+)
