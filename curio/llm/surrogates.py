@@ -28,7 +28,7 @@ OTHER = "OTHER"  # numbers that look like cards but have no valid check digit st
 PATTERNS = {
     "EMAIL": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+)++",
     "KEY": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "SECRET": r"(?<=(?i:token|secret|password|passwd|api_key|apikey) ?[=:] ?[\"'])[^\"'\s]{8,200}(?=[\"'])",
+    "SECRET": r"(?<![A-Za-z0-9])(?i:token|secret|password|passwd|api_key|apikey) ?[=:] ?[\"'][^\"'\s]{8,200}(?=[\"'])",
     "IBAN": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![A-Za-z0-9])",
     "CARD": r"(?<![0-9.-])(?:[0-9]{4}[ -]){3}[0-9]{4}(?![0-9])|(?<![0-9.-])[0-9]{13,19}(?![0-9])",
     "SSN": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
@@ -37,7 +37,10 @@ PATTERNS = {
     "NAME": r"(?<![\p{L}])(?:Mr|Mrs|Ms|Miss|Dr|Herr|Frau|Mme|M|Sr|Sra)\.? \p{Lu}\p{L}{1,30}(?: \p{Lu}\p{L}{1,30})?|(?<![\p{L}])(?:Господин|Госпожа) \p{Lu}\p{L}{1,30}(?: \p{Lu}\p{L}{1,30})?",
 }
 TITLE = r"^((?:Mr|Mrs|Ms|Miss|Dr|Herr|Frau|Mme|M|Sr|Sra)\.? |(?:Господин|Госпожа) )"
+ASSIGNED = r"^((?i:token|secret|password|passwd|api_key|apikey) ?[=:] ?[\"'])"
 ANY = "|".join(PATTERNS.values())
+# What every entity holds at least one of; texts without any of these are not searched.
+SIGNS, WORDS = "[0-9@=:]", ("Mr", "Ms", "Miss", "Dr", "Herr", "Frau", "Mme", "M ", "M. ", "Sr", "Господин", "Госпожа")
 
 # Given names by gender and script, and syllables of family names by script.
 GIVEN = {
@@ -56,12 +59,12 @@ def kind_of(ent: Column) -> Column:
     """The type of a matched entity."""
     out = None
     for k, p in PATTERNS.items():
-        # A secret is known by what stands before it; on its own it is what no other pattern matches.
-        if k == "SECRET":
-            continue
-        hit = ent.rlike(f"^(?:{p})$")
+        if k == "SECRET":  # its pattern looks at the quote behind it
+            hit = ent.rlike(ASSIGNED)
+        else:
+            hit = ent.rlike(f"^(?:{p})$")
         out = F.when(hit, k) if out is None else out.when(hit, k)
-    return out.otherwise("SECRET")
+    return out.otherwise(OTHER)
 
 
 def canonical(kind: Column, ent: Column) -> Column:
@@ -70,7 +73,7 @@ def canonical(kind: Column, ent: Column) -> Column:
     gender = F.when(ent.rlike(FEMALE), "f").when(ent.rlike(MALE), "m").otherwise("n")
     return (
         F.when(kind == "EMAIL", F.lower(ent)).when(kind == "PHONE", F.right(digits, F.lit(10))).when(kind.isin("CARD", "SSN"), digits)
-        .when(kind == "IBAN", F.replace(ent, F.lit(" "), F.lit(""))).when(kind == "NAME", F.concat(gender, F.lit("|"), F.lower(bare))).otherwise(ent)
+        .when(kind == "IBAN", F.replace(ent, F.lit(" "), F.lit(""))).when(kind == "SECRET", F.regexp_replace(ent, ASSIGNED, "")).when(kind == "NAME", F.concat(gender, F.lit("|"), F.lower(bare))).otherwise(ent)
     )
 
 
@@ -145,8 +148,8 @@ def render(kind: Column, ent: Column, surrogate: Column) -> Column:
     title = F.regexp_extract(ent, TITLE, 1)
     loud = F.regexp_replace(ent, TITLE, "").rlike(r"^[^\p{Ll}]+$")
     return (
-        F.when(surrogate.startswith("["), surrogate).when(kind == "EMAIL", F.array_join(same_case, "")).when(kind.isin("PHONE", "CARD", "SSN", "IBAN"), laid)
-        .when(kind == "NAME", F.concat(title, F.when(loud, F.upper(words)).otherwise(words))).otherwise(surrogate)
+        F.when(surrogate.startswith("[") & (kind != "SECRET"), surrogate).when(kind == "EMAIL", F.array_join(same_case, "")).when(kind.isin("PHONE", "CARD", "SSN", "IBAN"), laid)
+        .when(kind == "SECRET", F.concat(F.regexp_extract(ent, ASSIGNED, 1), surrogate)).when(kind == "NAME", F.concat(title, F.when(loud, F.upper(words)).otherwise(words))).otherwise(surrogate)
     )
 
 
@@ -172,7 +175,11 @@ def assign(entities: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
 def pseudonymise(docs: DataFrame, key: str = "corpus", text: str = "text") -> DataFrame:
     """docs with surrogates in their texts, and columns pii_count and pii_types (types of the entities in order)."""
     cols = docs.columns
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col(text).alias("t")).withColumn("ents", F.regexp_extract_all("t", F.lit(ANY), F.lit(0)))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col(text).alias("t"))
+    likely = F.col("t").rlike(SIGNS)
+    for w in WORDS:
+        likely = likely | F.contains("t", F.lit(w))
+    packed = packed.withColumn("ents", F.when(likely, F.regexp_extract_all("t", F.lit(ANY), F.lit(0))))
     none = packed.where(F.coalesce(F.size("ents"), F.lit(0)) <= 0)
     some = packed.where(F.size("ents") > 0).withColumn("id", F.sha2("t", 256))
     found = some.select("id", F.posexplode("ents").alias("at", "ent")).distinct()
