@@ -21,71 +21,83 @@ import zlib
 import numpy as np
 
 BLOCK = 4096
-LANES = 1024
-SLOTS = 2048
+LANES = 2048
+SLOTS = 512
 ID_LIMIT = 1 << 16
 MAGIC = b"CMR1"
-REFRESH = 64  # ids between renewals of the order-0 distribution
+REFRESH = (32, 64, 128, 256, 512, 1024, 2048, 3072)  # ids after which the order-0 distribution is renewed
+LITERAL = 1 << 12  # sum of the order-0 frequencies of high bytes
 _TOP, _BOT = np.uint64(1 << 48), np.uint64(1 << 32)
-_16, _48 = np.uint64(16), np.uint64(48)
+_16, _48, _TOTAL = np.uint64(16), np.uint64(48), np.uint64(28)
 _LOW32 = np.uint64((1 << 32) - 1)
 _ZERO = np.uint64(0)
 
 
 class _Model:
-    """The adaptive state of n lanes. Calls take the number of lanes that are still active (always the first ones)."""
+    """The adaptive state of n lanes. Calls take the number of lanes that are still active (always the first ones).
+
+    A step's interval is a part of 2**28: 8 bits for the outcome (order-2 id, order-1 id, other), 12 for the high byte of other
+    ids, 8 for their low byte.
+    """
 
     def __init__(self, n: int):
         self.t1 = np.zeros(n * SLOTS, np.int32)
         self.t2 = np.zeros(n * SLOTS, np.int32)
         self.base = np.arange(n, dtype=np.int64) * SLOTS
         self.base8 = np.arange(n, dtype=np.int64) * 8
-        self.pa = np.full(n * 8, 1 << 14, np.int64)
-        self.pb = np.full(n * 8, 1 << 13, np.int64)
-        self.pc = np.full(n * 8, 1 << 13, np.int64)
-        self.w = np.full(n, 128, np.int64)
-        self.count = np.full((n, 256), 1, np.int32)
+        self.pa = np.full(n * 8, 1 << 14, np.int32)
+        self.pb = np.full(n * 8, 1 << 13, np.int32)
+        self.w = np.full(n, 128, np.int32)
+        self.count = np.full(n * 256, 1, np.int32)
         self.base256 = np.arange(n, dtype=np.int64) * 256
         self.base257 = np.arange(n, dtype=np.int64) * 257
+        self.base_inverse = np.arange(n, dtype=np.int64) * LITERAL
         self.p1 = np.zeros(n, np.int64)
         self.p2 = np.zeros(n, np.int64)
-        self.cum = np.empty((n, 257), np.int64)
+        self.cum = np.empty((n, 257), np.int32)
+        self.inverse = np.empty(n * LITERAL, np.uint8)
         self.refresh(n)
 
+    def learn(self, a: int, ids: np.ndarray) -> None:
+        """Counts the high bytes of some steps' ids and renews the order-0 distribution."""
+        self.count[: 256 * a] += 24 * np.bincount((self.base256[:a] + (ids[:, :a] >> 8)).reshape(-1), minlength=256 * a).astype(np.int32)
+        self.refresh(a)
+
     def refresh(self, a: int) -> None:
-        c = self.count[:a]
-        f = c.astype(np.int64) * (65536 - 256) // c.sum(axis=1, dtype=np.int64)[:, None] + 1
-        f[:, 0] += 65536 - f.sum(axis=1)  # what rounding left
+        c = self.count[: 256 * a].reshape(a, 256).astype(np.int64)
+        f = c * (LITERAL - 256) // c.sum(axis=1)[:, None] + 1
+        f[:, 0] += LITERAL - f.sum(axis=1)  # what rounding left
         self.cum[:a, 0] = 0
         np.cumsum(f, axis=1, out=self.cum[:a, 1:])
         self.flat = self.cum.reshape(-1)
+        self.inverse[: LITERAL * a] = np.repeat(np.tile(np.arange(256, dtype=np.uint8), a), f.reshape(-1))
 
     def predict(self, a: int):
-        p1, p2 = self.p1[:a], self.p2[:a]
+        """(f0, f1): frequencies of 256 of the order-2 and the order-1 id."""
+        p1 = self.p1[:a]
         self.i1 = self.base[:a] + ((p1 * 40503 >> 4) & (SLOTS - 1))
-        self.i2 = self.base[:a] + ((p1 * 31153 + p2 * 52711 >> 5) & (SLOTS - 1))
-        self.e1, self.e2 = self.t1[self.i1], self.t2[self.i2]
+        self.i2 = self.base[:a] + ((p1 * 31153 + self.p2[:a] * 52711 >> 5) & (SLOTS - 1))
+        self.e1, self.e2 = self.t1.take(self.i1), self.t2.take(self.i2)
         self.q1, self.q2 = self.e1 & 0xFFFF, self.e2 & 0xFFFF
-        same = self.q1 == self.q2
-        at = self.base8[:a] + same
-        self.ka, self.kb = at + (self.e2 >> 16) * 2, at + (self.e1 >> 16) * 2
-        self.a0, self.b0, self.b1 = self.pa[self.ka], self.pb[self.kb], self.pc[self.kb]
-        w = self.w[:a]
-        f0 = np.minimum(np.maximum((self.a0 * w + self.b0 * (256 - w)) >> 8, 64), 65536 - 256)
-        f1 = np.maximum(np.where(same, 1, (65536 - f0) * self.b1 >> 16), 1)
+        self.s1, self.s2 = self.e1 >> 16, self.e2 >> 16
+        self.same = self.q1 == self.q2
+        at = self.base8[:a] + self.same
+        self.ka, self.kb = at + self.s2 * 2, at + self.s1 * 2
+        self.a0, self.b0 = self.pa.take(self.ka), self.pb.take(self.kb)
+        # Where both name one id, its chance is a mixture of both estimates (16 bits each; the first weighs w of 256).
+        mixed = np.where(self.same, self.b0 + ((self.a0 - self.b0) * self.w[:a] >> 8), self.a0)
+        f0 = (mixed * 240 >> 16) + 1
+        f1 = np.where(self.same, 1, ((256 - f0) * self.b0 * 7 >> 19) + 1)
         return f0, f1
 
     def update(self, a: int, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
         """hit2, hit1: whether x is the order-2 id, the order-1 id."""
-        for table, at, e, hit in ((self.t1, self.i1, self.e1, hit1), (self.t2, self.i2, self.e2, hit2)):
-            sure = e >> 16
-            table[at] = np.where(hit, e + ((sure < 3) << 16), np.where(sure > 0, e - 65536, x))
-        up = hit2 * 65535
-        self.pa[self.ka] = self.a0 + ((up - self.a0) >> 4)
-        self.pb[self.kb] = self.b0 + ((up - self.b0) >> 4)
-        self.pc[self.kb] = np.where(hit2, self.b1, self.b1 + ((hit1 * 65535 - self.b1) >> 4))
+        for table, at, e, sure, hit in ((self.t1, self.i1, self.e1, self.s1, hit1), (self.t2, self.i2, self.e2, self.s2, hit2)):
+            np.put(table, at, np.where(hit, np.minimum(e + 65536, e & 0xFFFF | 3 << 16), np.where(sure > 0, e - 65536, x)))
+        np.put(self.pa, self.ka, self.a0 + ((hit2 * np.int32(65535) - self.a0) >> 4))
+        np.put(self.pb, self.kb, self.b0 + ((hit1 * np.int32(65535) - self.b0) >> 4))
         w = self.w[:a]
-        w += np.where((self.a0 > self.b0) == hit2, 2, -2)
+        w += np.where((self.a0 > self.b0) == hit2, np.int32(2), np.int32(-2)) * self.same
         np.minimum(np.maximum(w, 8, out=w), 248, out=w)
         self.p2[:a] = self.p1[:a]
         self.p1[:a] = x
@@ -96,29 +108,10 @@ def _encode(ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     steps, n = ids.shape
     m = _Model(n)
     low, rng = np.zeros(n, np.uint64), np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    out, pos = np.zeros((n, 3 * steps + 8), np.uint16), np.zeros(n, np.int64)
-
-    def shift(lanes: np.ndarray | slice) -> None:
-        lo, r = low[lanes], rng[lanes]
-        close = (lo ^ (lo + r)) < _TOP
-        need = np.flatnonzero(close | (r < _BOT))
-        if not len(need):
-            return
-        which = need if isinstance(lanes, slice) else lanes[need]
-        lo, r, close = lo[need], r[need], close[need]
-        while len(which):
-            r = np.where(close, r, (_ZERO - lo) & _LOW32)
-            out[which, pos[which]] = (lo >> _48).astype(np.uint16)
-            pos[which] += 1
-            lo, r = lo << _16, r << _16
-            close = (lo ^ (lo + r)) < _TOP
-            more = close | (r < _BOT)
-            low[which], rng[which] = lo, r
-            if not more.any():
-                return
-            which, lo, r, close = which[more], lo[more], r[more], close[more]
-
-    active = n
+    room = 2 * steps + 8
+    out, pos = np.zeros(n * room, np.uint16), np.arange(n, dtype=np.int64) * room
+    first = pos.copy()
+    active, learnt = n, 0
     for t in range(steps):
         while active and sizes[active - 1] <= t:
             active -= 1
@@ -126,102 +119,110 @@ def _encode(ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         x = ids[t, :a]
         f0, f1 = m.predict(a)
         hit2, hit1 = m.q2 == x, m.q1 == x
-        cum = np.where(hit2, 0, np.where(hit1, f0, f0 + f1)).astype(np.uint64)
-        freq = np.where(hit2, f0, np.where(hit1, f1, 65536 - f0 - f1)).astype(np.uint64)
-        r = rng[:a] >> _16
-        low[:a] += cum * r
-        rng[:a] = r * freq
-        shift(slice(0, a))
-        rest = np.flatnonzero(~(hit2 | hit1))
-        if len(rest):
-            y = x[rest]
-            hi = y >> 8
-            at = m.base257[rest] + hi
-            c = m.flat[at]
-            f = m.flat[at + 1] - c
-            r = rng[rest] >> np.uint64(24)
-            low[rest] += (c * 256 + (y & 255) * f).astype(np.uint64) * r
-            rng[rest] = r * f.astype(np.uint64)
-            shift(rest)
-            m.count.reshape(-1)[m.base256[rest] + hi] += 24
+        hi = x >> 8
+        at = m.base257[:a] + hi
+        c = m.flat.take(at)
+        f = m.flat.take(at + 1) - c
+        both = f0 + f1
+        rest = 256 - both
+        cum = (both.astype(np.int64) << 20) + rest * ((c.astype(np.int64) << 8) + (x & 255) * f)
+        cum = np.where(hit2, 0, np.where(hit1, f0.astype(np.int64) << 20, cum))
+        freq = np.where(hit2, f0 << 20, np.where(hit1, f1 << 20, rest * f))
+        r = rng[:a] >> _TOTAL
+        low[:a] += cum.astype(np.uint64) * r
+        rng[:a] = r * freq.astype(np.uint64)
+        lo, r = low[:a], rng[:a]
+        close = (lo ^ (lo + r)) < _TOP
+        which = np.flatnonzero(close | (r < _BOT))
+        if len(which):
+            lo, r, close = lo[which], r[which], close[which]
+            while True:
+                r = np.where(close, r, (_ZERO - lo) & _LOW32)
+                to = pos[which]
+                np.put(out, to, lo >> _48)
+                pos[which] = to + 1
+                lo, r = lo << _16, r << _16
+                low[which], rng[which] = lo, r
+                close = (lo ^ (lo + r)) < _TOP
+                more = np.flatnonzero(close | (r < _BOT))
+                if not len(more):
+                    break
+                which, lo, r, close = which[more], lo[more], r[more], close[more]
         m.update(a, x, hit2, hit1)
-        if t % REFRESH == REFRESH - 1:
-            m.refresh(a)
+        if t + 1 in REFRESH:
+            m.learn(a, ids[learnt : t + 1])
+            learnt = t + 1
     for k in range(4):
-        out[np.arange(n), pos] = (low >> np.uint64(48 - 16 * k)).astype(np.uint16)
+        out[pos] = (low >> np.uint64(48 - 16 * k)).astype(np.uint16)
         pos += 1
-    return [out[i, : pos[i]].astype("<u2").tobytes() for i in range(n)]
+    return [out[i:j].astype("<u2").tobytes() for i, j in zip(first.tolist(), pos.tolist(), strict=True)]
 
 
 def _decode(words: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
     """(steps, lanes) ids; lanes by falling size."""
     n, steps = len(words), int(sizes[0]) if len(sizes) else 0
     m = _Model(n)
-    data = np.zeros((n, max(map(len, words)) + 4), np.uint64)
+    room = max(map(len, words)) + 4
+    data = np.zeros((n, room), np.uint16)
     for i, w in enumerate(words):
         data[i, : len(w)] = w
-    ids = np.zeros((steps, n), np.int64)
-    low, rng, code = np.zeros(n, np.uint64), np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64), np.zeros(n, np.uint64)
+    code = np.zeros(n, np.uint64)
     for k in range(4):
-        code = code << _16 | data[:, k]
-    pos, most = np.full(n, 4, np.int64), data.shape[1] - 1
-
-    def shift(lanes: np.ndarray | slice) -> None:
-        lo, r = low[lanes], rng[lanes]
-        close = (lo ^ (lo + r)) < _TOP
-        need = np.flatnonzero(close | (r < _BOT))
-        if not len(need):
-            return
-        which = need if isinstance(lanes, slice) else lanes[need]
-        lo, r, close = lo[need], r[need], close[need]
-        while len(which):
-            r = np.where(close, r, (_ZERO - lo) & _LOW32)
-            code[which] = code[which] << _16 | data[which, np.minimum(pos[which], most)]
-            pos[which] += 1
-            lo, r = lo << _16, r << _16
-            close = (lo ^ (lo + r)) < _TOP
-            more = close | (r < _BOT)
-            low[which], rng[which] = lo, r
-            if not more.any():
-                return
-            which, lo, r, close = which[more], lo[more], r[more], close[more]
-
-    active = n
+        code = code << _16 | data[:, k].astype(np.uint64)
+    data = data.reshape(-1)
+    pos = np.arange(n, dtype=np.int64) * room + 4
+    ids = np.zeros((steps, n), np.int64)
+    low, rng = np.zeros(n, np.uint64), np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64)
+    active, learnt = n, 0
     for t in range(steps):
         while active and sizes[active - 1] <= t:
             active -= 1
         a = active
         f0, f1 = m.predict(a)
-        r = rng[:a] >> _16
-        v = np.minimum((code[:a] - low[:a]) // r, np.uint64(65535)).astype(np.int64)
-        hit2 = v < f0
-        hit1 = ~hit2 & (v < f0 + f1)
-        cum = np.where(hit2, 0, np.where(hit1, f0, f0 + f1)).astype(np.uint64)
-        freq = np.where(hit2, f0, np.where(hit1, f1, 65536 - f0 - f1)).astype(np.uint64)
-        low[:a] += cum * r
-        rng[:a] = r * freq
-        shift(slice(0, a))
-        x = np.where(hit2, m.q2, m.q1).astype(np.int64)
-        rest = np.flatnonzero(~(hit2 | hit1))
-        if len(rest):
-            r = rng[rest] >> np.uint64(24)
-            v = np.minimum((code[rest] - low[rest]) // r, np.uint64((1 << 24) - 1)).astype(np.int64)
-            target, b = v >> 8, m.base257[rest]
-            hi = np.zeros(len(rest), np.int64)
-            for k in (128, 64, 32, 16, 8, 4, 2, 1):
-                hi += np.where(m.flat[b + hi + k] <= target, k, 0)
-            c = m.flat[b + hi]
-            f = m.flat[b + hi + 1] - c
-            lo8 = np.minimum((v - c * 256) // f, 255)
-            low[rest] += (c * 256 + lo8 * f).astype(np.uint64) * r
-            rng[rest] = r * f.astype(np.uint64)
-            shift(rest)
-            m.count.reshape(-1)[m.base256[rest] + hi] += 24
-            x[rest] = hi << 8 | lo8
+        both = f0 + f1
+        rest = 256 - both
+        r = rng[:a] >> _TOTAL
+        v = ((code[:a] - low[:a]) // r).astype(np.int64)
+        np.minimum(v, (1 << 28) - 1, out=v)
+        top = v >> 20
+        is2 = top < f0
+        is1 = (top < both) & ~is2
+        # Of other ids: the place within 2**20, its high byte by the inverse table, the low byte by division. Both divisions are
+        # of less than 2**28 by less than 2**12, which doubles do exactly, and faster.
+        u = (np.maximum(v - (both.astype(np.int64) << 20), 0) / rest).astype(np.int64)
+        hi = m.inverse.take(m.base_inverse[:a] + np.minimum(u >> 8, LITERAL - 1)).astype(np.int64)
+        at = m.base257[:a] + hi
+        c = m.flat.take(at)
+        f = m.flat.take(at + 1) - c
+        lo8 = np.minimum(np.maximum(((u - (c.astype(np.int64) << 8)) / f).astype(np.int64), 0), 255)
+        x = np.where(is2, m.q2, np.where(is1, m.q1, hi << 8 | lo8))
+        cum = (both.astype(np.int64) << 20) + rest * ((c.astype(np.int64) << 8) + lo8 * f)
+        cum = np.where(is2, 0, np.where(is1, f0.astype(np.int64) << 20, cum))
+        freq = np.where(is2, f0 << 20, np.where(is1, f1 << 20, rest * f))
+        low[:a] += cum.astype(np.uint64) * r
+        rng[:a] = r * freq.astype(np.uint64)
+        lo, r = low[:a], rng[:a]
+        close = (lo ^ (lo + r)) < _TOP
+        which = np.flatnonzero(close | (r < _BOT))
+        if len(which):
+            lo, r, close = lo[which], r[which], close[which]
+            while True:
+                r = np.where(close, r, (_ZERO - lo) & _LOW32)
+                at = pos[which]
+                code[which] = code[which] << _16 | data.take(at, mode="clip")
+                pos[which] = at + 1
+                lo, r = lo << _16, r << _16
+                low[which], rng[which] = lo, r
+                close = (lo ^ (lo + r)) < _TOP
+                more = np.flatnonzero(close | (r < _BOT))
+                if not len(more):
+                    break
+                which, lo, r, close = which[more], lo[more], r[more], close[more]
         ids[t, :a] = x
         m.update(a, x, m.q2 == x, m.q1 == x)
-        if t % REFRESH == REFRESH - 1:
-            m.refresh(a)
+        if t + 1 in REFRESH:
+            m.learn(a, ids[learnt : t + 1])
+            learnt = t + 1
     return ids
 
 
