@@ -32,14 +32,12 @@ def materialise(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_table(df: DataFrame) -> None:
-    """Deletes the files of a materialised frame through Spark's own file system."""
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession._jsc.hadoopConfiguration()
-    parents = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-    for p in parents:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        path.getFileSystem(conf).delete(path, True)
+def fresh(name: str, columns: list[str]) -> str:
+    """A column name like `name` that is not among the columns, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"{name}_"
+    return name
 
 
 def docs_of(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

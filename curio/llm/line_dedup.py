@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curio.llm.common import byte_column, map_arrow, materialise
+from curio.llm.common import byte_column, fresh, map_arrow, materialise
 
 MIN_WORDS = 5
 
@@ -152,9 +152,9 @@ def cut_text(raw: bytes, own: bytes, cuts: list[dict]) -> tuple[bytes, int, int]
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS, report: bool = False) -> DataFrame:
     """docs with shortened texts; with report also lines_removed, words_removed, partners."""
     cols = docs.columns
-    cuts = removals(docs, min_words).select(F.col("doc_id").alias("_cut_id"), F.col("own").alias("_own"), F.col("cuts").alias("_cuts"), F.col("partners").alias("_partners"))
-    cuts = cuts.groupBy("_cut_id").agg(F.collect_list(F.struct("_own", "_cuts", "_partners")).alias("_all"))
-    joined = docs.join(cuts, F.col("doc_id") == F.col("_cut_id"), "left").drop("_cut_id")
+    cuts = removals(docs, min_words).groupBy("doc_id").agg(F.collect_list(F.struct(F.col("own").alias("_own"), F.col("cuts").alias("_cuts"), F.col("partners").alias("_partners"))).alias("alls"))
+    cuts = cuts.select(F.struct("doc_id", "alls").alias(extra := fresh("cuts", cols)))  # one column, of a name that docs has not
+    joined = docs.join(cuts, F.col("doc_id") == F.col(f"{extra}.doc_id"), "left").select(*[F.col(f"`{c}`") for c in cols], F.col(f"{extra}.alls").alias(extra))
     at = cols.index("text")
 
     def run(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:

@@ -196,6 +196,8 @@ def write_avi(frames: list[bytes]) -> bytes:
 
 
 def _chunks(raw: bytes, at: int, end: int) -> Iterator[tuple[bytes, int, int]]:
+    if end > len(raw):
+        raise ValueError("damaged RIFF file")
     while at + 8 <= end:
         name, (n,) = raw[at : at + 4], struct.unpack_from("<I", raw, at + 4)
         if at + 8 + n > end:

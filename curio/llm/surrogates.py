@@ -11,7 +11,7 @@ of the hash, which breaks format rather than distinctness. Entities are distinct
 joined by sort-merge joins that adaptive execution splits. Only texts with entities are dealt out.
 
 Defined results: null text stays null. Repeated rows and keys are treated alike, each row stays. Without entities a text stays
-as it is. Extra columns are kept. The key is a parameter; one key gives one mapping whatever the order or number of files.
+as it is. Extra columns are kept, but for those named as the added ones. The key is a parameter; one key gives one mapping whatever the order or number of files.
 """
 
 from __future__ import annotations
@@ -174,7 +174,7 @@ def assign(entities: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
 
 def pseudonymise(docs: DataFrame, key: str = "corpus", text: str = "text") -> DataFrame:
     """docs with surrogates in their texts, and columns pii_count and pii_types (types of the entities in order)."""
-    cols = docs.columns
+    cols = [c for c in docs.columns if c not in ("pii_count", "pii_types")]
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col(text).alias("t"))
     likely = F.col("t").rlike(SIGNS)
     for w in WORDS:
