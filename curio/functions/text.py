@@ -217,8 +217,8 @@ def tokens(c: Column) -> Column:
 
 def repair_mojibake(c: Column) -> Column:
     """Latin-1 text that is UTF-8 really; only where it shows and where every character has a Latin-1 byte."""
-    # try_validate_utf8 keeps texts whose bytes are no UTF-8 after all
-    fixed = F.try_validate_utf8(F.decode(F.encode(F.regexp_replace(c, r"[^\x00-\xFF]", ""), "ISO-8859-1"), "UTF-8"))
+    # a cast does not look at the bytes; what is no UTF-8 after all becomes null and stays as it was
+    fixed = F.try_validate_utf8(F.encode(F.regexp_replace(c, r"[^\x00-\xFF]", ""), "ISO-8859-1").cast("string"))
     return F.when(c.rlike("[ÃÂ]") & c.rlike(r"^[\x00-\xFF]*$"), F.coalesce(fixed, c)).otherwise(c)
 
 
