@@ -114,6 +114,7 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     own = materialise(_own_lines(docs), "line-keys")
     lines = own.select("doc_id", F.explode(F.array_distinct("keys")).alias("key"))
     firsts = lines.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("key", "first")
+    firsts = materialise(firsts, "line-firsts")  # read back, both sides of the join are exchanged, so that hot lines can be split
     pairs = lines.join(firsts, "key").where("first < doc_id").select("doc_id", "first").distinct()
     early = own.select(F.col("doc_id").alias("first"), F.col("keys").alias("early")).dropDuplicates(["first"])
     both = pairs.join(early, "first").join(own, "doc_id")
