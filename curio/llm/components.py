@@ -11,12 +11,13 @@ from curio.llm.common import materialise
 def _large(e: DataFrame) -> DataFrame:
     both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = materialise(least, "cc-least")  # so that hubs can be split in the join
     return both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small(e: DataFrame) -> DataFrame:
     down = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = materialise(down.groupBy("u").agg(F.min("v").alias("m")), "cc-least")
     moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 

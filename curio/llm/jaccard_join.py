@@ -163,10 +163,12 @@ def links(docs: DataFrame, width: int = 4, percent: int = 85) -> tuple[DataFrame
     busy = shared.groupBy("class").agg(F.count("*").alias("tokens"), F.first("n").alias("n")).where(F.col("tokens") >= _least(F.col("n"), percent))
     shared = materialise(shared.join(busy.select("class", "tokens"), "class"), "jaccard-matrix")
 
-    held = shared.groupBy("token").agg(F.count("*").alias("m"))
+    # Aggregates that hot keys are joined to are written first: both sides of the join are then exchanged, and can be split.
+    held = materialise(shared.groupBy("token").agg(F.count("*").alias("m")), "jaccard-held")
     home = shared.join(held, "token").groupBy("class").agg(F.max(F.struct("m", "token")).alias("best"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     home = home.select("class", "n", "tokens", F.col("best.token").alias("home"))
-    stats = home.groupBy("home").agg(F.count("*").alias("members"), F.max(F.struct("tokens", "class")).alias("hub"))
+    home = materialise(home, "jaccard-homes")
+    stats = materialise(home.groupBy("home").agg(F.count("*").alias("members"), F.max(F.struct("tokens", "class")).alias("hub")), "jaccard-stats")
     placed = home.join(stats, "home").select("class", "n", "home", "members", F.col("hub.class").alias("hub"), F.xxhash64("home", F.pmod(F.xxhash64("class"), F.ceil(F.col("members") / CHUNK))).alias("gid"))
     placed = materialise(placed, "jaccard-groups")
 
@@ -176,16 +178,18 @@ def links(docs: DataFrame, width: int = 4, percent: int = 85) -> tuple[DataFrame
     near = materialise(map_arrow(with_hub.join(hubs, "hub").select("class", "blob", "hub", "hub_blob"), _compare(width, percent), "u bigint, v bigint"), "jaccard-hubs")
 
     comp = placed.join(near.select(F.col("u").alias("class"), F.col("v").alias("linked")), "class", "left").withColumn("comp", F.coalesce("linked", "class"))
-    comp = comp.join(comp.groupBy("comp").agg(F.count("*").alias("size")), "comp").select("class", "n", "gid", F.struct("size", "comp").alias("rank"))
+    comp = materialise(comp.select("class", "n", "gid", "comp"), "jaccard-components")
+    sizes = materialise(comp.groupBy("comp").agg(F.count("*").alias("size")), "jaccard-sizes")
+    comp = comp.join(sizes, "comp").select("class", "n", "gid", F.struct("size", "comp").alias("rank"))
     comp = materialise(comp, "jaccard-ranks")
-    groups = comp.groupBy("gid").agg(F.max("rank").alias("top"), F.max("n").alias("largest"), F.min("n").alias("least"))
+    groups = materialise(comp.groupBy("gid").agg(F.max("rank").alias("top"), F.max("n").alias("largest"), F.min("n").alias("least")), "jaccard-bounds")
     matrix = shared.select("token", "class").join(comp.select("class", "gid"), "class").select("token", "gid").distinct()
     hits = shared.select("token", F.col("class").alias("query")).join(matrix, "token").groupBy("query", "gid").agg(F.count("*").alias("overlap"))
     own = comp.select(F.col("class").alias("query"), F.col("n").alias("query_n"), F.col("rank").alias("query_rank"))
     asked = hits.join(own, "query").where(F.col("overlap") >= _least(F.col("query_n"), percent)).join(groups, "gid")
     asked = asked.where((F.col("top") > F.col("query_rank")) & (F.col("largest") * 100 >= F.col("query_n") * percent) & (F.col("query_n") * 100 >= F.col("least") * percent))
     asked = materialise(asked.select("query", "gid", F.col("query_rank.comp").alias("comp")), "jaccard-asked")
-    salts = asked.groupBy("gid").agg(F.ceil(F.count("*") / QUERIES).alias("salts"))
+    salts = materialise(asked.groupBy("gid").agg(F.ceil(F.count("*") / QUERIES).alias("salts")), "jaccard-salts")
     members = comp.select("class", "gid", F.col("rank.comp").alias("comp")).join(salts, "gid").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)))
     asked = asked.join(salts, "gid").select(F.col("query").alias("class"), "gid", "comp", F.pmod(F.xxhash64("query"), F.col("salts")).alias("salt"))
     rows = members.select("class", "gid", "comp", "salt", F.lit(0).alias("asks")).unionByName(asked.select("class", "gid", "comp", "salt", F.lit(1).alias("asks")))
