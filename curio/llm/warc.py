@@ -80,7 +80,7 @@ def write_archive(pages: DataFrame, key: str = "page_id", payload: str = "html",
     slim = materialise(slim, "warc-digests")
     first = slim.groupBy("sha256").agg(F.min("page_id").alias("first"), F.count_distinct("digest", "size").alias("kinds"))
     checked = F.when(F.col("kinds") == 1, F.col("first")).otherwise(F.raise_error(F.lit("payload digests disagree")).cast("bigint"))
-    owners = first.select("sha256", checked.alias("first"))
+    owners = materialise(first.select("sha256", checked.alias("first")), "warc-owners")  # so that hot payloads can be split in the join
     typed = slim.join(owners, "sha256").withColumn("kind", F.when((F.col("size") >= least) & (F.col("page_id") != F.col("first")), "revisit").otherwise("response"))
 
     def heads(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
