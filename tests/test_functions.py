@@ -40,7 +40,7 @@ def test_display_names(spark):
 
 
 def test_mojibake(spark):
-    assert values(spark, ["CafÃ©", "café", "Ã 漢", None, "Â"], text.repair_mojibake(F.col("v"))) == ["café", "café", "Ã 漢", None, "Â"]
+    assert values(spark, ["CafÃ©", "café", "Ã 漢", None, "Â"], text.repair_mojibake(F.col("v"))) == ["Café", "café", "Ã 漢", None, "Â"]
 
 
 def test_hours(spark):
