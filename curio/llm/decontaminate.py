@@ -174,3 +174,18 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         docs = docs.mapInArrow(run, schema)
     return docs
+
+
+_SQL_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+ORACLE = f"""
+WITH d AS (SELECT doc_id, {_SQL_WORDS} AS w FROM documents), b AS (SELECT item_id, {_SQL_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), {WIDTH}) AS n, array_to_string(w[i:i + least(len(w), {WIDTH}) - 1], ' ') AS g
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - {WIDTH}, 0) + 2)) AS i FROM b WHERE len(w) > 0)),
+g AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS g
+      FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+h AS (SELECT doc_id, item_id, i, n FROM g JOIN win USING (g, n)),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM h) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS s FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS k FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN it ON it.doc_id = d.doc_id
+"""

@@ -85,9 +85,9 @@ QUERIES = {
 
 
 def _oracles() -> dict[str, str]:
-    from curio.llm import warc
+    from curio.llm import decontaminate, warc
 
-    return {"op4_warc": warc.ORACLE}
+    return {"op4_warc": warc.ORACLE, "op7_decontaminate": decontaminate.ORACLE}
 
 
 ORACLES: dict[str, str] = _oracles()
