@@ -49,9 +49,10 @@ class Packer:
     def add(self, doc, start: int, ids: bytes, total: int) -> None:
         size = self.window
         n = len(ids) // 4
-        while n >= size:
-            self._emit([((doc, start, ids[: 4 * size], total), 0)])
-            start, ids, n = start + size, ids[4 * size :], n - size
+        whole = n // size
+        for i in range(0, whole * size, size):
+            self._emit([((doc, start + i, ids[4 * i : 4 * (i + size)], total), 0)])
+        start, ids, n = start + whole * size, ids[4 * whole * size :], n % size
         while n:
             fits = [w for w in self.open if size - w[0] >= n]
             if fits:

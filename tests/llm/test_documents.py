@@ -4,6 +4,7 @@ import hashlib
 import random
 import struct
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -23,10 +24,16 @@ def odd(spark, rows=ODD):
     return spark.createDataFrame([(*r, "x", "y", "z", 1, "r", 5) for r in rows], EXTRA)
 
 
-def ids_of(text):
+@lru_cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(WORD)
+    return Tokenizer.from_file(WORD)
+
+
+@lru_cache
+def ids_of(text):
+    t = tokenizer()
     ids = [*t.encode(text or "", add_special_tokens=False).ids, 1]
     return struct.pack(f"<{len(ids)}I", *ids)
 
