@@ -1,18 +1,22 @@
 """Line deduplication by pairwise alignment.
 
-Lines are compared without surrounding white space; blank ones only separate. Every line that several documents share names
-one partner for each later holder: its earliest holder. So a rare line finds the pair it marks, and the most common line costs
-each document no more than a rare one: pairs grow with (document, line) incidences, never with the square of a line's
-holders, and no line is too common to be used. Each pair is aligned with patience diff (anchors are lines that are unique in
-both, in longest increasing order, then between anchors); blocks of consecutive aligned lines of at least `min_words` words
-are deleted from the later document.
+Lines are compared without surrounding white space; blank ones only separate. What goes is every block of consecutive lines, of
+at least `min_words` words together, that an earlier document holds as well, wherever it stands there and in what order.
+
+Partners are found by marks: the shortest runs of lines of at least `min_words` words that start or end at a line. Each line of
+a common block lies in a mark within that block, so the earliest holders of a document's marks are all the partners it needs, and
+the most common mark costs each document no more than a rare one: pairs grow with (document, mark) incidences, never with the
+square of a mark's holders, and none is too common to be used. Each pair is aligned with patience diff (anchors are lines that are
+unique in both, in longest increasing order, then between anchors). Where that leaves a line that the earlier document holds
+(repeated lines, blocks in another order), all longest common blocks are taken, by a suffix automaton in linear time. Common
+blocks are deleted from the later document.
 
 Earlier means a smaller doc_id. Line keys are MD5 digests, counted with partial aggregation; joins on them and on partners may
 be hot and are plain sort-merge joins that adaptive execution splits.
 
 Defined results: null or empty text has no lines and stays as it is. Rows with a null doc_id stay as they are. Rows that
-repeat a doc_id are not later than each other; each is aligned with earlier documents by its own lines. Repeats within one
-document stay. An exact copy keeps no line and becomes the empty text; its row stays. Extra columns are kept.
+repeat a doc_id are not later than each other; each is aligned, by its own lines, with every row of its partners. Repeats within
+one document stay, unless an earlier document holds them. An exact copy keeps no line and becomes the empty text; its row stays. Extra columns are kept.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ import hashlib
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -86,8 +91,71 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def marks(words: list[int], min_words: int) -> set[tuple[int, int]]:
+    """Shortest ranges of lines (end exclusive) of at least min_words words from each line on, and up to each line."""
+    least, n = max(1, min_words), len(words)
+    upto = [0, *accumulate(words)]
+    out, a, b = set(), 0, 0
+    for end in range(1, n + 1):
+        while upto[end] - upto[a + 1] >= least:
+            a += 1
+        if upto[end] - upto[a] >= least:
+            out.add((a, end))
+    for start in range(n):
+        while b < n and upto[b] - upto[start] < least:
+            b += 1
+        if upto[b] - upto[start] >= least:
+            out.add((start, b))
+    return out
+
+
+def longest_ends(early: list, late: list) -> list[int]:
+    """For each place of late, the length of the longest block ending there that early holds; linear, by a suffix automaton."""
+    use = set(late)
+    size, link, step = [0], [-1], [{}]
+
+    def copy(p: int, q: int, x) -> int:
+        size.append(size[p] + 1)
+        link.append(link[q])
+        step.append(dict(step[q]))
+        link[q] = len(size) - 1
+        while p >= 0 and step[p].get(x) == q:
+            step[p][x] = link[q]
+            p = link[p]
+        return link[q]
+
+    last = 0
+    for x in early:
+        if x not in use:  # no common block goes over this line
+            last = 0
+            continue
+        p, q = last, step[last].get(x)
+        if q is not None:
+            last = q if size[q] == size[p] + 1 else copy(p, q, x)
+            continue
+        last = len(size)
+        size.append(size[p] + 1)
+        link.append(0)
+        step.append({})
+        while p >= 0 and x not in step[p]:
+            step[p][x] = last
+            p = link[p]
+        if p >= 0:
+            q = step[p][x]
+            link[last] = q if size[q] == size[p] + 1 else copy(p, q, x)
+    out, at, n = [], 0, 0
+    for x in late:
+        while at and x not in step[at]:
+            at = link[at]
+            n = size[at]
+        if x in step[at]:
+            at, n = step[at][x], n + 1
+        out.append(n)
+    return out
+
+
 def common_blocks(early: list, late: list, words: list[int], min_words: int) -> list[tuple[int, int]]:
-    """Ranges of the later document's lines (end exclusive) in aligned blocks of at least min_words words."""
+    """Ranges of the later document's lines (end exclusive) in common blocks of at least min_words words."""
     out, run = [], None
     for i, j in [*patience(early, late), (-1, -1)]:
         if run and (i, j) == (run[1], run[2]):
@@ -96,28 +164,41 @@ def common_blocks(early: list, late: list, words: list[int], min_words: int) ->
         if run and sum(words[run[0] : run[2]]) >= min_words:
             out.append((run[0], run[2]))
         run = j, i + 1, j + 1
-    return out
+    held, done = set(early), 0
+    for a, b in [*out, (len(late), len(late))]:
+        if not held.isdisjoint(late[done:a]):
+            break
+        done = b
+    else:
+        return out
+    ends, upto = longest_ends(early, late), [0, *accumulate(words)]
+    last = [j + 1 == len(ends) or ends[j + 1] != n + 1 for j, n in enumerate(ends)]
+    return [(j + 1 - n, j + 1) for j, n in enumerate(ends) if n and last[j] and upto[j + 1] - upto[j + 1 - n] >= min_words]
+
 
+def _own_lines(docs: DataFrame, min_words: int) -> DataFrame:
+    """doc_id, keys and words of its lines, and keys of its marks of several lines."""
 
-def _own_lines(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = [line_keys(raw) for raw in byte_column(b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array([k for k, _, _ in got], schema.field(1).type), pa.array([w for _, w, _ in got], schema.field(2).type)], schema=schema)
+            wide = [[hashlib.md5(b"".join(k[x:y])).digest() for x, y in marks(w, min_words) if y - x > 1] for k, w, _ in got]
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), *(pa.array(v, f.type) for v, f in zip(([k for k, _, _ in got], [w for _, w, _ in got], wide), list(schema)[1:]))], schema=schema)
 
     d = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return map_arrow(d, run, "doc_id bigint, keys array<binary>, words array<int>")
+    return map_arrow(d, run, "doc_id bigint, keys array<binary>, words array<int>, wide array<binary>")
 
 
 def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, partners, ranges of non-blank line numbers to delete; only documents that lose lines."""
-    own = materialise(_own_lines(docs), "line-keys")
-    lines = own.select("doc_id", F.explode(F.array_distinct("keys")).alias("key"))
+    own = materialise(_own_lines(docs, min_words), "line-keys")
+    single = F.filter("keys", lambda _, i: F.get("words", i) >= min_words)
+    lines = own.select("doc_id", F.explode(F.array_distinct(F.concat(single, "wide"))).alias("key"))
     firsts = lines.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("key", "first")
-    firsts = materialise(firsts, "line-firsts")  # read back, both sides of the join are exchanged, so that hot lines can be split
+    firsts = materialise(firsts, "line-firsts")  # read back, both sides of the join are exchanged, so that hot marks can be split
     pairs = lines.join(firsts, "key").where("first < doc_id").select("doc_id", "first").distinct()
-    early = own.select(F.col("doc_id").alias("first"), F.col("keys").alias("early")).dropDuplicates(["first"])
-    both = pairs.join(early, "first").join(own, "doc_id")
+    early = own.select(F.col("doc_id").alias("first"), F.col("keys").alias("early")).distinct()
+    both = pairs.join(early, "first").join(own.drop("wide"), "doc_id")
 
     def align(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -206,6 +206,38 @@ def test_patience_and_blocks():
     assert line_dedup.common_blocks(list("abcxd"), list("aybcd"), [3, 9, 3, 3, 9], 6) == [(2, 4), (4, 5)]
 
 
+def covered(blocks):
+    return {j for a, b in blocks for j in range(a, b)}
+
+
+def test_common_blocks_are_whole():
+    rng = random.Random(6)
+    cases = [("Px", "yPzP"), ("aPa", "qPr"), ("aPbPc", "qPrPs"), ("abcdef", "defabc"), ("", "a"), ("a", "")]
+    cases += [("".join(rng.choices("abcd"[: rng.randint(1, 4)], k=rng.randint(0, 12))), "".join(rng.choices("abcde", k=rng.randint(0, 12)))) for _ in range(3000)]
+    for early, late in cases:
+        for least in (1, 5, 7):
+            words = [{"a": 1, "b": 2, "c": 3, "P": 5}.get(x, 6) for x in late]
+            want = {j for a in range(len(late)) for b in range(a + 1, len(late) + 1) if sum(words[a:b]) >= least and late[a:b] in early for j in range(a, b)}
+            assert covered(line_dedup.common_blocks(list(early), list(late), words, least)) == want, (early, late, least)
+
+
+def test_line_dedup_equals_brute_force(spark):
+    rng = random.Random(7)
+    line = ["one", "two words", "now three words", "and this has five words", "here is one of six words"]
+    rows = [(rng.randint(0, 30), [rng.choice(line[: rng.randint(1, 5)]) if rng.random() < 0.5 else f"{rng.choice(line)} {rng.randint(0, 9)}" for _ in range(rng.randint(1, 9))]) for _ in range(60)]
+    lost = sorted((i, "\n".join(t)) for i, t in rows)
+    got = sorted((r.doc_id, r.text) for r in line_dedup.dedup(spark.createDataFrame(lost, "doc_id bigint, text string")).collect())
+    want = []
+    for i, t in rows:
+        gone = set()
+        for a in range(len(t)):
+            for b in range(a + 1, len(t) + 1):
+                if len(" ".join(t[a:b]).split()) >= 5 and any(k < i and t[a:b] == o[x : x + b - a] for k, o in rows for x in range(len(o))):
+                    gone |= {*range(a, b)}
+        want.append((i, "\n".join(x for j, x in enumerate(t) if j not in gone)))
+    assert got == sorted(want)
+
+
 def test_line_dedup(spark):
     passage = "\n".join(f"passage line {i} with a few more words" for i in range(4))
     rows = [(1, f"own start of one\n{passage}\nend one"), (2, f"other start\n\n{passage}\nend two"), (3, "short\nshort"), (4, "short"), (5, None), (None, passage), (6, f"own start of one\n{passage}\nend one"), (7, "")]
