@@ -6,8 +6,8 @@ window. Each text is scanned once; a match in the normalised text is mapped back
 the original.
 
 The automaton is built on the driver from the benchmark, whose size is checked against MAX_WINDOW_BYTES before anything is
-collected; a larger benchmark is scanned in several automata of at most that size, one pass of the documents each, so the
-result is the same.
+collected; a larger benchmark is scanned in several automata of at most that size, one pass of the documents each. Rows are
+numbered before that, and each row's hits by all automata are merged as within one, so the result is the same.
 
 Defined results: null or empty text has no words and is clean. Null item text has no windows. Equal windows of several items
 count for each item. Repeated documents are scanned each. Extra columns are ignored; ties do not arise.
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curio.llm.common import byte_column, docs_of, map_arrow
+from curio.llm.common import byte_column, docs_of, map_arrow, materialise
 
 WIDTH = 10
 MAX_WINDOW_BYTES = 64 << 20  # of window text in one automaton
@@ -114,19 +114,40 @@ SCHEMA = "doc_id bigint, n_words bigint, hits array<struct<first:bigint,last:big
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, spans: bool = True) -> DataFrame:
     """Per document: n_words, hit ranges of word numbers, items found, and character spans in the original text."""
-    parts = [_scan_block(docs, items, width, spans) for items in _blocks(benchmark, "item_id", "text")]
-    if len(parts) == 1:
-        return parts[0]
-    both = parts[0]
-    for p in parts[1:]:
-        both = both.unionByName(p)
-    return both.groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.flatten(F.collect_list("spans")).alias("spans"),
-    )
+    blocks = _blocks(benchmark, "item_id", "text")
+    if len(blocks) == 1:
+        return _scan_block(docs_of(docs), blocks[0], width, spans)
+    rows = docs_of(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    rows = materialise(rows, "decontaminate-rows")  # the same numbers for each automaton; doc_id may repeat or be null
+    both = _scan_block(rows, blocks[0], width, spans)
+    for items in blocks[1:]:
+        both = both.unionByName(_scan_block(rows, items, width, spans))
+    found = both.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.collect_list(F.struct("hits", "items", "spans")).alias("found"))
+    return map_arrow(found.select("doc_id", "n_words", "found"), _merge, SCHEMA)
+
+
+def _merge(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """One row's hits by several automata as by one: ranges that overlap or touch become one, and their spans with them."""
+    for b in batches:
+        hits, names, where = [], [], []
+        for found in b.column(2).to_pylist():
+            merged: list[tuple[dict, dict]] = []
+            pairs = [p for f in found for p in zip(f["hits"], f["spans"] or [{}] * len(f["hits"]), strict=True)]
+            for h, s in sorted(pairs, key=lambda p: (p[0]["first"], p[0]["last"])):
+                if merged and h["first"] <= merged[-1][0]["last"] + 1:
+                    if h["last"] > merged[-1][0]["last"]:
+                        merged[-1][0]["last"] = h["last"]
+                        merged[-1][1].update(end=s.get("end"))
+                else:
+                    merged.append((dict(h), dict(s)))
+            hits.append([h for h, _ in merged])
+            where.append([s for _, s in merged if "start" in s])
+            names.append(sorted({k for f in found for k in f["items"]}))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(v, type=f.type) for v, f in zip((hits, names, where), list(schema)[2:]))], schema=schema)
 
 
 def _scan_block(docs: DataFrame, items: tuple, width: int, spans: bool) -> DataFrame:
+    """One automaton's hits in the last column; the columns before it are whole numbers and are kept."""
     key = hashlib.sha256(repr(items).encode()).hexdigest()
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
@@ -134,15 +155,15 @@ def _scan_block(docs: DataFrame, items: tuple, width: int, spans: bool) -> DataF
         a = _automaton(key, shared.value, width)
         for b in batches:
             n, hits, names, where = [], [], [], []
-            for raw in byte_column(b.column(1)):
+            for raw in byte_column(b.columns[-1]):
                 k, ranges, own = scan(raw, a)
                 n.append(k)
                 hits.append([{"first": x, "last": y - 1} for x, y in ranges])
                 names.append(sorted(own))
                 where.append([{"start": x, "end": y} for x, y in char_spans(raw, ranges)] if spans else [])
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), *(pa.array(v, type=f.type) for v, f in zip((n, hits, names, where), list(schema)[1:]))], schema=schema)
+            yield pa.RecordBatch.from_arrays([*(c.cast(pa.int64()) for c in b.columns[:-1]), *(pa.array(v, type=f.type) for v, f in zip((n, hits, names, where), list(schema)[-4:]))], schema=schema)
 
-    return map_arrow(docs_of(docs), run, SCHEMA)
+    return map_arrow(docs, run, SCHEMA if len(docs.columns) == 2 else f"row bigint, {SCHEMA}")
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
