@@ -5,13 +5,14 @@ exact header block of every record goes to a header table. Original records are
 On reading, digests are computed anew from the stored bytes, so a damaged or mismatched payload fails the read.
 
 Record types: of the records with equal payloads of at least `least` bytes, that with the smallest page_id is `response`, the
-others are `revisit` records (identical-payload-digest) without a body that refer to it; smaller payloads are all `response`.
+others are `revisit` records (identical-payload-digest) without a body that refer to it; smaller payloads are all `response`, and so
+are payloads that only rows without page_id hold, as nothing could refer to them.
 
 Decisions are made on (digest, page_id) pairs alone: one partial aggregation per digest, then joins that adaptive execution
-may split where a digest is hot. Payload bytes move once to the store, keyed by the unique page_id, and once to be read back.
+may split where a digest is hot. Payload bytes move once to the store, one body per digest from each task, and once to be read back.
 
-Defined results: null payload is the empty one. Null url gives no WARC-Target-URI field. Repeated page_ids: of equal ones only
-one keeps a payload; rows keep their number. Extra columns are ignored. An empty table gives empty archives.
+Defined results: null payload is the empty one. Null url gives no WARC-Target-URI field. Repeated and null page_ids: the
+store is keyed by the digest alone, so every row keeps its own payload; rows keep their number. Extra columns are ignored. An empty table gives empty archives.
 """
 
 from __future__ import annotations
@@ -76,12 +77,12 @@ def write_archive(pages: DataFrame, key: str = "page_id", payload: str = "html",
     """
     body = F.coalesce(F.col(payload).cast("string"), F.lit("")).cast("binary")
     src = pages.select(F.col(key).alias("page_id"), F.col(url).cast("string").alias("url") if url in pages.columns else F.lit(None).cast("string").alias("url"), body.alias("body"))
-    slim = src.select("page_id", "url", F.unhex(F.sha2("body", 256)).alias("sha256"), base32_sha1(F.col("body")).alias("digest"), F.octet_length("body").cast("bigint").alias("size"))
-    slim = materialise(slim, "warc-digests")
+    names = [F.unhex(F.sha2("body", 256)).alias("sha256"), base32_sha1(F.col("body")).alias("digest"), F.octet_length("body").cast("bigint").alias("size")]
+    slim = materialise(src.select("page_id", "url", *names), "warc-digests")
     first = slim.groupBy("sha256").agg(F.min("page_id").alias("first"), F.count_distinct("digest", "size").alias("kinds"))
     checked = F.when(F.col("kinds") == 1, F.col("first")).otherwise(F.raise_error(F.lit("payload digests disagree")).cast("bigint"))
     owners = materialise(first.select("sha256", checked.alias("first")), "warc-owners")  # so that hot payloads can be split in the join
-    typed = slim.join(owners, "sha256").withColumn("kind", F.when((F.col("size") >= least) & (F.col("page_id") != F.col("first")), "revisit").otherwise("response"))
+    typed = slim.join(owners, "sha256").withColumn("kind", F.when((F.col("size") >= least) & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), "revisit").otherwise("response"))
 
     def heads(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -96,12 +97,11 @@ def write_archive(pages: DataFrame, key: str = "page_id", payload: str = "html",
 
         z = zstandard.ZstdCompressor(level=3)
         for b in batches:
-            packed = [z.compress(x) for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(packed, type=schema.field(1).type)], schema=schema)
+            packed = [z.compress(x) for x in b.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(b.columns[:3], schema)), pa.array(packed, type=schema.field(3).type)], schema=schema)
 
-    small = map_arrow(src.select("page_id", "body"), squeeze, "page_id bigint, bytes binary")
-    store = owners.join(slim.select(F.col("page_id").alias("first"), "digest", "size").dropDuplicates(["first"]), "first").withColumnRenamed("first", "page_id")
-    payloads = materialise(small.dropDuplicates(["page_id"]).join(store, "page_id").select("sha256", "digest", "size", "bytes"), "warc-payloads", codec="uncompressed")
+    small = map_arrow(src.select(*names, "body"), squeeze, "sha256 binary, digest string, size bigint, bytes binary")
+    payloads = materialise(small.dropDuplicates(["sha256"]), "warc-payloads", codec="uncompressed")
     return payloads, headers
 
 

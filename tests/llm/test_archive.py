@@ -58,3 +58,11 @@ def test_pipeline_stages(spark, sf):
         docs = out
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_null_and_repeated_keys(spark):
+    pages = [(None, "a", "only without key"), (None, "b", "only without key"), (None, None, "held"), (7, "c", "held"), (8, "d", "one"), (8, "e", "two"), (8, "f", "two")]
+    got = sorted(map(tuple, warc.round_trip(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()), key=repr)
+    kinds = [("response", None), ("response", None), ("revisit", 7)] + [("response", None)] * 4
+    want = [(p, len(h), base64.b32encode(hashlib.sha1(h.encode()).digest()).decode(), *k) for (p, _, h), k in zip(pages, kinds, strict=True)]
+    assert got == sorted(want, key=repr)
