@@ -28,7 +28,7 @@ OTHER = "OTHER"  # numbers that look like cards but have no valid check digit st
 PATTERNS = {
     "EMAIL": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+)++",
     "KEY": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "SECRET": r"(?<![A-Za-z0-9])(?i:token|secret|password|passwd|api_key|apikey) ?[=:] ?[\"'][^\"'\s]{8,200}(?=[\"'])",
+    "SECRET": r"(?<![A-Za-z0-9])(?i:token|secret|password|passwd|api_key|apikey) ?[=:] ?[\"'][^\"'\s]{8,}+(?=[\"'])",
     "IBAN": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![A-Za-z0-9])",
     "CARD": r"(?<![0-9.-])(?:[0-9]{4}[ -]){3}[0-9]{4}(?![0-9])|(?<![0-9.-])[0-9]{13,19}(?![0-9])",
     "SSN": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
