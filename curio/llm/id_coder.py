@@ -1,16 +1,19 @@
 """Adaptive context-mixing range coder for token ids.
 
-Every block is coded on its own from a fresh model and carries checksums. Per id, an order-2 and an order-1 context (tables of
-hashed contexts) each name the id that they expect, with a confidence; the chance that either is right is learned per
-confidence, the two estimates are mixed by a weight that follows whichever does better, and the range coder gets one of three
-outcomes: order-2 id, order-1 id, other. Other ids are coded by the block's adaptive order-0 distribution of their high bytes
-and an even one of their low bytes. All arithmetic is on integers, so any machine decodes what another wrote.
+A block is coded on its own from a fresh model and carries checksums. Its ids stand in LANES lanes of consecutive ids, which are
+coded side by side, one id of each per step, with numpy vectors, and share one model:
 
-Many blocks are worked on side by side, one id of each per step, with numpy vectors: memory is LANES blocks at most.
+* order 2 and order 1: tables of hashed contexts name the id that followed last, with a confidence;
+* order 0: the frequencies of all ids of the block so far, renewed at fixed steps; ids that it has not are escaped;
+* mixture: P(x) = a[x is the order-2 id] + b[x is the order-1 id] + (1 - a - b) P0(x). The weights a and b are learned, too, per
+  state: both confidences, whether both orders agree, and how frequent order 0 takes the expected id to be.
 
-Block layout, little-endian: magic "CMR1"; n_ids, n_words, crc32 of the ids as unsigned 32-bit numbers, crc32 of all that
+The range coder splits 2**16 by this distribution for every id, in one step. All arithmetic that decides anything is on integers
+(a division of doubles is exact here: less than 2**48 by at least 2**16), so any machine decodes what another wrote.
+
+Block layout, little-endian: magic "CMR2"; n_ids, n_words, crc32 of the ids as unsigned 32-bit numbers, crc32 of all that
 follows (4 x u32); n_docs u32, and per document that ends in the block its id (i64, and u8 1 if it is null) and the end
-position (u32); then the coder's 16-bit words. Ids are below 65,536.
+position (u32); then the coder's 16-bit words in the order in which the decoder needs them. Ids are unsigned 32-bit numbers.
 """
 
 from __future__ import annotations
@@ -20,251 +23,287 @@ import zlib
 
 import numpy as np
 
-BLOCK = 4096
-LANES = 2048
-SLOTS = 512
-ID_LIMIT = 1 << 16
-MAGIC = b"CMR1"
-REFRESH = (32, 64, 128, 256, 512, 1024, 2048, 3072)  # ids after which the order-0 distribution is renewed
-LITERAL = 1 << 12  # sum of the order-0 frequencies of high bytes
-_TOP, _BOT = np.uint64(1 << 48), np.uint64(1 << 32)
-_16, _48, _TOTAL = np.uint64(16), np.uint64(48), np.uint64(28)
-_LOW32 = np.uint64((1 << 32) - 1)
-_ZERO = np.uint64(0)
+BLOCK = 1 << 20
+LANES = 4096
+STEPS = 1024  # ids of a lane, at most, where a block has several lanes
+MAGIC = b"CMR2"
+TOTAL = 1 << 16
+CONTEXTS = (16, 18)  # bits of the tables of order 1 and 2
+STATES = 16
+RENEW = frozenset((1, 4, 12, 28, 56, 96, 144, 200, 320, 512, 768))  # steps after which order 0 and the weights are renewed
+KNOWN = TOTAL // 2  # ids that order 0 names at a time: the most frequent ones
+_ORDER2, _ORDER1, _ESCAPE, _FIRST = 0, 1, 2, 3  # symbols; _FIRST and up are ids that order 0 knows
 
 
-class _Model:
-    """The adaptive state of n lanes. Calls take the number of lanes that are still active (always the first ones).
+def _distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if len(ids) and ids.max() < 1 << 22:
+        n = np.bincount(ids)
+        at = np.flatnonzero(n)
+        return at, n[at]
+    return np.unique(ids, return_counts=True)
+
+
+def _last_wins() -> bool:
+    probe = np.zeros(4, np.int64)
+    np.put(probe, np.array([1, 1, 2, 1]), np.array([5, 6, 7, 8]))
+    return probe.tolist() == [0, 8, 7, 0]
 
-    A step's interval is a part of 2**28: 8 bits for the outcome (order-2 id, order-1 id, other), 12 for the high byte of other
-    ids, 8 for their low byte.
-    """
+
+if not _last_wins():  # lanes that meet in one context: the last one's entry must stay
+    raise ImportError("numpy.put does not keep the last of repeated places")
+
+
+class _Model:
+    """The adaptive state of a block of n lanes; every call is for the first a of them, those that still have ids."""
 
     def __init__(self, n: int):
-        self.t1 = np.zeros(n * SLOTS, np.int32)
-        self.t2 = np.zeros(n * SLOTS, np.int32)
-        self.base = np.arange(n, dtype=np.int64) * SLOTS
-        self.base8 = np.arange(n, dtype=np.int64) * 8
-        self.pa = np.full(n * 8, 1 << 14, np.int32)
-        self.pb = np.full(n * 8, 1 << 13, np.int32)
-        self.w = np.full(n, 128, np.int32)
-        self.count = np.full(n * 256, 1, np.int32)
-        self.base256 = np.arange(n, dtype=np.int64) * 256
-        self.base257 = np.arange(n, dtype=np.int64) * 257
-        self.base_inverse = np.arange(n, dtype=np.int64) * LITERAL
-        self.p1 = np.zeros(n, np.int64)
-        self.p2 = np.zeros(n, np.int64)
-        self.cum = np.empty((n, 257), np.int32)
-        self.inverse = np.empty(n * LITERAL, np.uint8)
-        self.refresh(n)
-
-    def learn(self, a: int, ids: np.ndarray) -> None:
-        """Counts the high bytes of some steps' ids and renews the order-0 distribution."""
-        self.count[: 256 * a] += 24 * np.bincount((self.base256[:a] + (ids[:, :a] >> 8)).reshape(-1), minlength=256 * a).astype(np.int32)
-        self.refresh(a)
-
-    def refresh(self, a: int) -> None:
-        c = self.count[: 256 * a].reshape(a, 256).astype(np.int64)
-        f = c * (LITERAL - 256) // c.sum(axis=1)[:, None] + 1
-        f[:, 0] += LITERAL - f.sum(axis=1)  # what rounding left
-        self.cum[:a, 0] = 0
-        np.cumsum(f, axis=1, out=self.cum[:a, 1:])
-        self.flat = self.cum.reshape(-1)
-        self.inverse[: LITERAL * a] = np.repeat(np.tile(np.arange(256, dtype=np.uint8), a), f.reshape(-1))
-
-    def predict(self, a: int):
-        """(f0, f1): frequencies of 256 of the order-2 and the order-1 id."""
+        self.t1 = np.zeros(1 << CONTEXTS[0], np.int64)  # confidence << 32 | id
+        self.t2 = np.zeros(1 << CONTEXTS[1], np.int64)
+        self.p1, self.p2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.ids, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.seen = np.zeros(STATES, np.int64)
+        self.hits = np.zeros((2, STATES), np.int64)
+        self.escapes = 1
+        self.often = np.zeros(1 << 16, np.int64)  # 8 where order 0 takes an id (by its low bits) to be frequent
+        self._tables()
+
+    def _tables(self) -> None:
+        """Cumulative and inverse distributions of every state."""
+        top = np.arange(len(self.ids))
+        if len(top) > KNOWN:
+            top = np.sort(np.argsort(-self.count, kind="stable")[:KNOWN])
+        self.names, c = self.ids[top], self.count[top]
+        width = self.width = _FIRST + len(top)
+        state = np.arange(STATES)
+        seed = 1 + 3 * (state & 3)  # of 16: how likely the order-2 id is at first, by its confidence
+        a = (self.hits[0] * 16 + seed * 2) * 65000 // (self.seen * 16 + 32)
+        b = (self.hits[1] * 16 + 2) * 65000 // (self.seen * 16 + 32)
+        freq = np.zeros((STATES, width), np.int64)
+        # At least one part in 2**16 for each symbol; order 0 gets at least one in 64, and room for all that it knows.
+        least = len(top) + 1 + TOTAL // 64
+        freq[:, _ORDER2] = np.maximum(1, np.minimum(a, (TOTAL - least) * 63 // 64))
+        freq[:, _ORDER1] = np.where(state & 4, 1, np.maximum(1, np.minimum(b, TOTAL - least - freq[:, _ORDER2])))
+        rest = TOTAL - freq[:, _ORDER2] - freq[:, _ORDER1]
+        total = int(c.sum()) + self.escapes
+        room = (rest - len(top) - 1)[:, None]
+        freq[:, _ESCAPE] = 1 + self.escapes * room[:, 0] // total
+        if len(top):
+            freq[:, _FIRST:] = 1 + c[None, :] * room // total
+            freq[:, _FIRST + int(np.argmax(c))] += TOTAL - freq.sum(axis=1)  # what rounding left
+        else:
+            freq[:, _ESCAPE] += TOTAL - freq.sum(axis=1)
+        cum = np.cumsum(freq, axis=1) - freq
+        self.split = (cum << 17 | freq).reshape(-1)
+        self.inverse = np.repeat(np.tile(np.arange(width, dtype=np.uint16), STATES), freq.reshape(-1))
+        self.often[:] = 0
+        self.often[self.names[c * 1024 > total] & 0xFFFF] = 8
+
+    def learn(self, ids: np.ndarray, states: np.ndarray, found: np.ndarray) -> None:
+        """Renews the distributions by the steps since the last renewal: ids, their states, and 1, 2 where an order was right."""
+        u, n = _distinct(ids)
+        new = np.setdiff1d(u, self.names, assume_unique=True)
+        self.escapes = 1 + len(new)
+        both, where = np.unique(np.concatenate([self.ids, u]), return_inverse=True)
+        self.count = np.bincount(where, np.concatenate([self.count, n]).astype(np.float64), len(both)).astype(np.int64)
+        self.ids = both
+        kinds = np.bincount(found.astype(np.int64) * STATES + states, minlength=3 * STATES).reshape(3, STATES)
+        self.seen += kinds.sum(axis=0)
+        self.hits += kinds[1:]
+        self._tables()
+
+    def predict(self, a: int) -> np.ndarray:
+        """Where each lane's state starts in the tables."""
         p1 = self.p1[:a]
-        self.i1 = self.base[:a] + ((p1 * 40503 >> 4) & (SLOTS - 1))
-        self.i2 = self.base[:a] + ((p1 * 31153 + self.p2[:a] * 52711 >> 5) & (SLOTS - 1))
+        self.i1 = (p1 * 40503 >> 3) & ((1 << CONTEXTS[0]) - 1)
+        self.i2 = (p1 * 2654435761 + self.p2[:a] * 40503 >> 7) & ((1 << CONTEXTS[1]) - 1)
         self.e1, self.e2 = self.t1.take(self.i1), self.t2.take(self.i2)
-        self.q1, self.q2 = self.e1 & 0xFFFF, self.e2 & 0xFFFF
-        self.s1, self.s2 = self.e1 >> 16, self.e2 >> 16
+        self.q1, self.q2 = self.e1 & 0xFFFFFFFF, self.e2 & 0xFFFFFFFF
+        self.s1, self.s2 = self.e1 >> 32, self.e2 >> 32
         self.same = self.q1 == self.q2
-        at = self.base8[:a] + self.same
-        self.ka, self.kb = at + self.s2 * 2, at + self.s1 * 2
-        self.a0, self.b0 = self.pa.take(self.ka), self.pb.take(self.kb)
-        # Where both name one id, its chance is a mixture of both estimates (16 bits each; the first weighs w of 256).
-        mixed = np.where(self.same, self.b0 + ((self.a0 - self.b0) * self.w[:a] >> 8), self.a0)
-        f0 = (mixed * 240 >> 16) + 1
-        f1 = np.where(self.same, 1, ((256 - f0) * self.b0 * 7 >> 19) + 1)
-        return f0, f1
-
-    def update(self, a: int, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        """hit2, hit1: whether x is the order-2 id, the order-1 id."""
-        for table, at, e, sure, hit in ((self.t1, self.i1, self.e1, self.s1, hit1), (self.t2, self.i2, self.e2, self.s2, hit2)):
-            np.put(table, at, np.where(hit, np.minimum(e + 65536, e & 0xFFFF | 3 << 16), np.where(sure > 0, e - 65536, x)))
-        np.put(self.pa, self.ka, self.a0 + ((hit2 * np.int32(65535) - self.a0) >> 4))
-        np.put(self.pb, self.kb, self.b0 + ((hit1 * np.int32(65535) - self.b0) >> 4))
-        w = self.w[:a]
-        w += np.where((self.a0 > self.b0) == hit2, np.int32(2), np.int32(-2)) * self.same
-        np.minimum(np.maximum(w, 8, out=w), 248, out=w)
+        self.state = self.s2 | self.same << 2 | self.often.take(self.q2 & 0xFFFF)
+        return self.state
+
+    def update(self, a: int, x: np.ndarray) -> np.ndarray:
+        """0 where neither order was right, 1 order 2, 2 order 1 alone."""
+        hit1, hit2 = self.q1 == x, self.q2 == x
+        step = 1 << 32
+        np.put(self.t1, self.i1, np.where(hit1, np.minimum(self.e1 + step, 3 << 32 | x), np.where(self.s1 > 0, self.e1 - step, x)))
+        np.put(self.t2, self.i2, np.where(hit2, np.minimum(self.e2 + step, 3 << 32 | x), np.where(self.s2 > 1, self.e2 - step, x)))
         self.p2[:a] = self.p1[:a]
         self.p1[:a] = x
+        return np.where(hit2, 1, hit1.astype(np.int8) << 1).astype(np.int8)
+
+
+def _shape(n: int) -> tuple[int, int]:
+    """Lanes and steps of a block of n ids; all lanes but the last are full."""
+    lanes = max(1, min(LANES, max(n // STEPS, n * n * LANES // BLOCK**2)))
+    steps = -(-n // lanes)
+    return -(-n // steps), steps
+
+
+class _Log:
+    """States and outcomes of the steps since the last renewal."""
 
+    def __init__(self, steps: int, lanes: int):
+        self.states, self.found = np.zeros((steps, lanes), np.int8), np.zeros((steps, lanes), np.int8)
+        self.start = 0
 
-def _encode(ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
-    """ids: (steps, lanes), lanes by falling size. The words of each lane."""
-    steps, n = ids.shape
-    m = _Model(n)
-    low, rng = np.zeros(n, np.uint64), np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    room = 2 * steps + 8
-    out, pos = np.zeros(n * room, np.uint16), np.arange(n, dtype=np.int64) * room
-    first = pos.copy()
-    active, learnt = n, 0
+    def note(self, m: _Model, t: int, a: int, ids: np.ndarray, found: np.ndarray) -> None:
+        """After step t, of a lanes. Renewals learn from the lanes that reach them."""
+        self.states[t, :a] = m.state
+        self.found[t, :a] = found
+        if t + 1 in RENEW:
+            since = slice(self.start, t + 1)
+            m.learn(*(v[since, :a].reshape(-1) for v in (ids, self.states, self.found)))
+            self.start = t + 1
+
+
+def _encode(ids: np.ndarray) -> np.ndarray:
+    """The words of a block's ids."""
+    lanes, steps = _shape(len(ids))
+    grid = np.zeros(lanes * steps, np.int64)
+    grid[: len(ids)] = ids
+    grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
+    short = steps - (lanes * steps - len(ids))  # ids of the last lane
+    m, log = _Model(lanes), _Log(steps, lanes)
+    low, rng = np.zeros(lanes, np.int64), np.full(lanes, 1 << 48, np.int64)
+    out: list[np.ndarray] = []  # words, and the lanes that gave them, in order
+    whose: list[np.ndarray] = []
+
+    def narrow(k: np.ndarray | slice, cum: np.ndarray, freq: np.ndarray, all_lanes: np.ndarray) -> None:
+        r = rng[k] >> 16
+        lo, r = low[k] + cum * r, r * freq
+        go = np.flatnonzero(r < 1 << 32)
+        if len(go):
+            x = lo[go]
+            out.append((x >> 32).astype(np.uint32))
+            whose.append(all_lanes[go])
+            lo[go] = (x & 0xFFFFFFFF) << 16
+            r[go] <<= 16
+        low[k], rng[k] = lo, r
+
+    every = np.arange(lanes, dtype=np.int32)
     for t in range(steps):
-        while active and sizes[active - 1] <= t:
-            active -= 1
-        a = active
-        x = ids[t, :a]
-        f0, f1 = m.predict(a)
-        hit2, hit1 = m.q2 == x, m.q1 == x
-        hi = x >> 8
-        at = m.base257[:a] + hi
-        c = m.flat.take(at)
-        f = m.flat.take(at + 1) - c
-        both = f0 + f1
-        rest = 256 - both
-        cum = (both.astype(np.int64) << 20) + rest * ((c.astype(np.int64) << 8) + (x & 255) * f)
-        cum = np.where(hit2, 0, np.where(hit1, f0.astype(np.int64) << 20, cum))
-        freq = np.where(hit2, f0 << 20, np.where(hit1, f1 << 20, rest * f))
-        r = rng[:a] >> _TOTAL
-        low[:a] += cum.astype(np.uint64) * r
-        rng[:a] = r * freq.astype(np.uint64)
-        lo, r = low[:a], rng[:a]
-        close = (lo ^ (lo + r)) < _TOP
-        which = np.flatnonzero(close | (r < _BOT))
-        if len(which):
-            lo, r, close = lo[which], r[which], close[which]
-            while True:
-                r = np.where(close, r, (_ZERO - lo) & _LOW32)
-                to = pos[which]
-                np.put(out, to, lo >> _48)
-                pos[which] = to + 1
-                lo, r = lo << _16, r << _16
-                low[which], rng[which] = lo, r
-                close = (lo ^ (lo + r)) < _TOP
-                more = np.flatnonzero(close | (r < _BOT))
-                if not len(more):
-                    break
-                which, lo, r, close = which[more], lo[more], r[more], close[more]
-        m.update(a, x, hit2, hit1)
-        if t + 1 in REFRESH:
-            m.learn(a, ids[learnt : t + 1])
-            learnt = t + 1
-    for k in range(4):
-        out[pos] = (low >> np.uint64(48 - 16 * k)).astype(np.uint16)
-        pos += 1
-    return [out[i:j].astype("<u2").tobytes() for i, j in zip(first.tolist(), pos.tolist(), strict=True)]
-
-
-def _decode(words: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
-    """(steps, lanes) ids; lanes by falling size."""
-    n, steps = len(words), int(sizes[0]) if len(sizes) else 0
-    m = _Model(n)
-    room = max(map(len, words)) + 4
-    data = np.zeros((n, room), np.uint16)
-    for i, w in enumerate(words):
-        data[i, : len(w)] = w
-    code = np.zeros(n, np.uint64)
-    for k in range(4):
-        code = code << _16 | data[:, k].astype(np.uint64)
-    data = data.reshape(-1)
-    pos = np.arange(n, dtype=np.int64) * room + 4
-    ids = np.zeros((steps, n), np.int64)
-    low, rng = np.zeros(n, np.uint64), np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    active, learnt = n, 0
+        a = lanes if t < short else lanes - 1
+        x = grid[t, :a]
+        state = m.predict(a)
+        if len(m.names):
+            at = np.minimum(np.searchsorted(m.names, x), len(m.names) - 1) if m.names[-1] >= 1 << 22 else _rank(m).take(x, mode="clip")
+            sym = np.where(m.names.take(at) == x, at + _FIRST, _ESCAPE)
+        else:
+            sym = np.full(a, _ESCAPE)
+        sym = np.where(m.q2 == x, _ORDER2, np.where(m.q1 == x, _ORDER1, sym))
+        e = m.split.take(state * m.width + sym)
+        narrow(slice(0, a), e >> 17, e & 0x1FFFF, every)
+        lost = np.flatnonzero(sym == _ESCAPE)
+        if len(lost):
+            for part in (x[lost] >> 16, x[lost] & 0xFFFF):
+                narrow(lost, part, np.ones(len(lost), np.int64), every[lost])
+        log.note(m, t, a, grid, m.update(a, x))
+    for k in (32, 16, 0):
+        out.append((low >> k if k == 32 else low >> k & 0xFFFF).astype(np.uint32))
+        whose.append(every)
+    # Carries run towards a lane's earlier words; then each word moves to where the decoder, three words ahead, asks for it.
+    words, owner = np.concatenate(out), np.concatenate(whose)
+    order = np.argsort(owner, kind="stable")
+    w = words[order].astype(np.int64)
+    while (w >> 16).any():
+        carry = w >> 16
+        w &= 0xFFFF
+        w[:-1] += carry[1:]
+    n = np.bincount(owner, minlength=lanes)
+    first = np.cumsum(n) - n
+    head = (first[:, None] + np.arange(3)).T.reshape(-1)  # the first three words of all lanes
+    later = np.ones(len(w), bool)
+    later[(first + n)[:, None] - np.arange(1, 4)] = False  # events: all that renormalisation gave, in lane order
+    place = np.empty(len(w), np.int64)
+    place[order] = np.arange(len(w))
+    event = place[: len(w) - 3 * lanes]
+    return np.concatenate([w[head], w[event + 3]]).astype("<u2")
+
+
+def _rank(m: _Model) -> np.ndarray:
+    """Place of each id among the names, for small ids."""
+    if getattr(m, "ranked", None) is not m.names:
+        m.ranked = m.names
+        m.rank = np.zeros(int(m.names[-1]) + 1, np.int64)
+        m.rank[m.names] = np.arange(len(m.names))
+    return m.rank
+
+
+def _decode(words: np.ndarray, n: int) -> np.ndarray:
+    """The inverse: n ids."""
+    lanes, steps = _shape(n)
+    short = steps - (lanes * steps - n)
+    m, log = _Model(lanes), _Log(steps, lanes)
+    data = np.concatenate([words, np.zeros(4 * lanes, words.dtype)]).astype(np.int64)
+    head = data[: 3 * lanes].reshape(3, lanes)
+    code, rng = head[0] << 32 | head[1] << 16 | head[2], np.full(lanes, 1 << 48, np.int64)
+    pos = 3 * lanes
+    grid = np.zeros((steps, lanes), np.int64)
+
+    def narrow(k: np.ndarray | slice, cum: np.ndarray, freq: np.ndarray, r: np.ndarray) -> None:
+        nonlocal pos
+        c, r = code[k] - cum * r, r * freq
+        go = np.flatnonzero(r < 1 << 32)
+        if len(go):
+            c[go] = c[go] << 16 | data[pos : pos + len(go)]
+            r[go] <<= 16
+            pos += len(go)
+        code[k], rng[k] = c, r
+
     for t in range(steps):
-        while active and sizes[active - 1] <= t:
-            active -= 1
-        a = active
-        f0, f1 = m.predict(a)
-        both = f0 + f1
-        rest = 256 - both
-        r = rng[:a] >> _TOTAL
-        v = ((code[:a] - low[:a]) // r).astype(np.int64)
-        np.minimum(v, (1 << 28) - 1, out=v)
-        top = v >> 20
-        is2 = top < f0
-        is1 = (top < both) & ~is2
-        # Of other ids: the place within 2**20, its high byte by the inverse table, the low byte by division. Both divisions are
-        # of less than 2**28 by less than 2**12, which doubles do exactly, and faster.
-        u = (np.maximum(v - (both.astype(np.int64) << 20), 0) / rest).astype(np.int64)
-        hi = m.inverse.take(m.base_inverse[:a] + np.minimum(u >> 8, LITERAL - 1)).astype(np.int64)
-        at = m.base257[:a] + hi
-        c = m.flat.take(at)
-        f = m.flat.take(at + 1) - c
-        lo8 = np.minimum(np.maximum(((u - (c.astype(np.int64) << 8)) / f).astype(np.int64), 0), 255)
-        x = np.where(is2, m.q2, np.where(is1, m.q1, hi << 8 | lo8))
-        cum = (both.astype(np.int64) << 20) + rest * ((c.astype(np.int64) << 8) + lo8 * f)
-        cum = np.where(is2, 0, np.where(is1, f0.astype(np.int64) << 20, cum))
-        freq = np.where(is2, f0 << 20, np.where(is1, f1 << 20, rest * f))
-        low[:a] += cum.astype(np.uint64) * r
-        rng[:a] = r * freq.astype(np.uint64)
-        lo, r = low[:a], rng[:a]
-        close = (lo ^ (lo + r)) < _TOP
-        which = np.flatnonzero(close | (r < _BOT))
-        if len(which):
-            lo, r, close = lo[which], r[which], close[which]
-            while True:
-                r = np.where(close, r, (_ZERO - lo) & _LOW32)
-                at = pos[which]
-                code[which] = code[which] << _16 | data.take(at, mode="clip")
-                pos[which] = at + 1
-                lo, r = lo << _16, r << _16
-                low[which], rng[which] = lo, r
-                close = (lo ^ (lo + r)) < _TOP
-                more = np.flatnonzero(close | (r < _BOT))
-                if not len(more):
-                    break
-                which, lo, r, close = which[more], lo[more], r[more], close[more]
-        ids[t, :a] = x
-        m.update(a, x, m.q2 == x, m.q1 == x)
-        if t + 1 in REFRESH:
-            m.learn(a, ids[learnt : t + 1])
-            learnt = t + 1
-    return ids
+        a = lanes if t < short else lanes - 1
+        state = m.predict(a)
+        r = rng[:a] >> 16
+        v = np.minimum((code[:a] / r).astype(np.int64), TOTAL - 1)
+        sym = m.inverse.take(state << 16 | v).astype(np.int64)
+        e = m.split.take(state * m.width + sym)
+        narrow(slice(0, a), e >> 17, e & 0x1FFFF, r)
+        x = m.names.take(sym - _FIRST, mode="clip") if len(m.names) else np.zeros(a, np.int64)
+        x = np.where(sym == _ORDER2, m.q2, np.where(sym == _ORDER1, m.q1, x))
+        lost = np.flatnonzero(sym == _ESCAPE)
+        if len(lost):
+            full = np.zeros(len(lost), np.int64)
+            for _ in range(2):
+                r = rng[lost] >> 16
+                v = np.minimum((code[lost] / r).astype(np.int64), TOTAL - 1)
+                narrow(lost, v, np.ones(len(lost), np.int64), r)
+                full = full << 16 | v
+            x[lost] = full
+        grid[t, :a] = x
+        log.note(m, t, a, grid, m.update(a, x))
+    return np.ascontiguousarray(grid.T).reshape(-1)[:n]
+
+
+def encode_block(ids: np.ndarray, ends: list[tuple[int | None, int]]) -> bytes:
+    """ids: 1 to BLOCK unsigned 32-bit numbers; ends: (document that ends here, end position)."""
+    words = _encode(np.asarray(ids, np.int64)).tobytes()
+    rest = struct.pack("<I", len(ends)) + b"".join(struct.pack("<qBI", d or 0, d is None, e) for d, e in ends) + words
+    return MAGIC + struct.pack("<4I", len(ids), len(words) // 2, zlib.crc32(np.asarray(ids, "<u4").tobytes()), zlib.crc32(rest)) + rest
+
+
+def decode_block(raw: bytes) -> tuple[np.ndarray, list[tuple[int | None, int]]]:
+    """The inverse; ids as unsigned 32-bit numbers."""
+    if raw[:4] != MAGIC:
+        raise ValueError("not a block of this format")
+    n, k, crc, own = struct.unpack_from("<4I", raw, 4)
+    if zlib.crc32(raw[20:]) != own:
+        raise ValueError("damaged block")
+    (d,) = struct.unpack_from("<I", raw, 20)
+    ends = [(None if null else doc, e) for doc, null, e in struct.iter_unpack("<qBI", raw[24 : 24 + 13 * d])]
+    ids = _decode(np.frombuffer(raw, "<u2", k, 24 + 13 * d), n).astype("<u4")
+    if zlib.crc32(ids.tobytes()) != crc:
+        raise ValueError("block does not match its checksum")
+    return ids, ends
 
 
 def encode_blocks(blocks: list[tuple[np.ndarray, list[tuple[int | None, int]]]]) -> list[bytes]:
-    """blocks: (ids, [(document that ends here, end position)]), at most LANES; each of 1 to BLOCK ids."""
-    order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i][0]))
-    sizes = np.array([len(blocks[i][0]) for i in order])
-    grid = np.zeros((sizes[0], len(order)), np.int64)
-    for k, i in enumerate(order):
-        grid[: sizes[k], k] = blocks[i][0]
-    if grid.max() >= ID_LIMIT:
-        raise ValueError("ids of 65,536 and more do not fit this format")
-    out: list[bytes] = [b""] * len(blocks)
-    for k, words in enumerate(_encode(grid, sizes)):
-        ids, ends = blocks[order[k]]
-        rest = struct.pack("<I", len(ends)) + b"".join(struct.pack("<qBI", d or 0, d is None, e) for d, e in ends) + words
-        out[order[k]] = MAGIC + struct.pack("<4I", len(ids), len(words) // 2, zlib.crc32(np.asarray(ids, "<u4").tobytes()), zlib.crc32(rest)) + rest
-    return out
+    return [encode_block(*b) for b in blocks]
 
 
 def decode_blocks(raws: list[bytes]) -> list[tuple[np.ndarray, list[tuple[int | None, int]]]]:
-    """The inverse, for at most LANES blocks at a time; ids as unsigned 32-bit numbers."""
-    heads, words, ends = [], [], []
-    for raw in raws:
-        if raw[:4] != MAGIC:
-            raise ValueError("not a block of this format")
-        n, k, crc, own = struct.unpack_from("<4I", raw, 4)
-        if zlib.crc32(raw[20:]) != own:
-            raise ValueError("damaged block")
-        (d,) = struct.unpack_from("<I", raw, 20)
-        ends.append([(None if null else doc, e) for doc, null, e in struct.iter_unpack("<qBI", raw[24 : 24 + 13 * d])])
-        words.append(np.frombuffer(raw, "<u2", k, 24 + 13 * d))
-        heads.append((n, crc))
-    order = sorted(range(len(raws)), key=lambda i: -heads[i][0])
-    grid = _decode([words[i] for i in order], np.array([heads[i][0] for i in order]))
-    out: list = [None] * len(raws)
-    for k, i in enumerate(order):
-        ids = grid[: heads[i][0], k].astype("<u4")
-        if zlib.crc32(ids.tobytes()) != heads[i][1]:
-            raise ValueError("block does not match its checksum")
-        out[i] = (ids, ends[i])
-    return out
+    return [decode_block(raw) for raw in raws]
 
 
 _POLY = 0xEDB88320

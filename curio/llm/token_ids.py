@@ -33,15 +33,13 @@ def write_ids(docs: DataFrame, tokenizer_path: str) -> DataFrame:
 
         enc, part = word_encoder(tokenizer_path), TaskContext.get().partitionId()
         size = 4 * id_coder.BLOCK
-        held, ready, ends, number = bytearray(), [], [], 0
+        held, ends, number = bytearray(), [], 0
 
-        def send() -> pa.RecordBatch:
-            nonlocal number, ready
-            coded = id_coder.encode_blocks(ready)
-            k = len(coded)
-            out = pa.RecordBatch.from_arrays([pa.array([part] * k, pa.int64()), pa.array(range(number, number + k), pa.int64()), pa.array([len(i) for i, _ in ready], pa.int64()), pa.array(coded, schema.field(3).type)], schema=schema)
-            number, ready = number + k, []
-            return out
+        def send(raw: bytes, own: list[tuple]) -> pa.RecordBatch:
+            nonlocal number
+            coded = id_coder.encode_block(np.frombuffer(raw, "<u4"), own)
+            number += 1
+            return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(([part], [number - 1], [len(raw) // 4], [coded]), schema, strict=True)], schema=schema)
 
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -51,17 +49,13 @@ def write_ids(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                 while len(held) - at >= size:
                     own = [(d, e - at // 4) for d, e in ends if e * 4 <= at + size]
                     ends = ends[len(own) :]
-                    ready.append((np.frombuffer(bytes(held[at : at + size]), "<u4"), own))
+                    yield send(bytes(held[at : at + size]), own)
                     at += size
-                    if len(ready) == id_coder.LANES:
-                        yield send()
                 if at:
                     del held[:at]
                     ends = [(d, e - at // 4) for d, e in ends]
         if held:
-            ready.append((np.frombuffer(bytes(held), "<u4"), ends))
-        if ready:
-            yield send()
+            yield send(bytes(held), ends)
 
     ordered = docs_of(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return materialise(map_arrow(ordered, run, "part bigint, block bigint, n_ids bigint, data binary"), "token-ids", codec="uncompressed")
@@ -75,16 +69,14 @@ def read_fragments(blocks: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo in range(0, b.num_rows, id_coder.LANES):
-                own = b.slice(lo, id_coder.LANES)
-                rows = []
-                for part, block, (ids, ends) in zip(own.column(0).to_pylist(), own.column(1).to_pylist(), id_coder.decode_blocks(own.column(2).to_pylist()), strict=True):
-                    raw, base, a = ids.tobytes(), block * id_coder.BLOCK, 0
-                    for doc, e in ends:
-                        rows.append((part, base + a, e - a, zlib.crc32(raw[4 * a : 4 * e]), doc, True))
-                        a = e
-                    if a < len(ids):
-                        rows.append((part, base + a, len(ids) - a, zlib.crc32(raw[4 * a :]), None, False))
+            for part, block, coded in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                ids, ends = id_coder.decode_block(coded.as_py())
+                raw, base, a, rows = memoryview(ids.tobytes()), block * id_coder.BLOCK, 0, []
+                for doc, e in ends:
+                    rows.append((part, base + a, e - a, zlib.crc32(raw[4 * a : 4 * e]), doc, True))
+                    a = e
+                if a < len(ids):
+                    rows.append((part, base + a, len(ids) - a, zlib.crc32(raw[4 * a :]), None, False))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     return map_arrow(blocks.select("part", "block", "data"), run, "part bigint, at bigint, n bigint, crc bigint, doc_id bigint, last boolean")

@@ -151,6 +151,27 @@ def test_id_coder():
     assert id_coder.combine_crc32(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
 
 
+def test_id_coder_predicts():
+    """Below zlib's best and an adaptive order-0 coder over the whole table, and 9 bits an id; ids of any size come back."""
+    import pyarrow.parquet as pq
+
+    from curio.llm.tokens import word_encoder
+
+    enc = word_encoder(WORD)
+    raw = b"".join(enc.ids(t or "") + b"\1\0\0\0" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist())
+    ids = np.frombuffer(raw, "<u4")
+    coded = [id_coder.encode_block(ids[i : i + id_coder.BLOCK], []) for i in range(0, len(ids), id_coder.BLOCK)]
+    size = sum(map(len, coded))
+    counts = np.bincount(ids)
+    order0 = float(-(counts[counts > 0] * np.log2(counts[counts > 0] / len(ids))).sum()) / 8  # of an order-0 coder that knows all frequencies
+    assert size < len(zlib.compress(ids.astype("<u2").tobytes(), 9)) and size < order0 and size * 8 < 9 * len(ids)
+    assert np.concatenate([id_coder.decode_block(b)[0] for b in coded]).tobytes() == raw
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 3, 255, 256, 257, 5000, 70_001):
+        for x in (rng.integers(0, 5, n), rng.integers(0, 1 << 32, n), rng.integers(0, 70_000, n), np.zeros(n, int), rng.geometric(0.001, n)):
+            assert (id_coder.decode_block(id_coder.encode_block(x, []))[0] == x).all()
+
+
 def brute_components(texts, width, percent):
     sets = [{tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set() for w in (t.lower().split() for t in texts)]
     root = list(range(len(texts)))
