@@ -105,15 +105,32 @@ def write_archive(pages: DataFrame, key: str = "page_id", payload: str = "html",
     return payloads, headers
 
 
+def _digests(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """SHA-256, SHA-1 in base32 and size of each stored payload, from its bytes; a damaged one fails the read."""
+    import zstandard
+
+    z = zstandard.ZstdDecompressor()
+    for b in batches:
+        rows = []
+        for sha, size, packed in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            body = z.decompress(packed, max_output_size=max(1, size))
+            if len(body) != size or hashlib.sha256(body).digest() != sha:
+                raise ValueError(f"stored payload of {sha.hex()} is damaged")
+            rows.append((sha, base64.b32encode(hashlib.sha1(body).digest()).decode(), len(body)))
+        yield pa.RecordBatch.from_arrays([pa.array(c, type=t.type) for c, t in zip(list(zip(*rows, strict=True)) or [()] * 3, schema, strict=True)], schema=schema)
+
+
 def read_records(payloads: DataFrame, headers: DataFrame, parse: bool = True) -> DataFrame:
     """Rebuilds every record by a join on the digest and verifies its payload.
 
     With parse: page_id, payload_bytes, payload_digest, record_type, refers_to, url. Otherwise page_id and the record's bytes.
-    Revisit records need no payload bytes, so hot payloads are not multiplied: those rows join the payload's key alone.
+    Revisit records need no payload bytes, so hot payloads are not multiplied: those rows join the size and digests that were
+    computed from the stored bytes, once for each payload.
     """
     is_revisit = F.col("header").substr(F.lit(1), F.lit(29)).cast("string").contains("WARC-Type: revisit")
     full = headers.where(~is_revisit).join(payloads, "sha256").select("page_id", "header", "sha256", "digest", "size", "bytes")
-    bare = headers.where(is_revisit).join(payloads.select("sha256", "digest", "size"), "sha256").select("page_id", "header", "sha256", "digest", "size", F.lit(None).cast("binary").alias("bytes"))
+    found = materialise(map_arrow(payloads.select("sha256", "size", "bytes"), _digests, "sha256 binary, digest string, size bigint"), "warc-verified")
+    bare = headers.where(is_revisit).join(found, "sha256").select("page_id", "header", "sha256", "digest", "size", F.lit(None).cast("binary").alias("bytes"))
 
     def rebuild(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         import zstandard
