@@ -5,22 +5,26 @@ anything, so merges never cross the place before a blank or around a line feed,
 pre-tokens (checked when the model is loaded; other models raise).
 
 1. Pre-token frequencies of all texts are pre-aggregated in each task and summed; the FREQUENT most frequent pre-tokens are
-   counted at once and broadcast. This dictionary has a fixed number of entries of a bounded length whatever the input.
+   counted at once and broadcast. This dictionary has a fixed number of entries of a bounded length whatever the input: long
+   pre-tokens stand in it under their digest, with the number of pieces that the task that saw them counted.
 2. Each document's own frequencies: known pre-tokens are summed where they are, the others go out as (pre-token, document,
    frequency). They are dealt by pre-token, each distinct one is counted once, joined to its frequencies there, and summed per
-   document before the rows are dealt by document. A pre-token too frequent for one task is in the dictionary of step 1.
+   document before the rows are dealt by document. A pre-token of any length that is too frequent for one task is in the
+   dictionary of step 1, unless no task holds it twice; then each task sends one row of it at most.
 
-Defined results: null or empty text has no tokens. A null key is a key of its own; equal keys are summed into one row. Special
-strings in texts are ordinary text, as the library takes control symbols. Extra columns are ignored.
+Defined results: null or empty text has no tokens. Rows with null or equal keys stay apart, each with its own counts. Special
+strings in texts are ordinary text, as the library takes control symbols. An empty table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,9 +32,9 @@ from curio.llm.common import byte_column, docs_of, map_arrow
 
 LIMIT = 4096
 FREQUENT = 200_000
-FREQUENT_BYTES = 64  # longer pre-tokens are never in the dictionary
+NAMED_BYTES = 64  # longer pre-tokens stand in the dictionary under their digest
 BLANK = "▁".encode()
-TABLE_ENTRIES = 500_000  # of a task's frequency table before it is sent on
+TABLE_ENTRIES = 500_000  # of a task's tables, before they are sent on or emptied
 
 
 @lru_cache(maxsize=2)
@@ -98,8 +102,13 @@ def _runs(line: bytes) -> list[bytes]:
     return out
 
 
+def entry(part: bytes) -> bytes:
+    """What a pre-token is called in the dictionary: itself, or a digest that is too long for a name."""
+    return part if len(part) <= NAMED_BYTES else b"#" * (NAMED_BYTES - 15) + hashlib.md5(part).digest()
+
+
 def frequent(docs: DataFrame, model_path: str, most: int = FREQUENT) -> dict[bytes, int]:
-    """The most frequent pre-tokens over all documents, with their numbers of pieces."""
+    """Entries of the most frequent pre-tokens over all documents, with their numbers of pieces."""
 
     def tally(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         table: Counter[bytes] = Counter()
@@ -112,12 +121,15 @@ def frequent(docs: DataFrame, model_path: str, most: int = FREQUENT) -> dict[byt
         yield send(table, schema)
 
     def send(table: Counter, schema: pa.Schema) -> pa.RecordBatch:
-        own = [(k, n) for k, n in table.items() if n > 1 and len(k) <= FREQUENT_BYTES]  # a dictionary of single uses would save nothing
-        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in own], schema.field(0).type), pa.array([n for _, n in own], pa.int64())], schema=schema)
+        own = [(k, n) for k, n in table.items() if n > 1]  # a dictionary of single uses would save nothing
+        long = [k for k, _ in own if len(k) > NAMED_BYTES]
+        pieces = dict(zip(long, counter(model_path)(long), strict=True)) if long else {}
+        return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(([entry(k) for k, _ in own], [n for _, n in own], [pieces.get(k) for k, _ in own]), schema, strict=True)], schema=schema)
 
-    sums = map_arrow(docs, tally, "part binary, n bigint").groupBy("part").agg(F.sum("n").alias("n"))
-    top = [bytes(r.part) for r in sums.orderBy(F.desc("n"), "part").limit(most).select("part").collect()]
-    return dict(zip(top, counter(model_path)(top), strict=True))
+    sums = map_arrow(docs, tally, "part binary, n bigint, pieces bigint").groupBy("part").agg(F.sum("n").alias("n"), F.max("pieces").alias("pieces"))
+    top = [(bytes(r.part), r.pieces) for r in sums.orderBy(F.desc("n"), "part").limit(most).select("part", "pieces").collect()]
+    short = [k for k, n in top if n is None]
+    return dict(zip(short, counter(model_path)(short), strict=True)) | {k: n for k, n in top if n is not None}
 
 
 def count_tokens(docs: DataFrame, model_path: str, limit: int = LIMIT, most: int = FREQUENT) -> DataFrame:
@@ -125,7 +137,7 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = LIMIT, most: int
     known = d.sparkSession.sparkContext.broadcast(frequent(d, model_path, most))
 
     def own(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        table = known.value
+        table, row = known.value, TaskContext.get().partitionId() << 40  # rows are numbered: doc_id may repeat or be null
         for b in batches:
             rows: list[tuple] = []
             for doc, raw in zip(b.column(0).to_pylist(), byte_column(b.column(1)), strict=True):
@@ -133,11 +145,17 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = LIMIT, most: int
                 counts = list(map(table.get, parts))
                 total = feeds
                 if None in counts:
-                    rows += [(doc, p, n, 0, 0) for p, n in Counter([p for p, c in zip(parts, counts, strict=True) if c is None]).items()]
+                    for p, n in Counter([p for p, c in zip(parts, counts, strict=True) if c is None]).items():
+                        pieces = table.get(entry(p)) if len(p) > NAMED_BYTES else None
+                        if pieces is None:
+                            rows.append((row, None, p, n, 0, 0))
+                        else:
+                            total += n * pieces
                     total += sum(filter(None, counts))
                 else:
                     total += sum(counts)
-                rows.append((doc, None, 1, total, len(raw)))
+                rows.append((row, doc, None, 1, total, len(raw)))
+                row += 1
                 if len(rows) > 100_000:
                     yield _batch(rows, schema)
                     rows = []
@@ -147,19 +165,22 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = LIMIT, most: int
     def resolve(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         count, seen = counter(model_path), {}
         for b in batches:
-            docs_, parts, n, tokens, size = (c.to_pylist() for c in b.columns)
+            rows, docs_, parts, n, tokens, size = (c.to_pylist() for c in b.columns)
+            if len(seen) > TABLE_ENTRIES:
+                seen.clear()
             new = list({p for p in parts if p is not None and p not in seen})
             seen.update(zip(new, count(new), strict=True))
             sums: dict = {}
-            for doc, p, k, t, s in zip(docs_, parts, n, tokens, size, strict=True):
-                was = sums.get(doc, (0, 0))
-                sums[doc] = (was[0] + (t if p is None else k * seen[p]), was[1] + s)
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([x[0] for x in sums.values()], pa.int64()), pa.array([x[1] for x in sums.values()], pa.int64())], schema=schema)
+            for row, doc, p, k, t, s in zip(rows, docs_, parts, n, tokens, size, strict=True):
+                was = sums.get(row, (None, 0, 0))
+                sums[row] = (was[0] if doc is None else doc, was[1] + (t if p is None else k * seen[p]), was[2] + s)
+            yield _batch([(row, *x) for row, x in sums.items()], schema)
 
     def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+        return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(list(zip(*rows, strict=True)) or [()] * len(schema), schema, strict=True)], schema=schema)
 
-    rows = map_arrow(d, own, "doc_id bigint, part binary, n bigint, tokens bigint, bytes bigint")
-    dealt = rows.repartition(F.coalesce(F.xxhash64("part"), F.lit(0)) + F.when(F.col("part").isNull(), F.xxhash64("doc_id")).otherwise(F.lit(0)))
-    sums = map_arrow(dealt, resolve, "doc_id bigint, tokens bigint, bytes bigint")
-    return sums.groupBy("doc_id").agg(F.sum("bytes").alias("n_bytes"), F.sum("tokens").alias("n_tokens")).withColumn("over_limit", F.col("n_tokens") > limit)
+    rows = map_arrow(d, own, "row bigint, doc_id bigint, part binary, n bigint, tokens bigint, bytes bigint")
+    dealt = rows.repartition(F.when(F.col("part").isNull(), F.xxhash64("row")).otherwise(F.xxhash64("part")))
+    sums = map_arrow(dealt, resolve, "row bigint, doc_id bigint, tokens bigint, bytes bigint")
+    sums = sums.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("bytes").alias("n_bytes"), F.sum("tokens").alias("n_tokens"))
+    return sums.drop("row").withColumn("over_limit", F.col("n_tokens") > limit)
