@@ -5,21 +5,24 @@ script belong to words. A window is `width` consecutive words of an item; an ite
 window. Each text is scanned once; a match in the normalised text is mapped back to word numbers and to character offsets of
 the original.
 
-The automaton is built on the driver from the benchmark, whose size is checked against MAX_WINDOW_BYTES before anything is
-collected; a larger benchmark is scanned in several automata of at most that size, one pass of the documents each. Rows are
-numbered before that, and each row's hits by all automata are merged as within one, so the result is the same.
-
-Defined results: null or empty text has no words and is clean. Null item text has no windows. Equal windows of several items
-count for each item. Repeated documents are scanned each. Extra columns are ignored; ties do not arise.
+Distinct windows with their items are made by Spark, and their size is checked against MAX_WINDOW_BYTES before any is collected.
+Windows of at most that size, which any benchmark of questions and answers has, make one automaton. Only beyond it are they dealt
+out by hash to several, of which the driver holds one at a time: numbered rows are scanned by each, the hits are written, and
+each row's hits by all of them are merged as within one automaton, so the result is the same.
+
+Defined results: null or empty text has no words and is clean. Null item text has no windows, and a null item_id no item. Equal
+windows of several items count for each item. Rows that repeat a document are scanned and returned each. An empty benchmark
+hits nothing; an empty table of documents gives no rows. Extra columns are ignored; ties do not arise.
 """
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +35,9 @@ _KEEP = set(range(0x30, 0x3A)) | set(range(0x61, 0x7B)) | set(range(0x80, 0x100)
 NORMAL = bytes(b if b in _KEEP else (b + 32 if 0x41 <= b <= 0x5A else 0x20) for b in range(256))
 
 
+Windows = tuple[tuple[bytes, tuple[str, ...]], ...]  # window and the items that hold it
+
+
 def words_of(raw: bytes) -> list[bytes]:
     return raw.translate(NORMAL).split()
 
@@ -43,18 +49,14 @@ def windows_of(raw: bytes, width: int = WIDTH) -> set[bytes]:
     return {b" ".join(w[i : i + width]) for i in range(max(1, len(w) - width + 1))}
 
 
-@lru_cache(maxsize=2)
-def _automaton(key: str, items: tuple[tuple[str, bytes], ...], width: int):
+@lru_cache(maxsize=1)
+def _automaton(key: str, windows: Windows):
     import ahocorasick
 
     a = ahocorasick.Automaton()
-    owners: dict[bytes, list[str]] = {}
-    for item_id, raw in items:
-        for w in windows_of(raw, width):
-            owners.setdefault(w, []).append(item_id)
-    for w, own in owners.items():
-        a.add_word(f" {w.decode('latin-1')} ", (w.count(b" ") + 1, tuple(sorted(own))))
-    if owners:
+    for w, items in windows:
+        a.add_word(f" {w.decode('latin-1')} ", (w.count(b" ") + 1, tuple(items)))
+    if windows:
         a.make_automaton()
     return a
 
@@ -97,16 +99,25 @@ def char_spans(raw: bytes, ranges: list[tuple[int, int]]) -> list[tuple[int, int
     return [(chars(starts[a]), chars(ends[b - 1])) for a, b in ranges]
 
 
-def _blocks(benchmark: DataFrame, key: str, text: str) -> list[tuple[tuple[str, bytes], ...]]:
-    """The benchmark in blocks of a bounded size; the bound holds for what is collected at a time."""
-    b = benchmark.select(F.col(key).cast("string").alias("k"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")).where(F.col("k").isNotNull())
-    total = b.select(F.sum(F.octet_length("t").cast("long") * WIDTH)).first()[0] or 0
-    n = max(1, -(-total // MAX_WINDOW_BYTES))
-    out = []
-    for i in range(n):
-        part = b if n == 1 else b.where(F.pmod(F.xxhash64("k"), F.lit(n)) == i)
-        out.append(tuple(sorted((r.k, r.t.encode()) for r in part.collect())))
-    return out
+def _windows(benchmark: DataFrame, width: int) -> tuple[DataFrame, int]:
+    """(window, items), each window once; and the number of automata that they need."""
+
+    def run(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(w, k) for k, raw in zip(b.column(0).to_pylist(), byte_column(b.column(1)), strict=True) for w in windows_of(raw, width)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(list(zip(*rows, strict=True)) or [()] * 2, schema, strict=True)], schema=schema)
+
+    items = benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("string").alias("k"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
+    w = map_arrow(items, run, "window binary, item string").groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    w = materialise(w, "decontaminate-windows")
+    size = w.select(F.sum(F.octet_length("window").cast("long") + F.aggregate("items", F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x)))).first()[0] or 0
+    return w, max(1, -(-size // MAX_WINDOW_BYTES))
+
+
+def _block(windows: DataFrame, i: int, n: int) -> Windows:
+    """One of n parts of the windows, of about MAX_WINDOW_BYTES at most."""
+    part = windows if n == 1 else windows.where(F.pmod(F.xxhash64("window"), F.lit(n)) == i)
+    return tuple(sorted((bytes(r["window"]), tuple(r["items"])) for r in part.collect()))
 
 
 SCHEMA = "doc_id bigint, n_words bigint, hits array<struct<first:bigint,last:bigint>>, items array<string>, spans array<struct<start:bigint,end:bigint>>"
@@ -114,14 +125,17 @@ SCHEMA = "doc_id bigint, n_words bigint, hits array<struct<first:bigint,last:big
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, spans: bool = True) -> DataFrame:
     """Per document: n_words, hit ranges of word numbers, items found, and character spans in the original text."""
-    blocks = _blocks(benchmark, "item_id", "text")
-    if len(blocks) == 1:
-        return _scan_block(docs_of(docs), blocks[0], width, spans)
+    windows, n = _windows(benchmark, width)
+    if n == 1:
+        return _scan_block(docs_of(docs), _block(windows, 0, 1), spans)[0]
     rows = docs_of(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     rows = materialise(rows, "decontaminate-rows")  # the same numbers for each automaton; doc_id may repeat or be null
-    both = _scan_block(rows, blocks[0], width, spans)
-    for items in blocks[1:]:
-        both = both.unionByName(_scan_block(rows, items, width, spans))
+    both = None
+    for i in range(n):
+        scanned, shared = _scan_block(rows, _block(windows, i, n), spans)
+        scanned = materialise(scanned, "decontaminate-hits")
+        shared.destroy()
+        both = scanned if both is None else both.unionByName(scanned)
     found = both.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.collect_list(F.struct("hits", "items", "spans")).alias("found"))
     return map_arrow(found.select("doc_id", "n_words", "found"), _merge, SCHEMA)
 
@@ -146,13 +160,12 @@ def _merge(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(v, type=f.type) for v, f in zip((hits, names, where), list(schema)[2:]))], schema=schema)
 
 
-def _scan_block(docs: DataFrame, items: tuple, width: int, spans: bool) -> DataFrame:
-    """One automaton's hits in the last column; the columns before it are whole numbers and are kept."""
-    key = hashlib.sha256(repr(items).encode()).hexdigest()
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+def _scan_block(docs: DataFrame, windows: Windows, spans: bool) -> tuple[DataFrame, Broadcast]:
+    """One automaton's hits in the text, the last column (those before it are whole numbers and are kept), and its broadcast."""
+    key, shared = uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(windows)
 
     def run(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        a = _automaton(key, shared.value, width)
+        a = _automaton(key, shared.value)
         for b in batches:
             n, hits, names, where = [], [], [], []
             for raw in byte_column(b.columns[-1]):
@@ -163,7 +176,7 @@ def _scan_block(docs: DataFrame, items: tuple, width: int, spans: bool) -> DataF
                 where.append([{"start": x, "end": y} for x, y in char_spans(raw, ranges)] if spans else [])
             yield pa.RecordBatch.from_arrays([*(c.cast(pa.int64()) for c in b.columns[:-1]), *(pa.array(v, type=f.type) for v, f in zip((n, hits, names, where), list(schema)[-4:]))], schema=schema)
 
-    return map_arrow(docs, run, SCHEMA if len(docs.columns) == 2 else f"row bigint, {SCHEMA}")
+    return map_arrow(docs, run, SCHEMA if len(docs.columns) == 2 else f"row bigint, {SCHEMA}"), shared
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -179,21 +192,23 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents in which no benchmark window occurs, with all their columns.
 
-    Rows are kept or dropped where they are read: the scan runs inside one Arrow pass over whole rows, without a join.
+    Rows are kept or dropped where they are read: each automaton takes one Arrow pass over whole rows, without a join.
     """
-    parts = _blocks(benchmark, "item_id", "text")
+    windows, n = _windows(benchmark, WIDTH)
     schema = docs.schema
     at = docs.columns.index("text")
-    for items in parts:
-        key = hashlib.sha256(repr(items).encode()).hexdigest()
-        shared = docs.sparkSession.sparkContext.broadcast(items)
+    for i in range(n):
+        key, shared = uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(_block(windows, i, n))
 
         def run(batches: Iterator[pa.RecordBatch], key=key, shared=shared) -> Iterator[pa.RecordBatch]:
-            a = _automaton(key, shared.value, WIDTH)
+            a = _automaton(key, shared.value)
             for b in batches:
                 yield b.filter(pa.array([not scan(raw, a)[1] for raw in byte_column(b.column(at))], type=pa.bool_()))
 
         docs = docs.mapInArrow(run, schema)
+        if n > 1:  # one part of the windows at a time
+            docs = materialise(docs, "decontaminate-kept")
+            shared.destroy()
     return docs
 
 

@@ -11,7 +11,20 @@ def test_overlapping_items_and_repeated_keys(spark, monkeypatch):
     order = lambda df: sorted(map(repr, df.collect()))
     whole, hits = order(decontaminate.report(docs, bench)), order(decontaminate.find_hits(docs, bench))
     assert len(whole) == len(texts)
-    monkeypatch.setattr(decontaminate, "MAX_WINDOW_BYTES", 2000)
-    assert len(decontaminate._blocks(bench, "item_id", "text")) > 3
+    monkeypatch.setattr(decontaminate, "MAX_WINDOW_BYTES", 300)
+    assert decontaminate._windows(bench, decontaminate.WIDTH)[1] > 3
     assert order(decontaminate.report(docs, bench)) == whole and order(decontaminate.find_hits(docs, bench)) == hits
     assert {(r.doc_id, r.n_words): r.n_hit for r in decontaminate.report(docs, bench).collect()}[1, 42] == 36
+    kept = sorted(r.n_words for r in decontaminate.report(decontaminate.remove_contaminated(docs, bench), bench).collect())
+    assert kept == [0, 1, 1]
+    assert decontaminate.report(docs.limit(0), bench).count() == 0 == decontaminate.report(docs, bench.limit(0)).where("n_hit > 0").count()
+
+
+def test_one_item_is_split(spark, monkeypatch):
+    """A single item beyond the bound is dealt out, too."""
+    text = " ".join(f"w{i}" for i in range(300))
+    bench = spark.createDataFrame([(1, text), (None, "lost"), (2, None)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, f"a {text} b"), (2, "lost")], "doc_id bigint, text string")
+    monkeypatch.setattr(decontaminate, "MAX_WINDOW_BYTES", 5000)
+    assert decontaminate._windows(bench, decontaminate.WIDTH)[1] > 2
+    assert sorted((r.doc_id, r.n_hit, r.n_items) for r in decontaminate.report(docs, bench).collect()) == [(1, 300, 1), (2, 0, 0)]
