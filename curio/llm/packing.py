@@ -127,8 +127,12 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, open_window
 
 
 def sequences(pieces: DataFrame, window: int = WINDOW, pad_id: int = 0) -> DataFrame:
-    """Padded sequences from pieces with ids: sequence_id, n_ids, input ids of `window` little-endian unsigned 32-bit numbers."""
+    """Sequences from pieces with ids: sequence_id, n_ids, ids as little-endian unsigned 32-bit numbers.
+
+    They are padded to `window` ids, but for those whose number of ids is a power of two.
+    """
     joined = F.aggregate(F.array_sort(F.collect_list(F.struct("offset", "ids"))), F.unhex(F.lit("")), lambda acc, x: F.concat(acc, x["ids"]))
     g = pieces.groupBy("sequence_id").agg(joined.alias("ids"), F.sum("length").alias("n_ids"))
-    pad = F.unhex(F.repeat(F.lit(pad_id.to_bytes(4, "little").hex()), (F.lit(window) - F.col("n_ids")).cast("int")))
+    lacking = F.when(F.bit_count("n_ids") == 1, 0).otherwise(F.lit(window) - F.col("n_ids"))
+    pad = F.unhex(F.repeat(F.lit(pad_id.to_bytes(4, "little").hex()), lacking.cast("int")))
     return g.select("sequence_id", "n_ids", F.concat("ids", pad).alias("ids"))
