@@ -6,12 +6,13 @@ at least `min_words` words together, that an earlier document holds as well, whe
 Partners are found by marks: the shortest runs of lines of at least `min_words` words that start or end at a line. Each line of
 a common block lies in a mark within that block, so the earliest holders of a document's marks are all the partners it needs, and
 the most common mark costs each document no more than a rare one: pairs grow with (document, mark) incidences, never with the
-square of a mark's holders, and none is too common to be used. Each pair is aligned with patience diff (anchors are lines that are
-unique in both, in longest increasing order, then between anchors). Where that leaves a line that the earlier document holds
-(repeated lines, blocks in another order), all longest common blocks are taken, by a suffix automaton in linear time. Common
-blocks are deleted from the later document.
+square of a mark's holders, and none is too common to be used. A pair carries only those lines of its earlier document that the
+two share marks on, in order and with a gap between runs: no long document is copied to each of its many partners. Each pair is
+aligned with patience diff (anchors are lines that are unique in both, in longest increasing order, then between anchors). Where
+that leaves a line that the earlier document holds (repeated lines, blocks in another order), all longest common blocks are
+taken, by a suffix automaton in linear time. Common blocks are deleted from the later document.
 
-Earlier means a smaller doc_id. Line keys are MD5 digests, counted with partial aggregation; joins on them and on partners may
+Earlier means a smaller doc_id. Line keys are MD5 digests, counted with partial aggregation; the joins on them and on documents may
 be hot and are plain sort-merge joins that adaptive execution splits.
 
 Defined results: null or empty text has no lines and stays as it is. Rows with a null doc_id stay as they are. Rows that
@@ -177,40 +178,55 @@ def common_blocks(early: list, late: list, words: list[int], min_words: int) ->
 
 
 def _own_lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, keys and words of its lines, and keys of its marks of several lines."""
+    """doc_id, keys and words of its lines, and its distinct marks: digest, first line, and, of several lines, their keys."""
 
     def run(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = [line_keys(raw) for raw in byte_column(b.column(1))]
-            wide = [[hashlib.md5(b"".join(k[x:y])).digest() for x, y in marks(w, min_words) if y - x > 1] for k, w, _ in got]
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), *(pa.array(v, f.type) for v, f in zip(([k for k, _, _ in got], [w for _, w, _ in got], wide), list(schema)[1:]))], schema=schema)
+            runs = [[(k[x], x, None) if y - x == 1 else (hashlib.md5(run := b"".join(k[x:y])).digest(), x, run) for x, y in sorted(marks(w, min_words), reverse=True)] for k, w, _ in got]
+            held = [[{"key": key, "at": x, "run": run} for key, (x, run) in {key: (x, run) for key, x, run in r}.items()] for r in runs]
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), *(pa.array(v, f.type) for v, f in zip(([k for k, _, _ in got], [w for _, w, _ in got], held), list(schema)[1:]))], schema=schema)
 
     d = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return map_arrow(d, run, "doc_id bigint, keys array<binary>, words array<int>, wide array<binary>")
+    return map_arrow(d, run, "doc_id bigint, keys array<binary>, words array<int>, marks array<struct<key:binary,at:int,run:binary>>")
+
+
+def restricted(runs: list[dict]) -> list:
+    """The lines of the runs of a document in order, each once, with None where lines between them are left out."""
+    lines: dict[int, bytes] = {}
+    for r in runs:
+        for i in range(0, len(r["run"]), 16):
+            lines[r["at"] + i // 16] = r["run"][i : i + 16]
+    out: list = []
+    last = None
+    for at in sorted(lines):
+        if last is not None and at > last + 1:
+            out.append(None)
+        out.append(lines[at])
+        last = at
+    return out
 
 
 def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, partners, ranges of non-blank line numbers to delete; only documents that lose lines."""
     own = materialise(_own_lines(docs, min_words), "line-keys")
-    single = F.filter("keys", lambda _, i: F.get("words", i) >= min_words)
-    lines = own.select("doc_id", F.explode(F.array_distinct(F.concat(single, "wide"))).alias("key"))
-    firsts = lines.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("key", "first")
+    held = own.select("doc_id", F.explode("marks").alias("m"))
+    firsts = held.groupBy("m.key").agg(F.min(F.struct("doc_id", "m.at", "m.run")).alias("first"), F.max("doc_id").alias("last")).where("first.doc_id < last").select("key", "first")
     firsts = materialise(firsts, "line-firsts")  # read back, both sides of the join are exchanged, so that hot marks can be split
-    pairs = lines.join(firsts, "key").where("first < doc_id").select("doc_id", "first").distinct()
-    early = own.select(F.col("doc_id").alias("first"), F.col("keys").alias("early")).distinct()
-    both = pairs.join(early, "first").join(own.drop("wide"), "doc_id")
+    pairs = held.select("doc_id", "m.key").join(firsts, "key").where("first.doc_id < doc_id").groupBy("doc_id", F.col("first.doc_id").alias("first")).agg(F.collect_set(F.struct("first.at", F.coalesce("first.run", "key").alias("run"))).alias("runs"))
+    both = pairs.join(own.drop("marks"), "doc_id")
 
     def align(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for doc, first, e, k, w in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                cut = common_blocks(e, k, w, min_words)
+            for doc, first, runs, k, w in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                cut = common_blocks(restricted(runs), k, w, min_words)
                 if cut:
                     rows.append((doc, hashlib.md5(b"".join(k)).digest(), first, [{"a": x, "b": y} for x, y in cut]))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    cuts = map_arrow(both.select("doc_id", "first", "early", "keys", "words"), align, "doc_id bigint, own binary, first bigint, cuts array<struct<a:int,b:int>>")
+    cuts = map_arrow(both.select("doc_id", "first", "runs", "keys", "words"), align, "doc_id bigint, own binary, first bigint, cuts array<struct<a:int,b:int>>")
     return cuts.groupBy("doc_id", "own").agg(F.array_sort(F.collect_set("first")).alias("partners"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("cuts")))).alias("cuts"))
 
 
@@ -231,8 +247,11 @@ def cut_text(raw: bytes, own: bytes, cuts: list[dict]) -> tuple[bytes, int, int]
     return b"\n".join([x for i, x in enumerate(lines) if i not in gone]), n, lost
 
 
-def dedup(docs: DataFrame, min_words: int = MIN_WORDS, report: bool = False) -> DataFrame:
-    """docs with shortened texts; with report also lines_removed, words_removed, partners."""
+def dedup(docs: DataFrame, min_words: int = MIN_WORDS, report: bool = False, keep_emptied: bool = True) -> DataFrame:
+    """docs with shortened texts; with report also lines_removed, words_removed, partners.
+
+    Without keep_emptied, rows that lost lines and have only blank ones left go.
+    """
     cols = docs.columns
     cuts = removals(docs, min_words).groupBy("doc_id").agg(F.collect_list(F.struct(F.col("own").alias("_own"), F.col("cuts").alias("_cuts"), F.col("partners").alias("_partners"))).alias("alls"))
     cuts = cuts.select(F.struct("doc_id", "alls").alias(extra := fresh("cuts", cols)))  # one column, of a name that docs has not
@@ -241,7 +260,7 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, report: bool = False) ->
 
     def run(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, lines, words, partners = [], [], [], []
+            texts, lines, words, partners, stays = [], [], [], [], []
             nulls = b.column(at).is_null().to_pylist()
             for raw, null, alls in zip(byte_column(b.column(at)), nulls, b.column(len(cols)).to_pylist(), strict=True):
                 new, n, w, own = raw, 0, 0, []
@@ -251,6 +270,7 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, report: bool = False) ->
                         own = x["_partners"]
                         break
                 texts.append(None if null else new)
+                stays.append(keep_emptied or not n or bool(new.strip()))
                 lines.append(n)
                 words.append(w)
                 partners.append(own)
@@ -258,7 +278,8 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, report: bool = False) ->
             out[at] = pa.array(texts, pa.binary()).cast(schema.field(at).type)
             if report:
                 out += [pa.array(lines, pa.int64()), pa.array(words, pa.int64()), pa.array(partners, schema.field(len(cols) + 2).type)]
-            yield pa.RecordBatch.from_arrays(out, schema=schema)
+            whole = pa.RecordBatch.from_arrays(out, schema=schema)
+            yield whole if keep_emptied else whole.filter(pa.array(stays, pa.bool_()))
 
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import ArrayType, LongType, StructType
