@@ -9,13 +9,15 @@ the smaller slack of prefix shingles. Then:
 2. Groups of similar documents: a class's group is its most widely shared prefix shingle, split into parts of about CHUNK.
 3. Each group's classes are first compared with its hub, the class with most shared shingles; what links is one component
    already, so families of near copies need no comparison of all their pairs.
-4. Token-group matrix: the distinct (shingle, group) rows are each group's token union. A class's overlap with a group's union
-   is counted by a join; only groups that reach the bound, and hold a component larger than the class's own, are opened.
+4. Token-group matrix: the distinct (shingle, group) rows are each group's token union. Shingles that one component alone holds
+   are left out, since a link that is still missing joins two. A class's overlap with a group's union is counted by a join; only
+   groups that reach the bound, and hold a component larger than the class's own, are opened.
 5. Opened groups count the overlap of the query with all their members through an inverted index of the whole sets, and give
    every link that joins components. Groups with many queries are salted.
 6. Connected components of the links.
 
-Nothing is capped or sampled: the frequent shingles (a bounded list) only decide the order, and any order is exact.
+Nothing is capped or sampled: the frequent shingles (a bounded list) only decide the order, and any order is exact. A class is
+named by a 64-bit hash of its set and checked by a second one: where sets share a name, it is replaced by the second hash.
 
 Defined results: null or empty text, or blanks alone, has no shingle and is its own component. A text of fewer words than the
 shingle has its whole sequence as one shingle. Equal doc_ids count as one node for component ids; each row stays. Null doc_id
@@ -42,6 +44,7 @@ FREQUENT_LEAST = 8  # occurrences in COUNTED shingles to be counted at all
 COUNTED = 4_000_000
 QUERIES = 2048  # of a group in one task
 KNOWN = 2_000_000  # classes whose ids are broadcast to thin out step 3's exchange; beyond, all go
+MOST_TAKEN = 10_000  # names that several sets share; more raise an error
 TEXT_BYTES = 4 << 20  # of texts worked on at a time
 
 
@@ -56,14 +59,15 @@ def _parts(b: pa.RecordBatch) -> Iterator[tuple[list, list[bytes]]]:
     yield ids[lo:], texts[lo:]
 
 
-def class_ids(h: np.ndarray, st: np.ndarray) -> np.ndarray:
-    """64-bit ids of sorted sets: equal sets, equal ids; empty sets 0."""
+def class_ids(h: np.ndarray, st: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit ids of sorted sets: equal sets, equal ids; empty sets 0."""
     n = np.diff(st)
-    out = np.zeros(len(n), np.uint64)
     full = np.flatnonzero(n)
-    if len(full):
-        out[full] = _mix(np.add.reduceat(_mix(h ^ np.uint64(0x2545F4914F6CDD1D)), st[:-1][full]) ^ (n[full].astype(np.uint64) << np.uint64(40)))
-    return out.view(np.int64)
+    out = np.zeros((2, len(n)), np.uint64)
+    for own, seed in zip(out, (0x2545F4914F6CDD1D, 0x9E6C63D0876A9A47), strict=True):
+        if len(full):
+            own[full] = _mix(np.add.reduceat(_mix(h ^ np.uint64(seed)), st[:-1][full]) ^ (n[full].astype(np.uint64) << np.uint64(40)))
+    return out[0].view(np.int64), out[1].view(np.int64)
 
 
 def frequent(docs: DataFrame, width: int) -> np.ndarray:
@@ -96,8 +100,8 @@ def need(n: Column, percent: int) -> Column:
     return F.ceil(n * percent / F.lit(100))
 
 
-def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n, class, and the prefix of each class where a task sees it first."""
+def _sets(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, np.ndarray]:
+    """(doc_id, n, class, and the prefix of each class where a task sees it first; names that several sets had, now replaced)."""
     common = docs.sparkSession.sparkContext.broadcast(frequent(docs, width))
 
     def run(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -105,7 +109,7 @@ def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
         for b in batches:
             for ids, texts in _parts(b):
                 h, st = shingle_sets(texts, width)
-                cls, n = class_ids(h, st), np.diff(st)
+                (cls, check), n = class_ids(h, st), np.diff(st)
                 if len(late):
                     at = np.minimum(np.searchsorted(late, h), len(late) - 1)
                     hot = late[at] == h
@@ -113,15 +117,22 @@ def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     h = h[order]
                 size = np.minimum(n, n - (-(-n * percent // 100)) + np.ceil(n * SLACK).astype(np.int64))
                 prefix = []
-                for i, c in enumerate(cls.tolist()):
+                for i, c in enumerate(zip(cls.tolist(), check.tolist(), strict=True)):
                     if not n[i] or c in seen:
                         prefix.append(None)
                     else:
                         seen.add(c)
                         prefix.append(h[st[i] : st[i] + size[i]].view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n), pa.array(cls), pa.array(prefix, schema.field(3).type)], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n), pa.array(cls), pa.array(check), pa.array(prefix, schema.field(4).type)], schema=schema)
 
-    return materialise(map_arrow(docs, run, "doc_id bigint, n bigint, class bigint, prefix array<bigint>"), "jaccard-sets")
+    sets = materialise(map_arrow(docs, run, "doc_id bigint, n bigint, class bigint, check bigint, prefix array<bigint>"), "jaccard-sets")
+    names = sets.where("n > 0").groupBy("class").agg(F.min("check").alias("lo"), F.max("check").alias("hi")).where("lo < hi").select("class")
+    taken = np.sort(np.array([r["class"] for r in names.limit(MOST_TAKEN + 1).collect()], np.int64))
+    if len(taken) > MOST_TAKEN:  # about the square of the number of classes over 2**65 are expected
+        raise RuntimeError("too many sets share a 64-bit name")
+    if len(taken):
+        sets = sets.withColumn("class", F.when(F.col("class").isin(taken.tolist()), F.col("check")).otherwise(F.col("class")))
+    return sets.drop("check"), taken
 
 
 def _shared(sets: DataFrame) -> DataFrame:
@@ -158,7 +169,7 @@ def _least(n: Column, percent: int) -> Column:
 def links(docs: DataFrame, width: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
     """(sets: doc_id, n, class; edges: u, v between classes, enough of them to connect every two that link)."""
     d = docs_of(docs)
-    sets = _sets(d, width, percent)
+    sets, taken = _sets(d, width, percent)
     shared = materialise(_shared(sets), "jaccard-shared")
     busy = shared.groupBy("class").agg(F.count("*").alias("tokens"), F.first("n").alias("n")).where(F.col("tokens") >= _least(F.col("n"), percent))
     shared = materialise(shared.join(busy.select("class", "tokens"), "class"), "jaccard-matrix")
@@ -168,13 +179,15 @@ def links(docs: DataFrame, width: int = 4, percent: int = 85) -> tuple[DataFrame
     home = shared.join(held, "token").groupBy("class").agg(F.max(F.struct("m", "token")).alias("best"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     home = home.select("class", "n", "tokens", F.col("best.token").alias("home"))
     home = materialise(home, "jaccard-homes")
-    stats = materialise(home.groupBy("home").agg(F.count("*").alias("members"), F.max(F.struct("tokens", "class")).alias("hub")), "jaccard-stats")
-    placed = home.join(stats, "home").select("class", "n", "home", "members", F.col("hub.class").alias("hub"), F.xxhash64("home", F.pmod(F.xxhash64("class"), F.ceil(F.col("members") / CHUNK))).alias("gid"))
+    stats = materialise(home.groupBy("home").agg(F.count("*").alias("members"), F.max(F.struct("tokens", "class", "n")).alias("hub")), "jaccard-stats")
+    placed = home.join(stats, "home").select("class", "n", "home", "members", F.col("hub.class").alias("hub"), F.col("hub.n").alias("hub_n"), F.xxhash64("home", F.pmod(F.xxhash64("class"), F.ceil(F.col("members") / CHUNK))).alias("gid"))
     placed = materialise(placed, "jaccard-groups")
 
-    texts = materialise(_texts(d, placed, width), "jaccard-texts")  # class, blob
-    with_hub = placed.where("members > 1 AND class <> hub").select("class", "n", "hub").join(texts, "class")
-    hubs = placed.where("class = hub").select(F.col("class").alias("hub"), F.col("n").alias("hub_n")).join(texts.select(F.col("class").alias("hub"), F.col("blob").alias("hub_blob")), "hub")
+    texts = materialise(_texts(d, placed, width, taken), "jaccard-texts")  # class, blob
+    # Only sets of like sizes can link, so what a hub adds to a row is no longer than the row's own text by much.
+    alike = (F.col("n") * 100 >= F.col("hub_n") * percent) & (F.col("hub_n") * 100 >= F.col("n") * percent)
+    with_hub = placed.where("members > 1 AND class <> hub").where(alike).select("class", "hub").join(texts, "class")
+    hubs = placed.where("class = hub").select(F.col("class").alias("hub")).join(texts.select(F.col("class").alias("hub"), F.col("blob").alias("hub_blob")), "hub")
     near = materialise(map_arrow(with_hub.join(hubs, "hub").select("class", "blob", "hub", "hub_blob"), _compare(width, percent), "u bigint, v bigint"), "jaccard-hubs")
 
     comp = placed.join(near.select(F.col("u").alias("class"), F.col("v").alias("linked")), "class", "left").withColumn("comp", F.coalesce("linked", "class"))
@@ -183,8 +196,12 @@ def links(docs: DataFrame, width: int = 4, percent: int = 85) -> tuple[DataFrame
     comp = comp.join(sizes, "comp").select("class", "n", "gid", F.struct("size", "comp").alias("rank"))
     comp = materialise(comp, "jaccard-ranks")
     groups = materialise(comp.groupBy("gid").agg(F.max("rank").alias("top"), F.max("n").alias("largest"), F.min("n").alias("least")), "jaccard-bounds")
-    matrix = shared.select("token", "class").join(comp.select("class", "gid"), "class").select("token", "gid").distinct()
-    hits = shared.select("token", F.col("class").alias("query")).join(matrix, "token").groupBy("query", "gid").agg(F.count("*").alias("overlap"))
+    placed_tokens = shared.select("token", "class").join(comp.select("class", "gid", F.col("rank.comp").alias("comp")), "class")
+    bridges = placed_tokens.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
+    bridges = materialise(bridges, "jaccard-bridges")
+    between = materialise(placed_tokens.select("token", "class", "gid").join(bridges, "token"), "jaccard-between")
+    matrix = materialise(between.select("token", "gid").distinct(), "jaccard-union")
+    hits = between.select("token", F.col("class").alias("query")).join(matrix, "token").groupBy("query", "gid").agg(F.count("*").alias("overlap"))
     own = comp.select(F.col("class").alias("query"), F.col("n").alias("query_n"), F.col("rank").alias("query_rank"))
     asked = hits.join(own, "query").where(F.col("overlap") >= _least(F.col("query_n"), percent)).join(groups, "gid")
     asked = asked.where((F.col("top") > F.col("query_rank")) & (F.col("largest") * 100 >= F.col("query_n") * percent) & (F.col("query_n") * 100 >= F.col("least") * percent))
@@ -198,7 +215,7 @@ def links(docs: DataFrame, width: int = 4, percent: int = 85) -> tuple[DataFrame
     return sets.select("doc_id", "n", "class"), near.unionByName(found)
 
 
-def _texts(d: DataFrame, placed: DataFrame, width: int) -> DataFrame:
+def _texts(d: DataFrame, placed: DataFrame, width: int, taken: np.ndarray) -> DataFrame:
     """(class, blob): a compressed text of each placed class."""
     known = None
     if placed.count() <= KNOWN:
@@ -210,7 +227,8 @@ def _texts(d: DataFrame, placed: DataFrame, width: int) -> DataFrame:
         z, seen = zstandard.ZstdCompressor(level=3), set()
         for b in batches:
             for _, texts in _parts(b):
-                cls = class_ids(*shingle_sets(texts, width))
+                cls, check = class_ids(*shingle_sets(texts, width))
+                cls = np.where(np.isin(cls, taken), check, cls)
                 if known is not None and len(known.value):
                     at = np.minimum(np.searchsorted(known.value, cls), len(known.value) - 1)
                     pick = np.flatnonzero(known.value[at] == cls)
