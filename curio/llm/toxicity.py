@@ -29,10 +29,8 @@ from pyspark.sql import functions as F
 from curio.llm.common import byte_column, docs_of, map_arrow, materialise
 
 FIT_ROWS = 20_000
-CANDIDATES = 50_000  # word beginnings whose clean frequency is counted
-LEARNED = 600
-MIN_TOXIC = 4
-MIN_RATIO = 6.0
+MIN_TOXIC = 4  # sampled toxic documents that hold a feature, for it to be tested
+MIN_RATIO = 6.0  # how much likelier a learned feature is in toxic documents, at least
 CHANCE = 0.1  # expected number of learned features that are there by chance
 THRESHOLD = 0.3
 ROOT = 4  # bytes of the shortest learned word beginning
@@ -124,38 +122,36 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def _tally(rows: DataFrame, toxic: bool, only: frozenset | None) -> dict[bytes, int]:
-    """Documents per feature; the CANDIDATES most frequent ones."""
+def _tally(sample: DataFrame) -> DataFrame:
+    """Per feature the numbers of toxic (t) and of clean (c) documents that hold it; those of at least MIN_TOXIC toxic ones."""
 
     def run(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        table: Counter[bytes] = Counter()
+        tables: tuple[Counter[bytes], Counter[bytes]] = Counter(), Counter()
         for b in batches:
-            for raw in byte_column(b.column(0)):
-                got = marks(set(words_of(raw)))
-                table.update(got if only is None else got & only)
-        yield pa.RecordBatch.from_arrays([pa.array(list(table), schema.field(0).type), pa.array(list(table.values()), pa.int64())], schema=schema)
+            for raw, toxic in zip(byte_column(b.column(0)), b.column(1).to_pylist(), strict=True):
+                tables[toxic].update(marks(set(words_of(raw))))
+        for toxic, table in enumerate(tables):
+            n = pa.array(list(table.values()), pa.int64())
+            none = pa.array([0] * len(n), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(list(table), schema.field(0).type), n if toxic else none, none if toxic else n], schema=schema)
 
-    sums = map_arrow(rows.where(F.col("toxic") == int(toxic)).select("text"), run, "k binary, n bigint").groupBy("k").agg(F.sum("n").alias("n"))
-    return {bytes(r.k): r.n for r in sums.where(F.col("n") >= (MIN_TOXIC if toxic else 1)).orderBy(F.desc("n"), "k").limit(CANDIDATES).collect()}
+    sums = map_arrow(sample.select("text", "toxic"), run, "k binary, t bigint, c bigint").groupBy("k").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+    return sums.where(F.col("t") >= MIN_TOXIC)
 
 
 def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> dict[bytes, tuple[int, float]]:
+    """Features that are likelier in toxic documents by more than chance, with tier and log odds: each that passes the test."""
     if not n_toxic or not n_clean:
         return {}
-    toxic = _tally(sample, True, None)
-    clean = _tally(sample, False, frozenset(toxic))
-    found, base, need = [], n_toxic / (n_toxic + n_clean), np.log(max(1, len(toxic)) / CHANCE)
-    for k, t in toxic.items():
-        c = clean.get(k, 0)
-        ratio = ((t + 0.5) / (n_toxic + 1)) / ((c + 0.5) / (n_clean + 1))
-        share = t / (t + c)
-        gain = t * np.log(share / base) + (c * np.log((1 - share) / (1 - base)) if c else 0.0)  # log of the likelihood ratio against the base rate
-        if ratio >= MIN_RATIO and gain >= need:
-            found.append((gain, k, float(np.log(ratio))))
-    found.sort(reverse=True)
-    found = found[:LEARNED]
-    cuts = np.quantile([x[2] for x in found], [1 / 3, 2 / 3]) if found else (0, 0)
-    return {k: (int(odds > cuts[0]) + int(odds > cuts[1]), odds) for _, k, odds in found}
+    tested = materialise(_tally(sample), "toxicity-features")
+    base, need = n_toxic / (n_toxic + n_clean), float(np.log(max(1, tested.count()) / CHANCE))
+    t, c = F.col("t"), F.col("c")
+    ratio = ((t + 0.5) / (n_toxic + 1)) / ((c + 0.5) / (n_clean + 1))
+    share = t / (t + c)
+    gain = t * F.log(share / base) + F.when(c > 0, c * F.log((1 - share) / (1 - base))).otherwise(0.0)  # log of the likelihood ratio against the base rate
+    found = tested.where((ratio >= MIN_RATIO) & (gain >= need)).select("k", F.log(ratio).alias("odds")).orderBy("k").collect()
+    cuts = np.quantile([r.odds for r in found], [1 / 3, 2 / 3]) if found else (0, 0)
+    return {bytes(r.k): (int(r.odds > cuts[0]) + int(r.odds > cuts[1]), r.odds) for r in found}
 
 
 def bits(masks: np.ndarray, k: int) -> np.ndarray:
@@ -255,7 +251,9 @@ def fit(d: DataFrame, labels: DataFrame):
     ddl = "doc_id bigint, mask int, " + ", ".join(f"f{i} double" for i in range(N_REAL))
     seen = materialise(map_arrow(d, look, ddl), "toxicity-votes")
     combos = seen.groupBy("mask").count().collect()  # at most 2**VOTERS rows
-    rows = [(r.mask, *(r[f"f{i}"] for i in range(N_REAL)), r.toxic) for r in seen.join(F.broadcast(chosen), "doc_id").collect()]  # of at most FIT_ROWS documents
+    named = ["mask", *(f"f{i}" for i in range(N_REAL)), "toxic"]
+    picked = seen.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max(F.struct(*named)).alias("x"))  # one row of each doc_id: FIT_ROWS at most
+    rows = [tuple(r) for r in picked.select("x.*").collect()]
     coef = fit_scorer(np.array([r["mask"] for r in combos], np.int64), np.array([r["count"] for r in combos], float), np.array(rows, float).reshape(-1, N_REAL + 2), len(VOTERS))
     return voters, coef, seen
 
