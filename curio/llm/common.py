@@ -16,9 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); a local one only where it is unset."""
+    """The folder that driver and executors share (spark.checkpoint.dir). Where it is unset, a local master gets a folder of its own."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = f"file://{tempfile.mkdtemp(prefix='curio-ckpt-')}"
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
