@@ -18,10 +18,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without blocks that align with an earlier document; n_chars follows the text."""
+    """Texts without blocks that align with an earlier document; n_chars follows the text.
+
+    Documents of which nothing is left, as exact copies, go; those that had no text before stay.
+    """
     from pyspark.sql import functions as F
 
-    out = line_dedup.dedup(docs)
+    out = line_dedup.dedup(docs, keep_emptied=False)
     return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
 
 
