@@ -67,7 +67,8 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from curio.llm import surrogates
 
-    return surrogates.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    key = spark.conf.get("spark.curio.surrogates.key", "registered query")  # a deployment sets a secret of its own
+    return surrogates.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key)
 
 
 QUERIES = {

@@ -1,43 +1,57 @@
 """Surrogates for personal data, with DataFrame functions alone.
 
-Detected: e-mail addresses, telephone numbers, payment cards, IPv4 addresses, IBANs, social security numbers, access keys and
-quoted secrets, and names behind a title. Each entity (type and canonical form) gets one surrogate, drawn by a keyed SHA-256
-hash: same length and character classes, Luhn check digits that stay valid, octets in range, names of the title's gender in
-the name's script. Occurrences in other spellings (case, separators) get the same surrogate in their own spelling.
+Detected: e-mail addresses, telephone numbers (international, and national ones of ten digits), payment cards, IPv4 and IPv6
+addresses, IBANs, social security numbers, access keys, assigned secrets (quoted ones of any characters, unquoted ones that hold
+a digit), and names behind a title. Each entity (type and canonical form) gets one surrogate, drawn by a keyed SHA-256 hash: same
+length and character classes, check digits of cards and IBANs that are valid, octets in range, a telephone number's country.
+
+Names are given and family names, each an entity of its own, whatever the title: a person keeps one name with all titles and by
+the family name alone. Given names match the gender that the titles before them show and the name's script. Where a text has a
+name behind a title, further mentions of that family name in it, with or without the given name, are replaced as well.
 
 Distinctness: surrogates are drawn in rounds. A draw that several entities share goes to the smallest of them, one that equals
 an entity of the corpus or an earlier winner to none; the others draw again. What ROUNDS draws leave gets a tag with 128 bits
-of the hash, which breaks format rather than distinctness. Entities are distinct rows after partial aggregation; hot ones are
-joined by sort-merge joins that adaptive execution splits. Only texts with entities are dealt out.
+of the hash, which breaks format rather than distinctness. Occurrences in other spellings (case, separators, with or without
+country code +1) get the same surrogate in their own spelling; IPv6 addresses are the same only if they are written alike.
+
+Each text is searched once: it is written split at its entities, and put together again from that. Entities are distinct rows
+after partial aggregation; both sides of every join are read from written tables, so adaptive execution can split hot entities
+and hot texts.
 
 Defined results: null text stays null. Repeated rows and keys are treated alike, each row stays. Without entities a text stays
-as it is. Extra columns are kept, but for those named as the added ones. The key is a parameter; one key gives one mapping whatever the order or number of files.
+as it is. Extra columns are kept; the added columns are named pii_count and pii_types, with underscores behind them where docs
+has such columns already. An empty table gives an empty one. The key is a parameter without default; one key gives one mapping
+whatever the order or number of files.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curio.llm.common import materialise
+from curio.llm.common import fresh, materialise
 
 ROUNDS = 6
-OTHER = "OTHER"  # numbers that look like cards but have no valid check digit stay as they are
+SEP, ESCAPED = "\x01", (("\x02", "\x02b"), ("\x01", "\x02a"))  # marks entities; texts that hold it are escaped
 
 # Patterns by type, in order of precedence at a place; no alternative holds a capturing group.
 PATTERNS = {
     "EMAIL": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+)++",
     "KEY": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "SECRET": r"(?<![A-Za-z0-9])(?i:token|secret|password|passwd|api_key|apikey) ?[=:] ?[\"'][^\"'\s]{8,}+(?=[\"'])",
+    "SECRET": r"(?<![A-Za-z0-9])(?i:token|secret|password|passwd|api_key|apikey) ?[=:] ?(?:[\"'][^\"'\s]{8,}+(?=[\"'])|(?=[^\s\"',;<>]*[0-9])[^\s\"',;<>]{7,}[^\s\"',;<>.!?)])",
     "IBAN": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![A-Za-z0-9])",
     "CARD": r"(?<![0-9.-])(?:[0-9]{4}[ -]){3}[0-9]{4}(?![0-9])|(?<![0-9.-])[0-9]{13,19}(?![0-9])",
     "SSN": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "IPV6": r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])",
     "IP": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])",
-    "PHONE": r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])",
+    "PHONE": r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9A-Za-z.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z]|[.-][0-9])",
     "NAME": r"(?<![\p{L}])(?:Mr|Mrs|Ms|Miss|Dr|Herr|Frau|Mme|M|Sr|Sra)\.? \p{Lu}\p{L}{1,30}(?: \p{Lu}\p{L}{1,30})?|(?<![\p{L}])(?:Господин|Госпожа) \p{Lu}\p{L}{1,30}(?: \p{Lu}\p{L}{1,30})?",
 }
 TITLE = r"^((?:Mr|Mrs|Ms|Miss|Dr|Herr|Frau|Mme|M|Sr|Sra)\.? |(?:Господин|Госпожа) )"
-ASSIGNED = r"^((?i:token|secret|password|passwd|api_key|apikey) ?[=:] ?[\"'])"
+ASSIGNED = r"^((?i:token|secret|password|passwd|api_key|apikey) ?[=:] ?[\"']?)"
 ANY = "|".join(PATTERNS.values())
 # What every entity holds at least one of; texts without any of these are not searched.
 SIGNS, WORDS = "[0-9@=:]", ("Mr", "Ms", "Miss", "Dr", "Herr", "Frau", "Mme", "M ", "M. ", "Sr", "Господин", "Госпожа")
@@ -56,24 +70,27 @@ FEMALE, MALE = r"^(?:Mrs|Ms|Miss|Frau|Mme|Sra|Госпожа)", r"^(?:Mr|Herr|M|
 
 
 def kind_of(ent: Column) -> Column:
-    """The type of a matched entity."""
+    """The type of a matched entity; null for numbers that look like cards but have no valid check digit."""
     out = None
     for k, p in PATTERNS.items():
         if k == "SECRET":  # its pattern looks at the quote behind it
             hit = ent.rlike(ASSIGNED)
         else:
             hit = ent.rlike(f"^(?:{p})$")
-        out = F.when(hit, k) if out is None else out.when(hit, k)
-    return out.otherwise(OTHER)
+        what = F.lit(k)
+        if k == "CARD":
+            digits = F.regexp_replace(ent, "[^0-9]", "")
+            what = F.when(_luhn(F.left(digits, F.length(digits) - 1)) == F.right(digits, F.lit(1)), k)
+        out = F.when(hit, what) if out is None else out.when(hit, what)
+    return out
 
 
 def canonical(kind: Column, ent: Column) -> Column:
     digits = F.regexp_replace(ent, r"[^0-9]", "")
-    bare = F.regexp_replace(ent, TITLE, "")
-    gender = F.when(ent.rlike(FEMALE), "f").when(ent.rlike(MALE), "m").otherwise("n")
+    national = (F.length(digits) == 10) & ~ent.startswith("+")  # written without the country code 1
     return (
-        F.when(kind == "EMAIL", F.lower(ent)).when(kind == "PHONE", F.right(digits, F.lit(10))).when(kind.isin("CARD", "SSN"), digits)
-        .when(kind == "IBAN", F.replace(ent, F.lit(" "), F.lit(""))).when(kind == "SECRET", F.regexp_replace(ent, ASSIGNED, "")).when(kind == "NAME", F.concat(gender, F.lit("|"), F.lower(bare))).otherwise(ent)
+        F.when(kind.isin("EMAIL", "IPV6", "GIVEN", "FAMILY"), F.lower(ent)).when(kind == "PHONE", F.when(national, F.concat(F.lit("1"), digits)).otherwise(digits))
+        .when(kind.isin("CARD", "SSN"), digits).when(kind == "IBAN", F.replace(ent, F.lit(" "), F.lit(""))).when(kind == "SECRET", F.regexp_replace(ent, ASSIGNED, "")).otherwise(ent)
     )
 
 
@@ -102,7 +119,15 @@ def _luhn(body: Column) -> Column:
     return F.pmod(-total, F.lit(10)).cast("string")
 
 
-def draw(kind: Column, canon: Column, key: str, attempt: int) -> Column:
+def _iban_check(country: Column, body: Column) -> Column:
+    """The two check digits behind the country: the whole is 1 modulo 97."""
+    digits = lambda s: F.array_join(F.transform(F.split(s, ""), lambda c: F.when(c.between("A", "Z"), (F.ascii(c) - 55).cast("string")).otherwise(c)), "")
+    number = F.concat(digits(body), digits(country), F.lit("00"))
+    rest = F.aggregate(F.split(number, ""), F.lit(0), lambda acc, c: (acc * 10 + F.coalesce(c.try_cast("int"), F.lit(0))) % 97)
+    return F.lpad((98 - rest).cast("string"), 2, "0")
+
+
+def draw(kind: Column, canon: Column, gender: Column, key: str, attempt: int) -> Column:
     """The surrogate, in canonical form, of the given draw."""
     base = F.concat_ws("|", F.lit(key), kind, canon, F.lit(str(attempt)))
     h = F.concat(F.sha2(base, 256), F.sha2(F.concat(base, F.lit("|more")), 256))
@@ -124,14 +149,22 @@ def draw(kind: Column, canon: Column, key: str, attempt: int) -> Column:
             out = F.when(which == k, one) if out is None else out.when(which == k, one)
         return out
 
-    family = F.initcap(F.concat(*[pick(SYLLABLES, script, 2 + i) for i in range(3 + attempt // 2)]))
-    name = F.when(F.instr(canon, " ") > 0, F.concat(pick(GIVEN, F.concat(F.left(canon, F.lit(1)), F.lit("_"), script), 1), F.lit(" "), family)).otherwise(family)
-    name = F.concat(F.left(canon, F.lit(2)), F.lower(name))
-    iban = F.concat(F.left(canon, F.lit(2)), _shift(h, F.substring(canon, F.lit(3), F.length(canon))))
-    key_id = F.concat(F.left(canon, F.lit(4)), _shift(h, F.substring(canon, F.lit(5), F.length(canon))))
+    sound = lambda n, at: F.concat(*[pick(SYLLABLES, script, at + i) for i in range(n)])
+    family = sound(3 + attempt // 2, 2)
+    given = F.lower(pick(GIVEN, F.concat(gender, F.lit("_"), script), 1))
+    if attempt > 1:  # beyond the usual names: made ones, with the gender's ending
+        female = F.when(script == "cyrillic", "а").otherwise("a")
+        given = F.concat(sound(attempt, 12), F.when(gender == "f", female).when(gender == "m", F.when(script == "cyrillic", "ий").otherwise("o")).otherwise(F.when(script == "cyrillic", "и").otherwise("i")))
+    tail = F.substring(canon, F.lit(5), F.length(canon))
+    country = F.left(canon, F.lit(2))
+    drawn = _shift(h, tail)
+    iban = F.concat(country, _iban_check(country, drawn), drawn)
+    key_id = F.concat(F.left(canon, F.lit(4)), drawn)
+    zone = F.when(F.left(canon, F.lit(1)).isin("1", "7"), 1).otherwise(2)  # digits of the country code that stay
+    phone = F.concat(F.left(canon, zone), _shift(h, F.substring(canon, zone + 1, F.length(canon))))
     return (
-        F.when(kind == "EMAIL", email).when(kind == "CARD", card).when(kind == "IP", ip).when(kind == "NAME", name)
-        .when(kind == "IBAN", iban).when(kind == "KEY", key_id).when(kind == "SECRET", secret).otherwise(_shift(h, canon))
+        F.when(kind == "EMAIL", email).when(kind == "CARD", card).when(kind == "IP", ip).when(kind == "IPV6", _shift(h, canon, 6)).when(kind == "GIVEN", given).when(kind == "FAMILY", family)
+        .when(kind == "IBAN", iban).when(kind == "KEY", key_id).when(kind == "SECRET", secret).when(kind == "PHONE", phone).otherwise(_shift(h, canon))
     )
 
 
@@ -144,23 +177,21 @@ def render(kind: Column, ent: Column, surrogate: Column) -> Column:
         return F.when(c.rlike("[0-9A-Z]") & (left <= F.length(surrogate)), F.substring(surrogate, F.length(surrogate) - left + 1, F.lit(1))).otherwise(c)
 
     laid = F.array_join(F.transform(F.split(ent, ""), place), "")
-    words = F.initcap(F.substring(surrogate, F.lit(3), F.length(surrogate)))
-    title = F.regexp_extract(ent, TITLE, 1)
-    loud = F.regexp_replace(ent, TITLE, "").rlike(r"^[^\p{Ll}]+$")
+    loud = ent.rlike(r"^[^\p{Ll}]{2,}$")
     return (
-        F.when(surrogate.startswith("[") & (kind != "SECRET"), surrogate).when(kind == "EMAIL", F.array_join(same_case, "")).when(kind.isin("PHONE", "CARD", "SSN", "IBAN"), laid)
-        .when(kind == "SECRET", F.concat(F.regexp_extract(ent, ASSIGNED, 1), surrogate)).when(kind == "NAME", F.concat(title, F.when(loud, F.upper(words)).otherwise(words))).otherwise(surrogate)
+        F.when(surrogate.startswith("[") & (kind != "SECRET"), surrogate).when(kind.isin("EMAIL", "IPV6"), F.array_join(same_case, "")).when(kind.isin("PHONE", "CARD", "SSN", "IBAN"), laid)
+        .when(kind == "SECRET", F.concat(F.regexp_extract(ent, ASSIGNED, 1), surrogate)).when(kind.isin("GIVEN", "FAMILY"), F.when(loud, F.upper(surrogate)).otherwise(F.initcap(surrogate))).otherwise(surrogate)
     )
 
 
 def assign(entities: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
-    """(kind, canon, surrogate) for distinct (kind, canon), by draws with collision checks."""
-    left = materialise(entities, "pii-entities")
-    everyone, won = left, None
+    """(kind, canon, surrogate) for distinct (kind, canon), by draws with collision checks; a column gender is for given names."""
+    left = materialise(entities if "gender" in entities.columns else entities.withColumn("gender", F.lit("n")), "pii-entities")
+    everyone, won = left.select("kind", F.col("canon").alias("surrogate")), None
     for attempt in range(rounds):
-        drawn = left.withColumn("surrogate", draw(F.col("kind"), F.col("canon"), key, attempt))
+        drawn = left.select("kind", "canon", draw(F.col("kind"), F.col("canon"), F.col("gender"), key, attempt).alias("surrogate"))
         winners = drawn.groupBy("kind", "surrogate").agg(F.min("canon").alias("canon"))
-        winners = winners.join(everyone.withColumnRenamed("canon", "surrogate"), ["kind", "surrogate"], "left_anti")
+        winners = winners.join(everyone, ["kind", "surrogate"], "left_anti")
         if won is not None:
             winners = winners.join(won.select("kind", "surrogate"), ["kind", "surrogate"], "left_anti")
         winners = materialise(winners.select("kind", "canon", "surrogate"), "pii-drawn")
@@ -169,33 +200,92 @@ def assign(entities: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
         if left.isEmpty():
             return won
     tag = F.concat(F.lit("["), F.col("kind"), F.lit("-"), F.left(F.sha2(F.concat_ws("|", F.lit(key), "kind", "canon"), 256), F.lit(32)), F.lit("]"))
-    return won.unionByName(left.withColumn("surrogate", tag))
+    return won.unionByName(left.select("kind", "canon", tag.alias("surrogate")))
 
 
-def pseudonymise(docs: DataFrame, key: str = "corpus", text: str = "text") -> DataFrame:
-    """docs with surrogates in their texts, and columns pii_count and pii_types (types of the entities in order)."""
-    cols = [c for c in docs.columns if c not in ("pii_count", "pii_types")]
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col(text).alias("t"))
-    likely = F.col("t").rlike(SIGNS)
+def _split(t: Column) -> Column:
+    """Text, entity, text, entity, ..., text: the one search of the patterns. Null where the text has no entity."""
+    likely = t.rlike(SIGNS)
     for w in WORDS:
-        likely = likely | F.contains("t", F.lit(w))
-    packed = packed.withColumn("ents", F.when(likely, F.regexp_extract_all("t", F.lit(ANY), F.lit(0))))
-    none = packed.where(F.coalesce(F.size("ents"), F.lit(0)) <= 0)
-    some = packed.where(F.size("ents") > 0).withColumn("id", F.sha2("t", 256))
-    found = some.select("id", F.posexplode("ents").alias("at", "ent")).distinct()
-    found = found.withColumn("kind", kind_of(F.col("ent")))
-    found = found.withColumn("canon", canonical(F.col("kind"), F.col("ent")))
-    valid = _luhn(F.left("canon", F.length("canon") - 1)) == F.right("canon", F.lit(1))
-    found = materialise(found.withColumn("kind", F.when((F.col("kind") == "CARD") & ~valid, OTHER).otherwise(F.col("kind"))), "pii-found")
-    real = found.where(F.col("kind") != OTHER)
-    known = assign(real.select("kind", "canon").distinct(), key)
-    named = real.join(known, ["kind", "canon"]).select("id", "at", "kind", render(F.col("kind"), F.col("ent"), F.col("surrogate")).alias("new"))
-    named = named.unionByName(found.where(F.col("kind") == OTHER).select("id", "at", "kind", F.col("ent").alias("new")))
-    per_text = named.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("at", "kind", "new"))).alias("new"))
-    parts = F.split("t", ANY, -1)
-    woven = F.concat(parts[0], F.array_join(F.transform("new", lambda x, i: F.concat(x["new"], parts[i + 1])), ""))
-    done = some.join(per_text, "id").select("row", woven.alias("t"), F.filter(F.transform("new", lambda x: x["kind"]), lambda k: k != OTHER).alias("pii_types"))
-    done = done.withColumn("pii_count", F.size("pii_types").cast("bigint"))
-    rest = none.select("row", "t", F.lit(0).cast("bigint").alias("pii_count"), F.array().cast("array<string>").alias("pii_types"))
-    both = done.unionByName(rest)
-    return both.select(*[F.col("t").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in cols], "pii_count", "pii_types")
+        likely = likely | F.contains(t, F.lit(w))
+    odd = F.contains(t, F.lit("\x01")) | F.contains(t, F.lit("\x02"))
+    swap = lambda x, pairs: reduce(lambda y, p: F.replace(y, F.lit(p[0]), F.lit(p[1])), pairs, x)
+    escaped = swap(t, ESCAPED)
+    marked = F.regexp_replace(F.when(odd, escaped).otherwise(t), f"(?:{ANY})", f"{SEP}$0{SEP}")
+    parts = F.split(F.when(likely, marked), SEP, -1)
+    return F.when(F.size(parts) > 1, F.when(odd, F.transform(parts, lambda x: swap(x, [(code, sign) for sign, code in reversed(ESCAPED)]))).otherwise(parts))
+
+
+def _item(lead: Column, kind: Column | str | None, ent: Column, gender: Column | None = None) -> Column:
+    """An entity with the text before it."""
+    k = F.lit(kind) if not isinstance(kind, Column) else kind
+    g = gender if gender is not None else F.lit(None)
+    return F.struct(lead.alias("lead"), k.cast("string").alias("kind"), ent.alias("ent"), g.cast("string").alias("gender"))
+
+
+def _named(lead: Column, name: Column, gender: Column | None = None) -> Column:
+    """Items of a name of one or two words."""
+    given, family = F.substring_index(name, " ", 1), F.substring_index(name, " ", -1)
+    return F.when(F.contains(name, F.lit(" ")), F.array(_item(lead, "GIVEN", given, gender), _item(F.lit(" "), "FAMILY", family))).otherwise(F.array(_item(lead, "FAMILY", name)))
+
+
+def _pairs(parts: Column, make: Callable[[Column, Column], Column]) -> Column:
+    """What make gives for each entity of split text and the text before it."""
+    none = F.slice(F.array(make(F.lit(""), F.lit(""))), 1, 0)
+    return F.when(F.size(parts) > 2, F.transform(F.sequence(F.lit(1), F.size(parts) - 2, F.lit(2)), lambda i: make(F.get(parts, i - 1), F.get(parts, i)))).otherwise(none)
+
+
+def items(parts: DataFrame) -> DataFrame:
+    """Adds column items to rows with parts: every entity with the text before it, and the text behind the last one."""
+    typed = parts.withColumn("typed", _pairs(F.col("parts"), lambda lead, ent: F.struct(lead.alias("lead"), kind_of(ent).alias("kind"), ent.alias("ent"))))
+
+    def expand(x: Column) -> Column:
+        title = F.regexp_extract(x["ent"], TITLE, 1)
+        gender = F.when(title.rlike(FEMALE), "f").when(title.rlike(MALE), "m")
+        return F.when(x["kind"] == "NAME", _named(F.concat(x["lead"], title), F.regexp_replace(x["ent"], TITLE, ""), gender)).otherwise(F.array(_item(x["lead"], x["kind"], x["ent"])))
+
+    rest = F.array(_item(F.element_at("parts", -1), None, F.lit("")))
+    found = typed.withColumn("items", F.concat(F.flatten(F.transform("typed", expand)), rest)).drop("typed")
+
+    # Further mentions, in the texts between, of the family names that stand behind a title.
+    words = lambda kind: F.array_distinct(F.flatten(F.transform(F.filter("items", lambda x: x["kind"] == kind), lambda x: F.array(x["ent"], F.initcap(x["ent"]), F.upper(x["ent"])))))
+    found = found.withColumn("given", words("GIVEN")).withColumn("family", words("FAMILY"))
+    first = F.when(F.size("given") > 0, F.concat(F.lit("(?:(?:"), F.array_join("given", "|"), F.lit(") )?"))).otherwise("")
+    found = found.withColumn("mention", F.when(F.size("family") > 0, F.concat(F.lit(r"(?<!\p{L})"), first, F.lit("(?:"), F.array_join("family", "|"), F.lit(r")(?!\p{L})"))))
+
+    def again(x: Column) -> Column:
+        inner = F.split(F.regexp_replace(x["lead"], F.col("mention"), F.lit(f"{SEP}$0{SEP}")), SEP, -1)
+        more = F.concat(F.flatten(_pairs(inner, _named)), F.array(_item(F.element_at(inner, -1), x["kind"], x["ent"], x["gender"])))
+        return F.when(F.contains(x["lead"], F.lit(SEP)), F.array(x)).otherwise(more)
+
+    return found.withColumn("items", F.when(F.col("mention").isNull(), F.col("items")).otherwise(F.flatten(F.transform("items", again)))).drop("given", "family", "mention", "parts")
+
+
+def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """docs with surrogates in their texts, and columns pii_count and pii_types (types of the entities in order)."""
+    cols = docs.columns
+    count, types = fresh("pii_count", cols), fresh("pii_types", cols)
+    others = [c for c in cols if c != text]
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)], F.lit(None).cast("boolean").alias("end"))
+    packed = docs.select(row.alias("row"), F.col(f"`{text}`").alias("t")).withColumn("parts", _split(F.col("t").cast("string")))
+    packed = packed.select("row", F.when(F.col("parts").isNull(), F.col("t")).alias("t"), F.when(F.col("parts").isNotNull(), F.sha2(F.col("t").cast("string"), 256)).alias("id"), "parts")
+    packed = materialise(packed, "pii-split")
+    some = materialise(items(packed.where(F.col("id").isNotNull()).select("row", "id", "parts")), "pii-items")
+    found = some.select("id", F.posexplode("items").alias("at", "x")).select("id", "at", "x.kind", "x.ent", "x.gender").distinct()
+    found = materialise(found.withColumn("canon", canonical(F.col("kind"), F.col("ent"))), "pii-found")
+    real = found.where(F.col("kind").isNotNull())
+    shown = lambda g: F.max(F.coalesce(F.col("gender") == g, F.lit(False)))
+    entities = real.groupBy("kind", "canon").agg(shown("f").alias("f"), shown("m").alias("m"))
+    entities = entities.select("kind", "canon", F.when(F.col("f") & ~F.col("m"), "f").when(F.col("m") & ~F.col("f"), "m").otherwise("n").alias("gender"))
+    known = assign(entities, key)
+    named = real.join(known, ["kind", "canon"]).select("id", "at", render(F.col("kind"), F.col("ent"), F.col("surrogate")).alias("new"))
+    named = named.unionByName(found.where(F.col("kind").isNull()).select("id", "at", F.col("ent").alias("new")))
+    per_text = named.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "new"))), lambda x: x["new"]).alias("new"))
+    per_text = materialise(per_text, "pii-new")  # read back, so that a text of many rows can be split in the join
+    woven = F.array_join(F.transform("items", lambda x, i: F.concat(x["lead"], F.get("new", i))), "")
+    counted = F.transform(F.filter("items", lambda x: x["kind"] != "GIVEN"), lambda x: F.when(x["kind"] == "FAMILY", "NAME").otherwise(x["kind"]))
+    done = some.join(per_text, "id").select("row", woven.alias("t"), counted.alias(types))
+    done = done.select("row", "t", F.size(types).cast("bigint").alias(count), types)
+    rest = packed.where(F.col("id").isNull()).select("row", "t", F.lit(0).cast("bigint").alias(count), F.array().cast("array<string>").alias(types))
+    at = {c: i for i, c in enumerate(others)}
+    return done.unionByName(rest).select(*[F.col("t").alias(c) if c == text else F.col(f"row.c{at[c]}").alias(c) for c in cols], count, types)
