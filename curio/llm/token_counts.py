@@ -165,16 +165,13 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = LIMIT, most: int
     def resolve(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         count, seen = counter(model_path), {}
         for b in batches:
-            rows, docs_, parts, n, tokens, size = (c.to_pylist() for c in b.columns)
+            parts, n, tokens = (b.column(i).to_pylist() for i in (2, 3, 4))
             if len(seen) > TABLE_ENTRIES:
                 seen.clear()
             new = list({p for p in parts if p is not None and p not in seen})
             seen.update(zip(new, count(new), strict=True))
-            sums: dict = {}
-            for row, doc, p, k, t, s in zip(rows, docs_, parts, n, tokens, size, strict=True):
-                was = sums.get(row, (None, 0, 0))
-                sums[row] = (was[0] if doc is None else doc, was[1] + (t if p is None else k * seen[p]), was[2] + s)
-            yield _batch([(row, *x) for row, x in sums.items()], schema)
+            made = [t if p is None else k * seen[p] for p, k, t in zip(parts, n, tokens, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(made, pa.int64()), b.column(5)], schema=schema)
 
     def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(list(zip(*rows, strict=True)) or [()] * len(schema), schema, strict=True)], schema=schema)
