@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Letters with accents and the plain ones they fold to.
 ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüñçýÿÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇÝ"
@@ -26,9 +30,15 @@ def strip_accents(c: Column) -> Column:
     return F.translate(c, ACCENTED, PLAIN)
 
 
+@F.pandas_udf(StringType())
+def nfkc(s: pd.Series) -> pd.Series:
+    """Compatibility composition (NFKC); no built-in function has it. Plain ASCII is left alone."""
+    return pd.Series([x if x is None or x.isascii() else unicodedata.normalize("NFKC", x) for x in s], dtype=object)
+
+
 def norm_text(c: Column) -> Column:
-    """Lower case, runs of white space as one blank."""
-    return F.trim(F.regexp_replace(F.lower(clean(c)), r"\s+", " "))
+    """NFKC, lower case, runs of white space as one blank."""
+    return F.trim(F.regexp_replace(F.lower(nfkc(clean(c))), r"(?U)\s+", " "))
 
 
 def norm_name(c: Column) -> Column:
@@ -201,7 +211,8 @@ def article(c: Column) -> Column:
 
 
 def amenity_key(c: Column) -> Column:
-    s = F.regexp_replace(F.lower(clean(c)), r"wi[ -]?fi", "wifi")
+    """Key of an amenity's name: NFKC, letters and digits of any script, all else as one underscore."""
+    s = F.lower(nfkc(F.regexp_replace(clean(c), r"(?i)wi[ -]?fi", "wifi")))
     s = F.regexp_replace(s, "&", " and ")
     return F.regexp_replace(F.regexp_replace(s, r"[^\p{L}\p{N}]+", "_"), "^_+|_+$", "")
 

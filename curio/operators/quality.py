@@ -37,3 +37,10 @@ def split_valid(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejects)."""
     ok = F.coalesce(ok, F.lit(False))
     return df.where(ok), df.where(~ok)
+
+
+def release(files: DataFrame, manifest: DataFrame, budget: int) -> DataFrame:
+    """(file, size, verdict) of every file of a manifest (file, digest): missing, over_budget, changed or ok. files: file, size, digest."""
+    j = manifest.select("file", F.col("digest").alias("expected")).join(files, "file", "left")
+    verdict = F.when(F.col("size").isNull(), "missing").when(F.col("size") > budget, "over_budget").when(F.col("digest") != F.col("expected"), "changed").otherwise("ok")
+    return j.select("file", "size", verdict.alias("verdict"))

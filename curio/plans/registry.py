@@ -13,6 +13,20 @@ _ORACLES: dict[str, str] = {}
 _MODULES = ("basics", "places", "joins", "summaries", "texts", "records", "pages", "rules", "ledgers")
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "benchmark", "labels", "conversations")
 
+
+
+def choose(number: str, values: list[str]) -> str:
+    """SQL for the value whose place is the number modulo their count."""
+    return f"CASE ({number}) % {len(values)} " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
+
+
+KINDS = [
+    "Hotel", "Hostel", "Villas", "Bed & Breakfast", "Eco Lodge", "Cabinas", "Café", "Panadería", "Heladería", "Bar", "Supermercado", "Tienda de comestibles", "Escuela de surf", "Buceo",
+    "Snorkel", "Kayak", "Pesca", "Rescate animal", "Yoga", "Masajes", "Spa", "Gimnasio", "Tienda de ropa", "Farmacia", "Bienes Raíces", "Lavandería", "Clínica veterinaria", "Mascotas",
+    "Clínica", "Taller doctor", "Dentista", "Salón", "Banco", "Música en vivo", "Shuttle", "Taxi", "Rent a car", "Soda", "tienda", "Albergue", "Posada", "B & B", "Odontología", "Barbería",
+]
+SORTS = ["restaurant", "hotel", "hostel", "vacation_rental", "tour_company", "Shopping", "services", "wellness", "real estate", "", "nightlife"]
+
 # Stand-ins for directory data, derived from the keys of the given tables; valid in both dialects.
 VIEWS = {
     "master": """
@@ -40,6 +54,17 @@ SELECT c_custkey AS id,
   CASE WHEN c_custkey % 4 = 1 THEN '' ELSE '2026-0' || CAST(1 + c_custkey % 9 AS STRING) || '-15' END AS verified_date,
   CASE c_custkey % 3 WHEN 0 THEN 'verified' WHEN 1 THEN 'guess' ELSE '' END AS instagram_confidence
 FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
+""",
+    "places": f"""
+SELECT c_custkey AS id, {choose("c_custkey * 7 + CAST(floor(c_custkey / 44) AS BIGINT)", KINDS)} || CASE c_custkey % 6 WHEN 0 THEN '' WHEN 1 THEN ' Luna' WHEN 2 THEN '  Azul, Limón' WHEN 3 THEN ' del camino de las palmeras de la playa grande y del mar azul' ELSE ' Sol' END AS business_name,
+  {choose("c_custkey", SORTS)} AS category, CASE WHEN c_custkey % 13 = 0 THEN '' ELSE n_name END AS area,
+  CASE c_custkey % 5 WHEN 0 THEN 'We have a ' || lower({choose("c_custkey * 5 + 3", KINDS)}) || ' and a garden, open daily.' WHEN 1 THEN 'Closed sundays' WHEN 2 THEN 'Gives travelers a place near ' || {choose("c_custkey * 3 + 1", KINDS)} WHEN 3 THEN 'Open from Monday, except tuesday, for repair and more.' ELSE '' END AS description_full,
+  CASE c_custkey % 4 WHEN 1 THEN {choose("c_custkey * 11 + 1", KINDS)} WHEN 2 THEN 'Cocktail bar' ELSE '' END AS subcategory,
+  CASE WHEN c_custkey % 5 = 2 THEN 'Cafetería' ELSE '' END AS cuisine, CASE WHEN c_custkey % 6 = 3 THEN 'Spa; Gimnasio, Free wifi' WHEN c_custkey % 6 = 4 THEN 'Ocean view, Pool,Luna.com,Limón' ELSE '' END AS amenities,
+  CASE WHEN c_custkey % 3 = 0 THEN '' ELSE CAST(1000003 * (c_custkey % 1200) + 77 AS STRING) END AS google_maps_cid, CASE c_custkey % 4 WHEN 0 THEN '' WHEN 1 THEN '8' || lpad(CAST(c_custkey % 10000000 AS STRING), 7, '0') ELSE '123' END AS phone,
+  CASE c_custkey % 7 WHEN 0 THEN '8' || lpad(CAST(c_custkey % 90 AS STRING), 7, '0') ELSE '' END AS whatsapp, CASE c_custkey % 3 WHEN 0 THEN 'http://plain.example.com' WHEN 1 THEN 'https://x.example.com' ELSE '' END AS website,
+  CASE c_custkey % 8 WHEN 0 THEN '95.5' WHEN 1 THEN '' ELSE '9.6' END AS latitude, CASE c_custkey % 8 WHEN 2 THEN '' ELSE '-82.7' END AS longitude, CASE c_custkey % 11 WHEN 0 THEN 'closed' ELSE 'active' END AS operating_status
+FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey
 """,
     "second": """
 SELECT s_suppkey AS id,

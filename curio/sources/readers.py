@@ -102,3 +102,9 @@ def organisations(spark: SparkSession, path: str, defaults: dict[str, str]) -> D
     record = "struct<" + ",".join(f"{k}:string" for k in defaults) + ">"
     df = json_keyed(spark, path, record, "slug")
     return df.select("slug", *[F.coalesce(k, F.lit(v)).alias(k) for k, v in defaults.items()])
+
+
+def binary_files(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """(file, size, digest): SHA-256 of the files below path whose path matches `name`; its first group names a file."""
+    d = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return d.select(F.regexp_extract("path", name, 1).alias("file"), F.col("length").alias("size"), F.sha2("content", 256).alias("digest")).where("file <> ''")
