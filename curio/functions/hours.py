@@ -6,30 +6,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WEEKDAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
-TIME = r"^(\d{1,2})(?::(\d{2}))?\s*([aApP][mM])?$"
-SEGMENT = r"(?i)\b\d{1,2}(?::\d{2})?\s*(?:am|pm)?(?:\s+to\s+|\s*[–—\-]\s*)\d{1,2}(?::\d{2})?\s*(?:am|pm)\b"
+CLOCK = r"[0-9]{1,2}(?::[0-9]{2})?"
+HALF = r"\s?[ap]m"
+BETWEEN = r"(?:\s+to\s+|\s?[-–—]\s?)"
+PERIOD = rf"(?i)(?<![0-9:]){CLOCK}(?:{HALF})?{BETWEEN}{CLOCK}{HALF}(?![a-z])"
 DAY_LABEL = r"^((?i:Sunday|Monday|Tuesday|Wednesday|Thursday|Friday|Saturday)(?: ?\([^)]*\))?)"
 
 
 def parse_time(c: Column, hint: Column) -> Column:
     """24-hour HH:MM, or null. A time without meridian takes the hint; without a hint it is PM, and 12 is noon."""
-    s = F.trim(c)
-    h, m = F.regexp_extract(s, TIME, 1), F.regexp_extract(s, TIME, 2)
-    own = F.lower(F.regexp_extract(s, TIME, 3))
-    hour = h.try_cast("int")
-    minute = F.when(m == "", 0).otherwise(m.try_cast("int"))
-    half = F.when(own != "", own).when(F.lower(F.coalesce(hint, F.lit(""))) == "am", "am").otherwise("pm")
-    hour24 = F.when(half == "am", F.when(hour == 12, 0).otherwise(hour)).otherwise(F.when(hour == 12, 12).otherwise(hour + 12))
-    ok = (h != "") & hour.between(1, 12) & minute.between(0, 59)
-    return F.when(ok, F.concat(F.lpad(hour24.cast("string"), 2, "0"), F.lit(":"), F.lpad(minute.cast("string"), 2, "0")))
+    s = F.lower(F.trim(c))
+    half = F.when(s.endswith("m"), F.right(s, F.lit(2))).when(F.lower(hint) == "am", "am").otherwise("pm")
+    shown = F.regexp_replace(s, rf"{HALF}$", "")
+    hour = F.split_part(shown, F.lit(":"), F.lit(1)).try_cast("int")
+    of_day = F.pmod(hour, F.lit(12)) + F.when(half == "pm", 12).otherwise(0)
+    minute = F.when(F.contains(shown, F.lit(":")), F.split_part(shown, F.lit(":"), F.lit(2))).otherwise("00")
+    fits = shown.rlike(r"^(?:0?[1-9]|1[0-2])(?::[0-5][0-9])?$")
+    return F.when(fits, F.concat(F.lpad(of_day.cast("string"), 2, "0"), F.lit(":"), minute))
 
 
 def parse_interval(c: Column) -> Column:
     """struct(opens, closes, closes_next_day), or null."""
-    s = F.regexp_replace(F.trim(c), r"\s+", " ")
-    pat = r"^(.+?)(?: (?:[tT][oO]) | ?[–—\-] ?)(.+)$"
-    a, b = F.regexp_extract(s, pat, 1), F.regexp_extract(s, pat, 2)
-    hint = F.regexp_extract(b, r"(?i)(am|pm)", 1)
+    ends = F.split(F.regexp_replace(F.trim(c), r"\s+", " "), rf"(?i){BETWEEN}", 2)
+    a, b = F.get(ends, 0), F.get(ends, 1)
+    hint = F.regexp_extract(F.lower(b), "[ap]m", 0)
     o, e = parse_time(a, hint), parse_time(b, hint)
     return F.when(o.isNotNull() & e.isNotNull(), F.struct(o.alias("opens"), e.alias("closes"), (e < o).alias("closes_next_day")))
 
@@ -53,16 +53,15 @@ def display_day(label: Column) -> Column:
 def day_row(row: Column) -> Column:
     """struct(day, closed, open24, periods, holiday, might_differ) of a row text; day is null where it names none."""
     shown = display_day(F.regexp_replace(F.trim(row), r"\s{2,}", " "))
-    is_closed = row.rlike(r"(?i)(^|\s)closed(\s|$)")
-    all_day = row.rlike(r"(?i)open 24 hours")
-    text = F.regexp_replace(row, "Copy open hours|Hours might differ", "")
-    found = F.filter(F.transform(F.regexp_extract_all(text, F.lit(SEGMENT), F.lit(0)), parse_interval), lambda x: x.isNotNull())
-    always = F.array(F.struct(F.lit("00:00").alias("opens"), F.lit("24:00").alias("closes"), F.lit(False).alias("closes_next_day")))
-    none = F.slice(always, 1, 0)
+    words = F.split(F.lower(row), r"\s+")
+    shut, whole = F.array_contains(words, "closed"), F.contains(F.lower(row), F.lit("open 24 hours"))
+    spans = F.transform(F.regexp_extract_all(row, F.lit(PERIOD), F.lit(0)), parse_interval)
+    span = lambda *x: F.struct(*[F.lit(v).alias(n) for v, n in zip(x, ("opens", "closes", "closes_next_day"), strict=True)])
+    always = F.array(span("00:00", "24:00", False))
     return F.struct(
-        weekday(shown).alias("day"), is_closed.alias("closed"), (~is_closed & all_day).alias("open24"),
-        F.when(is_closed, none).when(all_day, always).otherwise(F.array_distinct(found)).alias("periods"),
-        holiday(shown).alias("holiday"), row.rlike("(?i)hours might differ").alias("might_differ"),
+        weekday(shown).alias("day"), shut.alias("closed"), (whole & ~shut).alias("open24"),
+        F.when(shut, F.slice(always, 1, 0)).when(whole, always).otherwise(F.array_distinct(F.array_compact(spans))).alias("periods"),
+        holiday(shown).alias("holiday"), F.contains(F.lower(row), F.lit("hours might differ")).alias("might_differ"),
     )
 
 

@@ -17,6 +17,11 @@ VISIBLE = (("google_maps_cid", 35), ("latitude", 25), ("booking_url", 15), ("tri
 INTENTS = {"hotel": "stay", "vacation_rental": "stay", "hostel": "stay", "restaurant": "eat", "tour_company": "tour", "shopping": "shopping", "services": "services", "real_estate": "services", "wellness": "wellness", "nightlife": "nightlife", "transport": "transport"}
 
 
+def rounded(x: Column, places: int) -> Column:
+    """x to some decimal places by its exact binary value, exact halves to even."""
+    return F.replace(F.format_number(x.cast("double"), places), F.lit(","), F.lit("")).cast("double")
+
+
 def _points(parts: list[tuple[Column, int]]) -> Column:
     out = F.lit(0)
     for has, n in parts:

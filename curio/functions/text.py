@@ -65,7 +65,7 @@ def phone_e164(c: Column) -> Column:
 
 def phone_local(c: Column) -> Column:
     """The older rule: prefixes by how the number begins, and the country prefix before any longer one."""
-    raw = F.regexp_replace(F.regexp_replace(clean(c), r"(?i)^(phone|tel|call|whatsapp)\s*:?\s*", ""), r"(?i)\s+(whatsapp|phone).*$", "")
+    raw = F.regexp_extract(clean(c), r"[+(]?[0-9][0-9\s()+-]*", 0)  # the number without labels before and behind it
     s, d = F.regexp_replace(raw, r"[\s\-()]", ""), F.regexp_replace(raw, r"[^0-9]", "")
     return (
         F.when(~present(c), "").when(s.startswith("506") & (F.length(s) >= 11), F.concat(F.lit("+"), s)).when(s.startswith("+506"), s)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from curio.sources.shared import written
+
 
 def count_by(df: DataFrame, key: Column, name: str = "key", none: str = "unknown") -> DataFrame:
     """Counts by a key; missing keys and the literal `none` are one group."""
@@ -75,3 +77,27 @@ def stratified_pilot(df: DataFrame, stratum: str, order: list[Column], each: int
     """`each` rows of every stratum by a fixed order, and the control rows that must never match."""
     w = Window.partitionBy(stratum).orderBy(*order)
     return df.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= each).drop("_k").unionByName(control)
+
+
+def multiset_difference(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """(key, before, after, removed) of the values of `before`: how often each stands there, in `after`, and how many more before."""
+    a = before.groupBy(key).agg(F.count("*").alias("before"))
+    b = after.groupBy(key).agg(F.count("*").alias("after"))
+    j = a.join(b, key, "left").withColumn("after", F.coalesce("after", F.lit(0)))
+    return j.withColumn("removed", F.greatest(F.lit(0), F.col("before") - F.col("after")))
+
+
+def placed(df: DataFrame, order: list[tuple[Column, bool]], name: str) -> DataFrame:
+    """df with each row's place in an order, from 1 on, without one task that sees all rows.
+
+    Rows are range-partitioned, sorted within partitions and written; a row's place is its place within its partition and the
+    number of rows in those before it. order: columns, and whether they fall; it must be total.
+    """
+    keys = [f"_o{i}" for i in range(len(order))]
+    raw = df.select("*", *[o.alias(k) for (o, _), k in zip(order, keys, strict=True)])
+    by = [F.desc(k) if down else F.asc(k) for (_, down), k in zip(order, keys, strict=True)]
+    dealt = written(raw.repartitionByRange(*by).withColumn("_part", F.spark_partition_id()), "placed")
+    sizes = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
+    bases = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_base"))  # one row per partition
+    within = dealt.withColumn("_k", F.row_number().over(Window.partitionBy("_part").orderBy(*by)))
+    return within.join(F.broadcast(bases), "_part").withColumn(name, (F.col("_k") + F.col("_base")).cast("bigint")).drop("_part", "_k", "_base", *keys)

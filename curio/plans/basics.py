@@ -156,12 +156,13 @@ def _evidence(q: Data):
     return q.master.select("id", evidence_ok(c("google_maps_cid"), c("description_full"), F.sha2(F.trim(c("description_full")), 256), 20).alias("ok"))
 
 
-@query("prd_affiliate_strip", "SELECT id, 'https://www.example.com/h' || id AS v FROM master WHERE id % 3 = 0")
+@query("prd_affiliate_strip", "SELECT id, CASE WHEN id % 4 = 0 THEN 'https://plain.example.com/' || id ELSE 'https://www.example.com/h' || id END AS v FROM master ")
 def _strip(q: Data):
     from curio.operators.search import unwrap_url
 
     wrapped = F.concat(F.lit("https://go.example.net/r?id=7&url=https%3A%2F%2Fwww.example.com%2Fh"), c("id"), F.lit("&z=1"))
-    return q.master.where("id % 3 = 0").select("id", unwrap_url(wrapped).alias("v"))
+    links = F.when(c("id") % 4 == 0, F.concat(F.lit("https://plain.example.com/"), c("id"))).otherwise(wrapped)
+    return q.master.select("id", unwrap_url(links).alias("v"))
 
 
 @query("prj_public", f"SELECT id, business_name, area, category, {WA} <> '' AS has_whatsapp, phone <> '' AS has_phone, {HANDLE} <> '' AS has_instagram, website <> '' AS has_website FROM master")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from curio.functions import text as T
 from curio.operators import matching as X
+from curio.operators.summaries import placed
 from curio.plans.basics import DIG, FOLD, HOST, M, NORM, WA
 from curio.plans.registry import Data, query
 
@@ -61,11 +62,11 @@ def _anti_left(q: Data):
     return three_way(q.master.select("id"), q.second.select("id"), "id").where("side <> 'right'")
 
 
-@query("jn_anti_right", "SELECT page_id AS id, CASE WHEN doc_id IS NULL THEN 'left' WHEN page_id IS NULL THEN 'right' ELSE 'both' END AS side FROM (SELECT page_id FROM pages WHERE page_id % 2 = 0) FULL JOIN (SELECT doc_id FROM labels) ON page_id = doc_id WHERE page_id IS NOT NULL UNION ALL SELECT doc_id, 'right' FROM labels WHERE doc_id NOT IN (SELECT page_id FROM pages WHERE page_id % 2 = 0)")
+@query("jn_anti_right", "SELECT page_id AS id, CASE WHEN doc_id IS NULL THEN 'left' WHEN page_id IS NULL THEN 'right' ELSE 'both' END AS side FROM (SELECT page_id FROM pages WHERE length(html) > 2000) FULL JOIN (SELECT doc_id FROM labels) ON page_id = doc_id WHERE page_id IS NOT NULL UNION ALL SELECT doc_id, 'right' FROM labels WHERE doc_id NOT IN (SELECT page_id FROM pages WHERE length(html) > 2000)")
 def _anti_right(q: Data):
     from curio.operators.relations import three_way
 
-    return three_way(q.pages.where("page_id % 2 = 0").select(c("page_id").alias("id")), q.labels.select(c("doc_id").alias("id")), "id")
+    return three_way(q.pages.where("length(html) > 2000").select(c("page_id").alias("id")), q.labels.select(c("doc_id").alias("id")), "id")
 
 
 @query("jn_anti_sql", "SELECT c_custkey AS id FROM customer LEFT JOIN orders ON c_custkey = o_custkey WHERE o_custkey IS NULL")
@@ -102,53 +103,76 @@ def _best(q: Data):
 
 
 query("jn_blocked_fuzzy", RANKED)(_best)
-query("er_best_match", RANKED)(_best)
 
 
-def _token_pairs(q: Data):
+NAMES = BEST.replace(f"SELECT id AS l, {M_NAME} AS ln FROM master ", f"SELECT DISTINCT {M_NAME} AS ln FROM master ").replace(f"SELECT id AS r, {S_NAME} AS rn FROM second ", f"SELECT min(id) AS r, {S_NAME} AS rn FROM second GROUP BY 2").replace("SELECT l, ln, unnest", "SELECT ln, unnest").replace("SELECT DISTINCT l, ln, r, rn", "SELECT DISTINCT ln, r, rn")
+KNOWN = "ln = rn OR (length(ln) > 4 AND length(rn) > 4 AND (contains(ln, rn) OR contains(rn, ln))) OR i >= m * 0.6"
+
+
+def _name_pairs(q: Data):
+    """Distinct names that share a token with the first two of the other side, with the least id of the right one."""
     a, b = _sides(q)
-    a, b = a.withColumnsRenamed({"id": "l", "name": "ln"}), b.withColumnsRenamed({"id": "r", "name": "rn"})
-    heads = b.withColumn("t", F.explode(F.slice(F.filter(T.tokens(c("rn")), lambda t: F.length(t) > 2), 1, 2)))
-    return a.withColumn("t", F.explode(F.filter(T.tokens(c("ln")), lambda t: F.length(t) > 2))).join(heads, "t").drop("t").distinct()
+    long = lambda n: F.filter(T.tokens(c(n)), lambda t: F.length(t) > 2)
+    a, b = a.select(c("name").alias("ln")).distinct(), b.groupBy(c("name").alias("rn")).agg(F.min("id").alias("r"))
+    return a.withColumn("t", F.explode(long("ln"))).join(b.withColumn("t", F.explode(F.slice(long("rn"), 1, 2))), "t").drop("t").distinct()
 
 
-@query("er_jaccard", BEST + "SELECT l, r, CAST(floor(1000.0 * i / n + 0.0001) AS BIGINT) AS v FROM v")
+@query("er_jaccard", NAMES + "SELECT ln, rn, CAST(floor(1000.0 * i / n + 0.0001) AS BIGINT) AS v FROM v")
 def _jaccard(q: Data):
-    return _token_pairs(q).select("l", "r", F.floor(X.jaccard(T.tokens(c("ln")), T.tokens(c("rn"))) * 1000 + 0.0001).alias("v"))
+    return _name_pairs(q).select("ln", "rn", F.floor(X.jaccard(T.tokens(c("ln")), T.tokens(c("rn"))) * 1000 + 0.0001).alias("v"))
 
 
-@query("er_contains", BEST + "SELECT l, r, contains(ln, rn) OR contains(rn, ln) OR (CASE WHEN m <= 2 THEN i >= m ELSE i >= m - 1 END) AS v FROM v")
+@query("er_contains", NAMES + "SELECT ln, rn, contains(ln, rn) OR contains(rn, ln) OR (CASE WHEN m <= 2 THEN i >= m ELSE i >= m - 1 END) AS v FROM v")
 def _contains(q: Data):
-    return _token_pairs(q).select("l", "r", X.contains(c("ln"), c("rn")).alias("v"))
+    return _name_pairs(q).select("ln", "rn", X.contains(c("ln"), c("rn")).alias("v"))
 
 
-@query("er_boost", BEST + "SELECT l, r, CAST(floor(1000 * score + 0.0001) AS BIGINT) AS v FROM v")
+@query("er_boost", NAMES + "SELECT ln, rn, CAST(floor(1000 * score + 0.0001) AS BIGINT) AS v FROM v")
 def _boost(q: Data):
-    return _token_pairs(q).select("l", "r", F.floor(X.boosted(c("ln"), c("rn")) * 1000 + 0.0001).alias("v"))
+    return _name_pairs(q).select("ln", "rn", F.floor(X.boosted(c("ln"), c("rn")) * 1000 + 0.0001).alias("v"))
 
 
-@query("er_compare_names", BEST + "SELECT l, r, CASE WHEN contains(ln, rn) OR contains(rn, ln) THEN 'match' WHEN i * 1.0 / n >= 0.5 THEN 'probable' ELSE 'mismatch' END AS v FROM v")
+@query("er_compare_names", NAMES + "SELECT ln, rn, CASE WHEN contains(ln, rn) OR contains(rn, ln) THEN 'match' WHEN i * 1.0 / n >= 0.5 THEN 'probable' ELSE 'mismatch' END AS v FROM v")
 def _compare(q: Data):
-    return _token_pairs(q).select("l", "r", X.compare_names(c("ln"), c("rn")).alias("v"))
+    return _name_pairs(q).select("ln", "rn", X.compare_names(c("ln"), c("rn")).alias("v"))
 
 
-@query("er_known", BEST + "SELECT l, r, ln = rn OR (length(ln) > 4 AND length(rn) > 4 AND (contains(ln, rn) OR contains(rn, ln))) OR i >= m * 0.6 AS v FROM v")
+@query("er_known", NAMES + f"SELECT ln, rn, {KNOWN} AS v FROM v")
 def _known(q: Data):
-    return _token_pairs(q).select("l", "r", X.known(c("ln"), c("rn")).alias("v"))
+    return _name_pairs(q).select("ln", "rn", X.known(c("ln"), c("rn")).alias("v"))
 
 
-query("jn_nested_loop", BEST + "SELECT l, min(r) AS first FROM v WHERE ln = rn OR (length(ln) > 4 AND length(rn) > 4 AND (contains(ln, rn) OR contains(rn, ln))) OR i >= m * 0.6 GROUP BY l")(
-    lambda q: _token_pairs(q).where(X.known(c("ln"), c("rn"))).groupBy("l").agg(F.min("r").alias("first"))
-)
+@query("er_best_match", NAMES + ", z AS (SELECT ln, rn, r, CAST(round(score * 1000) AS BIGINT) AS score, row_number() OVER (PARTITION BY ln ORDER BY score DESC, r) AS k FROM v WHERE i * 1.0 / n >= 0.5) SELECT ln, rn, r, score FROM z WHERE k = 1")
+def _best_names(q: Data):
+    """The best match of each name by token overlap alone, containment left out."""
+    a, b = _sides(q)
+    names = a.select("name").distinct().withColumn("id", c("name"))
+    by = X.best_match(names, b, score=lambda x, y: X.jaccard(T.tokens(x), T.tokens(y)))
+    scored = by.select(c("l").alias("ln"), c("r_name").alias("rn"), "r")
+    return scored.select("ln", "rn", "r", F.round(X.boosted(c("ln"), c("rn")) * 1000).cast("bigint").alias("score"))
 
-SIG = r"list_filter(list_transform(list_filter(regexp_split_to_array(regexp_replace(regexp_replace(replace(lower(translate(regexp_replace({c}, '(?i)\s*[-–—]\s*.+,\s*Costa Rica\s*$', ''), '" + T.ACCENTED + "', '" + T.PLAIN + r"')), '&', ' and '), '\bb\s+(?:and\s+)?b\b', ' bed breakfast ', 'g'), '[''’]', '', 'g'), '[^a-z0-9]+'), lambda w: w <> ''), lambda w: CASE WHEN length(w) > 3 AND w[-1] = 's' AND NOT regexp_matches(w, '(?:ss|us|is|os)$') THEN w[:-2] ELSE w END), lambda w: w NOT IN ('the','de','la','el','los','las','and','y','at','in','en','of','ltda','srl','sa','e','s'))"
+
+@query("jn_nested_loop", BEST + f"SELECT l, min(r) AS first FROM v WHERE {KNOWN} GROUP BY l")
+def _nested(q: Data):
+    """The first known name (by id) of each new one: names are compared once, whatever the number of rows that share them."""
+    first = _name_pairs(q).where(X.known(c("ln"), c("rn"))).groupBy("ln").agg(F.min("r").alias("first"))
+    return _sides(q)[0].select(c("id").alias("l"), c("name").alias("ln")).join(first, "ln").select("l", "first")
+
+
+PLAINED = "translate({c}, '" + T.ACCENTED + "', '" + T.PLAIN + "')"
+TOLD = "lower(CASE WHEN regexp_matches(" + PLAINED + r", '(?i)[-–—].*,\s*costa rica\s*$') THEN regexp_extract(" + PLAINED + r", '^(.*?)\s*[-–—]', 1) ELSE regexp_replace(" + PLAINED + r", '\s*[-–—]\s*', ' ') END)"
+RUNS = "regexp_extract_all(replace(replace(" + TOLD + ", chr(39), ''), '’', ''), '[a-z0-9]+')"
+INN = "regexp_matches(" + TOLD + r", '\bb(?:\s|&|\band\b)+b\b')"
+SIG = "list_filter(list_transform(CASE WHEN " + INN + " THEN list_concat(list_filter(" + RUNS + ", lambda w: w <> 'b'), ['bed', 'breakfast']) ELSE " + RUNS + " END, lambda w: CASE WHEN regexp_matches(w, '..[^suio]s$') THEN w[:-2] ELSE w END), lambda w: w NOT IN ('" + "','".join(X.STOP) + "'))"
 LEFT_SIG = SIG.format(c=M)
 
 
-@query("er_names_match", f"WITH p AS (SELECT m.id AS l, s.id AS r, {LEFT_SIG} AS x, {SIG.format(c='name')} AS y FROM master m JOIN second s ON m.area = s.area), u AS (SELECT l, r, len(list_distinct(list_intersect(x, y))) AS i, len(list_distinct(list_concat(x, y))) AS n, least(len(x), len(y)) AS m FROM p) SELECT l, r, m <= 1 OR (i >= 1 AND i * 1.0 / greatest(n, 1) >= 0.4) OR i * 1.0 / greatest(m, 1) >= 0.66 AS v FROM u")
+@query("er_names_match", f"WITH a AS (SELECT DISTINCT area, {M} AS ln, {LEFT_SIG} AS x FROM master ), b AS (SELECT DISTINCT area, name AS rn, {SIG.format(c='name')} AS y FROM second ), p AS (SELECT * FROM a JOIN b USING (area)), u AS (SELECT area, ln, rn, len(list_distinct(list_intersect(x, y))) AS i, len(list_distinct(list_concat(x, y))) AS n, least(len(x), len(y)) AS m FROM p) SELECT area, ln, rn, m <= 1 OR (i >= 1 AND i * 1.0 / greatest(n, 1) >= 0.4) OR i * 1.0 / greatest(m, 1) >= 0.66 AS v FROM u")
 def _names_match(q: Data):
-    p = q.master.select(c("id").alias("l"), "area", M).join(q.second.select(c("id").alias("r"), "area", "name"), "area")
-    return p.select("l", "r", X.names_match(c(M), c("name")).alias("v"))
+    """Whether each two names of an area mean one place: distinct names, whose words are taken once."""
+    a = q.master.select("area", c(M).alias("ln")).distinct().withColumn("x", X.significant(c("ln")))
+    b = q.second.select("area", c("name").alias("rn")).distinct().withColumn("y", X.significant(c("rn")))
+    return a.join(b, "area").select("area", "ln", "rn", X.words_match(c("x"), c("y")).alias("v"))
 
 
 PAIR_SQL = f"""
@@ -181,7 +205,9 @@ query("jn_self_blocked", PAIR_SQL + "SELECT l, r FROM p")(lambda q: X.resolve(q.
 query("er_pair_score", PAIR_SQL + "SELECT l, r, score, families FROM q")(lambda q: X.resolve(q.master).select("l", "r", "score", "families"))
 query("er_pair_class", PAIR_SQL + "SELECT l, r, score, class FROM q")(lambda q: X.resolve(q.master).select("l", "r", "score", "class"))
 query("geo_near_pair", PAIR_SQL + "SELECT l, r, sd AS near FROM q")(lambda q: X.resolve(q.master).select("l", "r", F.contains("signals", F.lit("distance")).alias("near")))
-query("er_pair_rank", PAIR_SQL + "SELECT l, r, score FROM q ORDER BY score DESC, l, r LIMIT 50")(lambda q: X.resolve(q.master).orderBy(F.desc("score"), "l", "r").limit(50).select("l", "r", "score"))
+query("er_pair_rank", PAIR_SQL + "SELECT l, r, score, row_number() OVER (ORDER BY score DESC, l, r) AS place FROM q")(
+    lambda q: placed(X.resolve(q.master).select("l", "r", "score"), [(c("score"), True), (c("l"), False), (c("r"), False)], "place")
+)
 query("er_disposition", PAIR_SQL + "SELECT l, r, CASE WHEN (l + r) % 50 = 0 THEN 'merge' WHEN lc <> '' AND rc <> '' AND lc <> rc THEN 'distinct_ids' WHEN score >= 4 THEN 'related' ELSE 'not_duplicate' END AS disposition FROM q")(
     lambda q: X.disposition(p := X.resolve(q.master), p.where("(l + r) % 50 = 0")).select("l", "r", "disposition")
 )
@@ -190,7 +216,7 @@ query("er_capture_class", PAIR_SQL + "SELECT l, r, CASE WHEN l % 17 = 0 THEN 'bl
     lambda q: X.resolve(q.master).select("l", "r", X.capture_class(c("similarity"), c("r") % 19 != 0, c("l") % 17 == 0).alias("v"))
 )
 query("er_seqratio")(lambda q: X.resolve(q.master, X.seq_ratio).select("l", "r", "similarity", "class"))
-query("er_similarity")(lambda q: _token_pairs(q).select("l", "r", F.round(F.greatest(X.seq_ratio("ln", "rn"), X.jaccard(T.tokens(c("ln")), T.tokens(c("rn")))), 3).alias("v")))
+query("er_similarity")(lambda q: _name_pairs(q).select("ln", "rn", F.round(F.greatest(X.seq_ratio("ln", "rn"), X.jaccard(T.tokens(c("ln")), T.tokens(c("rn")))), 3).alias("v")))
 query("er_unicode_fold")(lambda q: q.master.select("id", X.unicode_fold(M).alias("v")))
 query("er_clusters")(lambda q: X.clusters(X.resolve(q.master).where("class = 'strong'")))
 

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curio.functions import geo as G
 from curio.functions import text as T
 from curio.plans.basics import M, SLUG
+from curio.plans.places import CENTRE, GRID
 from curio.plans.registry import Data, query
 from curio.sources import readers as R
 from curio.sources import writers as W
+from curio.sources.shared import folder
 from curio.streaming import ledger as L
 
 c = F.col
@@ -20,15 +22,14 @@ c = F.col
 
 def _folder(q: Data, name: str) -> str:
     """A new path in the folder that all machines share."""
-    base = q.spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='curio-io-')}"
-    return f"{base.rstrip('/')}/curio-io/{name}-{uuid.uuid4().hex}"
+    return folder(q.spark, name)
 
 
 def _few(q: Data) -> DataFrame:
-    return q.master.select("id", M, "area", "phone").where("id % 3 = 0")
+    return q.master.select("id", M, "area", "phone")
 
 
-FEW = "SELECT CAST(id AS STRING) AS id, business_name, area, phone FROM master WHERE id % 3 = 0"
+FEW = "SELECT CAST(id AS STRING) AS id, business_name, area, phone FROM master "
 
 
 def _blank(df: DataFrame) -> DataFrame:
@@ -42,7 +43,15 @@ def _csv(q: Data):
     return _blank(R.csv(q.spark, p))
 
 
-query("snk_csv", FEW)(lambda q: _csv(q))
+CELL = "CASE WHEN {x} = '' THEN '\"\"' WHEN contains({x}, ',') THEN '\"' || {x} || '\"' ELSE {x} END"
+
+
+@query("snk_csv", f"SELECT concat_ws(',', {CELL.format(x='area')}, CAST(id AS STRING), {CELL.format(x=M)}) AS line FROM master UNION ALL SELECT 'area,id,{M}'")
+def _lines(q: Data):
+    """The lines of a written file: fields in the given order, one header, quotes where they are needed."""
+    p = _folder(q, "csv-lines")
+    W.csv(_few(q), p, ["area", "id", M], single=True)
+    return q.spark.read.text(p).select(c("value").alias("line"))
 
 
 @query("src_csv_optional", "SELECT CAST(NULL AS STRING) AS id, CAST(NULL AS STRING) AS business_name WHERE false")
@@ -50,11 +59,11 @@ def _optional(q: Data):
     return R.csv_optional(q.spark, _folder(q, "none"), f"id string, {M} string")
 
 
-@query("src_csv_multi", f"SELECT CAST(id AS STRING) AS id, CASE WHEN id % 2 = 0 THEN {M} ELSE 'second' END AS {M} FROM master WHERE id % 2 = 0 OR id % 3 = 0")
+@query("src_csv_multi", f"SELECT CAST(id AS STRING) AS id, CASE WHEN website <> '' THEN {M} ELSE 'second' END AS {M} FROM master ")
 def _multi(q: Data):
     a, b = _folder(q, "a"), _folder(q, "b")
-    W.csv(q.master.where("id % 2 = 0"), a, ["id", M])
-    W.csv(q.master.where("id % 3 = 0").select("id", F.lit("second").alias(M)), b, ["id", M])
+    W.csv(q.master.where("website <> ''"), a, ["id", M])
+    W.csv(q.master.select("id", F.lit("second").alias(M)), b, ["id", M])  # ids of the first file keep its names
     return R.csv_multi(q.spark, [a, b], "id").select("id", M)
 
 
@@ -67,7 +76,16 @@ def _json(q: Data) -> str:
 JSON = "SELECT id, business_name, area FROM master "
 DDL = f"id bigint, {M} string, area string"
 query("src_jsonl", JSON)(lambda q: R.json_lines(q.spark, _json(q), DDL))
-query("snk_jsonl_append", JSON)(lambda q: R.json_lines(q.spark, _json(q), DDL))
+
+
+@query("snk_jsonl_append", JSON + "UNION ALL SELECT id, business_name, 'again' FROM master WHERE operating_status = 'active'")
+def _appended(q: Data):
+    """Two appends to one folder."""
+    p = _json(q)
+    W.jsonl_append(q.master.where("operating_status = 'active'").select("id", M, F.lit("again").alias("area")), p)
+    return R.json_lines(q.spark, p, DDL)
+
+
 query("src_json_auto", JSON)(lambda q: R.json_auto(q.spark, _json(q), DDL))
 
 
@@ -141,9 +159,11 @@ def _written(q: Data) -> str:
 query("src_ledger", "SELECT rid, seq, state FROM ledger ")(lambda q: R.ledger(q.spark, _written(q), LEDGER).select("rid", "seq", "state"))
 
 
-@query("src_grid", "SELECT a.range * 3 + b.range AS cell, a.range AS row FROM range(4) a, range(3) b")
+@query("src_grid", "SELECT r.range AS row, count(*) AS cells FROM range(-13, 14) r, (" + GRID + ") g WHERE g.row = r.range GROUP BY r.range")
 def _cells(q: Data):
-    return q.spark.range(4).select(c("id").alias("row"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k")).select((c("row") * 3 + c("k")).alias("cell"), "row")
+    """Cells of each row of the generated grid."""
+    cells = G.grid(q.spark, 0.5, CENTRE, 6.0, [(9.6, -82.85, 9.7, -82.6)], [(9.65, -82.75, 1.0)])
+    return cells.groupBy(c("row").cast("bigint").alias("row")).agg(F.count("*").alias("cells"))
 
 
 @query("src_org", "SELECT CAST(n_nationkey AS STRING) AS slug, n_name AS name, 'community' AS kind FROM nation")
@@ -154,23 +174,26 @@ def _orgs(q: Data):
     return R.organisations(q.spark, p, {"name": "", "kind": "community"})
 
 
-@query("snk_atomic", "SELECT id, area FROM master WHERE id % 2 = 0")
+@query("snk_atomic", "SELECT id, area FROM master WHERE operating_status <> 'closed'")
 def _swap(q: Data):
     p = _folder(q, "table")
-    W.swap(q.master.select("id", "area"), p)
-    W.swap(q.spark.read.parquet(p).where("id % 2 = 0"), p)
-    return q.spark.read.parquet(p)
+    W.publish(q.master.select("id", "area", "operating_status"), p)
+    W.publish(W.published(q.spark, p).where("operating_status <> 'closed'").select("id", "area"), p)
+    return W.published(q.spark, p)
 
 
 query("snk_json_keyed", "SELECT CAST(id AS STRING) AS key, '{\"area\":\"' || area || '\",\"category\":\"' || category || '\"}' AS value FROM master ")(lambda q: W.keyed(q.master.withColumn("id", c("id").cast("string")), "id", ["area", "category"]))
 query("snk_export_sorted", "SELECT category, area, business_name, id FROM master ORDER BY category, area, business_name, id")(lambda q: W.export_sorted(q.master, ["category", "area", M, "id"], ["category", "area", M, "id"]))
-query("snk_geojson", "SELECT id, '{\"type\":\"Feature\",\"geometry\":{\"type\":\"Point\",\"coordinates\":[1,2]},\"properties\":{\"name\":\"' || substr(business_name, 1, 60) || '\"}}' AS v FROM master ")(lambda q: q.master.select("id", W.geojson(c(M), F.lit(2), F.lit(1)).alias("v")))
+LATLON = "TRY_CAST(latitude AS DOUBLE) BETWEEN -90 AND 90 AND TRY_CAST(longitude AS DOUBLE) BETWEEN -180 AND 180"
+query("snk_geojson", f"SELECT id, '{{\"type\":\"Feature\",\"geometry\":{{\"type\":\"Point\",\"coordinates\":[' || round(CAST(longitude AS DOUBLE), 6) || ',' || round(CAST(latitude AS DOUBLE), 6) || ']}},\"properties\":{{\"name\":\"' || substr(business_name, 1, 60) || '\"}}}}' AS v FROM master WHERE {LATLON}")(
+    lambda q: q.master.where(G.valid(c("latitude"), c("longitude"))).select("id", W.geojson(c(M), F.round(c("latitude").cast("double"), 6), F.round(c("longitude").cast("double"), 6)).alias("v"))
+)
 query("snk_js_payload", "SELECT category AS key, '{\"n\":' || count(*) || '}' AS value FROM master GROUP BY category")(lambda q: W.keyed(q.master.groupBy("category").agg(F.count("*").alias("n")), "category", ["n"]))
 query("snk_sitemap", f"SELECT '<url><loc>https://x.example.com/' || {SLUG.format(n=M, a='area')} || '/</loc></url>' AS v FROM master ")(lambda q: q.master.select(W.sitemap("https://x.example.com", T.slug(c(M), c("area"))).alias("v")))
 query("snk_markdown", "SELECT '| ' || id || ' | ' || replace(business_name || '|', '|', '\\|') || ' |' AS v FROM master ")(lambda q: q.master.select(W.markdown_row([c("id"), F.concat(M, F.lit("|"))]).alias("v")))
 query("snk_sheet", "SELECT id, CASE WHEN website <> '' THEN '=HYPERLINK(\"' || website || '\",\"' || area || '\")' ELSE '' END AS v FROM master ")(lambda q: q.master.select("id", W.sheet_link(c("website"), c("area")).alias("v")))
-query("snk_archive", "SELECT id, '{\"id\":' || id || ',\"area\":\"' || area || '\"}' AS before, CASE WHEN id % 4 = 1 THEN '{\"id\":' || id || ',\"area\":\"x\"}' END AS after FROM master WHERE id % 4 IN (0, 1)")(
-    lambda q: W.archive(m := q.master.select("id", "area"), m.where("id % 4 <> 0").withColumn("area", F.when(c("id") % 4 == 1, "x").otherwise(c("area"))), "id")
+query("snk_archive", "SELECT id, '{\"id\":' || id || ',\"area\":\"' || area || '\"}' AS before, CASE WHEN operating_status <> 'closed' THEN '{\"id\":' || id || ',\"area\":\"x\"}' END AS after FROM master WHERE operating_status = 'closed' OR category = 'building'")(
+    lambda q: W.archive(q.master.select("id", "area"), q.master.where("operating_status <> 'closed'").select("id", F.when(c("category") == "building", "x").otherwise(c("area")).alias("area")), "id")
 )
 
 query("st_checkpoint", "SELECT c_custkey AS rid FROM customer WHERE c_custkey NOT IN (SELECT rid FROM ledger WHERE version = 'v1')")(lambda q: L.pending(q.customer.select(c("c_custkey").alias("rid")), q.ledger, "rid", "v1"))
@@ -200,4 +223,7 @@ def _append(q: Data):
 
 query("st_compact", "SELECT rid, seq, state FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY seq DESC) AS k FROM ledger ) WHERE k = 1")(lambda q: L.compact(q.ledger, "rid").select("rid", "seq", "state"))
 query("st_windows", "SELECT CAST(date_trunc('hour', ts) AS STRING) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")(lambda q: L.windows(q.events))
-query("st_sessions")(lambda q: L.sessions(q.events))
+SESSIONS = """WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM e)
+SELECT CAST(min(ts) AS STRING) AS start, user_id, count(*) AS n FROM s GROUP BY user_id, k"""
+query("st_sessions", SESSIONS)(lambda q: L.sessions(q.events))

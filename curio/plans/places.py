@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+import math
+
 from pyspark.sql import functions as F
 
 from curio.functions import geo as G
+from curio.operators.summaries import placed
 from curio.plans.registry import Data, query
 
 c = F.col
@@ -65,7 +67,12 @@ def _backfill(q: Data):
     return backfill(_latlon(q), CENTRE).select("id", F.round("lat", 6).alias("lat"))
 
 
-@query("geo_grid")
+STEP_LAT, STEP_LON = 0.5 / 111.32, 0.5 / (111.32 * math.cos(math.radians(CENTRE[0])))
+GRID = f"""WITH p AS (SELECT r.range AS r, k.range AS k, {CENTRE[0]} + r.range * {STEP_LAT!r}::DOUBLE AS lat, {CENTRE[1]} + (k.range + CASE WHEN abs(r.range) % 2 = 1 THEN 0.5 ELSE 0.0 END) * {STEP_LON!r}::DOUBLE AS lon FROM range(-13, 14) r, range(-13, 14) k)
+SELECT CAST(r AS INT) AS row, CAST(k AS INT) AS col, round(lat, 6) AS lat, round(lon, 6) AS lon, {km_sql('lat', 'lon', '9.65', '-82.75')} <= 1.0 AS dense FROM p WHERE {km_sql('lat', 'lon', '9.65', '-82.75')} <= 6.0 AND lat BETWEEN 9.6 AND 9.7 AND lon BETWEEN -82.85 AND -82.6"""
+
+
+@query("geo_grid", GRID)
 def _grid(q: Data):
     return G.grid(q.spark, 0.5, CENTRE, 6.0, [(9.6, -82.85, 9.7, -82.6)], [(9.65, -82.75, 1.0)])
 
@@ -80,11 +87,10 @@ def _bbox(q: Data):
     return _latlon(q).where(G.in_boxes(c("lat"), c("lon"), [(9.6, -82.8, 9.7, -82.6), (9.8, -82.5, 9.85, -82.4)])).select("id")
 
 
-@query("geo_priority", f"SELECT id, rank FROM (SELECT id, row_number() OVER (ORDER BY CASE WHEN coalesce({HERE} <= 3, false) THEN 0 ELSE 1 END, {LAT}, id) AS rank FROM master WHERE latitude <> '') WHERE rank <= 100")
+@query("geo_priority", f"SELECT id, rank FROM (SELECT id, row_number() OVER (ORDER BY CASE WHEN coalesce({HERE} <= 3, false) THEN 0 ELSE 1 END, {LAT}, id) AS rank FROM master WHERE latitude <> '')")
 def _priority(q: Data):
     dense = F.coalesce(G.in_zones(c("lat"), c("lon"), [(9.65, -82.75, 3.0)]), F.lit(False))
-    top = _latlon(q).where("lat IS NOT NULL").withColumn("far", F.when(dense, 0).otherwise(1)).orderBy("far", "lat", "id").limit(100)
-    return top.select("id", F.row_number().over(Window.orderBy("far", "lat", "id")).alias("rank"))
+    return placed(_latlon(q).where("lat IS NOT NULL"), [(F.when(dense, 0).otherwise(1), False), (c("lat"), False), (c("id"), False)], "rank").select("id", "rank")
 
 
 @query("geo_valid", f"SELECT id, coalesce({LAT} BETWEEN -90 AND 90 AND {LON} BETWEEN -180 AND 180, false) AS ok FROM master ")

@@ -89,9 +89,9 @@ def _transfer(q: Data):
     return G.transfer(m, moves, "id", "google_maps_cid")
 
 
-@query("mg_assign", "WITH f AS (SELECT id, CASE WHEN id % 4 = 0 THEN '1000080' ELSE CAST(500 + id % 300 AS STRING) END AS value, CASE WHEN id % 5 = 0 THEN 'probable' ELSE 'exact' END AS state, id % 11 <> 0 AS evidence FROM master WHERE id % 2 = 0), n AS (SELECT value, count(*) AS n FROM f GROUP BY value) SELECT f.id, f.value, CASE WHEN state <> 'exact' OR NOT evidence OR google_maps_cid <> '' THEN 'review' WHEN f.value IN (SELECT google_maps_cid FROM master ) OR n > 1 THEN 'collision' ELSE 'applied' END AS outcome FROM f JOIN n USING (value) JOIN master m ON m.id = f.id")
+@query("mg_assign", "WITH f AS (SELECT id, CASE WHEN id % 4 = 0 THEN '1000080' ELSE CAST(500 + id % 300 AS STRING) END AS value, CASE WHEN id % 5 = 0 THEN 'probable' ELSE 'exact' END AS state, id % 11 <> 0 AS evidence FROM master ), n AS (SELECT value, count(*) AS n FROM f GROUP BY value) SELECT f.id, f.value, CASE WHEN state <> 'exact' OR NOT evidence OR google_maps_cid <> '' THEN 'review' WHEN f.value IN (SELECT google_maps_cid FROM master ) OR n > 1 THEN 'collision' ELSE 'applied' END AS outcome FROM f JOIN n USING (value) JOIN master m ON m.id = f.id")
 def _assign(q: Data):
-    f = q.master.where("id % 2 = 0").select("id", F.when(c("id") % 4 == 0, "1000080").otherwise((c("id") % 300 + 500).cast("string")).alias("value"), F.when(c("id") % 5 == 0, "probable").otherwise("exact").alias("state"), (c("id") % 11 != 0).alias("evidence"))
+    f = q.master.select("id", F.when(c("id") % 4 == 0, "1000080").otherwise((c("id") % 300 + 500).cast("string")).alias("value"), F.when(c("id") % 5 == 0, "probable").otherwise("exact").alias("state"), (c("id") % 11 != 0).alias("evidence"))
     return G.assign(q.master.select("id", "google_maps_cid"), f, "id", "google_maps_cid")
 
 

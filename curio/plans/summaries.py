@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from curio.functions import text as T
+from curio.functions.scores import rounded
 from curio.operators import summaries as A
 from curio.plans.basics import M, PHONE, SLUG
 from curio.plans.registry import Data, query
@@ -17,17 +18,21 @@ def _count(q: Data):
     return A.count_by(q.master, c("operating_status"))
 
 
-@query("agg_cond_sum", "SELECT category, count(*) AS n, count(*) FILTER (WHERE phone <> '') AS phone, count(*) FILTER (WHERE website <> '') AS website, count(*) FILTER (WHERE latitude <> '') AS coords FROM master GROUP BY category")
+PCT = "CAST(printf('%.1f', 100.0 * {a} / {b}) AS DOUBLE)"  # to one place, exact halves to even
+
+
+@query("agg_cond_sum", "SELECT category, n, phone, website, coords, " + ", ".join(f"{PCT.format(a=k, b='n')} AS {k}_pct" for k in ("phone", "website", "coords")) + " FROM (SELECT category, count(*) AS n, count(*) FILTER (WHERE phone <> '') AS phone, count(*) FILTER (WHERE website <> '') AS website, count(*) FILTER (WHERE latitude <> '') AS coords FROM master GROUP BY category)")
 def _cond(q: Data):
-    return A.coverage(q.master, "category", {"phone": T.present(c("phone")), "website": T.present(c("website")), "coords": T.present(c("latitude"))})
+    g = A.coverage(q.master, "category", {"phone": T.present(c("phone")), "website": T.present(c("website")), "coords": T.present(c("latitude"))})
+    return g.select("*", *[rounded(c(k) * 100 / c("n"), 1).alias(f"{k}_pct") for k in ("phone", "website", "coords")])
 
 
 MISSING = ("phone", "website", "email", "latitude", "instagram_handle", "description_full")
 
 
-@query("agg_missing", " UNION ALL ".join(f"SELECT '{f}' AS field, count(*) FILTER (WHERE {f} = '') AS missing, count(*) AS total FROM master " for f in MISSING))
+@query("agg_missing", f"SELECT field, missing, total, {PCT.format(a='missing', b='total')} AS pct FROM (" + " UNION ALL ".join(f"SELECT '{f}' AS field, count(*) FILTER (WHERE {f} = '') AS missing, count(*) AS total FROM master " for f in MISSING) + ")")
 def _missing(q: Data):
-    return A.missing(q.master, list(MISSING))
+    return A.missing(q.master, list(MISSING)).withColumn("pct", rounded(c("missing") * 100 / c("total"), 1))
 
 
 @query("agg_having_dup", "SELECT area, category, count(*) AS n FROM master GROUP BY area, category HAVING count(*) > 1")
@@ -66,9 +71,16 @@ def _groups(q: Data):
     return A.facet(q.master.where("description_full <> ''"), F.split(F.lower("description_full"), " "))
 
 
-@query("agg_most_common", "SELECT business_name AS value, count(*) AS n FROM master GROUP BY 1 ORDER BY n DESC, value LIMIT 15")
+GOOD = "wifi|pool|spa|gimnasio"
+LISTED = "SELECT unnest(list_filter(list_transform(regexp_split_to_array(amenities, '[,;]'), lambda x: trim(x)), lambda x: x <> '')) AS value FROM places "
+
+
+@query("agg_most_common", f"WITH l AS ({LISTED}), a AS (SELECT value, count(*) AS n FROM l GROUP BY value), b AS (SELECT value, count(*) AS n FROM l WHERE regexp_matches(lower(value), '{GOOD}') GROUP BY value) SELECT value, a.n AS before, coalesce(b.n, 0) AS after, a.n - coalesce(b.n, 0) AS removed FROM a LEFT JOIN b USING (value) ORDER BY before DESC, value LIMIT 15")
 def _common(q: Data):
-    return A.count_by(q.master, c(M), "value").orderBy(F.desc("n"), "value").limit(15)
+    """The 15 most common values before a cleaning, with how many it kept and removed."""
+    items = q.places.select(F.explode(T.split_list(c("amenities"))).alias("value"))
+    both = A.multiset_difference(items, items.where(F.lower("value").rlike(GOOD)), "value")
+    return both.orderBy(F.desc("before"), "value").limit(15)
 
 
 @query("agg_two_key", "SELECT state, version, count(*) AS n FROM ledger GROUP BY state, version")
@@ -76,9 +88,16 @@ def _two(q: Data):
     return q.ledger.groupBy("state", "version").agg(F.count("*").alias("n"))
 
 
-@query("agg_avg", "SELECT area, CAST(sum(CAST(round(TRY_CAST(latitude AS DOUBLE) * 2000) AS BIGINT)) // count(*) AS BIGINT) AS lat FROM master WHERE latitude <> '' GROUP BY area")
+@query("agg_avg", "SELECT area, CAST(printf('%.1f', CAST(sum(length(business_name)) AS DOUBLE) / count(*)) AS DOUBLE) AS mean, CAST(sum(CAST(round(TRY_CAST(latitude AS DOUBLE) * 2000) AS BIGINT)) // count(*) AS BIGINT) AS lat FROM master WHERE latitude <> '' GROUP BY area")
 def _avg(q: Data):
-    return q.master.where("latitude <> ''").groupBy("area").agg(F.floor(F.avg(F.round(c("latitude").try_cast("double") * 2000).cast("bigint"))).alias("lat"))
+    located = q.master.where("latitude <> ''")
+    return located.groupBy("area").agg(rounded(F.avg(F.length(M)), 1).alias("mean"), F.floor(F.avg(F.round(c("latitude").try_cast("double") * 2000).cast("bigint"))).alias("lat"))
+
+
+@query("rounding", "SELECT c_custkey AS id, CAST(printf('%.2f', c_custkey / 8.0) AS DOUBLE) AS eighths, CAST(printf('%.2f', CAST(1.005 AS DOUBLE) + c_custkey) AS DOUBLE) AS fives, CAST(printf('%.0f', c_custkey / 2.0) AS DOUBLE) AS halves FROM customer")
+def _rounding(q: Data):
+    k = c("c_custkey")
+    return q.customer.select(k.alias("id"), rounded(k / 8, 2).alias("eighths"), rounded(F.lit(1.005) + k, 2).alias("fives"), rounded(k / 2, 0).alias("halves"))
 
 
 @query("agg_pass_fail", "SELECT area, count(*) FILTER (WHERE latitude <> '') AS pass, count(*) FILTER (WHERE latitude = '') AS fail, count(*) AS total FROM master GROUP BY area")
@@ -86,10 +105,10 @@ def _pass(q: Data):
     return q.master.groupBy("area").agg(F.count_if(c("latitude") != "").alias("pass"), F.count_if(c("latitude") == "").alias("fail"), F.count("*").alias("total"))
 
 
-@query("agg_coverage_pct", "SELECT area, count(*) AS total, count(s.id) AS matched, CAST(floor(1000.0 * count(s.id) / count(*)) AS BIGINT) AS permille FROM master m LEFT JOIN (SELECT id FROM second ) s ON s.id = m.id GROUP BY area")
+@query("agg_coverage_pct", "SELECT area, count(*) AS total, count(s.id) AS matched, CAST(printf('%.1f', 100.0 * count(s.id) / count(*)) AS DOUBLE) AS pct FROM master m LEFT JOIN (SELECT id FROM second ) s ON s.id = m.id GROUP BY area")
 def _pct(q: Data):
     j = q.master.select("id", "area").join(q.second.select("id", F.lit(1).alias("hit")), "id", "left")
-    return j.groupBy("area").agg(F.count("*").alias("total"), F.count("hit").alias("matched")).withColumn("permille", F.floor(c("matched") * 1000 / c("total")))
+    return j.groupBy("area").agg(F.count("*").alias("total"), F.count("hit").alias("matched")).withColumn("pct", rounded(c("matched") * 100 / c("total"), 1))
 
 
 @query("agg_owners", f"SELECT value, count(*) AS n, string_agg(CAST(id AS STRING), ',' ORDER BY id) AS ids FROM (SELECT DISTINCT id, {PHONE} AS value FROM master ) WHERE value <> '' GROUP BY value HAVING count(*) > 1")
@@ -103,12 +122,12 @@ def _fields(q: Data):
     return q.master.select(F.explode(F.map_keys(m)).alias("field")).groupBy("field").agg(F.count("*").alias("n"))
 
 
-@query("agg_exposure", "SELECT coalesce(a.tag, b.tag) AS tag, coalesce(a.n, 0) AS now, coalesce(b.n, 0) AS could, coalesce(b.n, 0) - coalesce(a.n, 0) AS delta FROM (SELECT category AS tag, count(*) AS n FROM master WHERE id % 2 = 0 GROUP BY 1) a FULL JOIN (SELECT category AS tag, count(*) AS n FROM master GROUP BY 1) b ON a.tag = b.tag")
+@query("agg_exposure", "SELECT coalesce(a.tag, b.tag) AS tag, coalesce(a.n, 0) AS now, coalesce(b.n, 0) AS could, coalesce(b.n, 0) - coalesce(a.n, 0) AS delta FROM (SELECT category AS tag, count(*) AS n FROM master WHERE operating_status = 'active' GROUP BY 1) a FULL JOIN (SELECT category AS tag, count(*) AS n FROM master GROUP BY 1) b ON a.tag = b.tag")
 def _exposure(q: Data):
     from curio.operators.classify import exposure
 
-    rows = q.master.select("id", c("category").alias("tag"))
-    return exposure(rows.where("id % 2 = 0"), rows)
+    rows = q.master.select("id", c("category").alias("tag"), "operating_status")
+    return exposure(rows.where("operating_status = 'active'"), rows)
 
 
 BUCKETS = {"click": "succeeded", "view": "no_data", "purchase": "succeeded", "error": "failed"}
@@ -204,17 +223,20 @@ def _overlap(q: Data):
     return overlaps(rows, ["rid"], "a", "b").select("rid", "seq", "overlaps")
 
 
-def _ordered(name: str, order_sql: str, order, cols: str = "id", extra: str = "", limit: int = 100) -> None:
-    @query(name, f"SELECT {cols} FROM master {extra} ORDER BY {order_sql} LIMIT {limit}")
+def _ordered(name: str, order_sql: str, order) -> None:
+    """All of master in an order; the place of each row shows it."""
+
+    @query(name, f"SELECT id, row_number() OVER (ORDER BY {order_sql}) AS place FROM master ")
     def _(q: Data):
-        return q.master.orderBy(*order()).limit(limit).select(*cols.split(", "))
+        return A.placed(q.master, order(), "place").select("id", "place")
 
 
-_ordered("srt_multi", "category, area, business_name, id", lambda: [c("category"), c("area"), c(M), c("id")])
-_ordered("srt_ci", "lower(business_name), id", lambda: [F.lower(M), c("id")])
-_ordered("srt_custom", "CASE category WHEN 'furniture' THEN 0 ELSE 1 END, CASE region WHEN 'ASIA' THEN 1 WHEN 'EUROPE' THEN 2 ELSE 0 END, business_name, id", lambda: [F.when(c("category") == "furniture", 0).otherwise(1), F.array_position(F.lit(["ASIA", "EUROPE"]), c("region")), c(M), c("id")])
-_ordered("srt_search", "CASE WHEN phone <> '' THEN 1 ELSE 0 END + CASE WHEN website <> '' THEN 1 ELSE 0 END DESC, lower(business_name), id", lambda: [F.desc(T.present(c("phone")).cast("int") + T.present(c("website")).cast("int")), F.lower(M), c("id")])
-_ordered("srt_triage", "CASE WHEN category = 'building' THEN 1 ELSE 2 END, CASE WHEN operating_status = 'active' THEN 0 ELSE 1 END, coalesce(TRY_CAST(google_maps_cid AS BIGINT), 0) DESC, id", lambda: [F.when(c("category") == "building", 1).otherwise(2), F.when(c("operating_status") == "active", 0).otherwise(1), F.desc(F.coalesce(c("google_maps_cid").try_cast("bigint"), F.lit(0))), c("id")])
+UP, DOWN = False, True
+_ordered("srt_multi", "category, area, business_name, id", lambda: [(c("category"), UP), (c("area"), UP), (c(M), UP), (c("id"), UP)])
+_ordered("srt_ci", "lower(business_name), id", lambda: [(F.lower(M), UP), (c("id"), UP)])
+_ordered("srt_custom", "CASE category WHEN 'furniture' THEN 0 ELSE 1 END, CASE region WHEN 'ASIA' THEN 1 WHEN 'EUROPE' THEN 2 ELSE 0 END, business_name, id", lambda: [(F.when(c("category") == "furniture", 0).otherwise(1), UP), (F.array_position(F.lit(["ASIA", "EUROPE"]), c("region")), UP), (c(M), UP), (c("id"), UP)])
+_ordered("srt_search", "CASE WHEN phone <> '' THEN 1 ELSE 0 END + CASE WHEN website <> '' THEN 1 ELSE 0 END DESC, lower(business_name), id", lambda: [(T.present(c("phone")).cast("int") + T.present(c("website")).cast("int"), DOWN), (F.lower(M), UP), (c("id"), UP)])
+_ordered("srt_triage", "CASE WHEN category = 'building' THEN 1 ELSE 2 END, CASE WHEN operating_status = 'active' THEN 0 ELSE 1 END, coalesce(TRY_CAST(google_maps_cid AS BIGINT), 0) DESC, id", lambda: [(F.when(c("category") == "building", 1).otherwise(2), UP), (F.when(c("operating_status") == "active", 0).otherwise(1), UP), (F.coalesce(c("google_maps_cid").try_cast("bigint"), F.lit(0)), DOWN), (c("id"), UP)])
 
 
 @query("lim_page", "SELECT id FROM master ORDER BY lower(business_name), id LIMIT 150")

@@ -87,13 +87,35 @@ def _at(q: Data):
 
 OPEN_SQL = f"WITH x AS (SELECT id, (id * 37) % 1440 AS m, (SELECT min(id) FROM hours ) AS lo FROM hours ) SELECT id, {OPENS} OR (id > lo AND ((id + 9) % 10 = 1 OR ((id + 9) % 10 = 4 AND m < 150))) AS open FROM x"
 query("dt_open_at", OPEN_SQL)(lambda q: _at(q).select("id", H.open_at(c("today"), c("yesterday"), c("m")).alias("open")))
-query("st_open_now", OPEN_SQL)(lambda q: _at(q).select("id", H.open_at(c("today"), c("yesterday"), c("m")).alias("open")))
+TICKS = (0, 149, 150, 539, 540, 719, 720, 1319, 1349)  # minutes at which a clock looks again
 
 
-@query("dt_status", "WITH x AS (SELECT id, (id * 37) % 1440 AS m, (SELECT min(id) FROM hours ) AS lo FROM hours ) SELECT id, CASE WHEN id % 10 = 0 THEN 'Closed today' WHEN id % 10 = 1 THEN 'Open 24 hours' WHEN id > lo AND id % 10 = 5 AND m < 150 THEN 'Open · Closes today at 2:30 AM' WHEN id % 10 = 2 AND m >= 540 AND m < 1020 THEN 'Open · Closes at 5:00 PM' WHEN id % 10 = 2 AND m < 540 THEN 'Closed · Opens at 9:00 AM' WHEN id % 10 = 4 AND m >= 960 THEN 'Open · Closes tomorrow at 2:30 AM' WHEN id % 10 = 4 THEN 'Closed · Opens at 4:00 PM' ELSE 'Closed' END AS v FROM x WHERE id % 10 IN (0, 1, 2, 4) OR (id % 10 = 5 AND m < 150 AND id > lo)")
+@query("st_open_now", "WITH x AS (SELECT id, m, (SELECT min(id) FROM hours ) AS lo FROM hours CROSS JOIN (VALUES " + ", ".join(f"({t})" for t in TICKS) + f") t(m)), o AS (SELECT m, {OPENS} OR (id > lo AND ((id + 9) % 10 = 1 OR ((id + 9) % 10 = 4 AND m < 150))) AS open FROM x) SELECT m AS minute, count(*) FILTER (WHERE open) AS open, count(*) AS places FROM o GROUP BY m")
+def _now_open(q: Data):
+    """How many are open at each tick of a clock."""
+    seen = _at(q).drop("m").withColumn("m", F.explode(F.lit(list(TICKS))))
+    return seen.groupBy(c("m").alias("minute")).agg(F.count_if(H.open_at(c("today"), c("yesterday"), c("m"))).alias("open"), F.count("*").alias("places"))
+
+
+def _spoken(m: int) -> str:
+    return f"{(m // 60 - 1) % 12 + 1}:{m % 60:02d} {'AM' if m % 1440 < 720 else 'PM'}"
+
+
+def _states() -> str:
+    """The arms of dt_status for each row text of the hours view: periods in minutes, and whether one ends on the next day."""
+    kinds = {2: [(540, 1020)], 3: [(720, 1320)], 4: [(960, 150)], 5: [(480, 720), (810, 1080)], 6: [(600, 1350)], 7: [(420, 660)]}
+    arms = []
+    for k, periods in kinds.items():
+        for a, b in periods:
+            inside = f"m >= {a}" if b < a else f"m >= {a} AND m < {b}"
+            arms.append(f"WHEN id % 10 = {k} AND {inside} THEN 'Open · Closes {'tomorrow ' if b < a else ''}at {_spoken(b)}'")
+        arms += [f"WHEN id % 10 = {k} AND m < {a} THEN 'Closed · Opens at {_spoken(a)}'" for a, _ in periods]
+    return " ".join(arms)
+
+
+@query("dt_status", f"WITH x AS (SELECT id, (id * 37) % 1440 AS m, (SELECT min(id) FROM hours ) AS lo FROM hours ) SELECT id, CASE WHEN id % 10 = 0 THEN 'Closed today' WHEN id % 10 = 1 THEN 'Open 24 hours' WHEN id > lo AND id % 10 = 5 AND m < 150 THEN 'Open · Closes today at 2:30 AM' {_states()} ELSE 'Closed' END AS v FROM x")
 def _status(q: Data):
-    x = _at(q).where("id % 10 IN (0, 1, 2, 4) OR (id % 10 = 5 AND m < 150 AND yesterday IS NOT NULL)")
-    return x.select("id", H.status(c("today"), c("yesterday"), c("m")).alias("v"))
+    return _at(q).select("id", H.status(c("today"), c("yesterday"), c("m")).alias("v"))
 
 
 @query("dt_stale", "SELECT user_id AS rid, date_diff('day', CAST(max(ts) AS DATE), DATE '2026-01-01') > 21 AS stale FROM events GROUP BY user_id")

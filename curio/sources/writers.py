@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -13,22 +14,31 @@ def csv(df: DataFrame, path: str, columns: list[str], single: bool = False) -> N
     (out.coalesce(1) if single else out).write.mode("overwrite").option("header", True).csv(path)
 
 
-def swap(df: DataFrame, path: str) -> None:
-    """Writes beside the table and renames when all is there, so readers see the old or the new one. df may come from path."""
-    spark = df.sparkSession
-    new = f"{path}.{uuid.uuid4().hex}"
-    df.write.parquet(new)
-    jvm = spark._jvm
-    p, n = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(new)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    old = jvm.org.apache.hadoop.fs.Path(f"{path}.old")
-    fs.delete(old, True)
-    if fs.exists(p) and not fs.rename(p, old):
-        raise OSError(f"{path} cannot be moved")
-    if not fs.rename(n, p):
-        fs.rename(old, p)
-        raise OSError(f"{new} cannot take the place of {path}")
-    fs.delete(old, True)
+def publish(df: DataFrame, path: str) -> str:
+    """Writes df as a new version below path, then points readers at it; returns the version's path. df may come from path.
+
+    The pointer is a file of its own for each version, made by one rename when all data is there: the newest names the table, so
+    readers always find a whole one, and earlier versions stay until they are removed.
+    """
+    spark, jvm = df.sparkSession, df.sparkSession._jvm
+    version = f"v-{time.time_ns():020d}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{version}")
+    hpath = jvm.org.apache.hadoop.fs.Path
+    fs = hpath(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.create(hpath(f"{path}/_{version}")).close()
+    if not fs.rename(hpath(f"{path}/_{version}"), hpath(f"{path}/{version}.current")):
+        raise OSError(f"{path} cannot be pointed at {version}")
+    return f"{path}/{version}"
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version that publish has finished below path."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hpath(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted(s.getPath().getName() for s in fs.listStatus(hpath(path)) if s.getPath().getName().endswith(".current"))
+    if not names:
+        raise FileNotFoundError(path)
+    return spark.read.parquet(f"{path}/{names[-1].removesuffix('.current')}")
 
 
 def jsonl_append(df: DataFrame, path: str) -> None:

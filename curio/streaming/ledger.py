@@ -33,9 +33,10 @@ def retry_queue(ledger: DataFrame, key: str, good: list[str]) -> DataFrame:
 
 
 def compact(ledger: DataFrame, key: str) -> DataFrame:
-    """The last entry per key: partial aggregation by the largest sequence number, then its row."""
-    last = ledger.groupBy(key).agg(F.max("seq").alias("seq"))
-    return ledger.join(last, [key, "seq"])
+    """The last entry per key, one row: the largest sequence number; of equal ones the largest row. Partial aggregation, no join."""
+    rest = [x for x in ledger.columns if x not in (key, "seq")]
+    last = ledger.groupBy(key).agg(F.max(F.struct("seq", *rest)).alias("last"))
+    return last.select(*[key if x == key else F.col(f"last.{x}").alias(x) for x in ledger.columns])
 
 
 def progress(ledger: DataFrame) -> DataFrame:
