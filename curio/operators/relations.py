@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -48,3 +48,9 @@ def set_disjoint(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 def set_subset(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Whether all keys of a are in b."""
     return three_way(a, b, key).agg((F.count_if(F.col("side") == "left") == 0).alias("ok"))
+
+
+def pinned(df: DataFrame, **cols: Column) -> DataFrame:
+    """df with further columns, worked out once: a generator stands between them and what uses them, so they are not inlined there."""
+    made = F.struct(*[c.alias(n) for n, c in cols.items()])
+    return df.select("*", F.explode(F.array(made)).alias("_made")).select("*", *[F.col(f"_made.{n}").alias(n) for n in cols]).drop("_made")

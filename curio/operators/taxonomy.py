@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curio.functions.text import nfkc
+from curio.operators.relations import pinned
 
 # Groups and tag of a primary category, groups of a tag, words by which a group is searched, and labels of tags that
 # are not just the tag with blanks.
@@ -98,28 +99,22 @@ def _assertion(tag: Column, sure: Column, source: Column, rule: Column, evidence
     return F.struct(tag.alias("tag"), sure.alias("confidence"), source.alias("source"), rule.alias("rule"), evidence.alias("evidence"))
 
 
-def _pinned(df: DataFrame, **cols: Column) -> DataFrame:
-    """df with further columns, worked out once: a generator stands between them and what uses them, so they are not inlined there."""
-    made = F.struct(*[c.alias(n) for n, c in cols.items()])
-    return df.select("*", F.explode(F.array(made)).alias("_made")).select("*", *[F.col(f"_made.{n}").alias(n) for n in cols]).drop("_made")
-
-
 def assertions(df: DataFrame) -> DataFrame:
     """df with primary (category as a code) and assertions: per tag the first source, then the first pattern, that matches.
 
     All sources are normalised together (NFKC, lower case, single blanks). A record's own category asserts its tag with certainty.
     """
     raw = F.concat_ws(_GAP, *[F.coalesce(F.regexp_replace(F.col(c), _GAP, " "), F.lit("")) for c in ("category", *(c for _, c, _ in SOURCES))])
-    df = _pinned(df, _texts=F.transform(F.split(F.lower(nfkc(raw)), _GAP, -1), lambda x: F.trim(F.regexp_replace(x, r"(?U)\s+", " "))))
+    df = pinned(df, _texts=F.transform(F.split(F.lower(nfkc(raw)), _GAP, -1), lambda x: F.trim(F.regexp_replace(x, r"(?U)\s+", " "))))
     primary = F.replace(F.get("_texts", 0), F.lit(" "), F.lit("_"))
-    df = _pinned(df, primary=primary, _own=F.try_element_at(_table(PRIMARY_TAGS), primary), **{f"_t{i}": F.get("_texts", i + 1) for i in range(len(SOURCES))})
+    df = pinned(df, primary=primary, _own=F.try_element_at(_table(PRIMARY_TAGS), primary), **{f"_t{i}": F.get("_texts", i + 1) for i in range(len(SOURCES))})
     first = []  # number of the first source that matches each rule
     for tag, patterns in RULES.items():
         out = F.lit(None).cast("int")
         for i in reversed(range(len(SOURCES))):
             out = F.when(F.col(f"_t{i}").rlike("(?U)" + "|".join(patterns)), i).otherwise(out)
         first.append(F.when(~F.col("primary").isin(EXCLUDED[tag]), out) if tag in EXCLUDED else out)
-    df = _pinned(df, _first=F.array(*first))
+    df = pinned(df, _first=F.array(*first))
     names, sure = F.array(*[F.lit(n) for n, _, _ in SOURCES]), F.array(*[F.lit(x) for _, _, x in SOURCES])
     found = [F.when(F.col("_own").isNotNull(), _assertion(F.col("_own"), F.lit(1.0), F.lit("master.category"), F.concat(F.lit("primary:"), F.col("primary")), F.col("category")))]
     for n, (tag, patterns) in enumerate(RULES.items()):
@@ -127,7 +122,7 @@ def assertions(df: DataFrame) -> DataFrame:
         text = F.get("_texts", k + 1)
         words = F.coalesce(*[F.nullif(F.regexp_extract(text, f"(?U){p}", 0), F.lit("")) for p in patterns])
         found.append(F.when(k.isNotNull() & ~F.col("_own").eqNullSafe(tag), _assertion(F.lit(tag), F.get(sure, k), F.get(names, k), F.lit(f"explicit:{tag}"), words)))
-    df = _pinned(df, assertions=F.array_compact(F.array(*[x.cast(_ASSERTION) for x in found])))
+    df = pinned(df, assertions=F.array_compact(F.array(*[x.cast(_ASSERTION) for x in found])))
     return df.drop("_texts", "_own", "_first", *[f"_t{i}" for i in range(len(SOURCES))])
 
 
@@ -139,8 +134,8 @@ def records(df: DataFrame) -> DataFrame:
     """assertions with tags, attributes, groups, synonyms (sorted), conflicts and review_state."""
     df = assertions(df)
     tags = lambda keep: F.array_sort(F.array_distinct(F.transform(F.filter("assertions", keep), lambda a: a["tag"])))
-    df = _pinned(df, tags=tags(lambda a: a["source"].isin(IDENTITY)), attributes=tags(lambda a: ~a["source"].isin(IDENTITY)))
-    df = _pinned(df, groups=F.array_sort(F.array_distinct(F.concat(_spread(PRIMARY_GROUPS, F.array("primary")), _spread(TAG_GROUPS, F.col("tags"))))))
+    df = pinned(df, tags=tags(lambda a: a["source"].isin(IDENTITY)), attributes=tags(lambda a: ~a["source"].isin(IDENTITY)))
+    df = pinned(df, groups=F.array_sort(F.array_distinct(F.concat(_spread(PRIMARY_GROUPS, F.array("primary")), _spread(TAG_GROUPS, F.col("tags"))))))
     labels = F.transform(F.concat("tags", "attributes"), lambda t: F.coalesce(F.try_element_at(_table(LABELS), t), F.replace(t, F.lit("-"), F.lit(" "))))
     df = df.withColumn("synonyms", F.array_sort(F.array_distinct(F.concat(_spread(SYNONYMS, F.col("groups")), labels))))
     has = lambda *g: F.arrays_overlap("groups", F.array(*map(F.lit, g)))

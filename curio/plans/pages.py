@@ -17,37 +17,69 @@ def _note():
     return F.when(k == 0, "Call +506 2750 1234 or +506 2750 9999").when(k == 1, "Average rating: 4.5 of 5. previously called Old Inn.").when(k == 2, "Verified 2026-03-04").otherwise("plain words")
 
 
+TRAILS = [("Hotels", "/en/hotels/", "/en/cocles/hotels/"), ("Eat", "/en/restaurants/", "/en/hone-creek/"), ("Tours", "/en/tour/x", "en/punta-uva/"), ("Home", "/en/", "/en/nowhere/"), ("Accommodations", "/en/a/", "/fr/cahuita/"), ("none", "", "")]
+
+
 def _page(q: Data):
     """Listing pages made from the master view."""
     k = c("id") % 5
     img = F.when(c("id") % 7 == 0, '<img src="/i/closed.png">').when(c("id") % 7 == 1, '<img src="/i/caution.gif" alt="Temporarily closed">').when(c("id") % 7 == 2, '<img src="warning.png">').otherwise("")
-    link = F.when(k == 0, F.concat(F.lit('<a href="https://maps.google.com/?cid='), c("id").cast("string"), F.lit('">map</a><a href="https://www.facebook.com/sharer?u=1">s</a><a href="https://www.facebook.com/f'), c("id").cast("string"), F.lit('">f</a>'))).when(k == 1, '<a href="https://instagram.com/p/1">x</a><a href="https://instagram.com/luna.sol/">@luna</a>').otherwise('<a href="https://own.example.com/">own.example.com</a><a href="//www.tiktok.com/@t">t</a>')
-    html = F.concat(F.lit("<html><head><title>T "), "area", F.lit('</title></head><nav><a href="https://nav.example.com">n</a></nav><h1>'), "category", F.lit("</h1><p>"), _note(), F.lit("</p>"), img, link, F.lit("<script>var aLats=[9.5, '9.75',x];</script><footer>+506 1111 2222</footer></html>"))
-    return q.master.select("id", F.concat(F.lit("https://x.example.com/"), F.when(c("id") % 2 == 0, "en").otherwise("es"), F.lit("/a/b")).alias("url"), html.alias("html"))
+    link = F.when(k == 0, F.concat(F.lit('<a href="https://maps.google.com/?cid='), c("id").cast("string"), F.lit('">map</a><a href="https://www.facebook.com/sharer?u=1">s</a><a href="https://www.facebook.com/f'), c("id").cast("string"), F.lit('">f</a>'))).when(k == 1, '<a href="https://instagram.com/p/1">x</a><a href="https://instagram.com/Luna.Sol/">@luna</a>').otherwise('<a href="https://own.example.com/">own.example.com</a><a href="//www.tiktok.com/@t">t</a>')
+    trail = F.lit("")
+    for i, (word, one, two) in enumerate(TRAILS[:-1]):
+        trail = F.when(c("id") % 6 == i, f'<p class="c"><a href="{one}">{word}</a> &gt; <a href="{two}">Two</a></p>').otherwise(trail)
+    cost = F.when(c("id") % 4 == 1, '<div class="p">$$ <img src="/i/Green-Dollar.png"><img src="/i/green-dollar.png"> fair</div>').when(c("id") % 4 == 2, '<div><img src="green-dollar.png"></div>').otherwise("")
+    body = F.concat(F.lit("<p>First words of it.</p><p>"), _note(), F.lit("</p>"), F.when(c("id") % 3 != 2, '<h2 class="x">The Listing Details</h2><p>behind it all</p>').otherwise(""))
+    html = F.concat(F.lit("<html><head><title>T "), "area", F.lit('</title></head><nav><a href="https://nav.example.com">n</a></nav>'), trail, F.lit("<h1>"), "category", F.lit("</h1>"), body, cost, img, link, F.lit("<script>var aLats=[9.5, '9.75',x];</script><footer>+506 1111 2222</footer></html>"))
+    path = F.when(c("id") % 2 == 0, "en/a-b/c").otherwise("es")
+    return q.master.select("id", F.concat(F.lit("https://x.example.com/"), path).alias("url"), html.alias("html"), F.when(c("id") % 50 == 3, 404).otherwise(200).alias("code"))
+
+
+CATEGORY = "CASE id % 6 WHEN 0 THEN 'hotel' WHEN 1 THEN 'restaurant' WHEN 2 THEN 'tour_company' WHEN 4 THEN 'hotel' END"
+NAMED_AREA = "CASE id % 6 WHEN 0 THEN 'Cocles' WHEN 1 THEN 'Hone Creek' END"
+AREA = f"coalesce({NAMED_AREA}, CASE WHEN id % 2 = 0 THEN 'A B' END)"
+PRICE = "CASE WHEN id % 4 = 1 THEN '$$ fair' END"
+DESC = f"CASE WHEN id % 3 <> 2 THEN {NOTE} END"
+PHONE_SQL, ALT_SQL = "CASE WHEN id % 5 = 0 THEN '+506 2750 1234' END", "CASE WHEN id % 5 = 1 THEN 'Old Inn' END"
+STATUS_SQL = "CASE id % 7 WHEN 0 THEN 'closed' WHEN 1 THEN 'temporarily_closed' WHEN 2 THEN 'needs_verification' ELSE 'active' END"
+
+
+def _listed(q: Data):
+    return E.listings(_page(q), http_status="code")
 
 
 def _listing(name: str, field: str, sql: str) -> None:
-    query(name, f"SELECT id, {sql} AS v FROM master ")(lambda q: _page(q).withColumn("l", E.listing(c("url"), c("html"))).select("id", c(f"l.{field}").alias("v")))
+    query(name, f"SELECT id, {sql} AS v FROM master ")(lambda q: _listed(q).select("id", c(field).alias("v")))
 
 
-_listing("ex_phone", "phone", "CASE WHEN id % 5 = 0 THEN '+506 2750 1234' END")
+_listing("ex_phone", "phone", PHONE_SQL)
 _listing("ex_rating", "rating", "CASE WHEN id % 5 = 1 THEN CAST(4.5 AS DOUBLE) END")
 _listing("ex_date", "verified_date", "CASE WHEN id % 5 = 2 THEN '2026-03-04' END")
-_listing("ex_alt", "alternate_names", "CASE WHEN id % 5 = 1 THEN 'Old Inn' END")
-_listing("ex_status", "status", "CASE id % 7 WHEN 0 THEN 'closed' WHEN 1 THEN 'temporarily_closed' WHEN 2 THEN 'needs_verification' ELSE 'active' END")
-_listing("cl_status_map", "status", "CASE id % 7 WHEN 0 THEN 'closed' WHEN 1 THEN 'temporarily_closed' WHEN 2 THEN 'needs_verification' ELSE 'active' END")
+_listing("ex_alt", "alternate_names", ALT_SQL)
+_listing("ex_status", "status", STATUS_SQL)
 _listing("ex_cid", "cid", "CASE WHEN id % 5 = 0 THEN CAST(id AS STRING) END")
 _listing("ex_ig", "instagram", "CASE WHEN id % 5 = 1 THEN 'https://instagram.com/p/1' END")
 _listing("ex_fb", "facebook", "CASE WHEN id % 5 = 0 THEN 'https://www.facebook.com/f' || id END")
 _listing("ex_website", "website", "CASE WHEN id % 5 > 1 THEN 'https://own.example.com/' END")
-_listing("ex_desc", "description", NOTE)
-_listing("ex_area", "area", "CASE WHEN id % 2 = 0 THEN 'en' ELSE 'es' END")
+_listing("ex_desc", "description", DESC)
+_listing("ex_area", "page_area", AREA)
+_listing("ex_category", "page_category", CATEGORY)
+_listing("ex_price", "price", PRICE)
+query("cl_status_map", f"SELECT {STATUS_SQL} AS status, count(*) AS n FROM master GROUP BY 1")(lambda q: _page(q).groupBy(E.status(c("html")).alias("status")).agg(F.count("*").alias("n")))
+
+
+@query("ex_listing", f"""SELECT id, 'https://x.example.com/' || CASE WHEN id % 2 = 0 THEN 'en/a-b/c' ELSE 'es' END AS url, category AS name, 'T ' || area AS title, {CATEGORY} AS page_category, {AREA} AS page_area, {ALT_SQL} AS alternate_names, {PHONE_SQL} AS phone,
+  CASE WHEN id % 5 > 1 THEN 'https://own.example.com/' END AS website, CASE WHEN id % 5 = 0 THEN CAST(id AS STRING) END AS cid, CASE WHEN id % 5 = 1 THEN 'Luna.Sol' END AS instagram_handle, CASE WHEN id % 5 = 1 THEN 'https://instagram.com/p/1' END AS instagram,
+  CASE WHEN id % 5 = 0 THEN 'https://www.facebook.com/f' || id END AS facebook, {DESC} AS description, CASE WHEN id % 5 = 1 THEN CAST(4.5 AS DOUBLE) END AS rating, {PRICE} AS price, CASE WHEN id % 5 = 2 THEN '2026-03-04' END AS verified_date, {STATUS_SQL} AS status,
+  CASE WHEN id % 50 = 3 THEN 404 ELSE 200 END AS page_status, CASE WHEN id % 5 = 0 THEN '+50627501234' ELSE '' END AS normalized_phone, CASE WHEN id % 5 = 1 THEN 'luna.sol' END AS normalized_instagram,
+  concat_ws(',', CASE WHEN {CATEGORY} IS NULL THEN 'no_category' END, CASE WHEN {AREA} IS NULL THEN 'no_area' END, CASE WHEN {NAMED_AREA} IS NULL AND {AREA} IS NOT NULL THEN 'area_from_url' END, CASE WHEN id % 5 <> 0 THEN 'no_phone,no_cid' END, CASE WHEN id % 5 < 2 THEN 'no_website' END, CASE WHEN id % 50 = 3 THEN 'bad_status' END) AS warnings FROM master """)
+def _full(q: Data):
+    return _listed(q).withColumn("warnings", F.array_join("warnings", ",")).drop("html", "code")
 
 
-@query("ex_listing", f"SELECT id, category AS name, 'T ' || area AS title, {NOTE} AS description, CASE WHEN id % 5 = 0 THEN 'no_website' WHEN id % 5 = 1 THEN 'no_phone,no_cid,no_website' ELSE 'no_phone,no_cid' END AS warnings FROM master ")
-def _full(q: Data):
-    p = _page(q).withColumn("l", E.listing(c("url"), c("html")))
-    return p.select("id", c("l.name").alias("name"), c("l.title").alias("title"), c("l.description").alias("description"), F.array_join("l.warnings", ",").alias("warnings"))
+@query("ex_breadcrumb", "SELECT id, CASE id % 6 " + " ".join(f"WHEN {i} THEN '{a}={w}" + (f"|{b}=Two" if b.startswith(("/en/", "en/")) else "") + "'" for i, (w, a, b) in enumerate(TRAILS[:-1])) + " ELSE '' END AS v FROM master ")
+def _crumb(q: Data):
+    return _page(q).select("id", F.array_join(F.transform(E.crumbs(c("html")), lambda x: F.concat(x["href"], F.lit("="), x["shown"])), "|").alias("v"))
 
 
 @query("ex_scope", f"SELECT page_id, length({SCOPE}) AS n FROM pages")
@@ -55,21 +87,6 @@ def _scope(q: Data):
     return q.pages.select("page_id", F.length(E.scope(c("html"))).cast("bigint").alias("n"))
 
 
-@query("ex_breadcrumb", "SELECT page_id, regexp_extract_all(html, '(?i)<a\\b[^>]*?href=\"([^\"]*)\"', 1)[1] AS first, CAST(len(regexp_extract_all(html, '(?i)<a\\b[^>]*?href=\"([^\"]*)\"', 1)) AS BIGINT) AS n FROM pages")
-def _crumb(q: Data):
-    return q.pages.select("page_id", F.get(E.links(c("html")), 0).alias("first"), F.size(E.links(c("html"))).cast("bigint").alias("n"))
-
-
-@query("ex_category", "SELECT page_id, CASE WHEN contains(html, '<article>') THEN 'article' WHEN contains(html, '<table') THEN 'table' ELSE 'other' END AS v FROM pages")
-def _category(q: Data):
-    return q.pages.select("page_id", F.when(F.contains("html", F.lit("<article>")), "article").when(F.contains("html", F.lit("<table")), "table").otherwise("other").alias("v"))
-
-
-@query("ex_price", "SELECT page_id, nullif(regexp_extract(html, '\\$[0-9]+', 0), '') AS v FROM pages")
-def _price(q: Data):
-    return q.pages.select("page_id", E.first_match(c("html"), [r"\$[0-9]+"]).alias("v"))
-
-
 @query("ex_js_arrays", "SELECT id, '9.5|9.75|?' AS v FROM master ")
 def _js(q: Data):
     return _page(q).select("id", F.array_join(F.transform(E.js_array(c("html"), "aLats"), lambda x: x.cast("string")), "|", "?").alias("v"))
@@ -80,12 +97,12 @@ def _urls(q: Data):
     return q.pages.select("page_id", F.size(E.page_urls(c("html"), "^/t")).cast("bigint").alias("n"))
 
 
-@query("ex_social", "SELECT id, CASE WHEN id % 5 = 0 THEN 'https://www.facebook.com/f' || id || '|https://www.facebook.com/sharer' WHEN id % 5 = 1 THEN 'https://instagram.com/luna.sol/|https://instagram.com/p/1' ELSE 'https://www.tiktok.com/@t' END AS v FROM master ")
+@query("ex_social", "SELECT id, CASE WHEN id % 5 = 0 THEN 'https://www.facebook.com/f' || id || '|https://www.facebook.com/sharer' WHEN id % 5 = 1 THEN 'https://instagram.com/Luna.Sol/|https://instagram.com/p/1' ELSE 'https://www.tiktok.com/@t' END AS v FROM master ")
 def _social(q: Data):
     return _page(q).select("id", F.array_join(E.social(c("html")), "|").alias("v"))
 
 
-query("ex_ig_handle", "SELECT id, CASE WHEN id % 5 = 1 THEN 'luna.sol' END AS v FROM master ")(lambda q: _page(q).select("id", E.handle(c("html")).alias("v")))
+query("ex_ig_handle", "SELECT id, CASE WHEN id % 5 = 1 THEN 'Luna.Sol' END AS v FROM master ")(lambda q: _page(q).select("id", E.handle(c("html")).alias("v")))
 
 
 @query("ex_profile", "SELECT id, CASE id % 4 WHEN 0 THEN 'ok' WHEN 1 THEN 'not_found' WHEN 2 THEN 'login' ELSE 'challenged' END AS state, CASE WHEN id % 4 = 0 THEN CAST(id AS INT) END AS posts, CASE WHEN id % 4 = 0 THEN category END AS bio FROM master ")
