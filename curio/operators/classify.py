@@ -7,62 +7,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-Rules = list[tuple[str, list[str]]]  # tag and its patterns, in order of precedence
-
-
 def tag_matches(texts: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     """(id, tag) of all patterns that match `text`: one pass over the rows, however many rules."""
     hits = F.array_compact(F.array(*[F.when(F.col("text").rlike(p), F.lit(tag)) for tag, p in rules]))
     return texts.select("id", F.explode(hits).alias("tag"))
 
 
-def first_evidence(df: DataFrame, sources: list[tuple[str, float]], rules: Rules, excluded: dict[str, list[str]] | None = None) -> DataFrame:
-    """Per record and tag the first source, then the first pattern, that matches: id, tag, source, confidence, pattern.
-
-    sources: text columns and their confidence, in order. excluded: categories in which a tag is never given.
-    """
-    def one(tag: str, patterns: list[str]) -> Column:
-        out = F.lit(None).cast("struct<tag:string,source:string,confidence:double,pattern:string>")
-        for name, sure in reversed(sources):
-            for p in reversed(patterns):
-                out = F.when(F.coalesce(F.lower(F.col(name)).rlike(p), F.lit(False)), F.struct(F.lit(tag).alias("tag"), F.lit(name).alias("source"), F.lit(float(sure)).alias("confidence"), F.lit(p).alias("pattern"))).otherwise(out)
-        banned = (excluded or {}).get(tag)
-        return F.when(~F.col("category").isin(banned), out) if banned else out
-
-    found = F.array_compact(F.array(*[one(t, p) for t, p in rules]))
-    return df.select("id", F.explode(found).alias("x")).select("id", "x.*")
-
-
-def assemble(df: DataFrame, evidence: DataFrame, identity: list[str], groups: dict[str, str], primary: dict[str, str]) -> DataFrame:
-    """Record with tags (identity sources), attributes (others) and groups (of its category and of its tags), sorted arrays."""
-    table = F.create_map(*[F.lit(x) for kv in groups.items() for x in kv])
-    own = F.create_map(*[F.lit(x) for kv in primary.items() for x in kv])
-    e = evidence.withColumn("identity", F.col("source").isin(identity))
-    g = e.groupBy("id").agg(
-        F.array_sort(F.collect_set(F.when(F.col("identity"), F.col("tag")))).alias("tags"), F.array_sort(F.collect_set(F.when(~F.col("identity"), F.col("tag")))).alias("attributes"),
-        F.collect_set(table[F.col("tag")]).alias("_g"),
-    )
-    empty = F.array().cast("array<string>")
-    j = df.join(g, "id", "left")
-    grouped = F.array_sort(F.array_union(F.array_compact(F.array(own[F.col("category")])), F.coalesce("_g", empty)))
-    return j.select("id", "category", F.coalesce("tags", empty).alias("tags"), F.coalesce("attributes", empty).alias("attributes"), grouped.alias("groups"))
-
-
-def conflicts(df: DataFrame, rules: list[tuple[str, Column]]) -> Column:
-    """Names of the contradictions that hold."""
-    return F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules]))
+def most_points(points: dict[str, Column], none: str = "unknown") -> Column:
+    """The name with most points, the first of equal ones; `none` where all have none."""
+    best = F.array_max(F.array(*[F.struct(n.alias("n"), F.lit(-i).alias("k"), F.lit(name).alias("name")) for i, (name, n) in enumerate(points.items())]))
+    return F.when(best["n"] > 0, best["name"]).otherwise(none)
 
 
-def keyword_argmax(text: Column, lexicon: list[tuple[str, list[str]]], bonus: Column | None = None, points: int = 5, none: str = "unknown") -> Column:
-    """Category with most keywords in the text; ties by order of the lexicon. bonus: a category that gets extra points."""
-    scores = []
-    for i, (cat, words) in enumerate(lexicon):
-        n = reduce(lambda a, b: a + b, [F.contains(text, F.lit(w)).cast("int") for w in words])
-        if bonus is not None:
-            n = n + F.when(bonus == cat, points).otherwise(0)
-        scores.append(F.struct(n.alias("n"), F.lit(-i).alias("k"), F.lit(cat).alias("cat")))
-    best = F.array_max(F.array(*scores))
-    return F.when(best["n"] > 0, best["cat"]).otherwise(none)
+def keyword_argmax(text: Column, lexicon: list[tuple[str, list[str]]], none: str = "unknown") -> Column:
+    """Category with most keywords in the text; ties by order of the lexicon."""
+    return most_points({cat: reduce(lambda a, b: a + b, [F.contains(text, F.lit(w)).cast("int") for w in words]) for cat, words in lexicon}, none)
 
 
 def exposure(current: DataFrame, potential: DataFrame) -> DataFrame:

@@ -148,6 +148,26 @@ def _about(q: Data):
     return E.aria_groups(q.master.select("id", t.alias("t")), "id", "t", ["About this data", "Pricing and availability"]).select("id", "group", F.array_join("attributes", "|").alias("attributes"))
 
 
+# Lines of a map capture beside those about contacts: ten kinds by id.
+SAID = [
+    ["Free Wifi", "free wifi", "2 bedroom pool"], ["Swimming pool", "Blue Lagoon Garden"], ["Piscina Grande Azul", "Hot water"], ["Ocean view bar", "Reviews", "bares"], ["Beach hotel", "Hotel"],
+    ["Cafe y pizza", "Heladeria"], ["seafood", "Sushi bar and more of it"], ["mariscos de la casa y del mar", "Grill"], ["Backpackers hostel", "surf shop"], ["Pizza Roma", "taco", "soda tica"],
+]
+KIND = ["hotel", "restaurant", "shopping", "tour_company", "services", "hostel", "other"]
+KNOWN_NAMES = ["Grill", "Casa Azul"]
+LINES = "CASE id % 10 " + " ".join(f"WHEN {i} THEN [{', '.join(repr(x) for x in v)}]" for i, v in enumerate(SAID)) + " END"
+KIND_SQL = "CASE id % 7 " + " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(KIND)) + " END"
+
+
+def _said(q: Data):
+    lines, kind = F.lit(None).cast("array<string>"), F.lit("other")
+    for i, v in enumerate(SAID):
+        lines = F.when(c("id") % 10 == i, F.lit(v)).otherwise(lines)
+    for i, k in enumerate(KIND):
+        kind = F.when(c("id") % 7 == i, k).otherwise(kind)
+    return q.master.select("id", c("business_name").alias("name"), kind.alias("kind"), F.array_join(lines, "\n").alias("t"))
+
+
 def _capture(q: Data):
     k = c("id") % 4
     t = F.concat_ws("\n", "business_name", F.when(k != 3, F.concat(F.lit("4."), (c("id") % 10).cast("string"))), F.when(k == 0, "+506 2750 1234").when(k == 1, "27501234"), F.when(k == 1, "casa.example.com"), F.when(k == 2, "M742+8M Town").otherwise("12 calle Uno"), F.when(k == 0, "Abierto ahora"), F.when(k == 1, "lunes 9:00 a.m. - 5:00 p.m."), F.when(k == 2, "Hora de entrada: 3:00 p.m."), F.lit("Free Wifi"), F.lit("Reviews"), F.lit("Swimming pool"), F.lit("Beach hotel"))
@@ -163,22 +183,36 @@ MAP = {
 for _field, (_name, _sql) in MAP.items():
     query(_name, f"SELECT id, {_sql} AS v FROM master ")(lambda q, f=_field: _capture(q).withColumn("m", E.map_fields(c("t"))).select("id", c(f"m.{f}").alias("v")))
 
-query("ex_m_amenities", "SELECT id, 'Free Wifi|Swimming pool' AS v FROM master ")(lambda q: _capture(q).select("id", F.array_join(E.keyword_lines(c("t"), ["wifi", "pool"], "reviews"), "|").alias("v")))
-query("ex_m_subcat", "SELECT id, 'Beach hotel' AS v FROM master ")(lambda q: _capture(q).select("id", E.best_keyword_line(F.substring_index("t", "\n", -4), ["beach", "hotel"]).alias("v")))
-query("ex_m_cuisine", "SELECT id, 'Free Wifi' AS v FROM master ")(lambda q: _capture(q).select("id", E.best_keyword_line(F.substring_index("t", "\n", -4), ["wifi"]).alias("v")))
-
+def _list(words: list[str]) -> str:
+    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
 
-@query("ex_m_infer_cat", "SELECT id, CASE WHEN id % 6 = 3 THEN 'shopping' WHEN id % 6 IN (0, 1, 2) THEN 'hotel' WHEN id % 6 = 4 THEN 'food' ELSE 'unknown' END AS v FROM master ")
-def _infer(q: Data):
-    from curio.operators.classify import keyword_argmax
 
-    return q.master.select("id", keyword_argmax(F.lower("business_name"), [("hotel", ["casa", "hotel", "café"]), ("food", ["bar", "grill"]), ("shopping", ["tienda"])]).alias("v"))
+UNNAMED = "regexp_matches(x, '^\\p{Lu}\\p{Ll}+(?: \\p{Lu}\\p{Ll}+)"
+AMEN_OK = f"length(x) <= 45 AND NOT list_contains({_list(E.PAGE_WORDS)}, lower(x)) AND NOT regexp_matches(lower(x), '{E.ROOMS}') AND NOT ({UNNAMED}{{2,5}}$') AND len(list_filter({_list(E.LEADS)}, lambda w: starts_with(lower(x), w))) = 0) AND len(list_filter({_list(E.AMENITIES)}, lambda w: contains(lower(x), w))) > 0"
+query("ex_m_amenities", f"WITH l AS (SELECT id, unnest({LINES}) AS x, generate_subscripts({LINES}, 1) AS i FROM master ), o AS (SELECT id, lower(x) AS low, min(i) AS i, arg_min(x, i) AS x FROM l WHERE {AMEN_OK} GROUP BY id, lower(x)) SELECT m.id, coalesce(string_agg(x, '|' ORDER BY i), '') AS v FROM master m LEFT JOIN o ON o.id = m.id GROUP BY m.id")(
+    lambda q: _said(q).select("id", F.array_join(E.amenity_lines(c("t")), "|").alias("v"))
+)
+WORDS = "CASE k " + " ".join(f"WHEN '{k}' THEN {_list(w)}" for k, w in E.SUBCATEGORIES.items()) + " ELSE CAST([] AS VARCHAR[]) END"
+FITS = "list_filter(w, lambda y: contains(lower(x), y))"
+query("ex_m_subcat", f"""WITH l AS (SELECT id, {KIND_SQL} AS k, unnest({LINES}) AS x, generate_subscripts({LINES}, 1) AS i FROM master ), w AS (SELECT *, {WORDS} AS w FROM l WHERE length(x) <= 35 AND NOT list_contains({_list(E.PAGE_WORDS)}, lower(x))),
+d AS (SELECT id, x, i, {FITS}[-1] AS y FROM w WHERE len({FITS}) > 0), s AS (SELECT id, x, i, CASE WHEN lower(x) = y THEN 10 WHEN starts_with(lower(x), y) OR ends_with(lower(x), y) THEN 8 ELSE 5 END AS s FROM d),
+z AS (SELECT id, x, row_number() OVER (PARTITION BY id ORDER BY s DESC, length(x), i) AS n FROM s) SELECT m.id, z.x AS v FROM master m LEFT JOIN z ON z.id = m.id AND n = 1""")(lambda q: _said(q).select("id", E.subcategory(c("t"), c("kind")).alias("v")))
+KITCHEN = f"list_filter({_list(E.KITCHENS)}, lambda y: contains(lower(x), y))"
+query("ex_m_cuisine", f"""WITH l AS (SELECT id, unnest({LINES}) AS x, generate_subscripts({LINES}, 1) AS i FROM master ), k AS (SELECT id, x, i, length({KITCHEN}[1]) * 1.0 / length(x) AS r FROM l WHERE length(x) <= 35 AND NOT regexp_matches(lower(x), '{E.NO_KITCHEN}') AND NOT {UNNAMED}{{1,5}}$') AND lower(x) NOT IN ({', '.join(repr(n.lower()) for n in KNOWN_NAMES)}) AND len({KITCHEN}) > 0),
+z AS (SELECT id, x, r, row_number() OVER (PARTITION BY id ORDER BY r DESC, i) AS n FROM k WHERE r > 0.3) SELECT id, x AS value, CAST(CASE WHEN r > 0.4 THEN 0.6 ELSE 0.5 END AS DOUBLE) AS confidence FROM z WHERE n = 1""")(
+    lambda q: E.cuisine_lines(_said(q), "id", "t", q.spark.createDataFrame([(n,) for n in KNOWN_NAMES], "name string"))
+)
+POINTS = ", ".join(f"{{'n': len(list_filter({_list(w)}, lambda y: contains(low, y))) + CASE WHEN list_contains({_list(E.SUBCATEGORIES[k])}, sub) THEN 5 ELSE 0 END, 'k': {-i}, 'name': '{k}'}}" for i, (k, w) in enumerate(E.CATEGORY_WORDS))
+SUB = "CASE id % 4 WHEN 0 THEN 'Cabin' WHEN 1 THEN 'pharmacy' ELSE '' END"
+query("ex_m_infer_cat", f"WITH x AS (SELECT id, lower({SUB}) AS sub, lower(business_name || ' ' || {SUB} || ' ' || array_to_string({LINES}, chr(10))) AS low FROM master ), p AS (SELECT id, list_sort([{POINTS}])[-1] AS b FROM x) SELECT id, CASE WHEN b.n > 0 THEN b.name ELSE 'unknown' END AS v FROM p")(
+    lambda q: _said(q).select("id", E.infer_category(c("name"), F.when(c("id") % 4 == 0, "Cabin").when(c("id") % 4 == 1, "pharmacy").otherwise(""), c("t")).alias("v"))
+)
 
 
-@query("ex_maps_v1", "SELECT id, CASE WHEN id % 4 <> 3 THEN CAST('4.' || id % 10 AS DOUBLE) END AS rating, 'Free Wifi|Swimming pool' AS amenities FROM master ")
+@query("ex_maps_v1", f"SELECT id, CASE WHEN id % 4 <> 3 THEN CAST('4.' || id % 10 AS DOUBLE) END AS rating, CASE WHEN {AMEN_OK} THEN x || '|' ELSE '' END || 'Free Wifi|Swimming pool' AS amenities FROM (SELECT id, trim(business_name) AS x FROM master )")
 def _v1(q: Data):
     m = E.map_fields(c("t"))
-    return _capture(q).select("id", m["rating"].alias("rating"), F.array_join(E.keyword_lines(c("t"), ["wifi", "pool"], "reviews"), "|").alias("amenities"))
+    return _capture(q).select("id", m["rating"].alias("rating"), F.array_join(E.amenity_lines(c("t")), "|").alias("amenities"))
 
 
 query("ex_maps_v2", "SELECT id, CASE id % 4 WHEN 0 THEN '+506 2750 1234' WHEN 1 THEN '27501234' END AS phone, CASE WHEN id % 4 = 2 THEN 'M742+8M Town' ELSE '12 calle Uno' END AS address FROM master ")(
