@@ -40,7 +40,7 @@ _one("fn_id_md5", lambda: T.id_md5(c(M), c("google_maps_cid"), c("phone")), "sub
 _one("fn_id_sha", lambda: T.id_sha(c(M), c("area")), "substr(sha256(business_name || '|' || area), 1, 16)")
 _one("fn_semantic_key", lambda: T.semantic_key(c("google_maps_cid"), c(M), c("area")), "CASE WHEN google_maps_cid <> '' THEN 'cid:' || google_maps_cid ELSE 'record:' || substr(sha256(business_name || '|' || area), 1, 16) END")
 _one("fn_display_name", lambda: T.display_name(c(M), c("area"), "limón|limon|costa rica"), r"CASE WHEN id % 5 = 1 THEN regexp_extract(business_name, '^(.*?) - ', 1) WHEN id % 5 = 2 THEN regexp_extract(business_name, '^(.*?),', 1) ELSE business_name END")
-_one("fn_clean_name", lambda: F.trim(F.regexp_replace(T.repair_mojibake(c(M)), r"\s+-\s+.*$", "")), r"trim(regexp_replace(business_name, '\s+-\s+.*$', ''))")
+_one("fn_clean_name", lambda: F.trim(F.regexp_replace(T.repair_mojibake(F.when(c("id") % 2 == 0, F.decode(F.encode(c(M), "UTF-8"), "ISO-8859-1")).otherwise(c(M))), r"\s+-\s+.*$", "")), r"trim(regexp_replace(business_name, '\s+-\s+.*$', ''))")
 _one("fn_title_clean", lambda: T.strip_suffix(c(M), [", Costa Rica", " Azul", " Luna"]), "trim(regexp_replace(business_name, '(?:, Costa Rica| Azul| Luna)$', ''))")
 _one("fn_phone_e164", lambda: T.phone_e164(c("phone")), PHONE)
 _one("fn_phone_cr", lambda: T.phone_local(c("phone")), "CASE id % 8 WHEN 0 THEN '' WHEN 1 THEN '+506' || phone WHEN 2 THEN '+506' || substr(replace(replace(phone, ' ', ''), '-', ''), 5) WHEN 3 THEN '+' || substr(phone, 8) WHEN 4 THEN '123' WHEN 5 THEN '+506' || regexp_replace(phone, '[^0-9]', '', 'g') WHEN 6 THEN '+506' || phone ELSE '+' || phone END")

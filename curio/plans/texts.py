@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from curio.functions import arrays as R
 from curio.functions import hours as H
 from curio.operators import schedules as Z
+from curio.operators.relations import pinned
 from curio.plans.registry import Data, query
 
 c = F.col
@@ -80,8 +81,9 @@ OPENS = "CASE id % 10 WHEN 1 THEN true WHEN 2 THEN m >= 540 AND m < 1020 WHEN 3
 
 def _at(q: Data):
     """A day's row, that of the id before it as yesterday, and a minute."""
-    today = q.hours.select("id", H.day_row(c("row_text")).alias("today"), ((c("id") * 37) % 1440).cast("int").alias("m"))
-    before = q.hours.select((c("id") + 1).alias("id"), H.day_row(c("row_text")).alias("yesterday"))
+    rows = pinned(q.hours, day=H.day_row(c("row_text")))  # parsed once, not in each place that looks at it
+    today = rows.select("id", c("day").alias("today"), ((c("id") * 37) % 1440).cast("int").alias("m"))
+    before = rows.select((c("id") + 1).alias("id"), c("day").alias("yesterday"))
     return today.join(before, "id", "left")
 
 

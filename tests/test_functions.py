@@ -110,11 +110,68 @@ def test_readers(spark, tmp_path):
     assert readers.csv(spark, str(tmp_path / "d.csv")).columns == ["name", "x"]
 
 
-def test_swap_reads_its_own_table(spark, tmp_path):
+def test_published_versions(spark, tmp_path):
     p = f"file://{tmp_path}/t"
-    writers.swap(spark.range(10), p)
-    writers.swap(spark.read.parquet(p).where("id < 4"), p)
-    assert spark.read.parquet(p).count() == 4
+    with pytest.raises(Exception):
+        writers.published(spark, p)
+    first = writers.publish(spark.range(10), p)
+    spark.range(99).write.parquet(f"{p}/v-99999999999999999999-unfinished")  # no pointer: not seen
+    writers.publish(writers.published(spark, p).where("id < 4"), p)
+    assert writers.published(spark, p).count() == 4 and spark.read.parquet(first).count() == 10
+
+
+def test_rounding_and_nfkc(spark):
+    from curio.functions.scores import rounded
+
+    assert values(spark, [1.005, 0.125, 0.135, 2.5, -0.125, 12345.675], rounded(F.col("v"), 2), "v double") == [round(x, 2) for x in (1.005, 0.125, 0.135, 2.5, -0.125, 12345.675)]
+    assert values(spark, ["ﬁn  Ａ", "Å"], text.norm_text(F.col("v"))) == ["fin a", "å"] and values(spark, ["Wi-Fi ＆ ﬂat"], text.amenity_key(F.col("v"))) == ["wifi_and_flat"]
+
+
+def test_places_in_order(spark):
+    rows = [(i, (i * 7) % 5, f"n{i % 3}") for i in range(60)]
+    got = summaries.placed(spark.createDataFrame(rows, "id int, a int, b string").repartition(7), [(F.col("a"), True), (F.col("b"), False), (F.col("id"), False)], "place").collect()
+    assert [r.id for r in sorted(got, key=lambda r: r.place)] == [r[0] for r in sorted(rows, key=lambda r: (-r[1], r[2], r[0]))] and sorted(r.place for r in got) == list(range(1, 61))
+    assert summaries.placed(spark.createDataFrame([], "id int"), [(F.col("id"), False)], "place").count() == 0
+
+
+def test_compaction_keeps_one_row(spark):
+    rows = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (1, 2, "c"), (2, 1, None)], "rid int, seq int, state string")
+    assert sorted(map(tuple, ledger.compact(rows, "rid").collect())) == [(1, 2, "c"), (2, 1, None)] and ledger.compact(rows, "rid").columns == rows.columns
+
+
+def test_taxonomy(spark):
+    from curio.operators import taxonomy
+
+    cols = "id int, business_name string, category string, description_full string, subcategory string, cuisine string, amenities string"
+    rows = [
+        (1, "Casa Luna B & B", "Restaurant", "Yoga and massage", None, None, ""), (2, "Clínica Veterinaria Sol", "services", "", "", "", ""), (3, "Clínica  Dental", "", None, "", "", "Spa"),
+        (4, "Surf Shop", "shopping", "surfing", "", "", ""), (5, "Shuttle y Tours", "tour_company", "", "", "", ""), (6, None, None, None, None, None, None),
+    ]
+    got = {r.id: r for r in taxonomy.records(spark.createDataFrame(rows, cols)).collect()}
+    assert got[1].tags == ["bed-and-breakfast", "restaurant"] and got[1].attributes == ["massage", "yoga"] and got[1].conflicts == ["restaurant_with_lodging_evidence"]
+    assert got[1].groups == ["eat", "stay"] and {a.tag: (a.confidence, a.source, a.rule, a.evidence) for a in got[1].assertions}["bed-and-breakfast"] == (0.96, "master.name", "explicit:bed-and-breakfast", "b & b")
+    assert got[2].tags == ["local-service", "veterinary"] and got[3].tags == ["dental", "medical"] and got[3].attributes == ["spa"] and "missing_primary_category" in got[3].conflicts
+    assert got[4].tags == ["shop"] and got[5].conflicts == ["tour_company_with_transport_identity"] and got[6].tags == [] and got[6].review_state == "review"
+    assert "bed & breakfast" in got[1].synonyms and "hospedaje" in got[1].synonyms
+
+
+def test_entry_audit(spark):
+    from curio.operators import audits
+
+    cols = "id int, business_name string, category string, area string, subcategory string, description_full string, phone string, whatsapp string, google_maps_cid string, website string"
+    rows = [(1, "Hotel Sol", "hotel", "A", "", "A fine place with rooms and a garden by the sea.", "1", "", "5", "x"), (2, "bar", "hotel", "", "Cocktail bar", "", "", "", "", ""), (3, None, None, None, None, None, None, None, None, None)]
+    got = {r.id: r for r in audits.entry(spark.createDataFrame(rows, cols)).collect()}
+    assert (got[1].issues, got[1].fixes, got[1].score) == ([], [], 100)
+    assert got[2].issues == ["category_mismatch", "unreachable", "no_map_id", "no_website", "no_area", "short_name", "generic_name", "no_description", "subcategory_nightlife"] and got[2].score == 0
+    assert "no_category" in got[3].issues and got[3].score == 0
+
+
+def test_ranges_by_both_ways(spark):
+    from curio.operators import relations
+
+    rows, zones = spark.range(200).withColumn("x", F.col("id") * 1.5), spark.createDataFrame([(0, 10.0, 40.0), (1, 30.0, 90.0), (2, 500.0, 600.0)], "zone int, lo double, hi double")
+    few = sorted(map(tuple, relations.in_ranges(rows, "x", zones).select("id", "zone").collect()))
+    assert few == sorted(map(tuple, relations.in_ranges(rows, "x", zones, most=1).select("id", "zone").collect())) and len(few) > 50
 
 
 def test_streaming_retries(spark, tmp_path):
