@@ -32,6 +32,7 @@ FIT_ROWS = 20_000
 MIN_TOXIC = 4  # sampled toxic documents that hold a feature, for it to be tested
 MIN_RATIO = 6.0  # how much likelier a learned feature is in toxic documents, at least
 CHANCE = 0.1  # expected number of learned features that are there by chance
+LEARNED = 600  # size of the model: features that it looks at, those that tell most
 THRESHOLD = 0.3
 ROOT = 4  # bytes of the shortest learned word beginning
 PREFIXES = (4, 5, 6, 7, 8, 9)
@@ -140,7 +141,11 @@ def _tally(sample: DataFrame) -> DataFrame:
 
 
 def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> dict[bytes, tuple[int, float]]:
-    """Features that are likelier in toxic documents by more than chance, with tier and log odds: each that passes the test."""
+    """Features that are likelier in toxic documents by more than chance, with tier and log odds: the LEARNED that tell most.
+
+    All features of the sample are tested. Beyond those that tell most, what passes is mostly words of a few documents and their
+    copies: with all of them the model rejects clean documents (README).
+    """
     if not n_toxic or not n_clean:
         return {}
     tested = materialise(_tally(sample), "toxicity-features")
@@ -149,7 +154,7 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> dict[bytes,
     ratio = ((t + 0.5) / (n_toxic + 1)) / ((c + 0.5) / (n_clean + 1))
     share = t / (t + c)
     gain = t * F.log(share / base) + F.when(c > 0, c * F.log((1 - share) / (1 - base))).otherwise(0.0)  # log of the likelihood ratio against the base rate
-    found = tested.where((ratio >= MIN_RATIO) & (gain >= need)).select("k", F.log(ratio).alias("odds")).orderBy("k").collect()
+    found = tested.where((ratio >= MIN_RATIO) & (gain >= need)).select("k", F.log(ratio).alias("odds"), gain.alias("gain")).orderBy(F.desc("gain"), "k").limit(LEARNED).collect()
     cuts = np.quantile([r.odds for r in found], [1 / 3, 2 / 3]) if found else (0, 0)
     return {bytes(r.k): (int(r.odds > cuts[0]) + int(r.odds > cuts[1]), r.odds) for r in found}
 
