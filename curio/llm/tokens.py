@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -21,6 +22,8 @@ _PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u024f]
 _PLAIN = re.compile(r"[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")  # without U+0130, which lower-cases to two characters
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_ALPHABET = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+# How the model sees letters beyond ASCII: the signs of their UTF-8 bytes.
+_SHOWN = {c: chr(c).encode().decode("latin-1").translate(BYTE_ALPHABET) for c in range(0xA1, 0x250)}
 
 
 class WordEncoder:
@@ -40,8 +43,7 @@ class WordEncoder:
     def _piece(self, piece: str) -> bytes:
         got = self.pieces.get(piece)
         if got is None:
-            shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_ALPHABET)
-            got = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
+            got = array("I", [t.id for t in self.model.tokenize(piece.translate(_SHOWN))]).tobytes()
             if len(self.pieces) >= CACHE_ENTRIES // 2:
                 self.pieces.clear()
             if len(piece) <= CACHE_PART_CHARS:
@@ -49,11 +51,13 @@ class WordEncoder:
         return got
 
     def _whole(self, part: str) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in self.tokenizer.encode(part, add_special_tokens=False).ids)
+        return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
 
     def _part(self, part: str) -> bytes:
+        low = part.lower()
+        if low.isalpha() and low.isascii() and part.isascii():
+            return self._piece(low)
         if "<|" not in part and _PLAIN.fullmatch(part):
-            low = part.lower()
             if low.isalpha():
                 return self._piece(low)
             return b"".join(map(self._piece, _PRETOKEN.findall(low)))
