@@ -23,8 +23,8 @@ import zlib
 
 import numpy as np
 
-BLOCK = 1 << 20
-LANES = 4096
+BLOCK = 3 << 19
+LANES = 6144
 STEPS = 1024  # ids of a lane, at most, where a block has several lanes
 MAGIC = b"CMR2"
 TOTAL = 1 << 16
