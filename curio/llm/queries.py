@@ -71,6 +71,24 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key)
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curio.llm import fill_middle
+
+    return fill_middle.report(table(spark, sf_dir, "documents"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curio.llm import quality
+
+    return quality.report(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curio.llm import spelling
+
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_media": op1_media,
     "op2_token_counts": op2_token_counts,
@@ -82,13 +100,16 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_token_ids": op9_token_ids,
     "op10_surrogates": op10_surrogates,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_quality": op12_quality,
+    "op13_spelling": op13_spelling,
 }
 
 
 def _oracles() -> dict[str, str]:
-    from curio.llm import decontaminate, warc
+    from curio.llm import decontaminate, fill_middle, warc
 
-    return {"op4_warc": warc.ORACLE, "op7_decontaminate": decontaminate.ORACLE}
+    return {"op4_warc": warc.ORACLE, "op7_decontaminate": decontaminate.ORACLE, "op11_fill_middle": fill_middle.ORACLE}
 
 
 ORACLES: dict[str, str] = _oracles()
