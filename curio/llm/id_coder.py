@@ -1,19 +1,21 @@
 """Adaptive context-mixing range coder for token ids.
 
-A block is coded on its own from a fresh model and carries checksums. Its ids stand in LANES lanes of consecutive ids, which are
-coded side by side, one id of each per step, with numpy vectors, and share one model:
+A block is coded on its own from a fresh model and carries checksums. Its ids stand in lanes of consecutive ids, which are coded
+side by side, one id of each per step, with numpy vectors, and share one model:
 
-* order 2 and order 1: tables of hashed contexts name the id that followed last, with a confidence;
-* order 0: the frequencies of all ids of the block so far, renewed at fixed steps; ids that it has not are escaped;
-* mixture: P(x) = a[x is the order-2 id] + b[x is the order-1 id] + (1 - a - b) P0(x). The weights a and b are learned, too, per
-  state: both confidences, whether both orders agree, and how frequent order 0 takes the expected id to be.
+* order 0 and order 1: the distributions of all ids of the block so far, and of those behind each id, as sorted occurrences;
+  they are renewed at the steps of RENEW;
+* order 2, and order 4 for copies: tables of hashed contexts name the id that followed last, with a confidence, at once;
+* mixture: every id is coded by one of these predictions, or escaped. Which one is coded first, with frequencies learned for each
+  state: the confidences of order 4 and 2, whether they agree, and how often the last id was seen. The encoder takes the
+  prediction that gives the id most.
 
-The range coder splits 2**16 by this distribution for every id, in one step. All arithmetic that decides anything is on integers
-(a division of doubles is exact here: less than 2**48 by at least 2**16), so any machine decodes what another wrote.
+All arithmetic that the decoder repeats is on integers, so any machine decodes what another wrote.
 
-Block layout, little-endian: magic "CMR2"; n_ids, n_words, crc32 of the ids as unsigned 32-bit numbers, crc32 of all that
+Block layout, little-endian: magic "CMR3"; n_ids, n_words, crc32 of the ids as unsigned 32-bit numbers, crc32 of all that
 follows (4 x u32); n_docs u32, and per document that ends in the block its id (i64, and u8 1 if it is null) and the end
-position (u32); then the coder's 16-bit words in the order in which the decoder needs them. Ids are unsigned 32-bit numbers.
+position (u32); the largest id (u32); then the coder's 16-bit words in the order in which the decoder needs them. Ids are unsigned
+32-bit numbers.
 """
 
 from __future__ import annotations
@@ -26,21 +28,16 @@ import numpy as np
 BLOCK = 3 << 19
 LANES = 6144
 STEPS = 1024  # ids of a lane, at most, where a block has several lanes
-MAGIC = b"CMR2"
-TOTAL = 1 << 16
-CONTEXTS = (16, 18)  # bits of the tables of order 1 and 2
-STATES = 16
-RENEW = frozenset((1, 4, 12, 28, 56, 96, 144, 200, 320, 512, 768))  # steps after which order 0 and the weights are renewed
-KNOWN = TOTAL // 2  # ids that order 0 names at a time: the most frequent ones
-_ORDER2, _ORDER1, _ESCAPE, _FIRST = 0, 1, 2, 3  # symbols; _FIRST and up are ids that order 0 knows
-
-
-def _distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if len(ids) and ids.max() < 1 << 22:
-        n = np.bincount(ids)
-        at = np.flatnonzero(n)
-        return at, n[at]
-    return np.unique(ids, return_counts=True)
+MAGIC = b"CMR3"
+RENEW = frozenset((1, 2, 4, 8, 14, 22, 32, 46, 64, 90, 128, 180, 224, 320, 448, 640, 896))  # steps after which orders 0 and 1 are renewed
+OFTEN, SELDOM = 16, 4  # the mixture learns after each of the first steps, then after every fourth
+TABLE = 20  # bits of the tables of orders 2 and 4
+ROWS = 1 << 16  # contexts of order 1
+SURE = 4  # highest confidence; 0: never seen
+_4, _2, _1, _0, _ESCAPE = range(5)  # predictions
+STATES = 8 * (SURE + 1) ** 2
+SHARES = 10  # bits of the mixture's frequencies
+_SIZES = np.array([1, 2, 5, 17, 65, 257, 1025])  # of an order-1 distribution, for the state
 
 
 def _last_wins() -> bool:
@@ -53,85 +50,125 @@ if not _last_wins():  # lanes that meet in one context: the last one's entry mus
     raise ImportError("numpy.put does not keep the last of repeated places")
 
 
+class _Occurrences:
+    """The decoder's distribution: sorted keys so far, where each distinct one begins, and the place of each occurrence among them."""
+
+    def __init__(self) -> None:
+        self.all = np.zeros(0, np.int64)
+        self._index()
+
+    def add(self, keys: np.ndarray, since: slice, a: int) -> None:
+        self.all = np.concatenate([self.all, np.sort(keys)])
+        self.all.sort(kind="stable")  # two sorted runs are merged
+        self._index()
+
+    def _index(self) -> None:
+        new = np.ones(len(self.all), bool)
+        new[1:] = self.all[1:] != self.all[:-1]
+        at = np.flatnonzero(new)
+        self.keys = self.all[at]
+        self.begin = np.append(at, len(self.all))
+        self.place = np.cumsum(new, dtype=np.int32) - 1
+
+    def at(self, occurrence: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Key, first occurrence and number of the key that stands there."""
+        u = self.place.take(occurrence)
+        first = self.begin.take(u)
+        return self.keys.take(u), first, self.begin.take(u + 1) - first
+
+
+class _Known:
+    """The encoder's view of the same distribution: it has all keys of the block, and counts those that the decoder has had."""
+
+    def __init__(self, keys: np.ndarray):
+        flat = keys.reshape(-1)
+        if flat.max() < 1 << 22:
+            self.rank, n = keys, int(flat.max()) + 1
+        else:
+            order = np.argsort(flat)
+            new = np.diff(flat[order], prepend=-1) != 0
+            rank = np.empty(len(flat), np.int32)
+            rank[order] = np.cumsum(new, dtype=np.int32) - 1
+            self.rank, n = rank.reshape(keys.shape), int(rank[order[-1]]) + 1
+        self.count = np.zeros(n, np.int64)
+        self.first = self.count
+
+    def add(self, keys: np.ndarray, since: slice, a: int) -> None:
+        self.count = self.count + np.bincount(self.rank[since, :a].reshape(-1), minlength=len(self.count))
+        self.first = np.cumsum(self.count) - self.count
+
+    def find(self, t: int, lanes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First occurrence and number of the keys of these lanes at step t."""
+        u = self.rank[t].take(lanes)
+        return self.first.take(u), self.count.take(u)
+
+
+def _fold(ids: np.ndarray) -> np.ndarray:
+    """Contexts of order 1."""
+    return (ids ^ ids >> 16) & (ROWS - 1)
+
+
 class _Model:
     """The adaptive state of a block of n lanes; every call is for the first a of them, those that still have ids."""
 
-    def __init__(self, n: int):
-        self.t1 = np.zeros(1 << CONTEXTS[0], np.int64)  # confidence << 32 | id
-        self.t2 = np.zeros(1 << CONTEXTS[1], np.int64)
-        self.p1, self.p2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        self.ids, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.seen = np.zeros(STATES, np.int64)
-        self.hits = np.zeros((2, STATES), np.int64)
-        self.escapes = 1
-        self.often = np.zeros(1 << 16, np.int64)  # 8 where order 0 takes an id (by its low bits) to be frequent
-        self._tables()
-
-    def _tables(self) -> None:
-        """Cumulative and inverse distributions of every state."""
-        top = np.arange(len(self.ids))
-        if len(top) > KNOWN:
-            top = np.sort(np.argsort(-self.count, kind="stable")[:KNOWN])
-        self.names, c = self.ids[top], self.count[top]
-        width = self.width = _FIRST + len(top)
-        state = np.arange(STATES)
-        seed = 1 + 3 * (state & 3)  # of 16: how likely the order-2 id is at first, by its confidence
-        a = (self.hits[0] * 16 + seed * 2) * 65000 // (self.seen * 16 + 32)
-        b = (self.hits[1] * 16 + 2) * 65000 // (self.seen * 16 + 32)
-        freq = np.zeros((STATES, width), np.int64)
-        # At least one part in 2**16 for each symbol; order 0 gets at least one in 64, and room for all that it knows.
-        least = len(top) + 1 + TOTAL // 64
-        freq[:, _ORDER2] = np.maximum(1, np.minimum(a, (TOTAL - least) * 63 // 64))
-        freq[:, _ORDER1] = np.where(state & 4, 1, np.maximum(1, np.minimum(b, TOTAL - least - freq[:, _ORDER2])))
-        rest = TOTAL - freq[:, _ORDER2] - freq[:, _ORDER1]
-        total = int(c.sum()) + self.escapes
-        room = (rest - len(top) - 1)[:, None]
-        freq[:, _ESCAPE] = 1 + self.escapes * room[:, 0] // total
-        if len(top):
-            freq[:, _FIRST:] = 1 + c[None, :] * room // total
-            freq[:, _FIRST + int(np.argmax(c))] += TOTAL - freq.sum(axis=1)  # what rounding left
-        else:
-            freq[:, _ESCAPE] += TOTAL - freq.sum(axis=1)
+    def __init__(self, n: int, steps: int, one: _Occurrences | _Known, zero: _Occurrences | _Known):
+        self.t4, self.t2 = np.zeros(1 << TABLE, np.int64), np.zeros(1 << TABLE, np.int64)  # confidence << 32 | id
+        self.last = np.zeros((4, n), np.int64)
+        self.one, self.zero, self.total = one, zero, 0
+        self.row, self.size = np.zeros(ROWS, np.int64), np.zeros(ROWS, np.int64)
+        self.weight = np.zeros(ROWS, np.int64)
+        self.seen = np.ones((STATES, 5), np.int64)
+        self.contexts = np.zeros((steps, n), np.int32)  # of order 1, since the last renewal
+        self.start, self.noted = 0, []
+        self._mixture()
+
+    def _mixture(self) -> None:
+        total = self.seen.sum(axis=1, keepdims=True)
+        freq = 1 + self.seen * ((1 << SHARES) - 5) // total
+        freq[np.arange(STATES), self.seen.argmax(axis=1)] += (1 << SHARES) - freq.sum(axis=1)
+        self.by1, self.by0 = freq[:, _1].astype(np.float64), freq[:, _0].astype(np.float64)
         cum = np.cumsum(freq, axis=1) - freq
-        self.split = (cum << 17 | freq).reshape(-1)
-        self.inverse = np.repeat(np.tile(np.arange(width, dtype=np.uint16), STATES), freq.reshape(-1))
-        self.often[:] = 0
-        self.often[self.names[c * 1024 > total] & 0xFFFF] = 8
-
-    def learn(self, ids: np.ndarray, states: np.ndarray, found: np.ndarray) -> None:
-        """Renews the distributions by the steps since the last renewal: ids, their states, and 1, 2 where an order was right."""
-        u, n = _distinct(ids)
-        new = np.setdiff1d(u, self.names, assume_unique=True)
-        self.escapes = 1 + len(new)
-        both, where = np.unique(np.concatenate([self.ids, u]), return_inverse=True)
-        self.count = np.bincount(where, np.concatenate([self.count, n]).astype(np.float64), len(both)).astype(np.int64)
-        self.ids = both
-        kinds = np.bincount(found.astype(np.int64) * STATES + states, minlength=3 * STATES).reshape(3, STATES)
-        self.seen += kinds.sum(axis=0)
-        self.hits += kinds[1:]
-        self._tables()
-
-    def predict(self, a: int) -> np.ndarray:
-        """Where each lane's state starts in the tables."""
-        p1 = self.p1[:a]
-        self.i1 = (p1 * 40503 >> 3) & ((1 << CONTEXTS[0]) - 1)
-        self.i2 = (p1 * 2654435761 + self.p2[:a] * 40503 >> 7) & ((1 << CONTEXTS[1]) - 1)
-        self.e1, self.e2 = self.t1.take(self.i1), self.t2.take(self.i2)
-        self.q1, self.q2 = self.e1 & 0xFFFFFFFF, self.e2 & 0xFFFFFFFF
-        self.s1, self.s2 = self.e1 >> 32, self.e2 >> 32
-        self.same = self.q1 == self.q2
-        self.state = self.s2 | self.same << 2 | self.often.take(self.q2 & 0xFFFF)
-        return self.state
-
-    def update(self, a: int, x: np.ndarray) -> np.ndarray:
-        """0 where neither order was right, 1 order 2, 2 order 1 alone."""
-        hit1, hit2 = self.q1 == x, self.q2 == x
-        step = 1 << 32
-        np.put(self.t1, self.i1, np.where(hit1, np.minimum(self.e1 + step, 3 << 32 | x), np.where(self.s1 > 0, self.e1 - step, x)))
-        np.put(self.t2, self.i2, np.where(hit2, np.minimum(self.e2 + step, 3 << 32 | x), np.where(self.s2 > 1, self.e2 - step, x)))
-        self.p2[:a] = self.p1[:a]
-        self.p1[:a] = x
-        return np.where(hit2, 1, hit1.astype(np.int8) << 1).astype(np.int8)
+        self.split = (cum << 16 | freq).reshape(-1)
+        self.inverse = np.repeat(np.tile(np.arange(5, dtype=np.int8), STATES), freq.reshape(-1))
+
+    def predict(self, a: int) -> None:
+        p1, p2, p3, p4 = self.last[:, :a]
+        two = p1 * 0x9E3779B1 + p2 * 0x85EBCA77
+        self.i2 = (two ^ two >> 19) & ((1 << TABLE) - 1)
+        four = two + p3 * 0xC2B2AE3D + p4 * 0x27D4EB2F
+        self.i4 = (four ^ four >> 21) & ((1 << TABLE) - 1)
+        self.context = _fold(p1)
+        self.e4, self.e2 = self.t4.take(self.i4), self.t2.take(self.i2)
+        self.q4, self.q2 = self.e4 & 0xFFFFFFFF, self.e2 & 0xFFFFFFFF
+        self.s4, self.s2 = self.e4 >> 32, self.e2 >> 32
+        other = np.where((self.q4 == self.q2) & (self.s4 > 0), 0, self.s2)
+        self.state = self.s4 + (SURE + 1) * other + self.weight.take(self.context)
+
+    def update(self, t: int, a: int, ids: np.ndarray, source: np.ndarray) -> None:
+        """After step t; ids: all steps so far."""
+        x = ids[t, :a]
+        for table, i, e, q, s in ((self.t4, self.i4, self.e4, self.q4, self.s4), (self.t2, self.i2, self.e2, self.q2, self.s2)):
+            right = (q == x) & (s > 0)
+            kept = np.where(s > 2, (s >> 1) << 32 | q, 1 << 32 | x)
+            np.put(table, i, np.where(right, np.minimum(s + 1, SURE) << 32 | x, kept))
+        self.contexts[t, :a] = self.context
+        self.last[1:, :a] = self.last[:3, :a].copy()
+        self.last[0, :a] = x
+        self.noted.append(self.state * 5 + source)
+        if t < OFTEN or t % SELDOM == SELDOM - 1:
+            self.seen += np.bincount(np.concatenate(self.noted), minlength=5 * STATES).reshape(STATES, 5) * 4
+            self.noted = []
+            self._mixture()
+        if t + 1 in RENEW:
+            since = slice(self.start, t + 1)
+            new, behind = ids[since, :a].reshape(-1), self.contexts[since, :a].reshape(-1).astype(np.int64)
+            self.zero.add(new, since, a)
+            self.one.add(behind << 32 | new, since, a)
+            self.total += len(new)
+            self.size += np.bincount(behind, minlength=ROWS)
+            self.row = np.cumsum(self.size) - self.size
+            self.weight = (SURE + 1) ** 2 * np.searchsorted(_SIZES, self.size, side="right")
+            self.start = t + 1
 
 
 def _shape(n: int) -> tuple[int, int]:
@@ -141,21 +178,9 @@ def _shape(n: int) -> tuple[int, int]:
     return -(-n // steps), steps
 
 
-class _Log:
-    """States and outcomes of the steps since the last renewal."""
-
-    def __init__(self, steps: int, lanes: int):
-        self.states, self.found = np.zeros((steps, lanes), np.int8), np.zeros((steps, lanes), np.int8)
-        self.start = 0
-
-    def note(self, m: _Model, t: int, a: int, ids: np.ndarray, found: np.ndarray) -> None:
-        """After step t, of a lanes. Renewals learn from the lanes that reach them."""
-        self.states[t, :a] = m.state
-        self.found[t, :a] = found
-        if t + 1 in RENEW:
-            since = slice(self.start, t + 1)
-            m.learn(*(v[since, :a].reshape(-1) for v in (ids, self.states, self.found)))
-            self.start = t + 1
+def _raw_totals(largest: int) -> tuple[int, int]:
+    """What the high and the low 16 bits of an escaped id are coded among."""
+    return (largest >> 16) + 1, min(largest + 1, 1 << 16)
 
 
 def _encode(ids: np.ndarray) -> np.ndarray:
@@ -165,41 +190,54 @@ def _encode(ids: np.ndarray) -> np.ndarray:
     grid[: len(ids)] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
     short = steps - (lanes * steps - len(ids))  # ids of the last lane
-    m, log = _Model(lanes), _Log(steps, lanes)
+    totals = _raw_totals(int(ids.max()))
+    behind = np.zeros_like(grid)
+    behind[1:] = _fold(grid[:-1])
+    m = _Model(lanes, steps, _Known(behind << 32 | grid), _Known(grid))
     low, rng = np.zeros(lanes, np.int64), np.full(lanes, 1 << 48, np.int64)
     out: list[np.ndarray] = []  # words, and the lanes that gave them, in order
     whose: list[np.ndarray] = []
+    every = np.arange(lanes, dtype=np.int32)
 
-    def narrow(k: np.ndarray | slice, cum: np.ndarray, freq: np.ndarray, all_lanes: np.ndarray) -> None:
-        r = rng[k] >> 16
+    def narrow(k: np.ndarray | slice, cum: np.ndarray, freq: np.ndarray | int, total: np.ndarray | int) -> None:
+        r = rng[k] // total if isinstance(total, np.ndarray) else rng[k] >> SHARES if total == 1 << SHARES else rng[k] // total
         lo, r = low[k] + cum * r, r * freq
         go = np.flatnonzero(r < 1 << 32)
-        if len(go):
+        while len(go):
             x = lo[go]
             out.append((x >> 32).astype(np.uint32))
-            whose.append(all_lanes[go])
+            whose.append(every[k][go])
             lo[go] = (x & 0xFFFFFFFF) << 16
             r[go] <<= 16
+            go = go[r[go] < 1 << 32]
         low[k], rng[k] = lo, r
 
-    every = np.arange(lanes, dtype=np.int32)
     for t in range(steps):
         a = lanes if t < short else lanes - 1
         x = grid[t, :a]
-        state = m.predict(a)
-        if len(m.names):
-            at = np.minimum(np.searchsorted(m.names, x), len(m.names) - 1) if m.names[-1] >= 1 << 22 else _rank(m).take(x, mode="clip")
-            sym = np.where(m.names.take(at) == x, at + _FIRST, _ESCAPE)
-        else:
-            sym = np.full(a, _ESCAPE)
-        sym = np.where(m.q2 == x, _ORDER2, np.where(m.q1 == x, _ORDER1, sym))
-        e = m.split.take(state * m.width + sym)
-        narrow(slice(0, a), e >> 17, e & 0x1FFFF, every)
-        lost = np.flatnonzero(sym == _ESCAPE)
-        if len(lost):
-            for part in (x[lost] >> 16, x[lost] & 0xFFFF):
-                narrow(lost, part, np.ones(len(lost), np.int64), every[lost])
-        log.note(m, t, a, grid, m.update(a, x))
+        m.predict(a)
+        source = np.where((m.q4 == x) & (m.s4 > 0), _4, np.where((m.q2 == x) & (m.s2 > 0), _2, _ESCAPE))
+        rest = np.flatnonzero(source == _ESCAPE)
+        c, state = m.context.take(rest), m.state.take(rest)
+        first1, n1 = m.one.find(t, rest)
+        first0, n0 = m.zero.find(t, rest)
+        size1, size0 = m.size.take(c), m.total
+        by1 = m.by1.take(state) * n1 * size0 >= m.by0.take(state) * n0 * size1
+        by1 &= n1 > 0
+        source[rest] = np.where(by1, _1, np.where(n0 > 0, _0, _ESCAPE))
+        e = m.split.take(m.state * 5 + source)
+        narrow(slice(0, a), e >> 16, e & 0xFFFF, 1 << SHARES)
+        k = np.flatnonzero(by1)
+        if len(k):
+            narrow(rest[k], first1[k] - m.row.take(c[k]), n1[k], size1[k])
+        k = np.flatnonzero(~by1 & (n0 > 0))
+        if len(k):
+            narrow(rest[k], first0[k], n0[k], size0)
+        k = rest[n0 == 0]
+        if len(k):
+            for part, total in zip((x[k] >> 16, x[k] & 0xFFFF), totals, strict=True):
+                narrow(k, part, 1, total)
+        m.update(t, a, grid, source)
     for k in (32, 16, 0):
         out.append((low >> k if k == 32 else low >> k & 0xFFFF).astype(np.uint32))
         whose.append(every)
@@ -214,72 +252,76 @@ def _encode(ids: np.ndarray) -> np.ndarray:
     n = np.bincount(owner, minlength=lanes)
     first = np.cumsum(n) - n
     head = (first[:, None] + np.arange(3)).T.reshape(-1)  # the first three words of all lanes
-    later = np.ones(len(w), bool)
-    later[(first + n)[:, None] - np.arange(1, 4)] = False  # events: all that renormalisation gave, in lane order
     place = np.empty(len(w), np.int64)
     place[order] = np.arange(len(w))
     event = place[: len(w) - 3 * lanes]
     return np.concatenate([w[head], w[event + 3]]).astype("<u2")
 
 
-def _rank(m: _Model) -> np.ndarray:
-    """Place of each id among the names, for small ids."""
-    if getattr(m, "ranked", None) is not m.names:
-        m.ranked = m.names
-        m.rank = np.zeros(int(m.names[-1]) + 1, np.int64)
-        m.rank[m.names] = np.arange(len(m.names))
-    return m.rank
-
-
-def _decode(words: np.ndarray, n: int) -> np.ndarray:
+def _decode(words: np.ndarray, n: int, largest: int) -> np.ndarray:
     """The inverse: n ids."""
     lanes, steps = _shape(n)
     short = steps - (lanes * steps - n)
-    m, log = _Model(lanes), _Log(steps, lanes)
+    totals = _raw_totals(largest)
+    m = _Model(lanes, steps, _Occurrences(), _Occurrences())
     data = np.concatenate([words, np.zeros(4 * lanes, words.dtype)]).astype(np.int64)
     head = data[: 3 * lanes].reshape(3, lanes)
     code, rng = head[0] << 32 | head[1] << 16 | head[2], np.full(lanes, 1 << 48, np.int64)
     pos = 3 * lanes
     grid = np.zeros((steps, lanes), np.int64)
 
-    def narrow(k: np.ndarray | slice, cum: np.ndarray, freq: np.ndarray, r: np.ndarray) -> None:
+    def narrow(k: np.ndarray | slice, cum: np.ndarray, freq: np.ndarray | int, r: np.ndarray) -> None:
         nonlocal pos
         c, r = code[k] - cum * r, r * freq
         go = np.flatnonzero(r < 1 << 32)
-        if len(go):
+        while len(go):
             c[go] = c[go] << 16 | data[pos : pos + len(go)]
             r[go] <<= 16
             pos += len(go)
+            go = go[r[go] < 1 << 32]
         code[k], rng[k] = c, r
 
     for t in range(steps):
         a = lanes if t < short else lanes - 1
-        state = m.predict(a)
-        r = rng[:a] >> 16
-        v = np.minimum((code[:a] / r).astype(np.int64), TOTAL - 1)
-        sym = m.inverse.take(state << 16 | v).astype(np.int64)
-        e = m.split.take(state * m.width + sym)
-        narrow(slice(0, a), e >> 17, e & 0x1FFFF, r)
-        x = m.names.take(sym - _FIRST, mode="clip") if len(m.names) else np.zeros(a, np.int64)
-        x = np.where(sym == _ORDER2, m.q2, np.where(sym == _ORDER1, m.q1, x))
-        lost = np.flatnonzero(sym == _ESCAPE)
-        if len(lost):
-            full = np.zeros(len(lost), np.int64)
-            for _ in range(2):
-                r = rng[lost] >> 16
-                v = np.minimum((code[lost] / r).astype(np.int64), TOTAL - 1)
-                narrow(lost, v, np.ones(len(lost), np.int64), r)
+        m.predict(a)
+        r = rng[:a] >> SHARES
+        v = np.minimum(code[:a] // r, (1 << SHARES) - 1)
+        source = m.inverse.take(m.state << SHARES | v).astype(np.int64)
+        e = m.split.take(m.state * 5 + source)
+        narrow(slice(0, a), e >> 16, e & 0xFFFF, r)
+        x = np.where(source == _4, m.q4, m.q2)
+        k = np.flatnonzero(source == _1)
+        if len(k):
+            c = m.context.take(k)
+            size, row = m.size.take(c), m.row.take(c)
+            r = rng[k] // size
+            found, first, count = m.one.at(row + np.minimum(code[k] // r, size - 1))
+            narrow(k, first - row, count, r)
+            x[k] = found & 0xFFFFFFFF
+        k = np.flatnonzero(source == _0)
+        if len(k):
+            r = rng[k] // m.total
+            found, first, count = m.zero.at(np.minimum(code[k] // r, m.total - 1))
+            narrow(k, first, count, r)
+            x[k] = found
+        k = np.flatnonzero(source == _ESCAPE)
+        if len(k):
+            full = np.zeros(len(k), np.int64)
+            for total in totals:
+                r = rng[k] // total
+                v = np.minimum(code[k] // r, total - 1)
+                narrow(k, v, 1, r)
                 full = full << 16 | v
-            x[lost] = full
+            x[k] = full
         grid[t, :a] = x
-        log.note(m, t, a, grid, m.update(a, x))
+        m.update(t, a, grid, source)
     return np.ascontiguousarray(grid.T).reshape(-1)[:n]
 
 
 def encode_block(ids: np.ndarray, ends: list[tuple[int | None, int]]) -> bytes:
     """ids: 1 to BLOCK unsigned 32-bit numbers; ends: (document that ends here, end position)."""
     words = _encode(np.asarray(ids, np.int64)).tobytes()
-    rest = struct.pack("<I", len(ends)) + b"".join(struct.pack("<qBI", d or 0, d is None, e) for d, e in ends) + words
+    rest = struct.pack("<I", len(ends)) + b"".join(struct.pack("<qBI", d or 0, d is None, e) for d, e in ends) + struct.pack("<I", int(np.max(ids))) + words
     return MAGIC + struct.pack("<4I", len(ids), len(words) // 2, zlib.crc32(np.asarray(ids, "<u4").tobytes()), zlib.crc32(rest)) + rest
 
 
@@ -292,7 +334,8 @@ def decode_block(raw: bytes) -> tuple[np.ndarray, list[tuple[int | None, int]]]:
         raise ValueError("damaged block")
     (d,) = struct.unpack_from("<I", raw, 20)
     ends = [(None if null else doc, e) for doc, null, e in struct.iter_unpack("<qBI", raw[24 : 24 + 13 * d])]
-    ids = _decode(np.frombuffer(raw, "<u2", k, 24 + 13 * d), n).astype("<u4")
+    (largest,) = struct.unpack_from("<I", raw, 24 + 13 * d)
+    ids = _decode(np.frombuffer(raw, "<u2", k, 28 + 13 * d), n, largest).astype("<u4")
     if zlib.crc32(ids.tobytes()) != crc:
         raise ValueError("block does not match its checksum")
     return ids, ends

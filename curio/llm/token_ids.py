@@ -5,7 +5,7 @@ BLOCK ids across document borders; every block is coded independently (id_coder)
 data. Reading decodes blocks in any order; a document that spans blocks is put together from its fragments' checksums.
 
 Defined results: null or empty text is the end id alone. Null keys come first. Rows with equal keys stay apart, in the order
-of their texts. An empty table gives no blocks. Extra columns are ignored. A damaged block raises.
+of their texts' hashes. An empty table gives no blocks. Extra columns are ignored. A damaged block raises.
 """
 
 from __future__ import annotations
@@ -57,7 +57,9 @@ def write_ids(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         if held:
             yield send(bytes(held), ends)
 
-    ordered = docs_of(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # The hash splits keys that many rows share, as a missing one.
+    keyed = docs_of(docs).select("doc_id", "text", F.xxhash64("text").alias("within"))
+    ordered = keyed.repartitionByRange("doc_id", "within").sortWithinPartitions("doc_id", "within", "text").select("doc_id", "text")
     return materialise(map_arrow(ordered, run, "part bigint, block bigint, n_ids bigint, data binary"), "token-ids", codec="uncompressed")
 
 

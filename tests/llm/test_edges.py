@@ -94,3 +94,24 @@ def test_emptied_documents_do_not_reach_packing(spark):
     out = corpus_pipeline.dedup_lines(spark, spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint"), "").collect()
     assert sorted((r.doc_id, r.text, r.n_chars) for r in out if r.text is not None) == [(1, text, 64), (3, "own words", 9), (4, "", 0), (6, " ", 1)]
     assert [r.doc_id for r in out if r.text is None] == [5]
+
+
+def test_rows_without_a_key_are_spread(spark):
+    """A key that most rows share, as null, does not end in one partition."""
+    from curio.llm import token_ids
+
+    rows = [(None if i % 3 else i, f"some words of text number {i} " * (i % 7 + 1)) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r.n for r in token_ids.write_ids(docs, WORD).groupBy("part").agg({"n_ids": "sum"}).withColumnRenamed("sum(n_ids)", "n").collect()]
+        found = token_ids.round_trip(docs, WORD).orderBy("start").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) > 2 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    at = 0
+    for r in found:
+        assert r.start == at
+        at += r.n_tokens
+    keys = [r.doc_id for r in found]
+    assert keys == [None] * 2000 + sorted(k for k in keys if k is not None)
