@@ -3,16 +3,21 @@
 Detected: e-mail addresses, telephone numbers (international, and national ones of ten digits), payment cards, IPv4 and IPv6
 addresses, IBANs, social security numbers, access keys, assigned secrets (quoted ones of any characters, unquoted ones that hold
 a digit), and names behind a title. Each entity (type and canonical form) gets one surrogate, drawn by a keyed SHA-256 hash: same
-length and character classes, check digits of cards and IBANs that are valid, octets in range, a telephone number's country.
+length and character classes, check digits of cards and IBANs that are valid, octets in range, a telephone number's country code.
 
-Names are given and family names, each an entity of its own, whatever the title: a person keeps one name with all titles and by
-the family name alone. Given names match the gender that the titles before them show and the name's script. Where a text has a
-name behind a title, further mentions of that family name in it, with or without the given name, are replaced as well.
+Names are all capitalised words behind a title, with initials and particles between them; the last is the family name, the others
+are given names, each an entity of its own, whatever the title: a person keeps one name with all titles and by the family name
+alone. Words keep their hyphens and apostrophes, particles stay, initials change by a keyed permutation of the alphabet. Given
+names match the gender that the titles before them show and the name's script. Where a text has a name behind a title, further
+mentions of that family name in it, with or without given names, are replaced as well, unless an article stands before them. Not
+found: names without any title in their text, local numbers of under ten digits, unquoted secrets without a digit.
 
 Distinctness: surrogates are drawn in rounds. A draw that several entities share goes to the smallest of them, one that equals
 an entity of the corpus or an earlier winner to none; the others draw again. What ROUNDS draws leave gets a tag with 128 bits
 of the hash, which breaks format rather than distinctness. Occurrences in other spellings (case, separators, with or without
-country code +1) get the same surrogate in their own spelling; IPv6 addresses are the same only if they are written alike.
+country code +1) get the same surrogate in their own spelling; IPv6 addresses are the same only if they are written alike. The
+space of names grows with the rounds: 16**3 family names in the first, 16**8 in the sixth, beside 16 usual given names for each
+gender and script 16**4 to 16**7 made ones; a format that is full, as one of which all numbers occur, is what gets tags.
 
 Each text is searched once: it is written split at its entities, and put together again from that. Entities are distinct rows
 after partial aggregation; both sides of every join are read from written tables, so adaptive execution can split hot entities
@@ -26,6 +31,7 @@ whatever the order or number of files.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from functools import reduce
 
@@ -35,11 +41,20 @@ from pyspark.sql import functions as F
 from curio.llm.common import fresh, materialise
 
 ROUNDS = 6
+# Titles, particles within names, articles, the usual alphabets of initials, and the country codes of two digits.
+TITLES = "Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Mme|M|Sr|Sra"
+PARTICLES = "van|von|der|den|de|del|della|di|da|dos|du|la|le|ten|ter|zu|zur|bin|ibn|al"
+ARTICLES = ("The", "the", "A", "a", "An", "an", "Der", "der", "Die", "die", "Das", "das", "Ein", "ein", "Le", "le", "La", "la", "Les", "les", "El", "el", "Los", "los", "Un", "un")
+ALPHABETS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ")
+TWO_DIGITS = "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98"
+PART = r"\p{Lu}(?:[\p{L}\p{M}]++|['’]\p{Lu}[\p{L}\p{M}]++)(?:['’-]\p{Lu}[\p{L}\p{M}]*+)*+"
+INITIALS = r"(?:\p{Lu}\.)+"
+FULL_NAME = rf"(?:(?:{INITIALS}|{PARTICLES}|{PART}) )*{PART}"
 SEP, ESCAPED = "\x01", (("\x02", "\x02b"), ("\x01", "\x02a"))  # marks entities; texts that hold it are escaped
 
 # Patterns by type, in order of precedence at a place; no alternative holds a capturing group.
 PATTERNS = {
-    "EMAIL": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+)++",
+    "EMAIL": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "KEY": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     "SECRET": r"(?<![A-Za-z0-9])(?i:token|secret|password|passwd|api_key|apikey) ?[=:] ?(?:[\"'][^\"'\s]{8,}+(?=[\"'])|(?=[^\s\"',;<>]*[0-9])[^\s\"',;<>]{7,}[^\s\"',;<>.!?)])",
     "IBAN": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![A-Za-z0-9])",
@@ -47,14 +62,14 @@ PATTERNS = {
     "SSN": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "IPV6": r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])",
     "IP": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])",
-    "PHONE": r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9A-Za-z.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z]|[.-][0-9])",
-    "NAME": r"(?<![\p{L}])(?:Mr|Mrs|Ms|Miss|Dr|Herr|Frau|Mme|M|Sr|Sra)\.? \p{Lu}\p{L}{1,30}(?: \p{Lu}\p{L}{1,30})?|(?<![\p{L}])(?:Господин|Госпожа) \p{Lu}\p{L}{1,30}(?: \p{Lu}\p{L}{1,30})?",
+    "PHONE": r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9A-Za-z.-])(?<![0-9] )[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z]|[ .-][0-9])",
+    "NAME": rf"(?<![\p{{L}}])(?:(?:{TITLES})\.? )+{FULL_NAME}|(?<![\p{{L}}])(?:Господин|Госпожа) {FULL_NAME}",
 }
-TITLE = r"^((?:Mr|Mrs|Ms|Miss|Dr|Herr|Frau|Mme|M|Sr|Sra)\.? |(?:Господин|Госпожа) )"
+TITLE = rf"^((?:(?:{TITLES})\.? )+|(?:Господин|Госпожа) )"
 ASSIGNED = r"^((?i:token|secret|password|passwd|api_key|apikey) ?[=:] ?[\"']?)"
 ANY = "|".join(PATTERNS.values())
 # What every entity holds at least one of; texts without any of these are not searched.
-SIGNS, WORDS = "[0-9@=:]", ("Mr", "Ms", "Miss", "Dr", "Herr", "Frau", "Mme", "M ", "M. ", "Sr", "Господин", "Госпожа")
+SIGNS, WORDS = "[0-9@=:]", ("Mr", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Mme", "M ", "M. ", "Sr", "Господин", "Госпожа")
 
 # Given names by gender and script, and syllables of family names by script.
 GIVEN = {
@@ -141,26 +156,34 @@ def draw(kind: Column, canon: Column, gender: Column, key: str, attempt: int) ->
     secret = F.when(canon.rlike("^[0-9a-f]+$"), _shift(h, canon, 6)).otherwise(_shift(h, canon))
     script = F.when(canon.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
 
-    def pick(table: dict[str, str], which: Column, at: int) -> Column:
+    def pick(table: dict[str, str], which: Column, at: int, by: Column = h) -> Column:
         out = None
         for k, words in table.items():
             own = F.array(*map(F.lit, words.split()))
-            one = F.element_at(own, _byte(h, F.lit(at)) % len(words.split()) + 1)
+            one = F.element_at(own, _byte(by, F.lit(at)) % len(words.split()) + 1)
             out = F.when(which == k, one) if out is None else out.when(which == k, one)
         return out
 
     sound = lambda n, at: F.concat(*[pick(SYLLABLES, script, at + i) for i in range(n)])
-    family = sound(3 + attempt // 2, 2)
+
+    def component(c: Column, i: Column) -> Column:
+        """Of a family name with hyphens or apostrophes: these stay, single letters and words are drawn."""
+        own = F.sha2(F.concat(base, F.lit("|"), i.cast("string")), 256)
+        made = F.concat(*[pick(SYLLABLES, script, 2 + k, own) for k in range(2 + attempt)])
+        return F.when(c.rlike("^['’-]$"), c).when(F.length(c) == 1, _shift(own, c)).otherwise(made)
+
+    joined = F.array_join(F.transform(F.split(canon, "(?<=['’-])|(?=['’-])"), component), "")
+    family = F.when(canon.rlike("['’-]"), joined).otherwise(sound(3 + attempt, 2))
     given = F.lower(pick(GIVEN, F.concat(gender, F.lit("_"), script), 1))
     if attempt > 1:  # beyond the usual names: made ones, with the gender's ending
         female = F.when(script == "cyrillic", "а").otherwise("a")
-        given = F.concat(sound(attempt, 12), F.when(gender == "f", female).when(gender == "m", F.when(script == "cyrillic", "ий").otherwise("o")).otherwise(F.when(script == "cyrillic", "и").otherwise("i")))
+        given = F.concat(sound(attempt + 2, 12), F.when(gender == "f", female).when(gender == "m", F.when(script == "cyrillic", "ий").otherwise("o")).otherwise(F.when(script == "cyrillic", "и").otherwise("i")))
     tail = F.substring(canon, F.lit(5), F.length(canon))
     country = F.left(canon, F.lit(2))
     drawn = _shift(h, tail)
     iban = F.concat(country, _iban_check(country, drawn), drawn)
     key_id = F.concat(F.left(canon, F.lit(4)), drawn)
-    zone = F.when(F.left(canon, F.lit(1)).isin("1", "7"), 1).otherwise(2)  # digits of the country code that stay
+    zone = F.when(F.left(canon, F.lit(1)).isin("1", "7"), 1).when(F.left(canon, F.lit(2)).isin(TWO_DIGITS.split()), 2).otherwise(3)  # digits of the country code
     phone = F.concat(F.left(canon, zone), _shift(h, F.substring(canon, zone + 1, F.length(canon))))
     return (
         F.when(kind == "EMAIL", email).when(kind == "CARD", card).when(kind == "IP", ip).when(kind == "IPV6", _shift(h, canon, 6)).when(kind == "GIVEN", given).when(kind == "FAMILY", family)
@@ -180,7 +203,7 @@ def render(kind: Column, ent: Column, surrogate: Column) -> Column:
     loud = ent.rlike(r"^[^\p{Ll}]{2,}$")
     return (
         F.when(surrogate.startswith("[") & (kind != "SECRET"), surrogate).when(kind.isin("EMAIL", "IPV6"), F.array_join(same_case, "")).when(kind.isin("PHONE", "CARD", "SSN", "IBAN"), laid)
-        .when(kind == "SECRET", F.concat(F.regexp_extract(ent, ASSIGNED, 1), surrogate)).when(kind.isin("GIVEN", "FAMILY"), F.when(loud, F.upper(surrogate)).otherwise(F.initcap(surrogate))).otherwise(surrogate)
+        .when(kind == "SECRET", F.concat(F.regexp_extract(ent, ASSIGNED, 1), surrogate)).when(kind.isin("GIVEN", "FAMILY"), F.when(loud, F.upper(surrogate)).otherwise(F.array_join(F.transform(F.split(surrogate, "(?<=['’-])"), F.initcap), ""))).otherwise(surrogate)
     )
 
 
@@ -223,10 +246,28 @@ def _item(lead: Column, kind: Column | str | None, ent: Column, gender: Column |
     return F.struct(lead.alias("lead"), k.cast("string").alias("kind"), ent.alias("ent"), g.cast("string").alias("gender"))
 
 
-def _named(lead: Column, name: Column, gender: Column | None = None) -> Column:
-    """Items of a name of one or two words."""
-    given, family = F.substring_index(name, " ", 1), F.substring_index(name, " ", -1)
-    return F.when(F.contains(name, F.lit(" ")), F.array(_item(lead, "GIVEN", given, gender), _item(F.lit(" "), "FAMILY", family))).otherwise(F.array(_item(lead, "FAMILY", name)))
+def _permuted(key: str) -> tuple[str, str]:
+    """All letters of ALPHABETS, and the keyed permutation without fixed letters that initials go by."""
+    out = ""
+    for letters in ALPHABETS:
+        order = sorted(letters, key=lambda c: hashlib.sha256(f"{key}|initial|{c}".encode()).digest())
+        after = dict(zip(order, order[1:] + order[:1], strict=True))
+        out += "".join(after[c] for c in letters)
+    return "".join(ALPHABETS), out
+
+
+def _named(lead: Column, name: Column, initials: tuple[str, str], gender: Column | None = None) -> Column:
+    """Items of the words of a name: the last is the family name, particles and initials are no entities."""
+    words = F.split(name, " ")
+
+    def word(w: Column, i: Column) -> Column:
+        short, last = w.rlike(f"^{INITIALS}$"), i == F.size(words) - 1
+        kind = F.when(short | w.rlike(r"^\p{Ll}"), F.lit(None)).when(last, "FAMILY").otherwise("GIVEN")
+        ent = F.when(short, F.translate(w, *initials)).otherwise(w)
+        before = F.when(i == 0, lead).otherwise(" ")
+        return _item(before, kind, ent, F.when(kind == "GIVEN", gender) if gender is not None else None)
+
+    return F.transform(words, word)
 
 
 def _pairs(parts: Column, make: Callable[[Column, Column], Column]) -> Column:
@@ -235,14 +276,15 @@ def _pairs(parts: Column, make: Callable[[Column, Column], Column]) -> Column:
     return F.when(F.size(parts) > 2, F.transform(F.sequence(F.lit(1), F.size(parts) - 2, F.lit(2)), lambda i: make(F.get(parts, i - 1), F.get(parts, i)))).otherwise(none)
 
 
-def items(parts: DataFrame) -> DataFrame:
+def items(parts: DataFrame, key: str) -> DataFrame:
     """Adds column items to rows with parts: every entity with the text before it, and the text behind the last one."""
+    initials = _permuted(key)
     typed = parts.withColumn("typed", _pairs(F.col("parts"), lambda lead, ent: F.struct(lead.alias("lead"), kind_of(ent).alias("kind"), ent.alias("ent"))))
 
     def expand(x: Column) -> Column:
         title = F.regexp_extract(x["ent"], TITLE, 1)
         gender = F.when(title.rlike(FEMALE), "f").when(title.rlike(MALE), "m")
-        return F.when(x["kind"] == "NAME", _named(F.concat(x["lead"], title), F.regexp_replace(x["ent"], TITLE, ""), gender)).otherwise(F.array(_item(x["lead"], x["kind"], x["ent"])))
+        return F.when(x["kind"] == "NAME", _named(F.concat(x["lead"], title), F.regexp_replace(x["ent"], TITLE, ""), initials, gender)).otherwise(F.array(_item(x["lead"], x["kind"], x["ent"])))
 
     rest = F.array(_item(F.element_at("parts", -1), None, F.lit("")))
     found = typed.withColumn("items", F.concat(F.flatten(F.transform("typed", expand)), rest)).drop("typed")
@@ -250,12 +292,16 @@ def items(parts: DataFrame) -> DataFrame:
     # Further mentions, in the texts between, of the family names that stand behind a title.
     words = lambda kind: F.array_distinct(F.flatten(F.transform(F.filter("items", lambda x: x["kind"] == kind), lambda x: F.array(x["ent"], F.initcap(x["ent"]), F.upper(x["ent"])))))
     found = found.withColumn("given", words("GIVEN")).withColumn("family", words("FAMILY"))
-    first = F.when(F.size("given") > 0, F.concat(F.lit("(?:(?:"), F.array_join("given", "|"), F.lit(") )?"))).otherwise("")
-    found = found.withColumn("mention", F.when(F.size("family") > 0, F.concat(F.lit(r"(?<!\p{L})"), first, F.lit("(?:"), F.array_join("family", "|"), F.lit(r")(?!\p{L})"))))
+    bare = "".join(rf"(?<!(?<!\p{{L}}){a} )" for a in ARTICLES)
+    alone = F.concat(F.lit(bare), F.lit("(?:"), F.array_join("family", "|"), F.lit(")"))
+    given = F.when(F.size("given") > 0, F.concat(F.lit("|"), F.array_join("given", "|"))).otherwise("")
+    named = F.concat(F.lit(rf"(?:{INITIALS}"), given, F.lit(rf") (?:(?:{INITIALS}|{PARTICLES}"), given, F.lit(") )*(?:"), F.array_join("family", "|"), F.lit(")|"))
+    edges = (r"(?<![\p{L}\p{M}]|\p{L}['’-])(?:", r")(?![\p{L}\p{M}]|['’-]\p{Lu})")
+    found = found.withColumn("mention", F.when(F.size("family") > 0, F.concat(F.lit(edges[0]), named, alone, F.lit(edges[1]))))
 
     def again(x: Column) -> Column:
         inner = F.split(F.regexp_replace(x["lead"], F.col("mention"), F.lit(f"{SEP}$0{SEP}")), SEP, -1)
-        more = F.concat(F.flatten(_pairs(inner, _named)), F.array(_item(F.element_at(inner, -1), x["kind"], x["ent"], x["gender"])))
+        more = F.concat(F.flatten(_pairs(inner, lambda lead, name: _named(lead, name, initials))), F.array(_item(F.element_at(inner, -1), x["kind"], x["ent"], x["gender"])))
         return F.when(F.contains(x["lead"], F.lit(SEP)), F.array(x)).otherwise(more)
 
     return found.withColumn("items", F.when(F.col("mention").isNull(), F.col("items")).otherwise(F.flatten(F.transform("items", again)))).drop("given", "family", "mention", "parts")
@@ -270,7 +316,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     packed = docs.select(row.alias("row"), F.col(f"`{text}`").alias("t")).withColumn("parts", _split(F.col("t").cast("string")))
     packed = packed.select("row", F.when(F.col("parts").isNull(), F.col("t")).alias("t"), F.when(F.col("parts").isNotNull(), F.sha2(F.col("t").cast("string"), 256)).alias("id"), "parts")
     packed = materialise(packed, "pii-split")
-    some = materialise(items(packed.where(F.col("id").isNotNull()).select("row", "id", "parts")), "pii-items")
+    some = materialise(items(packed.where(F.col("id").isNotNull()).select("row", "id", "parts"), key), "pii-items")
     found = some.select("id", F.posexplode("items").alias("at", "x")).select("id", "at", "x.kind", "x.ent", "x.gender").distinct()
     found = materialise(found.withColumn("canon", canonical(F.col("kind"), F.col("ent"))), "pii-found")
     real = found.where(F.col("kind").isNotNull())

@@ -107,3 +107,92 @@ def test_columns_that_clash(spark):
     assert (r.PII_COUNT, r.pii_types, r["t.id"], r.pii_count_, r.pii_types_) == (7, "x", "y", 1, ["EMAIL"])
     with pytest.raises(TypeError):
         surrogates.pseudonymise(docs)
+
+
+def one(spark, *texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return [r.text for r in sorted(surrogates.pseudonymise(docs, key="k").collect(), key=lambda r: r.doc_id)]
+
+
+def test_names_of_all_forms(spark):
+    long = "Wolfeschlegelsteinhausenbergerdorff" * 2
+    got = one(
+        spark, "Mr. Smith-Jones sat. Smith-Jones left, Smith-Hay stayed.", "Mr. Juan Carlos Perez went; Perez ate, Juan Perez slept.", "Mr. O'Brien and O'Brien's dog", "Dr. J. Smith said; Smith replied; J. Smith left",
+        f"Frau {long} und {long}.", f"to {'x' * 90}@{'y' * 80}.example.com!", "Prof. Dr. Anna van der Berg, then Berg", "Mr. Park drove. The Park is closed. Park drove.", "call 555 123 4567 or 555-123-4567",
+    )
+    w = got[0].replace(".", " ").replace(",", " ").split()
+    assert w[1] == w[3] and w[1].count("-") == 1 and "Smith-Jones" not in got[0] and w[5] == "Smith-Hay" and all(x[0].isupper() for x in w[1].split("-"))
+    w = got[1].replace(";", "").replace(",", "").split()
+    assert w[3] == w[5] == w[8] and w[1] == w[7] and not {"Juan", "Carlos", "Perez"} & set(w) and w[4] == "went"
+    w = got[2].split()
+    assert w[1][1] == "'" and w[3] == f"{w[1]}'s" and "Brien" not in got[2]
+    w = got[3].replace(";", "").split()
+    assert w[2] == w[4] == w[7] != "Smith" and w[1] == w[6] != "J." and len(w[1]) == 2
+    assert "Wolf" not in got[4] and got[4].split()[1] == got[4].split()[3].rstrip(".")
+    assert "xxxx" not in got[5] and got[5].endswith(".com!") and len(got[5]) == 90 + 80 + len("to @.example.com!")
+    w = got[6].replace(",", "").split()
+    assert w[:2] == ["Prof.", "Dr."] and w[3:5] == ["van", "der"] and w[5] == w[7] != "Berg" and w[2] != "Anna"
+    assert "The Park is closed" in got[7] and got[7].count("Park") == 1
+    assert got[8].split()[1:4] == got[8].split()[5].split("-") != ["555", "123", "4567"]
+
+
+def test_country_codes_stay(spark):
+    codes = ["+506 8888 7777", "+351 912 345 678", "+44 20 7946 0958", "+1 555 123 4567", "+7 495 123 45 67", "+420 123 456 789", "+34 91 234 56 78"]
+    for old, new in zip(codes, one(spark, *codes), strict=True):
+        assert new.split()[0] == old.split()[0] and new != old and [len(x) for x in new.split()] == [len(x) for x in old.split()]
+
+
+def test_random_names_equal_a_plain_reading(spark):
+    """Every name word changes as its entity does, wherever it stands; every other word stays."""
+    rng = random.Random(12)
+    given = ["Ann", "Bo", "Jean-Luc", "Zoë", "Ivy", "Åsa", "Élise", "Tom"]
+    family = ["Stone", "O'Hara", "Day-Lewis", "Ng", "Müller", "Quill", "D'Arcy-Hall", "Vale"]
+    titles = ["Mr.", "Mrs.", "Ms", "Dr.", "Herr", "Frau", "Prof.", "Prof. Dr."]
+    plain = ["went", "and", "the", "river", "7", "stone", "said,", "to"]
+    rows = []
+    for _ in range(120):
+        tokens, known = [], {}
+        for _ in range(rng.randint(1, 4)):
+            names, last = rng.sample(given, rng.randint(0, 3)), rng.choice(family)
+            tokens += [(x, None) for x in rng.choice(titles).split()]
+            for x in names:
+                tokens.append((x, "GIVEN"))
+                if rng.random() < 0.2:
+                    tokens.append((rng.choice(["van", "de"]), None))
+            tokens.append((last, "FAMILY"))
+            known[last] = names
+            tokens.append(("went", None))
+            for _ in range(rng.randint(0, 6)):
+                if rng.random() < 0.4:
+                    who = rng.choice(list(known))
+                    if known[who] and rng.random() < 0.5:
+                        tokens.append((rng.choice(known[who]), "GIVEN"))
+                    tokens.append((who, "FAMILY"))
+                    tokens.append(("and", None))
+                else:
+                    word = rng.choice(plain)
+                    if word == "the":
+                        tokens += [("the", None), ("river", None)]
+                    else:
+                        tokens.append((word, None))
+        rows.append(tokens)
+    image = {}
+    for tokens, new in zip(rows, one(spark, *[" ".join(w for w, _ in t) for t in rows]), strict=True):
+        shown = new.split(" ")
+        assert len(shown) == len(tokens), (tokens, new)
+        for (word, kind), x in zip(tokens, shown, strict=True):
+            if kind is None:
+                assert x == word, (tokens, new)
+            else:
+                image.setdefault((kind, word), set()).add(x)
+                assert x != word and x[0].isupper()
+                if kind == "FAMILY":
+                    assert [c for c in x if c in "'-"] == [c for c in word if c in "'-"]
+    assert all(len(v) == 1 for v in image.values()) and len({(k, *v) for (k, _), v in image.items()}) == len(image)
+
+
+def test_many_names_stay_names(spark):
+    """Far more family names than the first round has: each gets one of its own, none a tag."""
+    ents = spark.range(30_000).selectExpr("'FAMILY' AS kind", "concat('name', translate(cast(id AS string), '0123456789', 'abcdefghij')) AS canon")
+    got = [r.surrogate for r in surrogates.assign(ents, "k").collect()]
+    assert len(set(got)) == 30_000 and all(x.isalpha() for x in got)
