@@ -2,13 +2,15 @@
 
 Words are maximal runs of bytes outside \\x00-\\x2F, \\x3A-\\x60, \\x7B-\\x7F after lower-casing A-Z, so UTF-8 letters of any
 script belong to words. A window is `width` consecutive words of an item; an item of fewer words, but at least one, is one
-window. Each text is scanned once; a match in the normalised text is mapped back to word numbers and to character offsets of
-the original.
+window. Each text is scanned once; a match is mapped back to word numbers and to character offsets of the original.
 
-Distinct windows with their items are made by Spark, and their size is checked against MAX_WINDOW_BYTES before any is collected.
-Windows of at most that size, which any benchmark of questions and answers has, make one automaton. Only beyond it are they dealt
-out by hash to several, of which the driver holds one at a time: numbered rows are scanned by each, the hits are written, and
-each row's hits by all of them are merged as within one automaton, so the result is the same.
+The automaton reads words, not letters: each word of the benchmark has a code of two signs (three beyond 65,536 words), the first
+from another alphabet than the last, so that matches begin and end with words; all other words share a code that no window has.
+
+Distinct windows with their items are made by Spark, and the memory that their automaton takes is estimated before any is
+collected, from NODE_BYTES as measured. Up to MAX_AUTOMATON_BYTES in each Python worker they make one automaton. Beyond it they are
+dealt out by hash to several, of which the driver holds one at a time: numbered rows are scanned by each, the hits are written,
+and each row's hits by all of them are merged as within one automaton, so the result is the same.
 
 Defined results: null or empty text has no words and is clean. Null item text has no windows, and a null item_id no item. Equal
 windows of several items count for each item. Rows that repeat a document are scanned and returned each. An empty benchmark
@@ -20,6 +22,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark import Broadcast
@@ -29,7 +32,9 @@ from pyspark.sql import functions as F
 from curio.llm.common import byte_column, docs_of, map_arrow, materialise
 
 WIDTH = 10
-MAX_WINDOW_BYTES = 64 << 20  # of window text in one automaton
+MAX_AUTOMATON_BYTES = 384 << 20  # of one automaton in a Python worker
+NODE_BYTES = {2: 100, 3: 145}  # measured: memory for each word of a window, by signs of a word's code
+ITEM_BYTES = 80  # of an item's name in a window, beside its letters
 
 _KEEP = set(range(0x30, 0x3A)) | set(range(0x61, 0x7B)) | set(range(0x80, 0x100))
 NORMAL = bytes(b if b in _KEEP else (b + 32 if 0x41 <= b <= 0x5A else 0x20) for b in range(256))
@@ -49,31 +54,48 @@ def windows_of(raw: bytes, width: int = WIDTH) -> set[bytes]:
     return {b" ".join(w[i : i + width]) for i in range(max(1, len(w) - width + 1))}
 
 
-@lru_cache(maxsize=1)
-def _automaton(key: str, windows: Windows):
-    import ahocorasick
+class Scanner:
+    """The automaton of some windows, with the codes of their words."""
+
+    def __init__(self, windows: Windows):
+        import ahocorasick
+
+        names = sorted({x for w, _ in windows for x in w.split(b" ")})
+        self.signs = 2 if len(names) <= 1 << 16 else 3
+        base = 1 + int(len(names) ** (1 / self.signs))
+        while base**self.signs < len(names):
+            base += 1
+        # Alphabets begin at U+10000, with room for 100,000 signs each.
+        self.code = {x: "".join(chr(0x10000 + 100_000 * k + i // base**k % base) for k in range(self.signs)) for i, x in enumerate(names)}
+        self.other = " " * self.signs
+        self.automaton = ahocorasick.Automaton()
+        for w, items in windows:
+            words = w.split(b" ")
+            self.automaton.add_word("".join(map(self.code.__getitem__, words)), (len(words), tuple(items)))
+        if windows:
+            self.automaton.make_automaton()
+
+    def find(self, words: list[bytes]) -> Iterator[tuple[int, int, tuple[str, ...]]]:
+        """(first, end, items) of every window that occurs."""
+        if self.code and words:
+            line = "".join(map(self.code.get, words, repeat(self.other)))
+            for at, (n, items) in self.automaton.iter(line):
+                end = (at + 1) // self.signs
+                yield end - n, end, items
 
-    a = ahocorasick.Automaton()
-    for w, items in windows:
-        a.add_word(f" {w.decode('latin-1')} ", (w.count(b" ") + 1, tuple(items)))
-    if windows:
-        a.make_automaton()
-    return a
+
+@lru_cache(maxsize=1)
+def _scanner(key: str, windows: Windows) -> Scanner:
+    return Scanner(windows)
 
 
-def scan(raw: bytes, automaton) -> tuple[int, list[tuple[int, int]], set[str]]:
+def scan(raw: bytes, scanner: Scanner) -> tuple[int, list[tuple[int, int]], set[str]]:
     """Number of words, hit ranges of word numbers (end exclusive, merged), and items that occur."""
     words = words_of(raw)
-    if not words or not len(automaton):
-        return len(words), [], set()
-    line = b" " + b" ".join(words) + b" "
     found: list[tuple[int, int]] = []
     items: set[str] = set()
-    at, seen = 0, 0  # blanks before byte `seen`, for word numbers
-    for end, (n, own) in automaton.iter(line.decode("latin-1")):
-        at += line.count(b" ", seen, end)
-        seen = end
-        found.append((at - n, at))
+    for first, end, own in scanner.find(words):
+        found.append((first, end))
         items.update(own)
     merged: list[tuple[int, int]] = []
     for a, b in sorted(found):
@@ -110,14 +132,19 @@ def _windows(benchmark: DataFrame, width: int) -> tuple[DataFrame, int]:
     items = benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("string").alias("k"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
     w = map_arrow(items, run, "window binary, item string").groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items"))
     w = materialise(w, "decontaminate-windows")
-    size = w.select(F.sum(F.octet_length("window").cast("long") + F.aggregate("items", F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x)))).first()[0] or 0
-    return w, max(1, -(-size // MAX_WINDOW_BYTES))
+    own = F.split(F.decode("window", "ISO-8859-1"), " ")
+    names = F.aggregate("items", F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x) + ITEM_BYTES)
+    words, items_size = w.select(F.sum(F.size(own).cast("long")), F.sum(names)).first()
+    distinct = w.select(F.explode(own)).distinct().count()
+    size = (words or 0) * NODE_BYTES[2 if distinct <= 1 << 16 else 3] + (items_size or 0)
+    return w, max(1, -(-size // MAX_AUTOMATON_BYTES))
 
 
 def _block(windows: DataFrame, i: int, n: int) -> Windows:
-    """One of n parts of the windows, of about MAX_WINDOW_BYTES at most."""
+    """One of n parts of the windows, for an automaton of about MAX_AUTOMATON_BYTES at most."""
     part = windows if n == 1 else windows.where(F.pmod(F.xxhash64("window"), F.lit(n)) == i)
-    return tuple(sorted((bytes(r["window"]), tuple(r["items"])) for r in part.collect()))
+    t = part.select("window", "items").toArrow()
+    return tuple(sorted((w, tuple(i)) for w, i in zip(t.column(0).to_pylist(), t.column(1).to_pylist(), strict=True)))
 
 
 SCHEMA = "doc_id bigint, n_words bigint, hits array<struct<first:bigint,last:bigint>>, items array<string>, spans array<struct<start:bigint,end:bigint>>"
@@ -165,7 +192,7 @@ def _scan_block(docs: DataFrame, windows: Windows, spans: bool) -> tuple[DataFra
     key, shared = uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(windows)
 
     def run(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        a = _automaton(key, shared.value)
+        a = _scanner(key, shared.value)
         for b in batches:
             n, hits, names, where = [], [], [], []
             for raw in byte_column(b.columns[-1]):
@@ -201,7 +228,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         key, shared = uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(_block(windows, i, n))
 
         def run(batches: Iterator[pa.RecordBatch], key=key, shared=shared) -> Iterator[pa.RecordBatch]:
-            a = _automaton(key, shared.value)
+            a = _scanner(key, shared.value)
             for b in batches:
                 yield b.filter(pa.array([not scan(raw, a)[1] for raw in byte_column(b.column(at))], type=pa.bool_()))
 

@@ -299,6 +299,7 @@ def test_decontamination_equals_brute_force(spark):
     clean = decontaminate.remove_contaminated(odd(spark, docs), spark.createDataFrame(bench, "item_id bigint, text string"))
     assert {r.doc_id for r in clean.collect()} == {i for i, r in got.items() if not r.contaminated}
     assert decontaminate.report(odd(spark), spark.createDataFrame([], "item_id bigint, text string")).where("contaminated").count() == 0
+    assert decontaminate.report(odd(spark, []), spark.createDataFrame(bench, "item_id bigint, text string")).collect() == []
 
 
 def test_decontamination_spans(spark):
@@ -312,7 +313,7 @@ def test_decontamination_in_blocks(spark, monkeypatch):
     bench = spark.createDataFrame([(i, f"item{i} question words") for i in range(12)], "item_id bigint, text string")
     docs = odd(spark, [(1, "x item3 question words y item7 question words"), (2, "none")])
     whole = sorted(map(tuple, decontaminate.report(docs, bench).collect()))
-    monkeypatch.setattr(decontaminate, "MAX_WINDOW_BYTES", 700)
+    monkeypatch.setattr(decontaminate, "MAX_AUTOMATON_BYTES", 2000)
     assert sorted(map(tuple, decontaminate.report(docs, bench).collect())) == whole and whole[0][3] == 2
 
 
