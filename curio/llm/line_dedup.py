@@ -6,9 +6,9 @@ at least `min_words` words together, that an earlier document holds as well, whe
 Partners are found by marks: the shortest runs of lines of at least `min_words` words that start or end at a line. Each line of
 a common block lies in a mark within that block, so the earliest holders of a document's marks are all the partners it needs, and
 the most common mark costs each document no more than a rare one: pairs grow with (document, mark) incidences, never with the
-square of a mark's holders, and none is too common to be used. A pair carries only those lines of its earlier document that the
-two share marks on, in order and with a gap between runs: no long document is copied to each of its many partners. Each pair is
-aligned with patience diff (anchors are lines that are unique in both, in longest increasing order, then between anchors). Where
+square of a mark's holders, and none is too common to be used. A later document comes once with all its partners, and each of
+these brings only the lines that the two share marks on; both sides of a pair are those lines, in order and with a gap between
+runs. So what is sent and aligned grows with a document's own marks, however many partners it has. Each pair is aligned with patience diff (anchors are lines that are unique in both, in longest increasing order, then between anchors). Where
 that leaves a line that the earlier document holds (repeated lines, blocks in another order), all longest common blocks are
 taken, by a suffix automaton in linear time. Common blocks are deleted from the later document.
 
@@ -183,7 +183,7 @@ def _own_lines(docs: DataFrame, min_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = [line_keys(raw) for raw in byte_column(b.column(1))]
-            runs = [[(k[x], x, None) if y - x == 1 else (hashlib.md5(run := b"".join(k[x:y])).digest(), x, run) for x, y in sorted(marks(w, min_words), reverse=True)] for k, w, _ in got]
+            runs = [[(mark_key(k[x:y]), x, None if y - x == 1 else b"".join(k[x:y])) for x, y in sorted(marks(w, min_words), reverse=True)] for k, w, _ in got]
             held = [[{"key": key, "at": x, "run": run} for key, (x, run) in {key: (x, run) for key, x, run in r}.items()] for r in runs]
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), *(pa.array(v, f.type) for v, f in zip(([k for k, _, _ in got], [w for _, w, _ in got], held), list(schema)[1:]))], schema=schema)
 
@@ -191,19 +191,44 @@ def _own_lines(docs: DataFrame, min_words: int) -> DataFrame:
     return map_arrow(d, run, "doc_id bigint, keys array<binary>, words array<int>, marks array<struct<key:binary,at:int,run:binary>>")
 
 
-def restricted(runs: list[dict]) -> list:
-    """The lines of the runs of a document in order, each once, with None where lines between them are left out."""
-    lines: dict[int, bytes] = {}
-    for r in runs:
-        for i in range(0, len(r["run"]), 16):
-            lines[r["at"] + i // 16] = r["run"][i : i + 16]
+def restricted(lines: dict[int, bytes], gap: bytes | None) -> tuple[list, list[int]]:
+    """Chosen lines of a document in order, with a gap where lines between them are left out; and each one's line number."""
     out: list = []
-    last = None
+    places: list[int] = []
     for at in sorted(lines):
-        if last is not None and at > last + 1:
-            out.append(None)
+        if places and at > places[-1] + 1:
+            out.append(gap)
+            places.append(places[-1])
         out.append(lines[at])
-        last = at
+        places.append(at)
+    return out, places
+
+
+def mark_key(keys: list[bytes]) -> bytes:
+    """Digest of a mark: of one line its key, of several that of all keys."""
+    return keys[0] if len(keys) == 1 else hashlib.md5(b"".join(keys)).digest()
+
+
+def aligned(shared: list[dict], keys: list[bytes], words: list[int], min_words: int) -> dict[int, list[tuple[int, int]]]:
+    """For each partner the ranges of the later document's lines in common blocks.
+
+    shared: partner, digest of a mark, and its place and lines in the partner; keys, words: of the later document's lines.
+    """
+    places: dict[bytes, list[tuple[int, int]]] = {}
+    for x, y in marks(words, min_words):
+        places.setdefault(mark_key(keys[x:y]), []).append((x, y))
+    sides: dict[int, tuple[dict[int, bytes], dict[int, bytes]]] = {}
+    for m in shared:
+        early, late = sides.setdefault(m["first"], ({}, {}))
+        run = m["run"] or m["key"]
+        early.update((m["at"] + i // 16, run[i : i + 16]) for i in range(0, len(run), 16))
+        late.update((i, keys[i]) for x, y in places.get(m["key"], ()) for i in range(x, y))
+    out = {}
+    for partner, (early, late) in sides.items():
+        lines, at = restricted(late, b"")  # another gap than the early side's: gaps never match
+        found = common_blocks(restricted(early, None)[0], lines, [words[i] if x else 0 for i, x in zip(at, lines, strict=True)], min_words)
+        if found:
+            out[partner] = [(at[a], at[b - 1] + 1) for a, b in found]
     return out
 
 
@@ -213,21 +238,22 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     held = own.select("doc_id", F.explode("marks").alias("m"))
     firsts = held.groupBy("m.key").agg(F.min(F.struct("doc_id", "m.at", "m.run")).alias("first"), F.max("doc_id").alias("last")).where("first.doc_id < last").select("key", "first")
     firsts = materialise(firsts, "line-firsts")  # read back, both sides of the join are exchanged, so that hot marks can be split
-    pairs = held.select("doc_id", "m.key").join(firsts, "key").where("first.doc_id < doc_id").groupBy("doc_id", F.col("first.doc_id").alias("first")).agg(F.collect_set(F.struct("first.at", F.coalesce("first.run", "key").alias("run"))).alias("runs"))
-    both = pairs.join(own.drop("marks"), "doc_id")
+    shared = held.select("doc_id", "m.key").join(firsts, "key").where("first.doc_id < doc_id").select("doc_id", "key", F.col("first.doc_id").alias("first"), "first.at", "first.run")
+    partners = shared.groupBy("doc_id").agg(F.collect_list(F.struct("first", "key", "at", "run")).alias("shared"))  # a later document's distinct marks at most
+    both = partners.join(own.drop("marks"), "doc_id")
 
     def align(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for doc, first, runs, k, w in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                cut = common_blocks(restricted(runs), k, w, min_words)
-                if cut:
-                    rows.append((doc, hashlib.md5(b"".join(k)).digest(), first, [{"a": x, "b": y} for x, y in cut]))
+            for doc, shared, k, w in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                cuts = aligned(shared, k, w, min_words)
+                if cuts:
+                    ranges = sorted({r for own in cuts.values() for r in own})
+                    rows.append((doc, hashlib.md5(b"".join(k)).digest(), sorted(cuts), [{"a": x, "b": y} for x, y in ranges]))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    cuts = map_arrow(both.select("doc_id", "first", "runs", "keys", "words"), align, "doc_id bigint, own binary, first bigint, cuts array<struct<a:int,b:int>>")
-    return cuts.groupBy("doc_id", "own").agg(F.array_sort(F.collect_set("first")).alias("partners"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("cuts")))).alias("cuts"))
+    return map_arrow(both.select("doc_id", "shared", "keys", "words"), align, "doc_id bigint, own binary, partners array<bigint>, cuts array<struct<a:int,b:int>>")
 
 
 def cut_text(raw: bytes, own: bytes, cuts: list[dict]) -> tuple[bytes, int, int]:
