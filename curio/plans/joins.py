@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from curio.functions import text as T
 from curio.operators import matching as X
+from curio.operators import ratio as R
 from curio.operators.summaries import placed
 from curio.plans.basics import DIG, FOLD, HOST, M, NORM, WA
 from curio.plans.registry import Data, query
@@ -132,9 +133,24 @@ def _boost(q: Data):
     return _name_pairs(q).select("ln", "rn", F.floor(X.boosted(c("ln"), c("rn")) * 1000 + 0.0001).alias("v"))
 
 
-@query("er_compare_names", NAMES + "SELECT ln, rn, CASE WHEN contains(ln, rn) OR contains(rn, ln) THEN 'match' WHEN i * 1.0 / n >= 0.5 THEN 'probable' ELSE 'mismatch' END AS v FROM v")
+PLAINED = "translate({c}, '" + T.ACCENTED + "', '" + T.PLAIN + "')"
+PLAIN_NAME = "trim(regexp_replace(lower(" + PLAINED + "), '[^a-z0-9]+', ' ', 'g'))"
+TELLING = "list_filter(list_distinct(string_split({n}, ' ')), lambda w: length(w) > 2 AND w NOT IN ('" + "','".join(R.COMMON) + "'))"
+
+
+def _captures(q: Data):
+    """Names as they are expected and as they were seen, by record."""
+    return q.master.select("id", M).join(q.second.select("id", "name"), "id")
+
+
+@query(
+    "er_compare_names",
+    f"WITH p AS (SELECT m.id, {PLAIN_NAME.format(c='business_name')} AS a, {PLAIN_NAME.format(c='name')} AS b FROM master m JOIN second s ON m.id = s.id), t AS (SELECT id, length(b) >= 4 AND (contains(a, b) OR contains(b, a)) AS inside, {TELLING.format(n='a')} AS x, {TELLING.format(n='b')} AS y FROM p), "
+    "u AS (SELECT *, len(list_intersect(x, y)) AS i, len(list_distinct(list_concat(x, y))) AS n FROM t) SELECT id, CASE WHEN inside THEN 'match' WHEN n > 0 AND 2 * i >= n THEN 'probable_match' ELSE 'mismatch' END AS label, CAST(CASE WHEN inside THEN 0.95 WHEN n > 0 AND 2 * i >= n THEN 0.75 ELSE 0.8 END AS DOUBLE) AS confidence FROM u",
+)
 def _compare(q: Data):
-    return _name_pairs(q).select("ln", "rn", X.compare_names(c("ln"), c("rn")).alias("v"))
+    told = R.compared(R.plain(c("business_name")), R.plain(c("name")))
+    return _captures(q).select("id", told["label"].alias("label"), told["confidence"].alias("confidence"))
 
 
 @query("er_known", NAMES + f"SELECT ln, rn, {KNOWN} AS v FROM v")
@@ -155,11 +171,12 @@ def _best_names(q: Data):
 @query("jn_nested_loop", BEST + f"SELECT l, min(r) AS first FROM v WHERE {KNOWN} GROUP BY l")
 def _nested(q: Data):
     """The first known name (by id) of each new one: names are compared once, whatever the number of rows that share them."""
-    first = _name_pairs(q).where(X.known(c("ln"), c("rn"))).groupBy("ln").agg(F.min("r").alias("first"))
+    a, b = _sides(q)
+    pairs = X.sharing(a, b).where(X.known(c("l_name"), c("r_name"))).join(b.groupBy(c("name").alias("r_name")).agg(F.min("id").alias("r")), "r_name")
+    first = pairs.groupBy(c("l_name").alias("ln")).agg(F.min("r").alias("first"))
     return _sides(q)[0].select(c("id").alias("l"), c("name").alias("ln")).join(first, "ln").select("l", "first")
 
 
-PLAINED = "translate({c}, '" + T.ACCENTED + "', '" + T.PLAIN + "')"
 TOLD = "lower(CASE WHEN regexp_matches(" + PLAINED + r", '(?i)[-–—].*,\s*costa rica\s*$') THEN regexp_extract(" + PLAINED + r", '^(.*?)\s*[-–—]', 1) ELSE regexp_replace(" + PLAINED + r", '\s*[-–—]\s*', ' ') END)"
 RUNS = "regexp_extract_all(replace(replace(" + TOLD + ", chr(39), ''), '’', ''), '[a-z0-9]+')"
 INN = "regexp_matches(" + TOLD + r", '\bb(?:\s|&|\band\b)+b\b')"
@@ -215,8 +232,8 @@ query("er_edit_similarity", PAIR_SQL + "SELECT l, r, CAST(floor(sim * 1000 + 0.0
 query("er_capture_class", PAIR_SQL + "SELECT l, r, CASE WHEN l % 17 = 0 THEN 'blocked' WHEN r % 19 = 0 THEN 'no_result' WHEN sim >= 0.72 THEN 'exact' WHEN sim >= 0.5 THEN 'probable' ELSE 'ambiguous' END AS v FROM q")(
     lambda q: X.resolve(q.master).select("l", "r", X.capture_class(c("similarity"), c("r") % 19 != 0, c("l") % 17 == 0).alias("v"))
 )
-query("er_seqratio")(lambda q: X.resolve(q.master, X.seq_ratio).select("l", "r", "similarity", "class"))
-query("er_similarity")(lambda q: _name_pairs(q).select("ln", "rn", F.round(F.greatest(X.seq_ratio("ln", "rn"), X.jaccard(T.tokens(c("ln")), T.tokens(c("rn")))), 3).alias("v")))
+query("er_seqratio")(lambda q: X.resolve(q.master, lambda a, b: R.ratio_from(0.82, a, b)).select("l", "r", "similarity", "class"))
+query("er_similarity")(lambda q: _captures(q).select("id", R.plain(R.without_place(c("business_name"))).alias("a"), R.plain(c("name")).alias("b")).select("id", R.similarity(c("a"), c("b")).alias("v")))
 query("er_unicode_fold")(lambda q: q.master.select("id", X.unicode_fold(M).alias("v")))
 query("er_clusters")(lambda q: X.clusters(X.resolve(q.master).where("class = 'strong'")))
 
