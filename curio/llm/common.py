@@ -26,11 +26,11 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
-def materialise(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """Writes df to the shared folder and reads it back: cuts lineage, survives lost executors."""
+def materialise(df: DataFrame, name: str, codec: str = "zstd", level: int = 3) -> DataFrame:
+    """Writes df to the shared folder and reads it back: cuts lineage, survives lost executors. level: of zstd."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/curio/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
+    df.write.option("compression", codec).option("parquet.compression.codec.zstd.level", level).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,6 +8,8 @@ Reading: the RIFF chunks and the idx1 index are parsed, each indexed frame is de
 of successive frames' histograms exceeds an adaptive threshold. Frames of other lossless JPEG writers (any Huffman tables,
 predictors 1 to 7, one component) go through a general decoder.
 
+The media column is a written table of AVI files; digests, features and clips are read from there.
+
 Defined results: null is the empty payload; padding is bytes 255 up to a positive multiple of 576. Equal payloads give equal
 files and features. A file without index is read by its movi list. Damaged files raise ValueError. Memory: one Arrow batch,
 worked through in groups of at most GROUP_BYTES.
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curio.llm.common import byte_column, docs_of, map_arrow
+from curio.llm.common import byte_column, docs_of, map_arrow, materialise
 
 SIDE = 24
 FRAME = SIDE * SIDE
@@ -341,5 +343,15 @@ def clips(media: DataFrame) -> DataFrame:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Stores every text as media and reads it back from there."""
-    return read_column(encode_column(docs))
+    """Stores every text in a table of media, in the shared folder, and reads it back from there."""
+    return read_column(stored(docs))
+
+
+def stored(docs: DataFrame) -> DataFrame:
+    """The media column of all texts, written and read back."""
+    return materialise(encode_column(docs), "media", level=6)
+
+
+def report_clips(docs: DataFrame) -> DataFrame:
+    """The timed clip rows of all texts' media."""
+    return clips(stored(docs))

@@ -38,6 +38,12 @@ def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.report(table(spark, sf_dir, "documents"))
 
 
+def media_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curio.llm import media
+
+    return media.report_clips(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from curio.llm import token_counts
@@ -91,6 +97,7 @@ def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_media": op1_media,
+    "media_clips": media_clips,
     "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,

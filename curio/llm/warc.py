@@ -12,7 +12,8 @@ Decisions are made on (digest, page_id) pairs alone: one partial aggregation per
 may split where a digest is hot. Payload bytes move once to the store, one body per digest from each task, and once to be read back.
 
 Defined results: null payload is the empty one. Null url gives no WARC-Target-URI field. Repeated and null page_ids: the
-store is keyed by the digest alone, so every row keeps its own payload; rows keep their number. Extra columns are ignored. An empty table gives empty archives.
+store is keyed by the digest alone, so every row keeps its own payload; rows keep their number. Of several rows of the smallest
+page_id with equal payloads one, whichever, is the response, the others revisit it; every record has an id of its own. Extra columns are ignored. An empty table gives empty archives.
 """
 
 from __future__ import annotations
@@ -39,19 +40,20 @@ def base32_sha1(binary: Column) -> Column:
     return F.translate(F.upper(F.concat(*quads)), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def record_id(page_id) -> str:
-    h = hashlib.md5(f"page:{page_id}".encode()).hexdigest()
+def record_id(page_id, digest: str, tag: str = "") -> str:
+    h = hashlib.md5(f"page:{page_id}:{digest}{tag}".encode()).hexdigest()
     return f"<urn:uuid:{h[:8]}-{h[8:12]}-{h[12:16]}-{h[16:20]}-{h[20:]}>"
 
 
-def header_block(page_id, url, kind: str, digest: str, size: int, refers_to) -> bytes:
-    """The exact bytes before a record's body."""
-    fields = [("WARC-Type", kind), ("WARC-Record-ID", record_id(page_id)), ("WARC-Date", STAMP)]
+def header_block(page_id, url, kind: str, digest: str, size: int, refers_to, row: int | None = None) -> bytes:
+    """The exact bytes before a record's body. row tells records apart that page and payload do not."""
+    tag = ("" if kind == "response" else ":revisit") + ("" if row is None else f":{row}")
+    fields = [("WARC-Type", kind), ("WARC-Record-ID", record_id(page_id, digest, tag)), ("WARC-Date", STAMP)]
     if url is not None:
         fields.append(("WARC-Target-URI", url.replace("\r", "%0D").replace("\n", "%0A")))
     fields.append(("WARC-Payload-Digest", f"sha1:{digest}"))
     if kind == "revisit":
-        fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(refers_to)), ("X-Refers-To-Page", str(refers_to))]
+        fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(refers_to, digest)), ("X-Refers-To-Page", str(refers_to))]
     fields += [("X-Page-Id", str(page_id)), ("X-Payload-Bytes", str(size)), ("Content-Type", "text/html; charset=utf-8")]
     fields.append(("Content-Length", str(0 if kind == "revisit" else size)))
     return b"WARC/1.1\r\n" + b"".join(f"{k}: {v}\r\n".encode() for k, v in fields) + CRLF
@@ -78,19 +80,22 @@ def write_archive(pages: DataFrame, key: str = "page_id", payload: str = "html",
     body = F.coalesce(F.col(payload).cast("string"), F.lit("")).cast("binary")
     src = pages.select(F.col(key).alias("page_id"), F.col(url).cast("string").alias("url") if url in pages.columns else F.lit(None).cast("string").alias("url"), body.alias("body"))
     names = [F.unhex(F.sha2("body", 256)).alias("sha256"), base32_sha1(F.col("body")).alias("digest"), F.octet_length("body").cast("bigint").alias("size")]
-    slim = materialise(src.select("page_id", "url", *names), "warc-digests")
-    first = slim.groupBy("sha256").agg(F.min("page_id").alias("first"), F.count_distinct("digest", "size").alias("kinds"))
-    checked = F.when(F.col("kinds") == 1, F.col("first")).otherwise(F.raise_error(F.lit("payload digests disagree")).cast("bigint"))
-    owners = materialise(first.select("sha256", checked.alias("first")), "warc-owners")  # so that hot payloads can be split in the join
-    typed = slim.join(owners, "sha256").withColumn("kind", F.when((F.col("size") >= least) & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), "revisit").otherwise("response"))
+    slim = materialise(src.select("page_id", "url", *names, F.monotonically_increasing_id().alias("row")), "warc-digests")
+    least_row = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row"))
+    first = slim.groupBy("sha256").agg(least_row.alias("own"), F.count_distinct("digest", "size").alias("kinds"))
+    checked = F.when(F.col("kinds") == 1, F.col("own.page_id")).otherwise(F.raise_error(F.lit("payload digests disagree")).cast("bigint"))
+    owners = materialise(first.select("sha256", checked.alias("first"), F.col("own.row").alias("first_row")), "warc-owners")  # so that hot payloads can be split in the join
+    again = F.col("page_id").eqNullSafe(F.col("first"))  # a further row of the response's page
+    typed = slim.join(owners, "sha256").withColumn("kind", F.when((F.col("size") >= least) & F.col("first").isNotNull() & (F.col("row") != F.col("first_row")), "revisit").otherwise("response"))
+    typed = typed.withColumn("row", F.when(F.col("page_id").isNull() | again & (F.col("row") != F.col("first_row")), F.col("row")))
 
     def heads(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         for b in batches:
             d = b.to_pydict()
-            rows = [header_block(*x) for x in zip(d["page_id"], d["url"], d["kind"], d["digest"], d["size"], d["first"], strict=True)]
+            rows = [header_block(*x) for x in zip(d["page_id"], d["url"], d["kind"], d["digest"], d["size"], d["first"], d["row"], strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(1).cast(schema.field(1).type), pa.array(rows, type=schema.field(2).type)], schema=schema)
 
-    headers = materialise(map_arrow(typed.select("page_id", "sha256", "url", "kind", "digest", "size", "first"), heads, "page_id bigint, sha256 binary, header binary"), "warc-headers")
+    headers = materialise(map_arrow(typed.select("page_id", "sha256", "url", "kind", "digest", "size", "first", "row"), heads, "page_id bigint, sha256 binary, header binary"), "warc-headers")
 
     def squeeze(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -173,10 +178,10 @@ ORACLE = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 d AS (SELECT page_id, strlen(h) AS n, sha1(h) AS s FROM p),
 t AS (SELECT page_id, n, array_to_string(list_transform(range(8), lambda i: lpad(to_base(('0x' || substr(s, 5 * i + 1, 5))::BIGINT, 32), 4, '0')), '') AS q,
-             min(page_id) OVER (PARTITION BY s, n) AS first FROM d)
+             min(page_id) OVER (PARTITION BY s, n) AS first, row_number() OVER (PARTITION BY s, n ORDER BY page_id) AS k FROM d)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
        translate(upper(q), '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
-       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+       CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN k = 1 THEN NULL ELSE first END AS refers_to
 FROM t
 """

@@ -63,6 +63,11 @@ def test_pipeline_stages(spark, sf):
 def test_null_and_repeated_keys(spark):
     pages = [(None, "a", "only without key"), (None, "b", "only without key"), (None, None, "held"), (7, "c", "held"), (8, "d", "one"), (8, "e", "two"), (8, "f", "two")]
     got = sorted(map(tuple, warc.round_trip(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()), key=repr)
-    kinds = [("response", None), ("response", None), ("revisit", 7)] + [("response", None)] * 4
+    kinds = [("response", None), ("response", None), ("revisit", 7)] + [("response", None)] * 3 + [("revisit", 8)]
     want = [(p, len(h), base64.b32encode(hashlib.sha1(h.encode()).digest()).decode(), *k) for (p, _, h), k in zip(pages, kinds, strict=True)]
     assert got == sorted(want, key=repr)
+    payloads, headers = warc.write_archive(spark.createDataFrame(pages, "page_id bigint, url string, html string"))
+    ids = [warc.parse_record(bytes(r.record))[0]["WARC-Record-ID"] for r in warc.read_records(payloads, headers, parse=False).collect()]
+    assert len(set(ids)) == len(pages)
+    responses = {f["WARC-Record-ID"] for f in (warc.parse_record(bytes(r.record))[0] for r in warc.read_records(payloads, headers, parse=False).collect()) if f["WARC-Type"] == "response"}
+    assert all(f["WARC-Refers-To"] in responses for f in (warc.parse_record(bytes(r.record))[0] for r in warc.read_records(payloads, headers, parse=False).collect()) if f["WARC-Type"] == "revisit")
