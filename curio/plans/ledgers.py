@@ -128,7 +128,11 @@ def _osm(q: Data):
 
 @query("src_sqlite", "SELECT page_id, url FROM pages WHERE length(html) > 1000")
 def _sqlite(q: Data):
-    return q.pages.where(F.length("html") > 1000).select("page_id", "url")
+    from curio.sources.sqlite import read_sqlite, write_sqlite
+
+    p = _folder(q, "sqlite")
+    write_sqlite(q.pages.select("page_id", "url", "html"), p, "cache")
+    return read_sqlite(q.spark, p, "cache", 1000).where(F.length("html") > 1000).select("page_id", "url")
 
 
 query("src_html_cache", "SELECT page_id, url FROM pages WHERE contains(url, '/fr/') ORDER BY url, page_id LIMIT 1")(lambda q: R.cached_page(q.pages, "/fr/").select("page_id", "url"))
