@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from curio.functions import text as T
 from curio.operators import matching as X
 from curio.operators import ratio as R
+from curio.operators.extract import SHOWN, SHOWN_PHONE, SHOWN_RATING, visible_signals
 from curio.operators.summaries import placed
 from curio.plans.basics import DIG, FOLD, HOST, M, NORM, WA
 from curio.plans.registry import Data, query
@@ -243,11 +244,17 @@ def _handle(q: Data):
     return q.master.select("id", F.floor(X.handle_share(T.norm_name(c(M)), c("instagram_handle")) * 1000 + 0.0001).alias("v"))
 
 
-@query("er_signals", "SELECT page_id, CAST(contains(html, '<article>') AS INT) + CAST(contains(html, '<nav>') AS INT) + CAST(contains(html, 'script') AS INT) + CAST(starts_with(url, 'https') AS INT) AS n FROM pages")
-def _signals(q: Data):
-    from curio.operators.extract import page_signals
+SIGNAL = {k: " OR ".join(f"contains(low, '{w}')" for w in words) for k, words in SHOWN.items()}
+SIGNALS = f"""WITH p AS (SELECT page_id, coalesce(html, '') AS t, lower(coalesce(html, '')) AS low, coalesce(url, '') AS url, {PLAIN_NAME.format(c="coalesce(html, '')")} AS folded, list_filter(string_split({PLAIN_NAME.format(c="coalesce(business_name, '')")}, ' '), lambda w: length(w) >= 4)[1:3] AS words FROM pages LEFT JOIN master m ON m.id = page_id)
+SELECT page_id, len(words) > 0 AND len(list_filter(words, lambda w: contains(folded, w))) >= least(2, len(words)) AS identity_visible, length(t) >= 1000 AS nontrivial_text, {SIGNAL["category"]} AS category_signal, {SIGNAL["address"]} AS address_signal, {SIGNAL["hours"]} AS hours_signal,
+  regexp_matches(t, '{SHOWN_PHONE}') AS phone_signal, {SIGNAL["website"]} AS website_signal, regexp_matches(t, '{SHOWN_RATING}') OR {SIGNAL["rating"]} AS rating_signal, {SIGNAL["photo"]} AS photo_signal, NOT ({SIGNAL["wall"]}) AND NOT contains(url, 'consent.google') AS no_wall_or_error FROM p"""
+
 
-    return q.pages.select("page_id", page_signals(c("url"), c("html"), ["<article>", "<nav>", "script"]).alias("n"))
+@query("er_signals", SIGNALS)
+def _signals(q: Data):
+    """Pages against the record of the same number."""
+    both = q.pages.join(q.master.select(c("id").alias("page_id"), "business_name"), "page_id", "left")
+    return both.select("page_id", visible_signals(c("business_name"), c("html"), c("url")).alias("s")).select("page_id", "s.*")
 
 
 @query("jn_range", "SELECT c_custkey AS id, z.n AS zone FROM customer JOIN (SELECT * FROM (VALUES (0, 0.0, 2000.0), (1, 1500.0, 5000.0), (2, 4000.0, 9000.0)) AS t(n, lo, hi)) z ON c_acctbal BETWEEN z.lo AND z.hi")

@@ -188,17 +188,17 @@ def _list(words: list[str]) -> str:
 
 
 UNNAMED = "regexp_matches(x, '^\\p{Lu}\\p{Ll}+(?: \\p{Lu}\\p{Ll}+)"
-AMEN_OK = f"length(x) <= 45 AND NOT list_contains({_list(E.PAGE_WORDS)}, lower(x)) AND NOT regexp_matches(lower(x), '{E.ROOMS}') AND NOT ({UNNAMED}{{2,5}}$') AND len(list_filter({_list(E.LEADS)}, lambda w: starts_with(lower(x), w))) = 0) AND len(list_filter({_list(E.AMENITIES)}, lambda w: contains(lower(x), w))) > 0"
+AMEN_OK = f"length(x) <= 45 AND NOT list_contains({_list(E.PAGE_WORDS + E.NEARBY)}, lower(x)) AND NOT regexp_matches(lower(x), '{E.ROOMS}') AND NOT ({UNNAMED}{{2,5}}$') AND len(list_filter({_list(E.LEADS)}, lambda w: starts_with(lower(x), w))) = 0) AND len(list_filter({_list(E.AMENITIES)}, lambda w: contains(lower(x), w))) > 0"
 query("ex_m_amenities", f"WITH l AS (SELECT id, unnest({LINES}) AS x, generate_subscripts({LINES}, 1) AS i FROM master ), o AS (SELECT id, lower(x) AS low, min(i) AS i, arg_min(x, i) AS x FROM l WHERE {AMEN_OK} GROUP BY id, lower(x)) SELECT m.id, coalesce(string_agg(x, '|' ORDER BY i), '') AS v FROM master m LEFT JOIN o ON o.id = m.id GROUP BY m.id")(
     lambda q: _said(q).select("id", F.array_join(E.amenity_lines(c("t")), "|").alias("v"))
 )
 WORDS = "CASE k " + " ".join(f"WHEN '{k}' THEN {_list(w)}" for k, w in E.SUBCATEGORIES.items()) + " ELSE CAST([] AS VARCHAR[]) END"
 FITS = "list_filter(w, lambda y: contains(lower(x), y))"
-query("ex_m_subcat", f"""WITH l AS (SELECT id, {KIND_SQL} AS k, unnest({LINES}) AS x, generate_subscripts({LINES}, 1) AS i FROM master ), w AS (SELECT *, {WORDS} AS w FROM l WHERE length(x) <= 35 AND NOT list_contains({_list(E.PAGE_WORDS)}, lower(x))),
+query("ex_m_subcat", f"""WITH l AS (SELECT id, {KIND_SQL} AS k, unnest({LINES}) AS x, generate_subscripts({LINES}, 1) AS i FROM master ), w AS (SELECT *, {WORDS} AS w FROM l WHERE length(x) <= 35 AND NOT list_contains({_list(E.PAGE_WORDS)}, lower(x)) AND NOT regexp_matches(x, '{E.NAMED_KIND}')),
 d AS (SELECT id, x, i, {FITS}[-1] AS y FROM w WHERE len({FITS}) > 0), s AS (SELECT id, x, i, CASE WHEN lower(x) = y THEN 10 WHEN starts_with(lower(x), y) OR ends_with(lower(x), y) THEN 8 ELSE 5 END AS s FROM d),
 z AS (SELECT id, x, row_number() OVER (PARTITION BY id ORDER BY s DESC, length(x), i) AS n FROM s) SELECT m.id, z.x AS v FROM master m LEFT JOIN z ON z.id = m.id AND n = 1""")(lambda q: _said(q).select("id", E.subcategory(c("t"), c("kind")).alias("v")))
 KITCHEN = f"list_filter({_list(E.KITCHENS)}, lambda y: contains(lower(x), y))"
-query("ex_m_cuisine", f"""WITH l AS (SELECT id, unnest({LINES}) AS x, generate_subscripts({LINES}, 1) AS i FROM master ), k AS (SELECT id, x, i, length({KITCHEN}[1]) * 1.0 / length(x) AS r FROM l WHERE length(x) <= 35 AND NOT regexp_matches(lower(x), '{E.NO_KITCHEN}') AND NOT {UNNAMED}{{1,5}}$') AND lower(x) NOT IN ({', '.join(repr(n.lower()) for n in KNOWN_NAMES)}) AND len({KITCHEN}) > 0),
+query("ex_m_cuisine", f"""WITH l AS (SELECT id, unnest({LINES}) AS x, generate_subscripts({LINES}, 1) AS i FROM master ), k AS (SELECT id, x, i, length({KITCHEN}[1]) * 1.0 / length(x) AS r FROM l WHERE length(x) <= 35 AND NOT regexp_matches(lower(x), '{E.NO_KITCHEN}') AND NOT {UNNAMED}{{1,5}}$') AND lower(x) NOT IN ({', '.join(repr(n.lower()) for n in KNOWN_NAMES)}) AND NOT ({' OR '.join(f"contains(lower(x), {n.lower()!r})" for n in KNOWN_NAMES if len(n) > 15) or 'false'}) AND len({KITCHEN}) > 0),
 z AS (SELECT id, x, r, row_number() OVER (PARTITION BY id ORDER BY r DESC, i) AS n FROM k WHERE r > 0.3) SELECT id, x AS value, CAST(CASE WHEN r > 0.4 THEN 0.6 ELSE 0.5 END AS DOUBLE) AS confidence FROM z WHERE n = 1""")(
     lambda q: E.cuisine_lines(_said(q), "id", "t", q.spark.createDataFrame([(n,) for n in KNOWN_NAMES], "name string"))
 )
@@ -220,10 +220,18 @@ query("ex_maps_v2", "SELECT id, CASE id % 4 WHEN 0 THEN '+506 2750 1234' WHEN 1
 )
 
 
-@query("ex_maps_v3", "SELECT id, CAST(CASE WHEN id % 4 <> 3 THEN 0.9 END AS DOUBLE) AS rating_confidence, CAST(CASE WHEN id % 4 = 2 THEN 0.5 ELSE 0.8 END AS DOUBLE) AS address_confidence, CAST(CASE WHEN id % 4 IN (0, 1) THEN 0.85 END AS DOUBLE) AS phone_confidence FROM master ")
+V3 = {
+    "rating": ("CASE WHEN id % 4 <> 3 THEN '4.' || id % 10 END", "0.9", None), "phone": ("CASE id % 4 WHEN 0 THEN '+506 2750 1234' WHEN 1 THEN '27501234' END", "0.85", None), "website": ("CASE WHEN id % 4 = 1 THEN 'casa.example.com' END", "0.7", None),
+    "address": ("CASE WHEN id % 4 = 2 THEN 'M742+8M Town' ELSE '12 calle Uno' END", "CASE WHEN id % 4 = 2 THEN 0.5 ELSE 0.8 END", None), "open_status": ("CASE WHEN id % 4 = 0 THEN 'Abierto ahora' END", "0.9", None),
+    "hours": ("CASE WHEN id % 4 = 1 THEN 'lunes 9:00 a.m. - 5:00 p.m.' END", "0.8", None), "amenities": (f"CASE WHEN {AMEN_OK} THEN x || '|' ELSE '' END || 'Free Wifi|Swimming pool'", "0.7", f"CASE WHEN {AMEN_OK} THEN x ELSE 'Free Wifi' END"),
+}
+V3_ROWS = " UNION ALL ".join(f"SELECT id, '{k}' AS field, {v} AS value, CAST({n} AS DOUBLE) AS confidence, {e or v} AS evidence FROM n" for k, (v, n, e) in V3.items())
+V3_TEXT = "business_name || chr(10) || CASE WHEN id % 4 <> 3 THEN '4.' || id % 10 || chr(10) ELSE '' END || CASE id % 4 WHEN 0 THEN '+506 2750 1234' || chr(10) || '12 calle Uno' || chr(10) || 'Abierto ahora' WHEN 1 THEN '27501234' || chr(10) || 'casa.example.com' || chr(10) || '12 calle Uno' || chr(10) || 'lunes 9:00 a.m. - 5:00 p.m.' WHEN 2 THEN 'M742+8M Town' || chr(10) || 'Hora de entrada: 3:00 p.m.' ELSE '12 calle Uno' END || chr(10) || 'Free Wifi' || chr(10) || 'Reviews' || chr(10) || 'Swimming pool' || chr(10) || 'Beach hotel'"
+V3_POINTS = ", ".join(f"{{'n': len(list_filter({_list(w)}, lambda y: contains(low, y))), 'k': {-i}, 'name': '{k}'}}" for i, (k, w) in enumerate(E.CATEGORY_WORDS))
+
+
+@query("ex_maps_v3", f"WITH n AS (SELECT id, business_name, trim(business_name) AS x FROM master ), f AS ({V3_ROWS}), p AS (SELECT id, list_sort([{V3_POINTS}])[-1] AS b FROM (SELECT id, lower(business_name || '  ' || {V3_TEXT}) AS low FROM n)) SELECT f.*, CASE WHEN b.n > 0 THEN b.name ELSE 'unknown' END AS inferred_category FROM f JOIN p USING (id) WHERE value IS NOT NULL")
 def _v3(q: Data):
-    m = E.map_fields(c("t"))
-    return _capture(q).select(
-        "id", F.when(m["rating"].isNotNull(), F.lit(0.9)).alias("rating_confidence"), F.when(m["address"].rlike("(?i)calle|avenida|street|road"), F.lit(0.8)).when(m["address"].isNotNull(), F.lit(0.5)).alias("address_confidence"),
-        F.when(m["phone"].isNotNull(), F.lit(0.85)).alias("phone_confidence"),
-    )
+    """Every field of every capture, with its confidence and the line it is from; no category is given, so it is inferred."""
+    r = _capture(q).select("id", E.scored_record(c("name"), F.lit(""), c("t")).alias("r"))
+    return r.select("id", c("r.inferred_category").alias("inferred_category"), F.explode("r.fields").alias("field", "x")).select("id", "field", "x.value", "x.confidence", "x.evidence", "inferred_category")

@@ -42,11 +42,11 @@ def test_filters_are_tested_by_sqlite(spark, path):
 
 def test_what_is_left_to_spark(path):
     from pyspark.sql.datasource import EqualTo, GreaterThan, IsNull, StringEndsWith, StringStartsWith
-    from pyspark.sql.types import StructType
+    from pyspark.sql.types import LongType, StructType
 
     from curio.sources.sqlite import Reader
 
-    r = Reader(path, "t", StructType().add("id", "bigint").add('na"me', "string"), 100)
+    r = Reader(path, "t", StructType().add("id", LongType()).add("na\"me", "string"), 100)
     asked = [GreaterThan(("id",), 5), EqualTo(("id",), "5"), IsNull(('na"me',)), StringEndsWith(('na"me',), "x"), StringStartsWith(('na"me',), "n%"), EqualTo(("id", "x"), 5)]
     assert list(r.pushFilters(asked)) == [asked[1], asked[3], asked[5]]
     assert r.where == ['"id" > ?', '"na""me" IS NULL', 'instr("na""me", ?) = 1'] and r.values == [5, "n%"]
