@@ -80,7 +80,8 @@ RULES = {
     "car-rental": [r"\bcar rental\b", r"\brent a car\b", r"\balquiler de (?:autos|carros|coches)\b"],
 }
 ACTIVITIES, ELSEWHERE = ("surf", "diving", "snorkeling", "kayaking", "fishing", "wildlife"), ["restaurant", "hotel", "vacation_rental", "hostel", "shopping", "services", "real_estate", "wellness"]
-EXCLUDED = {t: ELSEWHERE for t in ACTIVITIES} | {"gym": ["restaurant", "shopping"], "veterinary": ELSEWHERE[:5], "pet-care": ELSEWHERE[:5]}
+NO_ANIMALS = ["restaurant", "hotel", "vacation_rental", "hostel", "shopping"]
+EXCLUDED = {t: ELSEWHERE for t in ACTIVITIES} | {"gym": ["restaurant", "shopping"], "veterinary": NO_ANIMALS, "pet-care": NO_ANIMALS}
 
 # Sources in order of precedence, with confidence; those that say what a record is, not what it has.
 SOURCES = [("master.name", "business_name", 0.96), ("master.description", "description_full", 0.92), ("maps.subcategory", "subcategory", 0.90), ("maps.cuisine", "cuisine", 0.90), ("maps.amenities", "amenities", 0.90)]

@@ -182,7 +182,7 @@ query("dq_entry", ENTRY)(lambda q: U.entry(q.places).select("id", F.array_join("
 
 WEEK = "SELECT p.id, description_full AS d, day, k, (p.id + k) % 5 = 0 AS closed, (p.id + k) % 5 = 1 AS open24 FROM places p CROSS JOIN (VALUES " + ", ".join(f"('{d}', {k})" for k, d in enumerate(U.DAYS)) + ") t(day, k)"
 MENTION = "CASE day " + " ".join(f"WHEN '{d}' THEN regexp_matches(lower(d), '(?:^|[^\\pL\\pN_])(?:{w})')" for d, w in U.DAYS.items()) + " END"
-SAYS = "CASE day " + " ".join(f"WHEN '{d}' THEN regexp_matches(lower(d), 'except\\s+{d}|\\bclosed\\s+(?:on\\s+)?{d}|\\b{d}\\s+closed\\b')" for d in U.DAYS) + " END"
+SAYS = "CASE day " + " ".join(f"WHEN '{d}' THEN regexp_matches(lower(d), '{U.said_closed(d)}')" for d in U.DAYS) + " END"
 
 
 @query("dq_desc_hours", f"WITH w AS ({WEEK}), m AS (SELECT * FROM w WHERE {MENTION}) SELECT id, day, 'said_closed_is_open' AS conflict FROM m WHERE {SAYS} AND NOT closed UNION ALL SELECT id, day, 'mentioned_is_closed' FROM m WHERE closed UNION ALL SELECT id, arg_min(day, k), 'always_open' FROM w WHERE {ANY_OF('lower(d)', U.ALWAYS)} AND (closed OR NOT open24) GROUP BY id")
