@@ -10,6 +10,7 @@ from curio.operators import ratio as R
 from curio.operators.extract import SHOWN, SHOWN_PHONE, SHOWN_RATING, visible_signals
 from curio.operators.summaries import placed
 from curio.plans.basics import DIG, FOLD, HOST, M, NORM, WA
+from curio.plans.places import km_sql
 from curio.plans.registry import Data, query
 
 c = F.col
@@ -257,7 +258,21 @@ def _signals(q: Data):
     return both.select("page_id", visible_signals(c("business_name"), c("html"), c("url")).alias("s")).select("page_id", "s.*")
 
 
-@query("jn_range", "SELECT c_custkey AS id, z.n AS zone FROM customer JOIN (SELECT * FROM (VALUES (0, 0.0, 2000.0), (1, 1500.0, 5000.0), (2, 4000.0, 9000.0)) AS t(n, lo, hi)) z ON c_acctbal BETWEEN z.lo AND z.hi")
+CIRCLES = "SELECT s_suppkey AS zone, 9.5 + (s_suppkey % 977) / 1954.0 AS centre_lat, -82.9 + (s_suppkey % 691) / 987.0 AS centre_lon, 0.3 + (s_suppkey % 5) * 0.4 AS radius_km FROM supplier"
+
+
+@query("jn_range", f"SELECT m.id, z.zone FROM (SELECT id, TRY_CAST(latitude AS DOUBLE) AS lat, TRY_CAST(longitude AS DOUBLE) AS lon FROM master ) m JOIN ({CIRCLES}) z ON m.lat BETWEEN -90 AND 90 AND {km_sql('m.lat', 'm.lon', 'z.centre_lat', 'z.centre_lon')} <= z.radius_km")
+def _circles(q: Data):
+    """Places in circles around suppliers: a table of zones of any number."""
+    from curio.operators.zones import in_circles
+
+    s = c("s_suppkey")
+    circles = q.supplier.select(s.alias("zone"), (9.5 + s % 977 / 1954.0).alias("centre_lat"), (-82.9 + s % 691 / 987.0).alias("centre_lon"), (0.3 + s % 5 * 0.4).alias("radius_km"))
+    points = q.master.select("id", c("latitude").try_cast("double").alias("lat"), c("longitude").try_cast("double").alias("lon"))
+    return in_circles(points, circles).select("id", "zone")
+
+
+@query("jn_range_number", "SELECT c_custkey AS id, z.n AS zone FROM customer JOIN (SELECT * FROM (VALUES (0, 0.0, 2000.0), (1, 1500.0, 5000.0), (2, 4000.0, 9000.0)) AS t(n, lo, hi)) z ON c_acctbal BETWEEN z.lo AND z.hi")
 def _range(q: Data):
     from curio.operators.relations import in_ranges
 
