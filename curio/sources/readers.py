@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from curio.sources.keyed import read_keyed
+
 
 def csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """All-string CSV with header; a byte-order mark goes."""
@@ -54,9 +56,8 @@ def json_auto(spark: SparkSession, path: str, schema: StructType | str | None =
 
 
 def json_keyed(spark: SparkSession, path: str, record: str, key: str = "key") -> DataFrame:
-    """A map from key to record, as rows."""
-    t = spark.read.option("wholetext", True).text(path).select(F.from_json("value", f"map<string,{record}>").alias("m"))
-    return t.select(F.explode("m").alias(key, "r")).select(key, "r.*")
+    """A map from key to record, as rows; large files are read by many tasks."""
+    return read_keyed(spark, path, record, key)
 
 
 def json_versioned(spark: SparkSession, path: str) -> DataFrame:
