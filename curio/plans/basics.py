@@ -104,13 +104,27 @@ def _numeric(q: Data):
 SEARCHED = (M, "area", "category", "description_full", "email", "website")
 
 
-@query("flt_search", "SELECT id FROM master WHERE " + " OR ".join(f"contains(lower({x}), 'luna')" for x in SEARCHED))
+SEARCH = "SELECT id FROM master WHERE " + " OR ".join(f"contains(lower({x}), 'luna')" for x in SEARCHED)
+
+
+@query("flt_search", SEARCH)
 def _search(q: Data):
     from curio.operators.search import matches_text
 
     return q.master.where(matches_text("LUNA", [c(x) for x in SEARCHED])).select("id")
 
 
+@query("flt_search_index", SEARCH)
+def _search_index(q: Data):
+    """The same search by a written index of runs of letters."""
+    from curio.operators.search import search_index, write_index
+    from curio.sources.shared import folder
+
+    path = folder(q.spark, "search")
+    write_index(q.master.select("id", *SEARCHED), list(SEARCHED), path)
+    return search_index(q.spark, path, "LUNA", list(SEARCHED)).select("id")
+
+
 @query("flt_facets", "SELECT id FROM master WHERE category = 'building' AND area = 'NATION_3' AND whatsapp <> ''")
 def _facets(q: Data):
     from curio.operators.search import facets
