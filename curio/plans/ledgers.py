@@ -201,7 +201,8 @@ query("snk_archive", "SELECT id, '{\"id\":' || id || ',\"area\":\"' || area || '
 )
 
 query("st_checkpoint", "SELECT c_custkey AS rid FROM customer WHERE c_custkey NOT IN (SELECT rid FROM ledger WHERE version = 'v1')")(lambda q: L.pending(q.customer.select(c("c_custkey").alias("rid")), q.ledger, "rid", "v1"))
-query("st_retry", "SELECT rid, attempts FROM (SELECT rid, count(*) FILTER (WHERE state IN ('error', 'view')) AS attempts, arg_max(state, seq) AS last FROM ledger GROUP BY rid) WHERE last IN ('error', 'view') AND attempts < 6")(lambda q: L.retries(q.ledger, "rid", ["error", "view"], 6))
+RETRY = "SELECT rid, attempts FROM (SELECT rid, count(*) FILTER (WHERE state IN ('error', 'view')) AS attempts, arg_max(state, seq) AS last FROM ledger GROUP BY rid) WHERE last IN ('error', 'view') AND attempts < 6"
+query("st_retry", RETRY)(lambda q: L.retries(q.ledger, "rid", ["error", "view"], 6))
 query("st_retry_queue", "SELECT rid FROM ledger GROUP BY rid HAVING count(*) FILTER (WHERE state = 'purchase') = 0")(lambda q: L.retry_queue(q.ledger, "rid", ["purchase"]))
 
 
@@ -214,6 +215,15 @@ def _stream(q: Data, make, mode: str) -> DataFrame:
     return q.spark.table(name)
 
 
+@query("st_retry_stream", RETRY)
+def _retry_stream(q: Data):
+    """Retries as a stream: of each rid the row of its last batch, where another attempt is due."""
+    s = L.retry_state(R.ledger(q.spark, _written(q), LEDGER, stream=True, files=64), "rid", ["error", "view"], 6)
+    news = L.run_updates(s, _folder(q, "retries"), _folder(q, "checkpoint"))
+    last = news.groupBy("rid").agg(F.max_by(F.struct("attempts", "retry"), "batch").alias("n"))
+    return last.where("n.retry").select("rid", "n.attempts")
+
+
 query("st_progress", "SELECT state, count(*) AS entries, max(seq) AS last_seq FROM ledger GROUP BY state")(lambda q: _stream(q, L.progress, "complete"))
 
 

@@ -94,8 +94,12 @@ def text_files(spark: SparkSession, path: str, failed: str = "failure") -> DataF
     return t.join(best.select("listing", F.col("b.file").alias("file")), ["listing", "file"]).select("listing", "text")
 
 
-def ledger(spark: SparkSession, path: str, schema: str, stream: bool = False) -> DataFrame:
-    return spark.readStream.schema(schema).json(path) if stream else spark.read.schema(schema).json(path)
+def ledger(spark: SparkSession, path: str, schema: str, stream: bool = False, files: int | None = None) -> DataFrame:
+    """JSON lines; as a stream, at most `files` new files a batch."""
+    if not stream:
+        return spark.read.schema(schema).json(path)
+    r = spark.readStream.schema(schema)
+    return (r.option("maxFilesPerTrigger", files) if files else r).json(path)
 
 
 def organisations(spark: SparkSession, path: str, defaults: dict[str, str]) -> DataFrame:

@@ -172,11 +172,3 @@ def test_ranges_by_both_ways(spark):
     rows, zones = spark.range(200).withColumn("x", F.col("id") * 1.5), spark.createDataFrame([(0, 10.0, 40.0), (1, 30.0, 90.0), (2, 500.0, 600.0)], "zone int, lo double, hi double")
     few = sorted(map(tuple, relations.in_ranges(rows, "x", zones).select("id", "zone").collect()))
     assert few == sorted(map(tuple, relations.in_ranges(rows, "x", zones, most=1).select("id", "zone").collect())) and len(few) > 50
-
-
-def test_streaming_retries(spark, tmp_path):
-    rows = spark.createDataFrame([(1, 1, "error"), (1, 2, "error"), (2, 1, "error"), (2, 2, "ok")], "rid bigint, seq bigint, state string")
-    rows.write.json(str(tmp_path / "in"))
-    s = ledger.retry_state(spark.readStream.schema("rid bigint, seq bigint, state string").json(str(tmp_path / "in")), ["error"], 3)
-    s.writeStream.outputMode("update").format("memory").queryName("retries").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
-    assert sorted(map(tuple, spark.table("retries").collect())) == [(1, 2, True), (2, 1, False)]
