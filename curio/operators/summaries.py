@@ -60,6 +60,27 @@ def capped_fill(df: DataFrame, owner: str, group: str, rank: list[Column], cap:
     return x.withColumn("place", F.row_number().over(outer)).where(F.col("place") <= most).drop("_in")
 
 
+def ranked_summary(df: DataFrame, owner: str, group: str, priority: Column, order: str, highlight: Column, low: Column) -> DataFrame:
+    """Per owner its items for a short summary: (owner, group, order, score, place).
+
+    An item scores 50, less 10 for each of the owner's groups that comes before its own (by priority, then name), 40 more as a highlight
+    and 30 less as of low value. Up to 8 items all come; of more, 6, and of more than 20, 8: first the best two of each group,
+    then the others; ties by group and order, which must be unique in a group. Null groups are a group of their own, which comes last.
+    No more than 8 items of a group can come, so the rest goes before any exchange, and an owner with very many items is no hot key.
+    """
+    x = df.select(F.col(owner).alias("_owner"), F.col(group).alias("_group"), F.col(order).alias("_order"), priority.alias("_first"), (F.coalesce(highlight, F.lit(False)).cast("int") * 40 - F.coalesce(low, F.lit(False)).cast("int") * 30).alias("_extra"))
+    best = x.withColumn("_in", F.row_number().over(Window.partitionBy("_owner", "_group").orderBy(F.desc("_extra"), "_order"))).where("_in <= 8")
+    groups = x.groupBy("_owner", "_group").agg(F.min("_first").alias("_first"), F.count("*").alias("_n"))
+    by_owner = Window.partitionBy("_owner")
+    groups = groups.select("_owner", "_group", (F.row_number().over(by_owner.orderBy(F.asc_nulls_last("_first"), F.asc_nulls_last("_group"))) - 1).alias("_rank"), F.sum("_n").over(by_owner).alias("_total"))
+    g = groups.select(F.col("_owner").alias("_o"), F.col("_group").alias("_g"), "_rank", "_total")
+    b = best.join(g, F.col("_owner").eqNullSafe(F.col("_o")) & F.col("_group").eqNullSafe(F.col("_g"))).withColumn("score", 50 - 10 * F.col("_rank") + F.col("_extra"))
+    place = F.row_number().over(by_owner.orderBy((F.col("_in") > 2).cast("int"), F.desc("score"), F.asc_nulls_last("_group"), "_order"))
+    most = F.when(F.col("_total").between(9, 20), 6).otherwise(8)
+    whole = b.withColumn("place", place).where(F.col("place") <= most)
+    return whole.select(F.col("_owner").alias(owner), F.col("_group").alias(group), F.col("_order").alias(order), "score", "place")
+
+
 def next_id(df: DataFrame, key: str) -> DataFrame:
     """The smallest positive number that is not used: the gap before the first number that is ahead of its place."""
     k = df.where(F.col(key) > 0).select(F.col(key).cast("bigint").alias("k")).distinct()

@@ -199,15 +199,22 @@ def _nearest(q: Data):
     return A.nearest(q.documents, "source", c("n_chars"), 4000, "doc_id")
 
 
-CAP_SQL = "WITH a AS (SELECT *, row_number() OVER (PARTITION BY rid, state ORDER BY value DESC, seq) AS r FROM ledger ), b AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY CASE WHEN r > 2 THEN 1 ELSE 0 END, value DESC, seq) AS place FROM a) SELECT rid, seq, place FROM b WHERE place <= 6"
-
-
+@query("win_cap_per_group", "WITH a AS (SELECT *, row_number() OVER (PARTITION BY rid, state ORDER BY value DESC, seq) AS r FROM ledger ), b AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY CASE WHEN r > 2 THEN 1 ELSE 0 END, value DESC, seq) AS place FROM a) SELECT rid, seq, place FROM b WHERE place <= 6")
 def _cap(q: Data):
     return A.capped_fill(q.ledger, "rid", "state", [F.desc("value"), c("seq")], 2, 6).select("rid", "seq", "place")
 
 
-query("win_cap_per_group", CAP_SQL)(_cap)
-query("ar_attr_summary", CAP_SQL)(_cap)
+SUMMARY_SQL = """WITH x AS (SELECT rid, state, seq, CASE state WHEN 'purchase' THEN 0 WHEN 'view' THEN 1 ELSE 2 END AS first, CASE WHEN seq % 7 = 0 THEN 40 ELSE 0 END - CASE WHEN seq % 5 = 0 THEN 30 ELSE 0 END AS extra FROM ledger ),
+g AS (SELECT rid, state, row_number() OVER (PARTITION BY rid ORDER BY min(first), state) - 1 AS r, sum(count(*)) OVER (PARTITION BY rid) AS total FROM x GROUP BY rid, state),
+s AS (SELECT x.rid, x.state, x.seq, 50 - 10 * r + extra AS score, total, row_number() OVER (PARTITION BY x.rid, x.state ORDER BY extra DESC, x.seq) AS k FROM x JOIN g ON x.rid = g.rid AND x.state = g.state),
+p AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY CASE WHEN k > 2 THEN 1 ELSE 0 END, score DESC, state, seq) AS place FROM s)
+SELECT rid, seq, score, place FROM p WHERE place <= CASE WHEN total <= 8 THEN 8 WHEN total <= 20 THEN 6 ELSE 8 END"""
+
+
+@query("ar_attr_summary", SUMMARY_SQL)
+def _attr_summary(q: Data):
+    first = F.when(c("state") == "purchase", 0).when(c("state") == "view", 1).otherwise(2)
+    return A.ranked_summary(q.ledger, "rid", "state", first, "seq", c("seq") % 7 == 0, c("seq") % 5 == 0).select("rid", "seq", "score", "place")
 
 
 @query("win_next_id", "SELECT min(k) AS next_id FROM (SELECT o_orderkey + 1 AS k FROM orders UNION SELECT 1) WHERE k NOT IN (SELECT o_orderkey FROM orders) AND k > 0")
