@@ -108,14 +108,14 @@ def multiset_difference(before: DataFrame, after: DataFrame, key: str) -> DataFr
     return j.withColumn("removed", F.greatest(F.lit(0), F.col("before") - F.col("after")))
 
 
-def placed(df: DataFrame, order: list[tuple[Column, bool]], name: str) -> DataFrame:
-    """df with each row's place in an order, from 1 on, without one task that sees all rows.
+def placed(df: DataFrame, order: list[tuple[Column, bool]], name: str, keep: list[str] | None = None) -> DataFrame:
+    """df (of it the columns `keep`) with each row's place in an order, from 1 on, without one task that sees all rows.
 
     Rows are range-partitioned, sorted within partitions and written; a row's place is its place within its partition and the
     number of rows in those before it. order: columns, and whether they fall; it must be total.
     """
     keys = [f"_o{i}" for i in range(len(order))]
-    raw = df.select("*", *[o.alias(k) for (o, _), k in zip(order, keys, strict=True)])
+    raw = df.select(*(keep or ["*"]), *[o.alias(k) for (o, _), k in zip(order, keys, strict=True)])
     by = [F.desc(k) if down else F.asc(k) for (_, down), k in zip(order, keys, strict=True)]
     dealt = written(raw.repartitionByRange(*by).withColumn("_part", F.spark_partition_id()), "placed")
     sizes = dealt.groupBy("_part").agg(F.count("*").alias("_n"))

@@ -90,7 +90,7 @@ def _bbox(q: Data):
 @query("geo_priority", f"SELECT id, rank FROM (SELECT id, row_number() OVER (ORDER BY CASE WHEN coalesce({HERE} <= 3, false) THEN 0 ELSE 1 END, {LAT}, id) AS rank FROM master WHERE latitude <> '')")
 def _priority(q: Data):
     dense = F.coalesce(G.in_zones(c("lat"), c("lon"), [(9.65, -82.75, 3.0)]), F.lit(False))
-    return placed(_latlon(q).where("lat IS NOT NULL"), [(F.when(dense, 0).otherwise(1), False), (c("lat"), False), (c("id"), False)], "rank").select("id", "rank")
+    return placed(_latlon(q).where("lat IS NOT NULL"), [(F.when(dense, 0).otherwise(1), False), (c("lat"), False), (c("id"), False)], "rank", ["id"]).select("id", "rank")
 
 
 @query("geo_valid", f"SELECT id, coalesce({LAT} BETWEEN -90 AND 90 AND {LON} BETWEEN -180 AND 180, false) AS ok FROM master ")

@@ -235,7 +235,7 @@ def _ordered(name: str, order_sql: str, order) -> None:
 
     @query(name, f"SELECT id, row_number() OVER (ORDER BY {order_sql}) AS place FROM master ")
     def _(q: Data):
-        return A.placed(q.master, order(), "place").select("id", "place")
+        return A.placed(q.master, order(), "place", ["id"]).select("id", "place")
 
 
 UP, DOWN = False, True
