@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from curio.functions.arrays import let
+
 WEEKDAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
 CLOCK = r"[0-9]{1,2}(?::[0-9]{2})?"
 HALF = r"\s?[ap]m"
@@ -15,30 +17,37 @@ DAY_LABEL = r"^((?i:Sunday|Monday|Tuesday|Wednesday|Thursday|Friday|Saturday)(?:
 
 def parse_time(c: Column, hint: Column) -> Column:
     """24-hour HH:MM, or null. A time without meridian takes the hint; without a hint it is PM, and 12 is noon."""
-    s = F.lower(F.trim(c))
-    half = F.when(s.endswith("m"), F.right(s, F.lit(2))).when(F.lower(hint) == "am", "am").otherwise("pm")
-    shown = F.regexp_replace(s, rf"{HALF}$", "")
-    hour = F.split_part(shown, F.lit(":"), F.lit(1)).try_cast("int")
-    of_day = F.pmod(hour, F.lit(12)) + F.when(half == "pm", 12).otherwise(0)
-    minute = F.when(F.contains(shown, F.lit(":")), F.split_part(shown, F.lit(":"), F.lit(2))).otherwise("00")
-    fits = shown.rlike(r"^(?:0?[1-9]|1[0-2])(?::[0-5][0-9])?$")
-    return F.when(fits, F.concat(F.lpad(of_day.cast("string"), 2, "0"), F.lit(":"), minute))
+
+    def of(s: Column, shown: Column) -> Column:
+        half = F.when(s.endswith("m"), F.right(s, F.lit(2))).when(F.lower(hint) == "am", "am").otherwise("pm")
+        hour = F.split_part(shown, F.lit(":"), F.lit(1)).try_cast("int")
+        of_day = F.pmod(hour, F.lit(12)) + F.when(half == "pm", 12).otherwise(0)
+        minute = F.when(F.contains(shown, F.lit(":")), F.split_part(shown, F.lit(":"), F.lit(2))).otherwise("00")
+        fits = shown.rlike(r"^(?:0?[1-9]|1[0-2])(?::[0-5][0-9])?$")
+        return F.when(fits, F.concat(F.lpad(of_day.cast("string"), 2, "0"), F.lit(":"), minute))
+
+    return let(F.lower(F.trim(c)), lambda s: let(F.regexp_replace(s, rf"{HALF}$", ""), lambda shown: of(s, shown)))
 
 
 def parse_interval(c: Column) -> Column:
     """struct(opens, closes, closes_next_day), or null."""
-    ends = F.split(F.regexp_replace(F.trim(c), r"\s+", " "), rf"(?i){BETWEEN}", 2)
-    a, b = F.get(ends, 0), F.get(ends, 1)
-    hint = F.regexp_extract(F.lower(b), "[ap]m", 0)
-    o, e = parse_time(a, hint), parse_time(b, hint)
-    return F.when(o.isNotNull() & e.isNotNull(), F.struct(o.alias("opens"), e.alias("closes"), (e < o).alias("closes_next_day")))
+
+    def of(ends: Column) -> Column:
+        hint = F.regexp_extract(F.lower(F.get(ends, 1)), "[ap]m", 0)
+        return let(F.array(*[parse_time(F.get(ends, i), hint) for i in (0, 1)]), lambda t: span(F.get(t, 0), F.get(t, 1)))
+
+    span = lambda o, e: F.when(o.isNotNull() & e.isNotNull(), F.struct(o.alias("opens"), e.alias("closes"), (e < o).alias("closes_next_day")))
+    return let(F.split(F.regexp_replace(F.trim(c), r"\s+", " "), rf"(?i){BETWEEN}", 2), of)
 
 
 def weekday(label: Column) -> Column:
-    out = F.lit(None).cast("string")
-    for d in WEEKDAYS:
-        out = F.when(F.lower(F.trim(label)).startswith(d), d).otherwise(out)
-    return out
+    def of(low: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for d in WEEKDAYS:
+            out = F.when(low.startswith(d), d).otherwise(out)
+        return out
+
+    return let(F.lower(F.trim(label)), of)
 
 
 def holiday(label: Column) -> Column:
@@ -52,17 +61,19 @@ def display_day(label: Column) -> Column:
 
 def day_row(row: Column) -> Column:
     """struct(day, closed, open24, periods, holiday, might_differ) of a row text; day is null where it names none."""
-    shown = display_day(F.regexp_replace(F.trim(row), r"\s{2,}", " "))
-    words = F.split(F.lower(row), r"\s+")
-    shut, whole = F.array_contains(words, "closed"), F.contains(F.lower(row), F.lit("open 24 hours"))
     spans = F.transform(F.regexp_extract_all(row, F.lit(PERIOD), F.lit(0)), parse_interval)
     span = lambda *x: F.struct(*[F.lit(v).alias(n) for v, n in zip(x, ("opens", "closes", "closes_next_day"), strict=True)])
     always = F.array(span("00:00", "24:00", False))
-    return F.struct(
-        weekday(shown).alias("day"), shut.alias("closed"), (whole & ~shut).alias("open24"),
-        F.when(shut, F.slice(always, 1, 0)).when(whole, always).otherwise(F.array_distinct(F.array_compact(spans))).alias("periods"),
-        holiday(shown).alias("holiday"), F.contains(F.lower(row), F.lit("hours might differ")).alias("might_differ"),
-    )
+
+    def of(low: Column, shown: Column) -> Column:
+        shut, whole = F.array_contains(F.split(low, r"\s+"), "closed"), F.contains(low, F.lit("open 24 hours"))
+        return F.struct(
+            weekday(shown).alias("day"), shut.alias("closed"), (whole & ~shut).alias("open24"),
+            F.when(shut, F.slice(always, 1, 0)).when(whole, always).otherwise(F.array_distinct(F.array_compact(spans))).alias("periods"),
+            holiday(shown).alias("holiday"), F.contains(low, F.lit("hours might differ")).alias("might_differ"),
+        )
+
+    return let(F.lower(row), lambda low: let(display_day(F.regexp_replace(F.trim(row), r"\s{2,}", " ")), lambda shown: of(low, shown)))
 
 
 def minutes(t: Column) -> Column:
@@ -76,14 +87,25 @@ def clock(t: Column) -> Column:
     return F.concat(shown.cast("string"), F.lit(":"), F.split_part(t, F.lit(":"), F.lit(2)), F.when(h < 12, " AM").otherwise(" PM"))
 
 
+def in_minutes(day: Column) -> Column:
+    """struct(periods, open24) of a day as day_row gives it, with numbers for times."""
+    spans = F.transform(day["periods"], lambda p: F.struct(minutes(p["opens"]).alias("opens"), minutes(p["closes"]).alias("closes"), p["closes_next_day"].alias("closes_next_day")))
+    return F.struct(spans.alias("periods"), day["open24"].alias("open24"))
+
+
+def open_in(today: Column, yesterday: Column, minute: Column, all_day_spills: bool = True) -> Column:
+    """open_at for days as in_minutes gives them, for many minutes of one day."""
+    spill = F.coalesce(F.exists(yesterday["periods"], lambda p: p["closes_next_day"] & (minute < p["closes"])), F.lit(False))
+    own = F.coalesce(F.exists(today["periods"], lambda p: (minute >= p["opens"]) & (p["closes_next_day"] | (minute < p["closes"]))), F.lit(False))
+    return spill | own | (F.coalesce(yesterday["open24"], F.lit(False)) if all_day_spills else F.lit(False))
+
+
 def open_at(today: Column, yesterday: Column, minute: Column, all_day_spills: bool = True) -> Column:
     """Whether open at a minute of today: own periods, or yesterday's that close today. Arguments as day_row gives them, or null.
 
     With all_day_spills a yesterday that was open for 24 hours counts for the whole of today, too.
     """
-    spill = F.coalesce(F.exists(yesterday["periods"], lambda p: p["closes_next_day"] & (minute < minutes(p["closes"]))), F.lit(False))
-    own = F.coalesce(F.exists(today["periods"], lambda p: (minute >= minutes(p["opens"])) & (p["closes_next_day"] | (minute < minutes(p["closes"])))), F.lit(False))
-    return spill | own | (F.coalesce(yesterday["open24"], F.lit(False)) if all_day_spills else F.lit(False))
+    return open_in(in_minutes(today), in_minutes(yesterday), minute, all_day_spills)
 
 
 def status(today: Column, yesterday: Column, minute: Column) -> Column:
@@ -91,10 +113,9 @@ def status(today: Column, yesterday: Column, minute: Column) -> Column:
     spill = F.get(F.filter(yesterday["periods"], lambda p: p["closes_next_day"] & (minute < minutes(p["closes"]))), 0)
     now = F.get(F.filter(today["periods"], lambda p: (minute >= minutes(p["opens"])) & (p["closes_next_day"] | (minute < minutes(p["closes"])))), 0)
     later = F.get(F.filter(today["periods"], lambda p: minute < minutes(p["opens"])), 0)
+    said = lambda text, p, k: F.concat(F.lit(text), clock(p[k]))
+    open_now = lambda p: F.when(p["closes_next_day"], said("Open · Closes tomorrow at ", p, "closes")).when(p.isNotNull(), said("Open · Closes at ", p, "closes"))
     return (
         F.when(today.isNull(), "Hours unavailable today").when(today["closed"], "Closed today").when(today["open24"], "Open 24 hours")
-        .when((F.size(yesterday["periods"]) > 0) & F.coalesce(spill.isNotNull(), F.lit(False)), F.concat(F.lit("Open · Closes today at "), clock(spill["closes"])))
-        .when(now.isNotNull() & now["closes_next_day"], F.concat(F.lit("Open · Closes tomorrow at "), clock(now["closes"])))
-        .when(now.isNotNull(), F.concat(F.lit("Open · Closes at "), clock(now["closes"])))
-        .when(later.isNotNull(), F.concat(F.lit("Closed · Opens at "), clock(later["opens"]))).otherwise("Closed")
+        .otherwise(F.coalesce(let(spill, lambda p: said("Open · Closes today at ", p, "closes")), let(now, open_now), let(later, lambda p: said("Closed · Opens at ", p, "opens")), F.lit("Closed")))
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curio.functions import hours as H
+from curio.operators.relations import pinned, spread
 
 
 def overlaps(df: DataFrame, key: list[str], start: str, end: str) -> DataFrame:
@@ -16,7 +17,7 @@ def overlaps(df: DataFrame, key: list[str], start: str, end: str) -> DataFrame:
 
 def weekly(rows: DataFrame, key: str, text: str) -> DataFrame:
     """One row per key: map from weekday to its schedule, missing days, and completeness. A day's last row by text wins."""
-    d = rows.select(key, H.day_row(F.col(text)).alias("s"), F.col(text).alias("_t")).where("s.day IS NOT NULL")
+    d = pinned(spread(rows.select(key, F.col(text).alias("_t"))), s=H.day_row(F.col("_t"))).where("s.day IS NOT NULL")
     one = d.groupBy(key, F.col("s.day").alias("day")).agg(F.max_by("s", "_t").alias("s"))
     g = one.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("day", "s")), lambda a, b: F.when(a["day"] < b["day"], -1).when(a["day"] > b["day"], 1).otherwise(0))).alias("week"))
     missing = F.array_except(F.array(*map(F.lit, H.WEEKDAYS)), F.map_keys("week"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from curio.functions import arrays as R
 from curio.functions import hours as H
 from curio.operators import schedules as Z
-from curio.operators.relations import pinned
+from curio.operators.relations import pinned, spread
 from curio.plans.registry import Data, query
 
 c = F.col
@@ -21,13 +21,17 @@ def _shown(periods):
     return F.array_join(F.transform(periods, lambda p: F.concat(p["opens"], F.lit("-"), p["closes"], F.when(p["closes_next_day"], "+").otherwise(""))), ",")
 
 
+def _days(q: Data):
+    """Row texts, parsed once, not in each place that looks at the day."""
+    return pinned(spread(q.hours), day=H.day_row(c("row_text")))
+
+
 @query("dt_day_row", f"SELECT id, {DAY} AS day, id % 10 = 0 AS closed, id % 10 = 1 AS open24, {PERIODS} AS periods FROM hours ")
 def _day_row(q: Data):
-    s = H.day_row(c("row_text"))
-    return q.hours.select("id", s["day"].alias("day"), s["closed"].alias("closed"), s["open24"].alias("open24"), _shown(s["periods"]).alias("periods"))
+    return _days(q).select("id", c("day.day").alias("day"), c("day.closed").alias("closed"), c("day.open24").alias("open24"), _shown(c("day.periods")).alias("periods"))
 
 
-query("ex_aria_hours", f"SELECT id, {DAY} AS day, {PERIODS} AS periods FROM hours ")(lambda q: q.hours.select("id", H.day_row(c("row_text"))["day"].alias("day"), _shown(H.day_row(c("row_text"))["periods"]).alias("periods")))
+query("ex_aria_hours", f"SELECT id, {DAY} AS day, {PERIODS} AS periods FROM hours ")(lambda q: _days(q).select("id", c("day.day").alias("day"), _shown(c("day.periods")).alias("periods")))
 
 
 @query("dt_parse_time", "SELECT id, CASE WHEN id % 14 = 0 THEN NULL WHEN id % 14 > 12 THEN NULL ELSE lpad(CAST(CASE WHEN id % 3 = 0 THEN CASE WHEN id % 14 = 12 THEN 0 ELSE id % 14 END ELSE CASE WHEN id % 14 = 12 THEN 12 ELSE id % 14 + 12 END END AS STRING), 2, '0') || CASE WHEN id % 2 = 0 THEN ':30' ELSE ':00' END END AS v FROM hours ")
@@ -79,9 +83,9 @@ def _now(q: Data):
 OPENS = "CASE id % 10 WHEN 1 THEN true WHEN 2 THEN m >= 540 AND m < 1020 WHEN 3 THEN m >= 720 AND m < 1320 WHEN 4 THEN m >= 960 WHEN 5 THEN (m >= 480 AND m < 720) OR (m >= 810 AND m < 1080) WHEN 6 THEN m >= 600 AND m < 1350 WHEN 7 THEN m >= 420 AND m < 660 ELSE false END"
 
 
-def _at(q: Data):
+def _at(q: Data, form=lambda day: day):
     """A day's row, that of the id before it as yesterday, and a minute."""
-    rows = pinned(q.hours, day=H.day_row(c("row_text")))  # parsed once, not in each place that looks at it
+    rows = pinned(_days(q), form=form(c("day"))).select("id", c("form").alias("day"))
     today = rows.select("id", c("day").alias("today"), ((c("id") * 37) % 1440).cast("int").alias("m"))
     before = rows.select((c("id") + 1).alias("id"), c("day").alias("yesterday"))
     return today.join(before, "id", "left")
@@ -95,8 +99,8 @@ TICKS = (0, 149, 150, 539, 540, 719, 720, 1319, 1349)  # minutes at which a cloc
 @query("st_open_now", "WITH x AS (SELECT id, m, (SELECT min(id) FROM hours ) AS lo FROM hours CROSS JOIN (VALUES " + ", ".join(f"({t})" for t in TICKS) + f") t(m)), o AS (SELECT m, {OPENS} OR (id > lo AND ((id + 9) % 10 = 1 OR ((id + 9) % 10 = 4 AND m < 150))) AS open FROM x) SELECT m AS minute, count(*) FILTER (WHERE open) AS open, count(*) AS places FROM o GROUP BY m")
 def _now_open(q: Data):
     """How many are open at each tick of a clock."""
-    seen = _at(q).drop("m").withColumn("m", F.explode(F.lit(list(TICKS))))
-    return seen.groupBy(c("m").alias("minute")).agg(F.count_if(H.open_at(c("today"), c("yesterday"), c("m"))).alias("open"), F.count("*").alias("places"))
+    seen = _at(q, H.in_minutes).drop("m").withColumn("m", F.explode(F.lit(list(TICKS))))
+    return seen.groupBy(c("m").alias("minute")).agg(F.count_if(H.open_in(c("today"), c("yesterday"), c("m"))).alias("open"), F.count("*").alias("places"))
 
 
 def _spoken(m: int) -> str:
