@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curio.functions.arrays import let
+
+
 def tag_matches(texts: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     """(id, tag) of all patterns that match `text`: one pass over the rows, however many rules."""
     hits = F.array_compact(F.array(*[F.when(F.col("text").rlike(p), F.lit(tag)) for tag, p in rules]))
@@ -16,7 +19,7 @@ def tag_matches(texts: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
 def most_points(points: dict[str, Column], none: str = "unknown") -> Column:
     """The name with most points, the first of equal ones; `none` where all have none."""
     best = F.array_max(F.array(*[F.struct(n.alias("n"), F.lit(-i).alias("k"), F.lit(name).alias("name")) for i, (name, n) in enumerate(points.items())]))
-    return F.when(best["n"] > 0, best["name"]).otherwise(none)
+    return let(best, lambda b: F.when(b["n"] > 0, b["name"]).otherwise(none))
 
 
 def keyword_argmax(text: Column, lexicon: list[tuple[str, list[str]]], none: str = "unknown") -> Column:

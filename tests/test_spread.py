@@ -16,3 +16,9 @@ def test_hours_are_spread_and_parsed_once(spark, sf, name):
     shown = plan(spark, sf, name)
     sides = 2 if name in ("st_open_now", "dt_status", "dt_open_at") else 1  # today and yesterday
     assert "Repartition" in shown and shown.count("regexp_extract_all") == sides
+
+
+@pytest.mark.parametrize("name", ["ex_maps_v1", "ex_maps_v3"])
+def test_captures_are_spread_and_cut_into_lines_once(spark, sf, name):
+    shown = plan(spark, sf, name)
+    assert "Repartition" in shown and shown.count("split(") <= 2
