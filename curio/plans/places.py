@@ -82,7 +82,12 @@ def _dense(q: Data):
     return _latlon(q).select("id", F.coalesce(G.in_zones(c("lat"), c("lon"), [(9.65, -82.75, 3.0), (9.7, -82.7, 2.0)]), F.lit(False)).alias("dense"))
 
 
-@query("flt_bbox", f"SELECT id FROM master WHERE ({LAT} BETWEEN 9.6 AND 9.7 AND {LON} BETWEEN -82.8 AND -82.6) OR ({LAT} BETWEEN 9.8 AND 9.85 AND {LON} BETWEEN -82.5 AND -82.4)")
+# The view's coordinates are decimals of six places; an engine that adds them as binary fractions would move points off a box's border.
+EXACT = "TRY_CAST({} AS DECIMAL(9, 6))"
+LAT6, LON6 = EXACT.format("latitude"), EXACT.format("longitude")
+
+
+@query("flt_bbox", f"SELECT id FROM master WHERE ({LAT6} BETWEEN 9.6 AND 9.7 AND {LON6} BETWEEN -82.8 AND -82.6) OR ({LAT6} BETWEEN 9.8 AND 9.85 AND {LON6} BETWEEN -82.5 AND -82.4)")
 def _bbox(q: Data):
     return _latlon(q).where(G.in_boxes(c("lat"), c("lon"), [(9.6, -82.8, 9.7, -82.6), (9.8, -82.5, 9.85, -82.4)])).select("id")
 
