@@ -145,14 +145,20 @@ def _captures(q: Data):
     return q.master.select("id", M).join(q.second.select("id", "name"), "id")
 
 
+EXPECTED_PAIRS = NAMES + f", c AS (SELECT ln, rn FROM v UNION SELECT {M_NAME} AS ln, {S_NAME} AS rn FROM (SELECT m.id, {M}, name FROM master m JOIN second s ON m.id = s.id)), e AS (SELECT ln, rn, {PLAIN_NAME.format(c='ln')} AS a, {PLAIN_NAME.format(c='rn')} AS b FROM c), "
+
+
 @query(
     "er_compare_names",
-    f"WITH p AS (SELECT m.id, {PLAIN_NAME.format(c='business_name')} AS a, {PLAIN_NAME.format(c='name')} AS b FROM master m JOIN second s ON m.id = s.id), t AS (SELECT id, length(b) >= 4 AND (contains(a, b) OR contains(b, a)) AS inside, {TELLING.format(n='a')} AS x, {TELLING.format(n='b')} AS y FROM p), "
-    "u AS (SELECT *, len(list_intersect(x, y)) AS i, len(list_distinct(list_concat(x, y))) AS n FROM t) SELECT id, CASE WHEN inside THEN 'match' WHEN n > 0 AND 2 * i >= n THEN 'probable_match' ELSE 'mismatch' END AS label, CAST(CASE WHEN inside THEN 0.95 WHEN n > 0 AND 2 * i >= n THEN 0.75 ELSE 0.8 END AS DOUBLE) AS confidence FROM u",
+    EXPECTED_PAIRS + f"t AS (SELECT ln, rn, length(b) >= 4 AND (contains(a, b) OR contains(b, a)) AS inside, {TELLING.format(n='a')} AS x, {TELLING.format(n='b')} AS y FROM e), "
+    "g AS (SELECT *, len(list_intersect(x, y)) AS i, len(list_distinct(list_concat(x, y))) AS n FROM t) SELECT ln, rn, CASE WHEN inside THEN 'match' WHEN n > 0 AND 2 * i >= n THEN 'probable_match' ELSE 'mismatch' END AS label, CAST(CASE WHEN inside THEN 0.95 WHEN n > 0 AND 2 * i >= n THEN 0.75 ELSE 0.8 END AS DOUBLE) AS confidence FROM g",
 )
 def _compare(q: Data):
-    told = R.compared(R.plain(c("business_name")), R.plain(c("name")))
-    return _captures(q).select("id", told["label"].alias("label"), told["confidence"].alias("confidence"))
+    """All pairs of names that share a token, and those of records that were seen under both, whether they share one or not."""
+    seen = _captures(q).select(T.norm_name(c(M)).alias("ln"), T.norm_name(c("name")).alias("rn"))
+    pairs = _name_pairs(q).select("ln", "rn").unionByName(seen).distinct()
+    told = R.compared(R.plain(c("ln")), R.plain(c("rn")))
+    return pairs.select("ln", "rn", told["label"].alias("label"), told["confidence"].alias("confidence"))
 
 
 @query("er_known", NAMES + f"SELECT ln, rn, {KNOWN} AS v FROM v")
