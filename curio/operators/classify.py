@@ -29,7 +29,10 @@ def keyword_argmax(text: Column, lexicon: list[tuple[str, list[str]]], none: str
 
 def exposure(current: DataFrame, potential: DataFrame) -> DataFrame:
     """Per group: rows now, rows it could have, difference. Both sides (id, tag)."""
-    a = current.groupBy("tag").agg(F.countDistinct("id").alias("now"))
-    b = potential.groupBy("tag").agg(F.countDistinct("id").alias("could"))
-    j = a.join(b, "tag", "full").select("tag", F.coalesce("now", F.lit(0)).alias("now"), F.coalesce("could", F.lit(0)).alias("could"))
-    return j.withColumn("delta", F.col("could") - F.col("now"))
+    return exposed(current.withColumn("could", F.lit(False)).unionByName(potential.withColumn("could", F.lit(True))))
+
+
+def exposed(rows: DataFrame) -> DataFrame:
+    """exposure of (id, tag, could) rows: could is true for what a row may have, false for what it has now."""
+    n = rows.groupBy("tag").agg(F.countDistinct(F.when(~F.col("could"), F.col("id"))).alias("now"), F.countDistinct(F.when(F.col("could"), F.col("id"))).alias("could"))
+    return n.withColumn("delta", F.col("could") - F.col("now"))

@@ -10,6 +10,7 @@ from curio.operators import audits as U
 from curio.operators import classify as C
 from curio.operators import quality as Q
 from curio.operators import taxonomy as X
+from curio.operators.relations import pinned, spread
 from curio.plans.basics import CLOSED, NORM, PHONE, SLUG, WA
 from curio.plans.ledgers import _folder
 from curio.plans.registry import Data, query
@@ -69,7 +70,7 @@ z AS (SELECT *, list_sort(list_distinct(list_concat(flatten(list_transform(group
 
 
 def _records(q: Data):
-    return X.records(q.places)
+    return X.records(spread(q.places))
 
 
 def _joined(q: Data, *names: str):
@@ -77,8 +78,8 @@ def _joined(q: Data, *names: str):
 
 
 JOINED = lambda *names: ", ".join(f"array_to_string({n}, '|') AS {n}" for n in names)
-query("cl_first_evidence", EVIDENCE + "SELECT id, tag, confidence, source, rule, evidence FROM a")(lambda q: X.assertions(q.places).select("id", F.inline("assertions")).select("id", "tag", "confidence", "source", "rule", "evidence"))
-query("cl_rules", EVIDENCE + "SELECT tag, rule, source, count(*) AS n FROM a GROUP BY ALL")(lambda q: X.assertions(q.places).select(F.inline("assertions")).groupBy("tag", "rule", "source").agg(F.count("*").alias("n")))
+query("cl_first_evidence", EVIDENCE + "SELECT id, tag, confidence, source, rule, evidence FROM a")(lambda q: X.assertions(spread(q.places)).select("id", F.inline("assertions")).select("id", "tag", "confidence", "source", "rule", "evidence"))
+query("cl_rules", EVIDENCE + "SELECT tag, rule, source, count(*) AS n FROM a GROUP BY ALL")(lambda q: X.assertions(spread(q.places)).select(F.inline("assertions")).groupBy("tag", "rule", "source").agg(F.count("*").alias("n")))
 query("cl_identity_split", ASSEMBLED + f"SELECT id, {JOINED('tags', 'attributes')} FROM z")(lambda q: _joined(q, "tags", "attributes"))
 query("cl_group_expand", ASSEMBLED + f"SELECT id, {JOINED('groups')} FROM z")(lambda q: _joined(q, "groups"))
 query("cl_conflicts", ASSEMBLED + f"SELECT id, {JOINED('conflicts')} FROM z")(lambda q: _joined(q, "conflicts"))
@@ -96,8 +97,9 @@ def _resolution(q: Data):
 query("cl_recommend", ASSEMBLED + "SELECT id, CASE WHEN p = 'restaurant' AND list_contains(groups, 'stay') THEN CASE WHEN list_contains(tags, 'hostel') THEN 'hostel' WHEN list_has_any(tags, ['bed-and-breakfast', 'hotel']) THEN 'hotel' ELSE 'vacation_rental' END WHEN p = 'restaurant' AND list_contains(groups, 'wellness') THEN 'wellness' WHEN p = 'tour_company' AND list_contains(groups, 'transport') THEN 'transport' WHEN p IN ('hotel', 'hostel', 'vacation_rental') AND list_contains(groups, 'eat') THEN 'retain_lodging' ELSE 'retain' END AS v FROM z")(
     lambda q: (r := _records(q)).select("id", X.recommendation(r).alias("v"))
 )
+_tagged = lambda column, could: F.transform(column, lambda t: F.struct(t.alias("tag"), F.lit(could).alias("could")))
 query("cl_exposure", ASSEMBLED + "SELECT coalesce(a.tag, b.tag) AS tag, coalesce(a.n, 0) AS now, coalesce(b.n, 0) AS could, coalesce(b.n, 0) - coalesce(a.n, 0) AS delta FROM (SELECT tag, count(DISTINCT id) AS n FROM (SELECT id, unnest(tags) AS tag FROM z) GROUP BY tag) a FULL JOIN (SELECT tag, count(DISTINCT id) AS n FROM (SELECT id, unnest(list_concat(tags, attributes)) AS tag FROM z) GROUP BY tag) b ON a.tag = b.tag")(
-    lambda q: C.exposure((r := _records(q)).select("id", F.explode("tags").alias("tag")), r.select("id", F.explode(F.concat("tags", "attributes")).alias("tag")))
+    lambda q: C.exposed(_records(q).select("id", F.explode(F.concat(_tagged("tags", False), _tagged("tags", True), _tagged("attributes", True))).alias("x")).select("id", "x.tag", "x.could"))
 )
 
 
@@ -151,8 +153,8 @@ def _published(q: Data):
     for k in U.LINKS:
         if k not in r.columns:
             r = r.withColumn(k, F.lit(""))
-    r = r.withColumn("shown_category", c("primary")).withColumn("shown_phone", T.phone_e164(c("phone"))).withColumn("shown_whatsapp", T.whatsapp(c("whatsapp"))).withColumn("slug", T.slug(c("business_name"), c("area")))
-    return U.published(r)
+    r = pinned(r, shown_category=c("primary"), shown_phone=T.phone_e164(c("phone")), shown_whatsapp=T.whatsapp(c("whatsapp")))
+    return U.published(r, q.places.select("id", T.slug(c("business_name"), c("area")).alias("slug"), "google_maps_cid"))
 
 
 query("dq_source", SOURCE_SQL)(_published)

@@ -22,3 +22,9 @@ def test_hours_are_spread_and_parsed_once(spark, sf, name):
 def test_captures_are_spread_and_cut_into_lines_once(spark, sf, name):
     shown = plan(spark, sf, name)
     assert "Repartition" in shown and shown.count("split(") <= 2
+
+
+@pytest.mark.parametrize("name", ["cl_first_evidence", "cl_rules", "cl_record", "cl_recommend", "cl_resolution", "cl_conflicts", "cl_group_expand", "cl_exposure", "cl_identity_split", "dq_source"])
+def test_records_are_spread_and_classified_once(spark, sf, name):
+    shown = plan(spark, sf, name)
+    assert "Repartition" in shown and shown.count("nfkc(") <= shown.count("ArrowEvalPython") * 2 and shown.count("ArrowEvalPython") == 1
