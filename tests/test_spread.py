@@ -28,3 +28,7 @@ def test_captures_are_spread_and_cut_into_lines_once(spark, sf, name):
 def test_records_are_spread_and_classified_once(spark, sf, name):
     shown = plan(spark, sf, name)
     assert "Repartition" in shown and shown.count("nfkc(") <= shown.count("ArrowEvalPython") * 2 and shown.count("ArrowEvalPython") == 1
+
+
+def test_listing_pages_are_spread(spark, sf):
+    assert "Repartition" in plan(spark, sf, "ex_listing")
