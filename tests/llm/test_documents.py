@@ -175,6 +175,40 @@ def test_id_coder_predicts():
             assert (id_coder.decode_block(id_coder.encode_block(x, []))[0] == x).all()
 
 
+def test_id_coder_at_borders():
+    """Ids beside the sizes at which the coder's tables change their types, in lanes of unequal length, and copies far apart."""
+    rng = np.random.default_rng(3)
+    for top in (1 << 16, 1 << 22, (1 << 28) - 1, 1 << 28, 1 << 32):
+        for n in (2, 1500, 40_001):
+            x = np.concatenate([rng.integers(max(0, top - 3), top, n), rng.integers(0, top, n // 2), np.arange(top - 1, max(-1, top - 1 - n), -1)])
+            x = np.concatenate([x, x])
+            assert (id_coder.decode_block(id_coder.encode_block(x, []))[0] == x).all()
+    x = np.minimum(rng.geometric(0.001, id_coder.BLOCK - 1), 65535)
+    x[id_coder.BLOCK // 2 :] = x[: id_coder.BLOCK // 2 - 1]
+    assert (id_coder.decode_block(id_coder.encode_block(x, []))[0] == x).all()
+
+
+def test_id_coder_costs_little():
+    """Coding and decoding a block cost less than eight sorts of as many numbers for their order (before: ten), at fewer bits an id than before (6.055)."""
+    import time
+
+    import pyarrow.parquet as pq
+
+    from curio.llm.tokens import word_encoder
+
+    enc = word_encoder(WORD)
+    ids = np.frombuffer(b"".join(enc.ids(t or "") + b"\1\0\0\0" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist()), "<u4")
+    assert len(id_coder.encode_block(ids, [])) * 8 < 6.05 * len(ids)
+    block, keys = np.resize(ids, id_coder.BLOCK), np.random.default_rng(4).integers(0, 1 << 48, id_coder.BLOCK)
+    times = [[], []]
+    for _ in range(5):
+        for own, run in zip(times, (lambda: id_coder.decode_block(id_coder.encode_block(block, [])), lambda: np.argsort(keys)), strict=True):
+            began = time.process_time()
+            run()
+            own.append(time.process_time() - began)
+    assert min(times[0]) < 8 * min(times[1])
+
+
 def brute_components(texts, width, percent):
     sets = [{tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set() for w in (t.lower().split() for t in texts)]
     root = list(range(len(texts)))
